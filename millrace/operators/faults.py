@@ -8,6 +8,7 @@ of its chunk from the few largest keys below it.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -176,14 +177,26 @@ def commit_boundary(df: DataFrame, cut: int, chunk: int, key: str = "id") -> int
 def run_cut(
     df: DataFrame, limit: int = SKIP_LIMIT, chunk: int = CHUNK_SIZE, key: str = "id"
 ) -> RunCut:
-    """Where a run over classified rows ends. Only scalars leave the executors."""
-    limit_cut = skip_limit_cut(df, limit, key).first()["cut"]
-    abort_cut = df.filter(F.col("outcome") == ABORT).agg(F.min(key)).first()[0]
-    cuts = [c for c in (limit_cut, abort_cut) if c is not None]
-    if not cuts:
+    """Where a run over classified rows ends. Only scalars leave the executors.
+
+    The first ``limit + 1`` rows that are not OK decide: an abort among them comes before the
+    limit is passed, and without one the last of them passes it.
+    """
+    if limit < TOP_K_LIMIT:
+        first = df.filter(F.col("outcome") != OK).select(key, "outcome").orderBy(key).limit(limit + 1)
+        found = first.agg(
+            F.min(F.when(F.col("outcome") == ABORT, F.col(key))).alias("abort"),
+            F.when(F.count("*") > limit, F.max(key)).alias("limit"),
+        ).first()
+        abort_cut, limit_cut = found["abort"], found["limit"]
+    else:
+        limit_cut = skip_limit_cut(df, limit, key).first()["cut"]
+        abort_cut = df.filter(F.col("outcome") == ABORT).agg(F.min(key)).first()[0]
+        if abort_cut is not None and limit_cut is not None and limit_cut < abort_cut:
+            abort_cut = None
+    if abort_cut is None and limit_cut is None:
         return RunCut("COMPLETED", None, None, None)
-    cut = min(cuts)
-    reason = "ABORT" if cut == abort_cut else "SKIP_LIMIT"
+    reason, cut = ("SKIP_LIMIT", limit_cut) if abort_cut is None else ("ABORT", abort_cut)
     return RunCut("FAILED", reason, cut, commit_boundary(df, cut, chunk, key))
 
 
@@ -311,8 +324,12 @@ def dispatch(
         F.count("*").cast("int").alias("items_size"),
         F.transform(ordered, lambda e: e.getField("v")).alias("items"),
     )
+    # All groups but the last are full, so their sizes follow from the number of members.
+    n = members.count()
+    number = F.col("id").alias("group_no")
+    filled = F.least(F.lit(size), F.lit(n) - F.col("id") * size).alias("n")
+    sizes = members.sparkSession.range(math.ceil(n / size)).select(number, filled)
     yes = F.coalesce("_yes", F.lit(False))
-    sizes = chunked.groupBy("group_no").agg(F.count("*").alias("n"))
     groups = sizes.join(answer, "group_no", "left").select(
         "group_no",
         F.when(yes, "SENT").otherwise("ERROR").alias("dispatch_status"),

@@ -44,9 +44,14 @@ def launch_decision(requests: DataFrame, jobs: DataFrame, executions: DataFrame)
     already, restart after a failure, first run. Of running and completed executions of the same
     identity the latest one counts. ``executions`` has ``(identity, execution_id, status)``.
     """
-    ended = F.col("status").isin("STARTED", "COMPLETED")
+
+    def newest(status: str) -> Column:
+        latest = F.max(F.when(F.col("status") == status, F.col("execution_id")))
+        return F.coalesce(latest, F.lit(-1).cast("bigint"))
+
     history = executions.groupBy("identity").agg(
-        F.max(F.when(ended, F.struct("execution_id", "status"))).getField("status").alias("_state"),
+        newest("STARTED").alias("_running"),
+        newest("COMPLETED").alias("_complete"),
         F.max("execution_id").alias("last_execution_id"),
     )
     date = F.col("params").getItem("DATE")
@@ -56,8 +61,8 @@ def launch_decision(requests: DataFrame, jobs: DataFrame, executions: DataFrame)
         F.when(F.col("_known").isNull(), "NOT_FOUND")
         .when(is_blank(date), "MISSING_DATE")
         .when(as_date(date).isNull(), "INVALID_DATE")
-        .when(F.col("_state") == "STARTED", "ALREADY_RUNNING")
-        .when(F.col("_state") == "COMPLETED", "ALREADY_COMPLETE")
+        .when(F.col("_running") > F.col("_complete"), "ALREADY_RUNNING")
+        .when(F.col("_complete") > F.col("_running"), "ALREADY_COMPLETE")
         .when(F.col("last_execution_id").isNotNull(), "RESTART")
         .otherwise("NEW")
     )

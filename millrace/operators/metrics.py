@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordering import ROWS_PER_BUCKET, running_total
+from millrace.session import stable
 
 # Class patterns of failed answers.
 SERVER_ERROR = r"^5..$"
@@ -76,8 +77,8 @@ def p95(
     keys = [tag, "window_start"]
     if approximate:
         return slotted.groupBy(*keys).agg(F.percentile_approx(value, q).cast("double").alias("quantile"))
-    weights = slotted.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
-        F.count("*").alias("_n")
+    weights = stable(
+        slotted.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
     )
     ranked = running_total(
         weights, [value], keys, "_n", name="_start", total="_total", rows_per_bucket=rows_per_bucket

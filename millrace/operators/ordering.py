@@ -177,6 +177,29 @@ def _largest(sums: DataFrame) -> int:
     return sums.agg(F.max("_rows")).first()[0] or 0
 
 
+# Bits of a generated row id that count rows inside one task; the rest is the task's number.
+_ROW_BITS = 33
+
+
+def number_rows(df: DataFrame, start: int = 1, name: str = "id") -> DataFrame:
+    """Rows numbered without gaps from ``start`` in the order they are read, without a shuffle.
+
+    The rows are written once with the id Spark generates from task number and row number. The
+    rows per task are then added up: one small row per task, which bounds the broadcast.
+    """
+    read = stable(df.withColumn("_at", F.monotonically_increasing_id()))
+    task = F.shiftright("_at", _ROW_BITS)
+    sums = read.groupBy(task.alias("_task")).agg(F.count("*").alias("_n"))
+    before = W.orderBy("_task").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sums.select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    row = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return (
+        read.withColumn("_task", task)
+        .join(F.broadcast(offsets), "_task")
+        .select((F.col("_before") + row + start).alias(name), *df.columns)
+    )
+
+
 def assign_chunk(
     df: DataFrame,
     key: str,

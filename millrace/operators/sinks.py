@@ -43,7 +43,8 @@ def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
 def replace_in(df: DataFrame, path: str, key: str, schema: str, buckets: int = 64) -> None:
     """Replace the rows of ``df``'s keys in a bucketed table, rewriting only touched buckets.
 
-    The number of buckets is fixed for a table, so the list of touched ones is bounded by it.
+    The number of buckets is fixed for a table, so the list of touched ones is bounded by it;
+    rows are rebalanced by bucket, which splits a large bucket over several tasks and files.
     Spark swaps the rewritten buckets in when the job commits; a lost executor only repeats tasks.
     """
     spark = df.sparkSession
@@ -54,7 +55,7 @@ def replace_in(df: DataFrame, path: str, key: str, schema: str, buckets: int = 6
     stored = read_table(spark, path, f"{schema}, {BUCKET} INT").filter(F.col(BUCKET).isin(touched))
     (
         replace_by_key(fresh, stored, key)
-        .repartition(BUCKET, F.pmod(F.xxhash64(key, F.lit(1)), F.lit(8)))
+        .hint("rebalance", BUCKET)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)
@@ -99,11 +100,31 @@ def insert_if_absent(
     return fresh.join(target.select(key), key, "left_anti")
 
 
+def near(target: DataFrame, df: DataFrame, key: str) -> DataFrame:
+    """The target rows within the key range of ``df``, the only ones its keys can meet.
+
+    The range is a scalar subquery that reaches the file scan of the target, so a run over new ids
+    does not read all that was stored before.
+    """
+    both = df.agg(F.struct(F.min(key).alias("low"), F.max(key).alias("high"))).scalar()
+    return target.filter(F.col(key).between(both.getField("low"), both.getField("high")))
+
+
 def insert_if_absent_into(
-    df: DataFrame, path: str, key: str, schema: str, order: list[str] | None = None
+    df: DataFrame,
+    path: str,
+    key: str,
+    schema: str,
+    order: list[str] | None = None,
+    clustered: bool = False,
 ) -> None:
-    """Append what is absent. Running it again, also after a broken run, adds nothing twice."""
+    """Append what is absent. Running it again, also after a broken run, adds nothing twice.
+
+    Set ``clustered`` when the new keys lie close together compared with the stored ones.
+    """
     stored = read_table(df.sparkSession, path, schema)
+    if clustered:
+        stored = near(stored, df, key)
     append_to(insert_if_absent(df, stored, key, order), path)
 
 

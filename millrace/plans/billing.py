@@ -78,7 +78,9 @@ def run_billing(
         rate_exact(F.col("units"), F.col("rate")).alias("cost"),
         F.lit(run_id).cast("bigint").alias("job_execution_id"),
     )
-    insert_if_absent_into(charges, charge_path, "source_id", BILLING_CHARGE)
+    insert_if_absent_into(
+        charges, charge_path, "source_id", BILLING_CHARGE, clustered=not first_run
+    )
 
     how = "left" if first_run else "inner"
     states = saved.join(outcomes.select("range_no", "status"), "range_no", how).select(

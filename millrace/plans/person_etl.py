@@ -11,8 +11,13 @@ from millrace.functions.checks import check_date
 from millrace.functions.text import key_uuid, snapshot, to_payload_json, upper_names
 from millrace.operators.faults import DISPATCH_SIZE, dispatch
 from millrace.operators.joins import enrich
-from millrace.operators.ordering import running_total
-from millrace.operators.sinks import append_to, insert_if_absent_into, read_table
+from millrace.operators.ordering import number_rows
+from millrace.operators.sinks import (
+    append_to,
+    insert_if_absent,
+    insert_if_absent_into,
+    read_table,
+)
 from millrace.plans.params import require, text
 from millrace.schemas import DISPATCHED_GROUP, GROUP_MEMBER, MARK, PERSONS, PERSONS_V2
 from millrace.session import stable
@@ -37,10 +42,8 @@ def load_persons(spark: SparkSession, csv_path: str, root: str, run_id: int) ->
     before = read_table(spark, path, f"{PERSONS}, run_id BIGINT").filter(F.col("run_id") != run_id)
     start = before.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
     rows = upper_names(scan_delimited(spark, csv_path, CSV_COLUMNS))
-    read = stable(rows.withColumn("_at", F.monotonically_increasing_id()))
-    numbered = running_total(read, ["_at"], name="_position")
-    out = numbered.select(
-        (F.col("_position") + F.lit(start + 1)).alias("id"),
+    out = number_rows(rows, start + 1).select(
+        "id",
         "first_name",
         "last_name",
         "profession",
@@ -64,17 +67,20 @@ def snapshot_persons(
 ) -> DataFrame:
     """Step 2: snapshot rows of all open persons, then their marks.
 
-    The row's UUID follows from date and person, so a repeated run stores no second row.
+    Only rows of the same date can be there already; the UUID follows from date and person, so a
+    repeated run would write the very same row.
     """
     spark = persons.sparkSession
     require(spark, check_date(text(date)))
     marks_path, path = f"{root}/persons_processed", f"{root}/persons_v2"
     todo = open_persons(persons, read_table(spark, marks_path, MARK))
     rows = snapshot(enrich(todo, lookup), date)
-    insert_if_absent_into(rows, path, "uuid_v4", PERSONS_V2)
-    done = read_table(spark, path, PERSONS_V2).filter(F.col("snapshot_date") == F.lit(date).cast("date"))
+    today = F.col("snapshot_date") == F.lit(date).cast("date")
+    same_day = read_table(spark, path, PERSONS_V2).filter(today)
+    append_to(insert_if_absent(rows, same_day, "source_id"), path)
+    done = read_table(spark, path, PERSONS_V2).filter(today)
     marks = done.select(F.col("source_id").alias("id"), F.lit(run_id).cast("bigint").alias("run_id"))
-    insert_if_absent_into(marks, marks_path, "id", MARK, order=["run_id"])
+    insert_if_absent_into(marks, marks_path, "id", MARK)
     return read_table(spark, path, PERSONS_V2)
 
 

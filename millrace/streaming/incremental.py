@@ -38,7 +38,7 @@ def run_incremental(
     """
 
     def store(batch: DataFrame, _batch_id: int) -> None:
-        insert_if_absent_into(transform(batch), target, key, schema, order)
+        insert_if_absent_into(transform(batch), target, key, schema, order, clustered=True)
 
     query = (
         source.writeStream.foreachBatch(store)

@@ -205,8 +205,10 @@ def resume(df: DataFrame, checkpoints: DataFrame, identity: str, key: str = "id"
 
     The key is a scalar subquery, so the file scan skips what is committed already.
     """
-    last = checkpoints.filter(F.col("identity") == identity).agg(F.max("last_id")).scalar()
-    return df.filter(last.isNull() | (F.col(key) > last))
+    front = F.lit(-(1 << 63))
+    mine = checkpoints.filter(F.col("identity") == identity)
+    start = mine.agg(F.coalesce(F.max("last_id") + 1, front)).scalar()
+    return df.filter(F.col(key) >= start)
 
 
 # ---- partitioned runs ---------------------------------------------------------------------

@@ -181,7 +181,9 @@ def charges(spark, sf_dir):
 @query
 def insert_if_absent(spark, sf_dir):
     before = b.billed_before(spark, sf_dir)
-    return before.unionByName(sinks.insert_if_absent(charges(spark, sf_dir), before, "source_id"))
+    return before.unionByName(
+        sinks.insert_if_absent(charges(spark, sf_dir), before, "source_id")
+    )
 
 
 @query
@@ -668,6 +670,12 @@ def bundle_entries(spark, sf_dir):
     return aggregates.bundle_entries(b.generated_files(spark, sf_dir), flagged_tickets(spark, sf_dir))
 
 
+@query
+def ordered_entries(spark, sf_dir):
+    entries = aggregates.bundle_entries(b.generated_files(spark, sf_dir), flagged_tickets(spark, sf_dir))
+    return aggregates.ordered_entries(entries).select("event_id", "entry_no", "entry")
+
+
 @query
 def bundle_manifest(spark, sf_dir):
     entries = aggregates.bundle_entries(b.generated_files(spark, sf_dir), flagged_tickets(spark, sf_dir))

@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import bundle_key, entry_name
 from millrace.operators.joins import event_files
-from millrace.operators.ordering import ROWS_PER_BUCKET, Bounds, assign_chunk, assign_id_range, id_ranges
+from millrace.operators.ordering import (
+    ROWS_PER_BUCKET,
+    Bounds,
+    assign_chunk,
+    assign_id_range,
+    id_ranges,
+    running_total,
+)
 
 
 def count_and_total(lines: DataFrame, amount: str = "amount") -> DataFrame:
@@ -81,6 +88,13 @@ def bundle_entries(files: DataFrame, tickets: DataFrame, event_id: int | None =
     )
 
 
+def ordered_entries(entries: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """The entries with their place in the archive, which is in ticket order."""
+    return running_total(
+        entries, ["ticket_id"], ["event_id"], name="entry_no", rows_per_bucket=rows_per_bucket
+    )
+
+
 def bundle_manifest(entries: DataFrame) -> DataFrame:
     """One row per event that has files: count, size, content digest and storage path."""
     return (

@@ -74,13 +74,13 @@ def append(df: DataFrame, target: DataFrame, defaults: dict[str, Column] | None
     return target.unionByName(rows, allowMissingColumns=True)
 
 
-def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+def first_per_key(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """One row per key, the first in ``order`` with all columns as tie-break.
 
     A key repeated over a third of the input shrinks to one row per task before the shuffle.
     """
     rest = [c for c in df.columns if c != key]
-    lead = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
+    lead = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order or [])]
     pick = F.min(F.struct(*lead, *[F.col(c) for c in rest])).alias("_first")
     return (
         df.groupBy(key)
@@ -90,13 +90,18 @@ def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def insert_if_absent(
-    df: DataFrame, target: DataFrame, key: str, order: list[str] | None = None
+    df: DataFrame,
+    target: DataFrame,
+    key: str,
+    order: list[str] | None = None,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """The rows of ``df`` to add: keys not in the target, the first row of each repeated key.
 
-    ``order=None`` states that the input's keys are unique already and saves the aggregate.
+    The aggregate and the anti join share one shuffle by key. ``unique_keys`` states that the
+    input holds no key twice and saves the aggregate.
     """
-    fresh = df if order is None else first_per_key(df, key, order)
+    fresh = df if unique_keys else first_per_key(df, key, order)
     return fresh.join(target.select(key), key, "left_anti")
 
 
@@ -116,6 +121,7 @@ def insert_if_absent_into(
     key: str,
     schema: str,
     order: list[str] | None = None,
+    unique_keys: bool = False,
     clustered: bool = False,
 ) -> None:
     """Append what is absent. Running it again, also after a broken run, adds nothing twice.
@@ -125,7 +131,7 @@ def insert_if_absent_into(
     stored = read_table(df.sparkSession, path, schema)
     if clustered:
         stored = near(stored, df, key)
-    append_to(insert_if_absent(df, stored, key, order), path)
+    append_to(insert_if_absent(df, stored, key, order, unique_keys), path)
 
 
 def seed_if_empty(seed: DataFrame, target: DataFrame) -> DataFrame:

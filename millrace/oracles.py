@@ -496,6 +496,9 @@ BODIES: dict[str, str] = {
                CAST((SELECT sum(units * rate) FROM usage_record) AS BIGINT) AS usage_sum,
                CAST(0 AS BIGINT) AS double_billed""",
     "bundle_entries": "SELECT event_id, ticket_id, entry, file_size_bytes, checksum_sha256 FROM entries",
+    "ordered_entries": """
+        SELECT event_id, row_number() OVER (PARTITION BY event_id ORDER BY ticket_id) - 1 AS entry_no, entry
+        FROM entries""",
     "bundle_manifest": "SELECT * FROM manifest",
     "group_stats": "SELECT group_no, count(*) AS records_included FROM sent_members GROUP BY group_no",
     "status_health": """

@@ -82,7 +82,7 @@ def run_harvest(
     done = committed.filter(F.col("outcome") == OK).select(
         "id", F.lit(run_id).cast("bigint").alias("run_id")
     )
-    insert_if_absent_into(done, marks, "id", MARK, clustered=True)
+    insert_if_absent_into(done, marks, "id", MARK, unique_keys=True, clustered=True)
 
     last = committed.agg(F.max("id").alias("last_id")).filter("last_id IS NOT NULL")
     append_to(

@@ -77,10 +77,10 @@ def snapshot_persons(
     rows = snapshot(enrich(todo, lookup), date)
     today = F.col("snapshot_date") == F.lit(date).cast("date")
     same_day = read_table(spark, path, PERSONS_V2).filter(today)
-    append_to(insert_if_absent(rows, same_day, "source_id"), path)
+    append_to(insert_if_absent(rows, same_day, "source_id", unique_keys=True), path)
     done = read_table(spark, path, PERSONS_V2).filter(today)
     marks = done.select(F.col("source_id").alias("id"), F.lit(run_id).cast("bigint").alias("run_id"))
-    insert_if_absent_into(marks, marks_path, "id", MARK)
+    insert_if_absent_into(marks, marks_path, "id", MARK, unique_keys=True)
     return read_table(spark, path, PERSONS_V2)
 
 
@@ -104,7 +104,9 @@ def dispatch_persons(
     renumbered = accepted.withColumn("group_no", F.col("group_no") - F.lit(start))
     groups, tags, payloads = dispatch(open_, renumbered, size)
     number = F.col("group_no") + F.lit(start)
-    insert_if_absent_into(tags.withColumn("group_no", number), tags_path, "id", GROUP_MEMBER)
+    insert_if_absent_into(
+        tags.withColumn("group_no", number), tags_path, "id", GROUP_MEMBER, unique_keys=True
+    )
     append_to(_group_rows(groups.withColumn("group_no", number)), groups_path)
     body = to_payload_json(F.struct("items_size", "items"))
     return Payload(payloads.select(number.alias("group_no"), body.alias("payload")))

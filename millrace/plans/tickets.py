@@ -79,6 +79,10 @@ def run_tickets(
         stored.select(F.col("ticket_id").alias("id")), "id", "left_semi"
     )
     insert_if_absent_into(
-        done.withColumn("run_id", F.lit(run_id).cast("bigint")), marks_path, "id", MARK
+        done.withColumn("run_id", F.lit(run_id).cast("bigint")),
+        marks_path,
+        "id",
+        MARK,
+        unique_keys=True,
     )
     return stored, read_table(spark, marks_path, MARK)

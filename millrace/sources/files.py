@@ -50,7 +50,7 @@ def scan_lenient_lines(
     an amount that is present but no number fails the query.
     """
     parts = lines.select(fields(F.col("value")).alias("f"), F.col("value").alias("line_value"))
-    text = strip_edges(F.element_at("f", value_index + 1))
+    text = strip_edges(F.get("f", value_index))
     number = text.try_cast(type_)
     amount = F.when(F.size("f") < min_fields, F.lit(None).cast(type_)).otherwise(
         F.coalesce(number, F.raise_error(F.concat(F.lit("not a number: "), text)).cast(type_))

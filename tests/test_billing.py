@@ -100,6 +100,11 @@ def test_empty_source(spark):
     assert [(r["min_id"], r["max_id"]) for r in run.ranges.collect()] == [(1, 0)]
 
 
+def test_a_source_row_given_twice_is_billed_once(spark):
+    run = run_billing(usage(spark, test_seed() * 2), scratch(spark, "b"), PARAMS, 1)
+    assert totals(run.charges) == (24, 1290, 24)
+
+
 def test_fixed_settings_cannot_be_overridden(spark):
     rows = usage(spark, test_seed())
     for params in ({"GRID_SIZE": "8"}, {"CHUNK_SIZE": "7"}):
@@ -114,8 +119,11 @@ def charge(spark, rows):
 
 def test_insert_if_absent(spark):
     old = charge(spark, [(1, 15, 0)])
-    again = sinks.insert_if_absent(charge(spark, [(1, 99, 1), (2, 20, 2)]), old, "source_id")
-    assert [tuple(r) for r in again.collect()] == [(2, 20, 2)]
+    for unique in (False, True):
+        again = sinks.insert_if_absent(
+            charge(spark, [(1, 99, 1), (2, 20, 2)]), old, "source_id", unique_keys=unique
+        )
+        assert [tuple(r) for r in again.collect()] == [(2, 20, 2)]
     twice = sinks.insert_if_absent(charge(spark, [(3, 7, 5), (3, 8, 4), (3, 9, 6)]), old, "source_id", ["seq"])
     assert [tuple(r) for r in twice.collect()] == [(3, 8, 4)]
     assert sinks.insert_if_absent(charge(spark, []), old, "source_id").count() == 0

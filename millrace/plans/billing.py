@@ -16,7 +16,7 @@ from millrace.plans.params import identity_of, require
 from millrace.schemas import BILLING_CHARGE, RANGE_LEDGER
 from millrace.session import stable
 
-JOB_NAME = "partitioned-harvester-job"
+JOB_NAME = "billing"
 
 # Grid and chunk of the billing job.
 GRID_SIZE = 4

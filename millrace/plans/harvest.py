@@ -29,7 +29,7 @@ from millrace.plans.params import identity_of, require, text
 from millrace.schemas import CHECKPOINT, DEAD_LETTER, MARK
 from millrace.sources.tables import scan_ordered
 
-JOB_NAME = "fault-tolerant-harvester-job"
+JOB_NAME = "harvest"
 STEP_NAME = "harvestStep"
 COLUMNS = ["payload", "poison_flag", "transient_fail_until_attempt", "abort_flag"]
 

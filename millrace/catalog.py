@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,7 +82,13 @@ def scan_id_ranges(spark, sf_dir):
 
 @query
 def scan_one_range(spark, sf_dir):
-    return tables.scan_one_range(b.usage_record(spark, sf_dir), "id", 1000, 1_000_000_000)
+    """All closed ranges of the table, each read by its own bounds."""
+    usage = b.usage_record(spark, sf_dir)
+    parts = [
+        tables.scan_one_range(usage, "id", row["min_id"], row["max_id"]).withColumn("name", F.lit(row["name"]))
+        for row in ordering.id_ranges(ordering.id_bounds(usage, "id"), GRID).collect()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -94,13 +101,17 @@ def scan_keyset_page(spark, sf_dir):
     return tables.scan_keyset(b.persons(spark, sf_dir), "id", after=20, limit=50)
 
 
-def all_members(spark, sf_dir):
-    """Open persons as snapshot rows, all tagged with the group of their position."""
+def open_people(spark, sf_dir):
+    """Open persons as snapshot rows."""
     rows = b.persons(spark, sf_dir).filter(~F.col("processed"))
     people = text.snapshot(joins.enrich(rows, b.enrichment(spark, sf_dir)), RUN_DATE)
-    return ordering.assign_chunk(
-        people.withColumnRenamed("source_id", "id"), "id", faults.DISPATCH_SIZE, name="group_no"
-    )
+    return people.withColumnRenamed("source_id", "id")
+
+
+def all_members(spark, sf_dir):
+    """The same, all tagged with the group of their position."""
+    people = open_people(spark, sf_dir)
+    return ordering.assign_chunk(people, "id", faults.DISPATCH_SIZE, name="group_no")
 
 
 def sent_members(spark, sf_dir):
@@ -132,26 +143,34 @@ def scan_by_status(spark, sf_dir):
     return tables.scan_by_status(stored_groups(spark, sf_dir), "ERROR")
 
 
+def block_of(key: str) -> Column:
+    return F.call_function("div", F.col(key), F.lit(100)).alias("block")
+
+
 def supplier_files(spark, sf_dir):
+    """One text file per hundred suppliers, lines in key order."""
     path = scratch(spark, "documents")
-    rows = b.table(spark, sf_dir, "supplier").select(F.col("s_name").alias("value"), "s_suppkey")
-    rows.repartition("s_suppkey").write.partitionBy("s_suppkey").text(path)
+    rows = b.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", block_of("s_suppkey"))
+    whole = rows.repartition("block").sortWithinPartitions("block", "s_suppkey")
+    whole.select(F.col("s_name").alias("value"), "block").write.partitionBy("block").text(path)
     return path
 
 
+def found_blocks(spark, sf_dir):
+    found = files.scan_files(spark, supplier_files(spark, sf_dir), "*.txt")
+    block = F.regexp_extract("path", r"block=(\d+)", 1).cast("bigint")
+    return found.withColumn("path", block)
+
+
 @query
 def scan_files(spark, sf_dir):
-    found = files.scan_files(spark, supplier_files(spark, sf_dir), "*.txt")
-    key = F.regexp_extract("path", r"s_suppkey=(\d+)", 1).cast("bigint")
-    return found.select(key.alias("s_suppkey"), "size_bytes", "checksum_sha256")
+    return found_blocks(spark, sf_dir).withColumnRenamed("path", "block")
 
 
 @query
 def missing_files(spark, sf_dir):
-    found = files.scan_files(spark, supplier_files(spark, sf_dir), "*.txt")
-    key = F.regexp_extract("path", r"s_suppkey=(\d+)", 1).cast("bigint")
-    expected = b.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("path"))
-    return files.missing_files(expected, found.select(key.alias("path")))
+    expected = b.table(spark, sf_dir, "customer").select(block_of("c_custkey").alias("path"))
+    return files.missing_files(expected, found_blocks(spark, sf_dir))
 
 
 # ---- sinks --------------------------------------------------------------------------------
@@ -859,8 +878,7 @@ def restart_partitions(spark, sf_dir):
 
 
 def dispatched(spark, sf_dir):
-    people = all_members(spark, sf_dir).drop("group_no")
-    return faults.dispatch(people, b.acceptance(spark, sf_dir))
+    return faults.dispatch(open_people(spark, sf_dir), b.acceptance(spark, sf_dir))
 
 
 @query
@@ -909,7 +927,7 @@ def overlay_params(spark, sf_dir):
     defaults = F.create_map(F.lit("DATE"), F.lit("2026-01-01"), F.lit("GRID_SIZE"), F.lit("4"))
     merged = ledger.overlay_params(defaults, F.col("params"))
     pairs = F.transform(
-        F.array_sort(F.map_entries(merged)),
+        F.sort_array(F.map_entries(merged)),
         lambda e: F.concat(e.getField("key"), F.lit("="), e.getField("value")),
     )
     return b.executions(spark, sf_dir).select("execution_id", F.concat_ws(",", pairs).alias("params"))

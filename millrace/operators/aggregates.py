@@ -165,7 +165,7 @@ def running_by_job(
     paged = assign_chunk(
         open_runs, "execution_id", page_size, ["job_name"], "page", rows_per_bucket
     )
-    pairs = F.array_sort(
+    pairs = F.sort_array(
         F.collect_list(F.struct(F.col("execution_id").cast("string"), F.col("params_text")))
     )
     pages = paged.groupBy("job_name", "page").agg(F.map_from_entries(pairs).alias("running"))

@@ -81,6 +81,20 @@ def retry_outcome(df: DataFrame, retry_limit: int = RETRY_LIMIT) -> DataFrame:
     )
 
 
+def failing_rows(df: DataFrame, retry_limit: int = RETRY_LIMIT) -> DataFrame:
+    """The rows that are not OK.
+
+    The outcome follows from the flags; repeating them as a plain condition lets the file scan skip
+    row groups without any failing row.
+    """
+    may_fail = (
+        F.col("abort_flag")
+        | F.col("poison_flag")
+        | (F.col("transient_fail_until_attempt") >= retry_limit)
+    )
+    return df.filter(may_fail & (F.col("outcome") != OK))
+
+
 def describe_failure(df: DataFrame, retry_limit: int = RETRY_LIMIT) -> DataFrame:
     """Adds phase, exception class and message of failed rows; NULL for good ones."""
     id_ = F.col("id").cast("string")
@@ -175,23 +189,30 @@ def commit_boundary(df: DataFrame, cut: int, chunk: int, key: str = "id") -> int
 
 
 def run_cut(
-    df: DataFrame, limit: int = SKIP_LIMIT, chunk: int = CHUNK_SIZE, key: str = "id"
+    df: DataFrame,
+    limit: int = SKIP_LIMIT,
+    chunk: int = CHUNK_SIZE,
+    key: str = "id",
+    failing: DataFrame | None = None,
 ) -> RunCut:
     """Where a run over classified rows ends. Only scalars leave the executors.
 
     The first ``limit + 1`` rows that are not OK decide: an abort among them comes before the
-    limit is passed, and without one the last of them passes it.
+    limit is passed, and without one the last of them passes it. ``failing`` are these rows where
+    the caller can select them more cheaply.
     """
+    if failing is None:
+        failing = df.filter(F.col("outcome") != OK)
     if limit < TOP_K_LIMIT:
-        first = df.filter(F.col("outcome") != OK).select(key, "outcome").orderBy(key).limit(limit + 1)
+        first = failing.select(key, "outcome").orderBy(key).limit(limit + 1)
         found = first.agg(
             F.min(F.when(F.col("outcome") == ABORT, F.col(key))).alias("abort"),
             F.when(F.count("*") > limit, F.max(key)).alias("limit"),
         ).first()
         abort_cut, limit_cut = found["abort"], found["limit"]
     else:
-        limit_cut = skip_limit_cut(df, limit, key).first()["cut"]
-        abort_cut = df.filter(F.col("outcome") == ABORT).agg(F.min(key)).first()[0]
+        limit_cut = skip_limit_cut(failing, limit, key).first()["cut"]
+        abort_cut = failing.filter(F.col("outcome") == ABORT).agg(F.min(key)).first()[0]
         if abort_cut is not None and limit_cut is not None and limit_cut < abort_cut:
             abort_cut = None
     if abort_cut is None and limit_cut is None:
@@ -321,7 +342,7 @@ def dispatch(
     """
     chunked = assign_chunk(members, key, size, name="group_no", rows_per_bucket=rows_per_bucket)
     answer = accepted.select("group_no", F.col("accepted").alias("_yes"))
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), payload_item().alias("v"))))
+    ordered = F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), payload_item().alias("v"))))
     payloads = chunked.groupBy("group_no").agg(
         F.count("*").cast("int").alias("items_size"),
         F.transform(ordered, lambda e: e.getField("v")).alias("items"),

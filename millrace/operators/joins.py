@@ -31,7 +31,7 @@ def pages_of(
     paged = assign_chunk(
         rows.withColumn("_item", item), key, size, [group], "page", rows_per_bucket
     )
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.col("_item").alias("v"))))
+    ordered = F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), F.col("_item").alias("v"))))
     return paged.groupBy(group, "page").agg(
         F.transform(ordered, lambda e: e.getField("v")).alias("items")
     )

@@ -20,7 +20,7 @@ def run_identity(
     """A key of job name and identifying parameters, whatever their order in the map."""
     kept = F.map_filter(params, lambda k, v: ~k.isin(not_identifying))
     pairs = F.transform(
-        F.array_sort(F.map_entries(kept)),
+        F.sort_array(F.map_entries(kept)),
         lambda e: F.concat(e.getField("key"), F.lit("="), F.coalesce(e.getField("value"), F.lit(""))),
     )
     return F.md5(F.concat_ws("&", F.concat(F.lit("job="), job_name), pairs))

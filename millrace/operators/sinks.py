@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.text import root_cause, truncate_message
+from millrace.session import stable
 
 BUCKET = "key_bucket"
 
@@ -45,10 +46,12 @@ def replace_in(df: DataFrame, path: str, key: str, schema: str, buckets: int = 6
 
     The number of buckets is fixed for a table, so the list of touched ones is bounded by it;
     rows are rebalanced by bucket, which splits a large bucket over several tasks and files.
-    Spark swaps the rewritten buckets in when the job commits; a lost executor only repeats tasks.
+    The new rows are written once and not computed again for each pass. Spark swaps the rewritten
+    buckets in when the job commits, so a lost executor only repeats tasks; plain files do not make
+    that swap atomic against the loss of the driver, for which a transactional table is needed.
     """
     spark = df.sparkSession
-    fresh = with_bucket(df, key, buckets)
+    fresh = stable(with_bucket(df, key, buckets))
     touched = [row[0] for row in fresh.select(BUCKET).distinct().collect()]
     if not touched:
         return

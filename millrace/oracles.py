@@ -285,18 +285,21 @@ BODIES: dict[str, str] = {
     "scan_id_ranges": f"""
         SELECT u.*, CAST(least({GRID - 1}, (id - lo) // ((hi - lo) // {GRID})) AS INTEGER) AS range_no
         FROM usage_record u, bounds""",
-    "scan_one_range": "SELECT * FROM usage_record WHERE id BETWEEN 1000 AND 1000000000",
+    "scan_one_range": f"""
+        SELECT u.*, 'partition' || least({GRID - 1}, (id - lo) // ((hi - lo) // {GRID})) AS name
+        FROM usage_record u, bounds""",
     "scan_keyset": "SELECT * EXCLUDE (value) FROM persons WHERE id > 0 AND NOT processed",
     "scan_keyset_page": """
         SELECT * EXCLUDE (value) FROM persons WHERE id > 20 AND NOT processed ORDER BY id LIMIT 50""",
     "scan_undispatched": "SELECT id, email FROM sent_members WHERE group_no IS NULL",
     "scan_by_status": "SELECT * FROM stored_groups WHERE dispatch_status = 'ERROR'",
     "scan_files": """
-        SELECT s_suppkey, CAST(octet_length(encode(s_name)) + 1 AS BIGINT) AS size_bytes,
-               sha256(s_name || chr(10)) AS checksum_sha256
-        FROM supplier""",
+        SELECT s_suppkey // 100 AS block, CAST(sum(octet_length(encode(s_name)) + 1) AS BIGINT) AS size_bytes,
+               sha256(string_agg(s_name || chr(10), '' ORDER BY s_suppkey)) AS checksum_sha256
+        FROM supplier GROUP BY ALL""",
     "missing_files": """
-        SELECT c_custkey AS path FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)""",
+        SELECT DISTINCT c_custkey // 100 AS path FROM customer
+        WHERE c_custkey // 100 NOT IN (SELECT s_suppkey // 100 FROM supplier)""",
     # sinks
     "append": """
         SELECT id, upper(first_name) AS first_name, upper(last_name) AS last_name, profession, email,

@@ -20,6 +20,7 @@ from millrace.operators.faults import (
     RunCut,
     classify,
     describe_failure,
+    failing_rows,
     resume,
     retry_outcome,
     run_cut,
@@ -70,9 +71,10 @@ def run_harvest(
     marks, letters, points = (f"{root}/{n}" for n in ("processed", "dead_letter", "checkpoint"))
 
     rows = outcomes(resume(source, read_table(spark, points, CHECKPOINT), identity), retry_limit)
-    cut = run_cut(rows, skip_limit, chunk)
+    failing = failing_rows(rows, retry_limit)
+    cut = run_cut(rows, skip_limit, chunk, failing=failing)
 
-    skips = cut.reached(rows).filter(F.col("outcome").isin(SKIP, EXHAUSTED))
+    skips = cut.reached(failing).filter(F.col("outcome").isin(SKIP, EXHAUSTED))
     at = F.current_timestamp() if recorded_at is None else recorded_at
     records = dead_letter(skips, run_id, at, KNOWN_CLASSES)
     mine = read_table(spark, letters, DEAD_LETTER).filter(F.col("job_execution_id") == run_id)

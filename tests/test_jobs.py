@@ -273,6 +273,17 @@ def test_missing_lookup_value_fails(spark):
     assert joins.enrich(df, lookup, required=False).count() == 2
 
 
+def test_job_names_and_defaults():
+    from millrace.plans import registry
+
+    assert registry.launch_params("billing", {"DATE": "2026-02-02"}) == {
+        "DATE": "2026-02-02",
+        "ATTEMPT_NUMBER": "1",
+    }
+    with pytest.raises(KeyError, match="not found"):
+        registry.launch_params("gone", {})
+
+
 # ---- sinks --------------------------------------------------------------------------------
 
 

@@ -10,6 +10,7 @@ from millrace import bindings as b
 from millrace import catalog
 from millrace.operators import faults, ordering, sinks
 from millrace.plans import harvest
+from millrace.session import scratch
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
@@ -65,6 +66,17 @@ def test_resume_reads_behind_the_checkpoint(spark):
     assert "GreaterThanOrEqual(event_id,ScalarSubquery" in text, text
 
 
+def test_failing_rows_are_looked_for_by_their_flags(spark):
+    path = scratch(spark, "harvest_source")
+    b.harvest_source(spark, SF_DIR).write.parquet(path)
+    failing = faults.failing_rows(harvest.outcomes(spark.read.parquet(path)))
+    text = plan(failing)
+    pushed = "PushedFilters: [Or(Or(EqualTo(abort_flag,true),EqualTo(poison_flag,true)),GreaterThanOrEqual("
+    assert pushed in text, text
+    rows = harvest.outcomes(spark.read.parquet(path))
+    assert failing.count() == rows.filter(F.col("outcome") != faults.OK).count() > 0
+
+
 def test_near_prunes_the_target(spark):
     target = b.billed_before(spark, SF_DIR)
     new = target.filter("source_id > 1000")

@@ -111,11 +111,11 @@ def insert_if_absent(
 def near(target: DataFrame, df: DataFrame, key: str) -> DataFrame:
     """The target rows within the key range of ``df``, the only ones its keys can meet.
 
-    The range is a scalar subquery that reaches the file scan of the target, so a run over new ids
-    does not read all that was stored before.
+    Two scalars are read first, so that the range reaches the file scan of the target as literals: a
+    run over new ids does not read all that was stored before.
     """
-    both = df.agg(F.struct(F.min(key).alias("low"), F.max(key).alias("high"))).scalar()
-    return target.filter(F.col(key).between(both.getField("low"), both.getField("high")))
+    low, high = df.agg(F.min(key), F.max(key)).first()
+    return target.filter(F.col(key).between(low, high) if low is not None else F.lit(False))
 
 
 def insert_if_absent_into(

@@ -28,8 +28,11 @@ def unprocessed(df: DataFrame, event_id: str | int | None = None) -> DataFrame:
 
 
 def in_ids(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
-    """Rows whose key is among ``ids``; a semi join, so the id set may be of any size."""
-    return df.join(ids.select(key), key, "left_semi")
+    """Rows whose key is among ``ids``; a semi join, so the id set may be of any size.
+
+    Repeated ids shrink to one per task before the shuffle.
+    """
+    return df.join(ids.select(key).distinct(), key, "left_semi")
 
 
 def worker_steps(df: DataFrame, prefix: str, status: str = "COMPLETED") -> DataFrame:

@@ -169,17 +169,12 @@ def running_by_job(
         F.collect_list(F.struct(F.col("execution_id").cast("string"), F.col("params_text")))
     )
     pages = paged.groupBy("job_name", "page").agg(F.map_from_entries(pairs).alias("running"))
-    none = F.create_map().cast("map<string,string>")
-    return (
-        jobs.select("job_name")
-        .join(pages, "job_name", "left")
-        .withColumns(
-            {
-                "page": F.coalesce("page", F.lit(0).cast("bigint")),
-                "running": F.coalesce("running", none),
-            }
-        )
+    known = jobs.select("job_name").distinct()
+    idle = known.join(open_runs.select("job_name").distinct(), "job_name", "left_anti").withColumns(
+        {"page": F.lit(0).cast("bigint"), "running": F.create_map().cast("map<string,string>")}
     )
+    # Pages of a busy job are on the left, where a skewed partition can be split.
+    return pages.join(known, "job_name", "left_semi").unionByName(idle)
 
 
 def tagged_counter(events: DataFrame, tag: str = "job_name") -> DataFrame:

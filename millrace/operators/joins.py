@@ -50,23 +50,21 @@ def group_members(
     page. ``members_total`` counts over all pages of the group."""
     pages = pages_of(members.filter(F.col(group).isNotNull()), group, key, item, size, rows_per_bucket)
     totals = members.groupBy(group).agg(F.count("*").alias("members_total"))
-    empty = F.array().cast(pages.schema["items"].dataType)
-    return (
-        groups.join(totals, group, "left")
-        .join(pages, group, "left")
-        .withColumns(
-            {
-                "page": F.coalesce("page", F.lit(0).cast("bigint")),
-                "items": F.coalesce("items", empty),
-                "members_total": F.coalesce("members_total", F.lit(0).cast("bigint")),
-            }
-        )
+    none = F.lit(0).cast("bigint")
+    counted = groups.join(totals, group, "left").withColumn(
+        "members_total", F.coalesce("members_total", none)
     )
+    # The pages of a hot group are on the left of an inner join, where a skewed partition can be
+    # split; as the right side of an outer join they could not.
+    filled = pages.join(counted, group).select(*counted.columns, "page", "items")
+    empty = F.array().cast(pages.schema["items"].dataType)
+    missing = counted.filter(F.col("members_total") == 0).withColumns({"page": none, "items": empty})
+    return filled.unionByName(missing)
 
 
 def anti_existing(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Rows whose key does not exist yet."""
-    return df.join(existing.select(key), key, "left_anti")
+    return df.join(existing.select(key).distinct(), key, "left_anti")
 
 
 def not_exists_any(df: DataFrame, other: DataFrame) -> DataFrame:

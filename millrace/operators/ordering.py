@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import sys
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 100_000
 # A bucket may hold this many times its share before the split is done by sampled ranges.
 TOLERANCE = 4
+_LARGEST = sys.float_info.max
 
 
 # ---- id ranges ----------------------------------------------------------------------------
@@ -107,7 +109,10 @@ def running_total(
     """
     groups = groups or []
     key = _as_number(df, order[0])
-    stats = df.agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high")).first()
+    finite = F.when(key.between(-_LARGEST, _LARGEST), key)
+    stats = df.agg(
+        F.count("*").alias("n"), F.min(finite).alias("low"), F.max(finite).alias("high")
+    ).first()
     n = stats["n"]
     buckets = max(math.ceil(n / rows_per_bucket), df.sparkSession.sparkContext.defaultParallelism)
     buckets = min(buckets, MAX_BUCKETS)
@@ -115,10 +120,13 @@ def running_total(
     if low is None or high == low:
         split = df.withColumn("_bucket", F.lit(0))
     else:
-        share = (key - F.lit(low)) / F.lit(high - low)
-        index = F.floor(share * buckets).cast("int")
+        # Halves, so that the width of the whole double range is still a number.
+        share = (key / 2 - low / 2) / F.lit(high / 2 - low / 2)
+        index = F.least(F.lit(buckets - 1), F.floor(share * buckets).cast("int"))
+        # NULL comes first, infinities at their ends, NaN last, as in the order itself.
         split = df.withColumn(
-            "_bucket", F.coalesce(F.least(F.lit(buckets - 1), index), F.lit(0))
+            "_bucket",
+            F.when(key > _LARGEST, buckets - 1).when(finite.isNull(), 0).otherwise(index),
         )
     sums = _bucket_sums(split, groups, weight)
     if n > rows_per_bucket and _largest(sums) > TOLERANCE * rows_per_bucket:

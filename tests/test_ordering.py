@@ -113,6 +113,16 @@ def test_positions_over_the_whole_table(spark):
     assert running_total(ids(spark, []), ["id"]).count() == 0
 
 
+@pytest.mark.parametrize("rows_per_bucket", [10, 10**6])
+def test_unusual_values_keep_their_order(spark, rows_per_bucket):
+    inf, nan = float("inf"), float("nan")
+    values = [(v, i) for i, v in enumerate([None, -inf, -1e308, -2.5, 0.0, 3.0, 1e308, inf, nan] * 3)]
+    df = spark.createDataFrame(values, "v DOUBLE, tie BIGINT")
+    out = running_total(df, ["v", "tie"], rows_per_bucket=rows_per_bucket).orderBy("position")
+    want = [r["tie"] for r in df.orderBy("v", "tie").collect()]
+    assert [r["tie"] for r in out.collect()] == want
+
+
 def test_chunks(spark):
     out = assign_chunk(ids(spark, range(0, 30, 3)), "id", 4).orderBy("id").collect()
     assert [r["chunk_no"] for r in out] == [0, 0, 0, 0, 1, 1, 1, 1, 2, 2]

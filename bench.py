@@ -55,7 +55,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    spark = build_session("bench", f"local[{cpus}]", **{"spark.sql.shuffle.partitions": cpus})
+    spark = build_session("bench", f"local[{cpus}]", **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     catalog.QUERIES["id_bounds"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}

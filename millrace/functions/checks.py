@@ -15,6 +15,25 @@ ZIP_MAGIC = bytes([0x50, 0x4B, 0x03, 0x04])
 SAFE_NAME = r"[a-zA-Z0-9._\-]+"
 QUALIFIED_CLASS = r"([a-zA-Z_$][a-zA-Z0-9_$]*\.)+[a-zA-Z_$][a-zA-Z0-9_$]*"
 
+# The reasons reported; most are followed by the value refused.
+DATE_MISSING = "{} parameter is required"
+DATE_INVALID = "{} must be a valid date in yyyy-MM-dd format, got: "
+LONG_MISSING = "{} is required"
+LONG_INVALID = "{} must be a numeric value, got: "
+LONG_NOT_POSITIVE = "{} must be a positive long, got: "
+OPTIONAL_LONG_INVALID = "{} must be a number: "
+SECRET_MISSING = "{} is required and must not be blank"
+SECRET_SHORT = "{} must be at least {} bytes for HMAC-SHA256 strength"
+FIXED_VALUE = "{} is fixed at {} and cannot be overridden, got: "
+UNSAFE_KEY = "Illegal storage key (path traversal): "
+WRONG_EXTENSION = "File must have .jar extension; received: "
+EMPTY_FILE = "File is empty — cannot read magic bytes"
+WRONG_MAGIC = "File is not a valid JAR — missing ZIP/PK magic bytes. Expected 0x504B0304, got: "
+CLASS_MISSING = "mainClassName must not be blank"
+CLASS_INVALID = "mainClassName must be a fully-qualified Java class name (e.g. com.example.MyClass): "
+NAME_MISSING = "Job name and version must not be blank"
+NAME_UNSAFE = "Job name and version must contain only alphanumeric, dot, dash, or underscore: "
+
 
 # ---- filters ------------------------------------------------------------------------------
 
@@ -56,20 +75,20 @@ def as_long(col: Column) -> Column:
 
 
 def check_date(col: Column, name: str = "DATE") -> Column:
-    return F.when(is_blank(col), F.lit(f"{name} parameter is required")).when(
+    return F.when(is_blank(col), F.lit(DATE_MISSING.format(name))).when(
         as_date(col).isNull(),
-        F.concat(F.lit(f"{name} must be a valid date in yyyy-MM-dd format, got: "), col),
+        F.concat(F.lit(DATE_INVALID.format(name)), col),
     )
 
 
 def check_positive_long(col: Column, name: str = "EVENT_ID") -> Column:
     number = as_long(col)
     return (
-        F.when(is_blank(col), F.lit(f"{name} is required"))
-        .when(number.isNull(), F.concat(F.lit(f"{name} must be a numeric value, got: "), col))
+        F.when(is_blank(col), F.lit(LONG_MISSING.format(name)))
+        .when(number.isNull(), F.concat(F.lit(LONG_INVALID.format(name)), col))
         .when(
             number <= 0,
-            F.concat(F.lit(f"{name} must be a positive long, got: "), number.cast("string")),
+            F.concat(F.lit(LONG_NOT_POSITIVE.format(name)), number.cast("string")),
         )
     )
 
@@ -77,15 +96,15 @@ def check_positive_long(col: Column, name: str = "EVENT_ID") -> Column:
 def check_optional_long(col: Column, name: str = "EVENT_ID") -> Column:
     """Absent or blank is fine; anything else must be a number."""
     return F.when(
-        ~is_blank(col) & as_long(col).isNull(), F.concat(F.lit(f"{name} must be a number: "), col)
+        ~is_blank(col) & as_long(col).isNull(), F.concat(F.lit(OPTIONAL_LONG_INVALID.format(name)), col)
     )
 
 
 def check_min_bytes(col: Column, size: int = MIN_SECRET_BYTES, name: str = "TOKEN_SECRET") -> Column:
     """Not blank and at least ``size`` UTF-8 bytes; the value itself is not reported."""
-    return F.when(is_blank(col), F.lit(f"{name} is required and must not be blank")).when(
+    return F.when(is_blank(col), F.lit(SECRET_MISSING.format(name))).when(
         F.octet_length(F.encode(col, "UTF-8")) < size,
-        F.lit(f"{name} must be at least {size} bytes for HMAC-SHA256 strength"),
+        F.lit(SECRET_SHORT.format(name, size)),
     )
 
 
@@ -93,7 +112,7 @@ def check_fixed(col: Column, expected: int, name: str) -> Column:
     """Absent is fine; a different value cannot take effect and is refused."""
     return F.when(
         col.isNotNull() & (col != expected),
-        F.concat(F.lit(f"{name} is fixed at {expected} and cannot be overridden, got: "), col.cast("string")),
+        F.concat(F.lit(FIXED_VALUE.format(name, expected)), col.cast("string")),
     )
 
 
@@ -105,7 +124,7 @@ def check_path_safe(key: Column) -> Column:
         lambda acc, part: _step(acc, part),
     )
     bad = key.startswith("/") | (depth.getField("low") < 0)
-    return F.when(bad, F.concat(F.lit("Illegal storage key (path traversal): "), key))
+    return F.when(bad, F.concat(F.lit(UNSAFE_KEY), key))
 
 
 def _step(acc: Column, part: Column) -> Column:
@@ -127,50 +146,19 @@ def check_upload(
     reasons = [
         F.when(
             file_name.isNull() | ~F.lower(file_name).endswith(".jar"),
-            F.concat(
-                F.lit("File must have .jar extension; received: "),
-                F.coalesce(file_name, F.lit("null")),
-            ),
-        ),
-        F.when(
-            F.coalesce(F.octet_length(content), F.lit(0)) == 0,
-            F.lit("File is empty — cannot read magic bytes"),
-        ),
-        F.when(
-            head != F.lit(ZIP_MAGIC),
-            F.concat(
-                F.lit(
-                    "File is not a valid JAR — missing ZIP/PK magic bytes."
-                    " Expected 0x504B0304, got: "
-                ),
-                F.lower(F.hex(head)),
-            ),
+            F.concat(F.lit(WRONG_EXTENSION), F.coalesce(file_name, F.lit("null"))),
         ),
-        F.when(is_blank(class_name), F.lit("mainClassName must not be blank")),
+        F.when(F.coalesce(F.octet_length(content), F.lit(0)) == 0, F.lit(EMPTY_FILE)),
+        F.when(head != F.lit(ZIP_MAGIC), F.concat(F.lit(WRONG_MAGIC), F.lower(F.hex(head)))),
+        F.when(is_blank(class_name), F.lit(CLASS_MISSING)),
         F.when(
-            ~class_name.rlike(_whole(QUALIFIED_CLASS)),
-            F.concat(
-                F.lit(
-                    "mainClassName must be a fully-qualified Java class name"
-                    " (e.g. com.example.MyClass): "
-                ),
-                class_name,
-            ),
+            ~class_name.rlike(_whole(QUALIFIED_CLASS)), F.concat(F.lit(CLASS_INVALID), class_name)
         ),
     ]
     for part in (job_name, version):
-        reasons.append(F.when(is_blank(part), F.lit("Job name and version must not be blank")))
+        reasons.append(F.when(is_blank(part), F.lit(NAME_MISSING)))
         reasons.append(
-            F.when(
-                ~part.rlike(_whole(SAFE_NAME)),
-                F.concat(
-                    F.lit(
-                        "Job name and version must contain only alphanumeric, dot, dash,"
-                        " or underscore: "
-                    ),
-                    part,
-                ),
-            )
+            F.when(~part.rlike(_whole(SAFE_NAME)), F.concat(F.lit(NAME_UNSAFE), part))
         )
     return F.coalesce(*reasons)
 

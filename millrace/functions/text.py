@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,20 +14,33 @@ TICKET_TIME_FORMAT = "yyyy-MM-dd HH:mm"
 # Fixed value: characters kept of a stored failure message.
 MESSAGE_LENGTH = 2048
 
-# White space as a JVM string's isBlank() sees it: Unicode separators without the no-break ones.
-_BLANK = r"^[\s\x1c-\x1f\p{Zs}\p{Zl}\p{Zp}&&[^\u00A0\u2007\u202F]]*$"
-# What a JVM string's trim() removes: everything up to and including U+0020.
-_EDGES = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# White space as a JVM string's isBlank() sees it (control characters and Unicode
+# separators without the no-break ones), and what its trim() removes (all up to U+0020).
+BLANKS = "".join(
+    chr(code)
+    for code in [
+        *range(0x09, 0x0E),
+        *range(0x1C, 0x21),
+        0x1680,
+        *range(0x2000, 0x2007),
+        *range(0x2008, 0x200B),
+        0x2028,
+        0x2029,
+        0x205F,
+        0x3000,
+    ]
+)
+EDGES = "".join(chr(code) for code in range(0x21))
 
 
 def is_blank(col: Column) -> Column:
     """True for NULL, empty or white-space-only text."""
-    return col.isNull() | col.rlike(_BLANK)
+    return col.isNull() | (F.btrim(col, F.lit(BLANKS)) == "")
 
 
 def strip_edges(col: Column) -> Column:
     """Drop control characters and spaces at both ends."""
-    return F.regexp_replace(col, _EDGES, "")
+    return F.btrim(col, F.lit(EDGES))
 
 
 def none_if_blank(col: Column) -> Column:
@@ -106,6 +121,17 @@ def ticket_fields(df: DataFrame) -> DataFrame:
     )
 
 
+def fill(template: str, values: dict[str, Column]) -> Column:
+    """The template with its ``{name}`` fields replaced by columns."""
+    parts = []
+    for literal, name, _, _ in Formatter().parse(template):
+        if literal:
+            parts.append(F.lit(literal))
+        if name is not None:
+            parts.append(values[name].cast("string"))
+    return F.concat(*parts)
+
+
 def truncate_message(col: Column, length: int = MESSAGE_LENGTH) -> Column:
     """At most ``length`` characters; NULL stays NULL."""
     return F.substring(col, 1, length)

@@ -7,12 +7,17 @@ import hashlib
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from millrace.functions.text import fill
+
 # HMAC block size and pads (RFC 2104), and the shortest secret accepted.
 BLOCK_BYTES = 64
 INNER_PAD = 0x36
 OUTER_PAD = 0x5C
 MIN_SECRET_BYTES = 32
 
+# Fixed value: the reason reported for changed content.
+MISMATCH = "Checksum mismatch: stored={stored} actual={actual}"
+
 
 def check_secret(secret: str | None) -> bytes:
     """The secret's bytes; blank or too short a secret is refused. The text is never reported."""
@@ -66,12 +71,8 @@ def checksum(content: Column) -> Column:
 def verify_checksum(stored: Column, content: Column) -> Column:
     """NULL when stored and actual checksum agree, otherwise the reason."""
     actual = checksum(content)
-    return F.when(
-        ~stored.eqNullSafe(actual),
-        F.concat(
-            F.lit("Checksum mismatch: stored="),
-            F.coalesce(stored, F.lit("null")),
-            F.lit(" actual="),
-            F.coalesce(actual, F.lit("null")),
-        ),
-    )
+    values = {
+        "stored": F.coalesce(stored, F.lit("null")),
+        "actual": F.coalesce(actual, F.lit("null")),
+    }
+    return F.when(~stored.eqNullSafe(actual), fill(MISMATCH, values))

@@ -16,6 +16,10 @@ from millrace.operators.ordering import (
     running_total,
 )
 
+# Where a merged definition came from, and its states.
+BUILT_IN, UPLOADED = "CLASSPATH", "UPLOADED"
+ACTIVE, LOADED, ENABLED, DISABLED = "ACTIVE", "LOADED", "ENABLED", "DISABLED"
+
 
 def count_and_total(lines: DataFrame, amount: str = "amount") -> DataFrame:
     """All lines counted, present amounts summed."""
@@ -213,16 +217,16 @@ def union_with_precedence(first: DataFrame, second: DataFrame, key: str = "job_n
 
     Columns the second source lacks are NULL; ``source`` and ``status`` tell where a row came from.
     """
-    active = first.withColumns({"source": F.lit("CLASSPATH"), "status": F.lit("ACTIVE")})
+    active = first.withColumns({"source": F.lit(BUILT_IN), "status": F.lit(ACTIVE)})
     status = (
-        F.when(F.upper("load_status") == "LOADED", "LOADED")
-        .when(F.col("enabled"), "ENABLED")
-        .otherwise("DISABLED")
+        F.when(F.upper("load_status") == LOADED, LOADED)
+        .when(F.col("enabled"), ENABLED)
+        .otherwise(DISABLED)
     )
     uploaded = (
         second.filter("enabled")
         .join(first.select(key), key, "left_anti")
-        .withColumns({"source": F.lit("UPLOADED"), "status": status})
+        .withColumns({"source": F.lit(UPLOADED), "status": status})
         .drop("enabled", "load_status")
     )
     return active.unionByName(uploaded, allowMissingColumns=True)

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.money import rate_exact, rate_or_null
-from millrace.functions.text import payload_item
+from millrace.functions.text import fill, payload_item
 from millrace.operators.ordering import (
     ROWS_PER_BUCKET,
     Bounds,
@@ -25,12 +25,19 @@ from millrace.operators.ordering import (
     running_total,
 )
 
-# Exception names and messages as they appear in stored records.
+# Exception names as they appear in stored records.
 POISON_CLASS = "PoisonItemException"
 TRANSIENT_CLASS = "TransientProcessingException"
 ABORT_CLASS = "AbortJobException"
 KNOWN_CLASSES = [POISON_CLASS, TRANSIENT_CLASS, ABORT_CLASS]
 
+# Messages as they appear in stored records, around the id of the row.
+POISON_MESSAGE = "Poison item detected for harvest_source.id={id}"
+TRANSIENT_MESSAGE = (
+    "Transient failure for harvest_source.id={id} retryCount={retries} threshold={threshold}"
+)
+ABORT_MESSAGE = "Abort triggered by harvest_source.id={id} (abort_flag=TRUE)"
+
 # Settings of the fault-tolerant job.
 CHUNK_SIZE = 5
 SKIP_LIMIT = 5
@@ -97,32 +104,21 @@ def failing_rows(df: DataFrame, retry_limit: int = RETRY_LIMIT) -> DataFrame:
 
 def describe_failure(df: DataFrame, retry_limit: int = RETRY_LIMIT) -> DataFrame:
     """Adds phase, exception class and message of failed rows; NULL for good ones."""
-    id_ = F.col("id").cast("string")
     outcome = F.col("outcome")
+    values = {
+        "id": F.col("id"),
+        "retries": F.lit(retry_limit - 1),
+        "threshold": F.col("transient_fail_until_attempt"),
+    }
     return df.withColumns(
         {
             "phase": F.when(outcome != OK, "PROCESS"),
             "exception_class": F.when(outcome == SKIP, POISON_CLASS)
             .when(outcome == EXHAUSTED, TRANSIENT_CLASS)
             .when(outcome == ABORT, ABORT_CLASS),
-            "exception_msg": F.when(
-                outcome == SKIP, F.concat(F.lit("Poison item detected for harvest_source.id="), id_)
-            )
-            .when(
-                outcome == EXHAUSTED,
-                F.concat(
-                    F.lit("Transient failure for harvest_source.id="),
-                    id_,
-                    F.lit(f" retryCount={retry_limit - 1} threshold="),
-                    F.col("transient_fail_until_attempt").cast("string"),
-                ),
-            )
-            .when(
-                outcome == ABORT,
-                F.concat(
-                    F.lit("Abort triggered by harvest_source.id="), id_, F.lit(" (abort_flag=TRUE)")
-                ),
-            ),
+            "exception_msg": F.when(outcome == SKIP, fill(POISON_MESSAGE, values))
+            .when(outcome == EXHAUSTED, fill(TRANSIENT_MESSAGE, values))
+            .when(outcome == ABORT, fill(ABORT_MESSAGE, values)),
             "cause_class": F.lit(None).cast("string"),
             "cause_msg": F.lit(None).cast("string"),
         }

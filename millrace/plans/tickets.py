@@ -9,6 +9,7 @@ from millrace.functions.checks import check_min_bytes, check_optional_long, unpr
 from millrace.functions.text import ticket_fields, ticket_file_name
 from millrace.functions.tokens import checksum, sign_token
 from millrace.operators.sinks import (
+    append_to,
     insert_if_absent_into,
     read_table,
     write_expecting,
@@ -44,6 +45,7 @@ def ticket_documents(tickets: DataFrame, secret: str, event_id: str | None = Non
 
 
 def registry_rows(documents: DataFrame, output_dir: str) -> DataFrame:
+    """Registry rows with the document beside them; readers of the registry do not touch that column."""
     return documents.select(
         "ticket_id",
         "event_id",
@@ -51,6 +53,7 @@ def registry_rows(documents: DataFrame, output_dir: str) -> DataFrame:
         F.concat(F.lit(f"{output_dir}/"), F.col("file_name")).alias("storage_path"),
         "checksum_sha256",
         "file_size_bytes",
+        "document",
     )
 
 
@@ -59,7 +62,7 @@ def run_tickets(
 ) -> tuple[DataFrame, DataFrame]:
     """Sign and register the open tickets; returns ``(registry, marks)``.
 
-    The documents and their registry rows are stored together, keyed by ticket, then the marks. A
+    The documents and their registry rows are stored in one write, keyed by ticket, then the marks. A
     ticket without a mark whose row is stored already only gets its mark: a run that broke between
     the two writes is completed by the next one.
     """
@@ -72,7 +75,7 @@ def run_tickets(
     rows = registry_rows(ticket_documents(open_, secret, event_id), f"{root}/tickets")
     fresh = rows.join(registry.select("ticket_id"), "ticket_id", "left_anti")
     checked = write_expecting(fresh, tickets, registry, "ticket_id", "id")
-    checked.select(*registry.columns).write.mode("append").parquet(files_path)
+    append_to(checked, files_path)
 
     stored = read_table(spark, files_path, GENERATED_FILES)
     done = unprocessed(open_, event_id).select("id").join(

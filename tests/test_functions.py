@@ -186,6 +186,21 @@ def test_payment_files(spark, tmp_path):
         payment_summary(spark, str(tmp_path / "bad")).collect()
 
 
+def test_header_is_dropped_once_when_a_file_is_split(spark, tmp_path):
+    write_lines(tmp_path / "in", "a.csv", ["h,h,h", *[f"k{i},a,{i}.5,x" for i in range(2000)]])
+    write_lines(tmp_path / "in", "b.csv", ["h,h,h"])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        lines = files.scan_lines(spark, str(tmp_path / "in"))
+        assert lines.rdd.getNumPartitions() > 5
+        assert lines.count() == 2000
+        total = files.scan_lenient_lines(lines).agg(F.sum("amount")).first()[0]
+        assert float(total) == sum(i + 0.5 for i in range(2000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_files_and_missing_ones(spark, tmp_path):
     (tmp_path / "x.pdf").write_bytes(b"abc")
     found = files.scan_files(spark, str(tmp_path), "*.pdf")

@@ -44,6 +44,13 @@ def test_all_tickets_of_an_event(spark):
     assert sorted(r["id"] for r in marks.collect()) == [1, 2, 3]
     registry, marks = tickets.run_tickets(sold, root, SECRET, 2)
     assert registry.count() == 3 and marks.count() == 3
+    for row in spark.read.parquet(f"{root}/generated_files").collect():
+        content = row["document"].encode()
+        assert row["checksum_sha256"] == hashlib.sha256(content).hexdigest()
+        assert row["file_size_bytes"] == len(content)
+        lines = row["document"].split("\n")
+        assert lines[2:5] == ["—", "—", "2024-09-15 09:00"]
+        assert lines[6].startswith(f"{row['ticket_id']}|C-{row['ticket_id']}.")
 
 
 def test_event_filter_and_empty_event(spark):

@@ -74,17 +74,34 @@ def window_hashes(sums: np.ndarray, width: int) -> np.ndarray:
     return mix((sums[width:] - sums[:n]) * down[:n])
 
 
-def word_bounds(data: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of every run of bytes that are not ``space``."""
+def words_of(data: np.ndarray, bounds: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every run of bytes that are not ``space``, cut at the texts' ``bounds``, and for each text the
+    number of words before it."""
     if not len(data):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(len(bounds), np.int64)
     word = ~space[data]
-    edge = np.flatnonzero(word[1:] != word[:-1]) + 1
-    if word[0]:
-        edge = np.concatenate(([0], edge))
-    if word[-1]:
-        edge = np.concatenate((edge, [len(data)]))
-    return edge[::2], edge[1::2]
+    first, last = word.copy(), word.copy()
+    first[1:] &= ~word[:-1]
+    last[:-1] &= ~word[1:]
+    edges = bounds[(bounds > 0) & (bounds < len(data))]
+    first[edges] = word[edges]
+    last[edges - 1] = word[edges - 1]
+    starts = np.flatnonzero(first)
+    return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, bounds)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, step: int = 1 << 19) -> np.ndarray:
+    """Hashes of the words, read in steps of about ``step`` bytes."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        stop = max(at + 1, int(np.searchsorted(ends, starts[at] + step, side="right")))
+        low = starts[at]
+        sums = prefix_sums(data[low : ends[stop - 1]])
+        out[at:stop] = slice_hashes(sums, starts[at:stop] - low, ends[at:stop] - low)
+        at = stop
+    return out
 
 
 def chain(hashes: np.ndarray, k: int) -> np.ndarray:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import suffixes
+from millrace.llm import jaccard, language, lm, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +23,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles have a Jaccard similarity of 0.85 or more."""
+    found = jaccard.Similar(table(spark, sf_dir, "documents"), words=4, percent=85).documents()
+    return found.selectExpr("id as doc_id", "n as n_shingles", "component as component_id")
+
+
+def not_remainder(divisor: int, remainder: int) -> Column:
+    """Rows whose crc32 of the id as text leaves another remainder; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string")) % divisor != remainder
+
+
+@query
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document by a suffix tree and by word counts, learnt from four fifths of them."""
+    return lm.scores(table(spark, sf_dir, "documents"), not_remainder(5, 1))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    trains = F.coalesce(not_remainder(4, 2), F.lit(True))
+    found = language.identify(docs.select("doc_id", "text", "lang", trains.alias("trains")), F.col("trains"))
+    return found.select("doc_id", (~F.col("trains")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 @query
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that repeat 50 bytes or more of a document with a smaller id."""

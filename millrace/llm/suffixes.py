@@ -13,6 +13,10 @@ of a window meet in the bucket of its minimiser and no other place has to be loo
    prefixes are carried along: after ``width`` rounds they are the intervals of suffixes whose common prefix is
    ``width`` or longer, and the smallest document of an interval tells which windows repeat.
 
+3. A minimiser with very many strings in a chunk (the edge of a passage that many documents share) is *hot*. The
+   chunk sends one mark for it, and wherever strings meet a mark, their windows are compared by hash, each in the
+   bucket of its own hash, so that the windows of one minimiser do not meet in one task.
+
 Nothing depends on the number of copies: a chunk sends a string once, and a string is in the transforms once for
 each chunk that holds it in its smallest document.
 
@@ -94,6 +98,11 @@ class Strings:
         self.first = order[new]
         self.of = np.empty(len(order), np.int64)
         self.of[order] = np.cumsum(new) - 1
+        # Hot minimisers: one mark is sent for all their strings.
+        key = self.key[self.first]
+        _, at, strings = np.unique(key, return_index=True, return_counts=True)
+        self.hot = np.repeat(strings > HOT, strings)
+        self.marks = at[strings > HOT]
 
     def _step(self, at: int, stop: int, anchor: int) -> tuple[np.ndarray, ...]:
         sums = H.prefix_sums(self.data[at:stop])
@@ -131,6 +140,19 @@ class Strings:
             H.slice_hashes(sums, start, end + self.width - 1),
         )
 
+    def asked(self) -> np.ndarray:
+        """The distinct strings (or marks) that are sent."""
+        send = ~self.hot
+        send[self.marks] = True
+        return np.flatnonzero(send)
+
+    def kinds(self, answers: np.ndarray) -> np.ndarray:
+        """The classes of the distinct strings."""
+        out = np.full(len(self.first), SPLIT, np.uint8)
+        cold = self.asked()
+        out[cold[~self.hot[cold]]] = answers[~self.hot[cold]]
+        return out
+
     def bytes_of(self, i: int) -> bytes:
         return self.data[self.start[i] : self.start[i] + self.runs[i] + self.width - 1].tobytes()
 
@@ -204,8 +226,10 @@ def repeated(bwts: list[np.ndarray], runs: np.ndarray, docs: np.ndarray, width:
 #: Strings in one transform, and bits of a row's number for the transforms of a chunk in a bucket.
 SHARD = 4096
 SHARD_BITS = 10
-#: A bucket with more than so many times the mean number of entries is split.
-HOT = 8
+#: A minimiser with more strings than this in one chunk is hot.
+HOT = 32
+#: Stands for all strings of a hot minimiser.
+MARK = 0
 
 
 def shard_order(s: Strings, pick: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, list[bytes]]]:
@@ -274,71 +298,16 @@ def classes(columns: list[np.ndarray]) -> list[np.ndarray]:
     least = doc[new]
     of_key = np.flatnonzero(new_key[new])
     several = np.minimum.reduceat(least, of_key) < np.maximum.reduceat(least, of_key)
-    own = np.where(several[np.cumsum(new_key) - 1], OPEN, ALONE)
+    hot = np.logical_or.reduceat(name[new] == MARK, of_key)
+    own = np.where(hot, SPLIT, np.where(several, OPEN, ALONE))[np.cumsum(new_key) - 1]
     out = np.empty(len(key), np.uint8)
     out[order] = np.where(doc > least[np.cumsum(new) - 1], LATER, own)
     return [out]
 
 
-def split_classes(columns: list[np.ndarray]) -> list[np.ndarray]:
-    """As ``classes`` for a part of a hot bucket, in which the strings of a key are not together."""
-    (out,) = classes(columns)
-    return [np.where(out == LATER, LATER, SPLIT).astype(np.uint8)]
-
-
 KINDS = [np.uint32, np.uint64, np.int64]
 
 
-def hot_parts(requests: DataFrame, mean: float) -> tuple[DataFrame, DataFrame]:
-    """Requests of normal buckets, and those of hot ones cut by name so that a part has about ``mean`` entries.
-
-    A part carries the places of its entries, so that its answer can be put in order again."""
-    totals = requests.groupBy("bucket").agg(F.sum("n").alias("total")).where(F.col("total") > HOT * mean)
-    hot = requests.join(totals, "bucket").withColumn("parts", F.ceil(F.col("total") / mean).cast("int"))
-
-    def cut(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                key, name, doc = columns_of(row["entries"], row["n"], KINDS)
-                part = (H.mix(name) % np.uint64(row["parts"])).astype(np.int64)
-                for p in np.unique(part):
-                    at = np.flatnonzero(part == p)
-                    blob = b"".join((key[at].tobytes(), name[at].tobytes(), doc[at].tobytes(), at.astype(np.uint32).tobytes()))
-                    yield pa.RecordBatch.from_pylist(
-                        [{"chunk": row["chunk"], "bucket": row["bucket"], "part": int(p), "n": len(at), "entries": blob}],
-                        pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("part", pa.int32()), ("n", pa.int64()), ("entries", pa.binary())]),
-                    )
-
-    def answer(rows: pa.Table) -> pa.Table:
-        n = rows.column("n").to_numpy()
-        blobs = [e.as_py() for e in rows.column("entries")]
-        columns = [
-            np.concatenate([np.frombuffer(b, kind, k, at * k) for b, k in zip(blobs, n)])
-            for kind, at in ((np.uint32, 0), (np.uint64, 4), (np.int64, 12))
-        ]
-        (out,) = split_classes(columns)
-        ends = np.cumsum(n)
-        entries = [out[e - k : e].tobytes() + b[20 * k :] for e, k, b in zip(ends, n, blobs)]
-        return pa.table({"chunk": rows.column("chunk"), "bucket": rows.column("bucket"), "entries": pa.array(entries, pa.binary())})
-
-    def together(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                out = np.empty(sum(len(b) // 5 for b in row["lists"]), np.uint8)
-                for blob in row["lists"]:
-                    k = len(blob) // 5
-                    out[np.frombuffer(blob, np.uint32, k, k)] = np.frombuffer(blob, np.uint8, k)
-                yield pa.RecordBatch.from_pylist(
-                    [{"chunk": row["chunk"], "bucket": row["bucket"], "entries": pack(out.tobytes())}],
-                    pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("entries", pa.binary())]),
-                )
-
-    parts = hot.mapInArrow(cut, "chunk long, bucket int, part int, n long, entries binary")
-    answers = parts.groupBy("bucket", "part").applyInArrow(answer, ANSWER)
-    lists = answers.groupBy("chunk", "bucket").agg(F.collect_list("entries").alias("lists"))
-    return requests.join(totals, "bucket", "left_anti"), lists.mapInArrow(together, ANSWER)
-
-
 def windows_of(s: Strings, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The windows of the strings ``pick``: sorted distinct hashes, smallest document, and which one each window is;
     the windows are numbered string by string."""
@@ -406,33 +375,28 @@ def marks(docs: DataFrame, emit, schema, id_column: str, text: str, width: int)
 
     def keys(chunk: int, rows: pa.Table) -> Iterator[pa.RecordBatch]:
         s = strings(rows)
-        f = s.first
-        yield from sent(chunk, s.key[f], [s.key[f].astype(np.uint32), s.name[f], s.ids[s.doc[f]]], buckets)
+        asked = s.asked()
+        f = s.first[asked]
+        name = np.where(s.hot[asked], np.uint64(MARK), s.name[f])
+        yield from sent(chunk, s.key[f], [s.key[f].astype(np.uint32), name, s.ids[s.doc[f]]], buckets)
 
-    requests = stored(chunks.map(keys, SENT), "strings")
-    mean = max((requests.agg(F.sum("n")).first()[0] or 0) / buckets, 1 << 16)
-    normal, split = hot_parts(requests, mean)
-    kinds = stored(exchanged(normal, KINDS, classes).unionByName(split), "classes")
+    kinds = stored(exchanged(chunks.map(keys, SENT), KINDS, classes), "classes")
 
     def open_strings(chunk: int, rows: pa.Table, got: list[bytes]) -> Iterator[pa.RecordBatch]:
-        kind = answered(got, np.uint8)
-        if (kind == OPEN).any():
-            s = strings(rows)
-            yield from shards(chunk, s, s.first[kind == OPEN], buckets)
+        s = strings(rows)
+        yield from shards(chunk, s, s.first[s.kinds(answered(got, np.uint8)) == OPEN], buckets)
 
     def split_windows(chunk: int, rows: pa.Table, got: list[bytes]) -> Iterator[pa.RecordBatch]:
-        kind = answered(got, np.uint8)
-        if (kind == SPLIT).any():
-            s = strings(rows)
-            key, doc, _, _ = windows_of(s, s.first[kind == SPLIT])
-            yield from sent(chunk, key, [key, doc], buckets)
+        s = strings(rows)
+        key, doc, _, _ = windows_of(s, s.first[s.kinds(answered(got, np.uint8)) == SPLIT])
+        yield from sent(chunk, key, [key, doc], buckets)
 
     bits = merged(chunks.map_with([kinds], open_strings, SENT), width)
     windows = exchanged(chunks.map_with([kinds], split_windows, SENT), [np.uint64, np.int64], later)
 
     def out(chunk: int, rows: pa.Table, kinds: list[bytes], bits: list[bytes], windows: list[bytes]) -> Iterator[pa.RecordBatch]:
         s = strings(rows)
-        kind = answered(kinds, np.uint8)
+        kind = s.kinds(answered(kinds, np.uint8))
         own = in_order(s, s.first[kind == OPEN], buckets, bits)
         yield from emit(rows, s, removed(s, kind, own, answered(windows, bool)))
 

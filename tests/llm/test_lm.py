@@ -1,0 +1,68 @@
+"""The suffix tree and the unigram baseline against plain counts."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import lm
+
+SCHEMA = "doc_id long, text string, chunk string, bucket int, rows string"
+
+
+def words(text):
+    return re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+
+
+def brute(rows):
+    train = [zlib.crc32(str(i).encode()) % 5 != 1 if i is not None else True for i, *_ in rows]
+    texts = [[*words(t), None] for _, t, *_ in rows]
+    count = Counter(w for ws, t in zip(texts, train) if t for w in ws)
+    n, v = sum(count.values()), len(count)
+    grams = Counter()
+    streams = [lm.START * lm.DEPTH + b" ".join(ws[:-1]) + lm.END for ws in texts]
+    for s, t in zip(streams, train):
+        for i in range(lm.DEPTH, len(s)):
+            for d in range(lm.DEPTH + 1):
+                grams[s[i - d : i], s[i]] += t
+    after = {}
+    for (context, symbol), c in grams.items():
+        if c:
+            after.setdefault(context, {})[symbol] = c
+
+    def p(context, symbol):
+        below = p(context[1:], symbol) if context else (1 / 256, True)
+        own = after.get(context, {})
+        total, k = sum(own.values()), len(own)
+        gain = sum(c * (math.log2(c / total) - math.log2(p(context[1:], s)[0])) for s, c in own.items()) if context else 1e9
+        if not below[1] or not k or gain <= k * math.log2(total) / 2:
+            return below[0], False
+        return (own.get(symbol, 0) + k * below[0]) / (total + k), True
+
+    out = []
+    for (i, *_), t, ws, s in zip(rows, train, texts, streams):
+        base = sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws)
+        model = sum(math.log10(p(s[j - lm.DEPTH : j], s[j])[0]) for j in range(lm.DEPTH, len(s)))
+        out.append((i, not t, len(ws), sum(count[w] > 0 for w in ws), n, base, model))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("n", [40, 0])
+def test_scores(spark, n):
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcé") for _ in range(rng.randint(1, 4))) for _ in range(30)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(0, 40))).upper()[::-1], "x", i, "y") for i in range(n)]
+    if n:
+        rows += [(3, None, "", 0, ""), (4, "", None, None, None), (None, "x\x0by\r\nz\x00", "", 0, ""), rows[5]]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = lm.scores(df, F.crc32(F.col("doc_id").cast("string")) % 5 != 1)
+    assert [t for _, t in got.dtypes] == ["bigint", "boolean", "bigint", "bigint", "bigint", "double", "double"]
+    got = sorted(map(tuple, got.collect()), key=repr)
+    want = brute(rows)
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    for a, b in zip(got, want):
+        assert a[5:] == pytest.approx(b[5:], rel=1e-5)

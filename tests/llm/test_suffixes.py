@@ -49,12 +49,11 @@ def made(seed, n=60):
     return rows
 
 
-@pytest.mark.parametrize("seed, hot", [(1, None), (2, None), (3, 0.0)])
+@pytest.mark.parametrize("seed, hot", [(1, None), (2, 0), (3, 1), (4, 2)])
 def test_digest(spark, monkeypatch, seed, hot):
     monkeypatch.setattr(S.Strings, "STEP", 300)
-    if hot is not None:  # every bucket is split
+    if hot is not None:
         monkeypatch.setattr(S, "HOT", hot)
-        monkeypatch.setattr(S, "hot_parts", lambda r, mean, f=S.hot_parts: f(r, 4))
     rows = made(seed)
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     got = sorted(map(tuple, S.repeat_digest(df, width=30).collect()), key=repr)

@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import jaccard, language, lm, suffixes
+from millrace.llm import chat, decontaminate, jaccard, language, licenses, lm, pieces, quality, shards, suffixes
+from millrace.session import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
+#: Where the vocabulary files are; only the driver reads them.
+TOKENIZERS = "/opt/tokenizers"
+# Fixed value: the pattern that belongs to the byte-level vocabularies.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Key of the training order and seed of the sampled segmentations.
+ORDER_KEY = 20240601
+SEED = 7
+
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
@@ -23,6 +32,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def not_remainder(divisor: int, remainder: int) -> Column:
+    """Rows whose crc32 of the id as text leaves another remainder; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string")) % divisor != remainder
+
+
+def bytepairs() -> shards.Bytepairs:
+    return shards.Bytepairs.read(f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken", PATTERN)
+
+
+def sentence_pieces() -> pieces.Vocabulary:
+    return pieces.Vocabulary.read(f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+@query
+def op1_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as binary shards in training order, read back: one row per sequence with its place and documents."""
+    return shards.summary(table(spark, sf_dir, "documents"), scratch(spark, "shards"), bytepairs(), key=ORDER_KEY)
+
+
 @query
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 4-word shingles have a Jaccard similarity of 0.85 or more."""
@@ -30,9 +58,38 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("id as doc_id", "n as n_shingles", "component as component_id")
 
 
-def not_remainder(divisor: int, remainder: int) -> Column:
-    """Rows whose crc32 of the id as text leaves another remainder; null for a null id."""
-    return F.crc32(F.col("doc_id").cast("string")) % divisor != remainder
+@query
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled pieces of every document, decoded again: the decoded text's digest is the text's."""
+    vocabulary = sentence_pieces()
+    encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, seed=SEED)
+    slim = encoded.select("doc_id", F.octet_length("text").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"), "pieces")
+    return pieces.decode(slim, vocabulary).select(
+        "doc_id",
+        F.col("n_bytes").cast("long").alias("n_bytes"),
+        F.size("pieces").cast("long").alias("n_pieces"),
+        F.xxhash64("pieces").alias("pieces_hash"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.sha2("decoded", 256) == F.col("text_sha256")).alias("lossless"),
+    )
+
+
+@query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item or an edited copy of one, with the alignment's score."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, distances to the language references and verdict of every document."""
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return licenses.scanned(table(spark, sf_dir, "documents"))
 
 
 @query
@@ -54,3 +111,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that repeat 50 bytes or more of a document with a smaller id."""
     return suffixes.repeat_digest(table(spark, sf_dir, "documents"), width=50)
+
+
+@query
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that is full of control strings, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], rows.schema)
+    return chat.digest(rows.unionByName(more))

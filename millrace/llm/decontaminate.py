@@ -2,11 +2,12 @@
 
 Words are runs of ASCII letters and digits and of non-ASCII characters, lower-cased (A-Z). The test items' word
 n-grams are looked up in every document in one pass; around each place where one stands the document's words that
-could align with the item are kept (overlapping places are one), so no text has to be read again. Of an item's
-n-grams those that stand in the corpus no more often than its middle one does are its rare seeds; places without
-one are dropped. The others are aligned with the item word by word (match 2, mismatch -1, gap -1), many at once. The
-score is the best local alignment as a share of what the whole item would reach, so replaced, left out and put in
-words lower it a little and chance matches of frequent words hardly count.
+could align with the item are kept (overlapping places are one), so no text has to be read again. The same pass counts
+the items' words. An n-gram is a rare seed if the frequencies of its words let one expect it less than ``RARE`` times
+in a million words, or if it is among the rarer half of its item's; so a test item that was copied very often does not
+become common by that. Places without a rare seed are dropped, the others are aligned with the item word by word
+(match 2, mismatch -1, gap -1), many at once. The score is the best local alignment as a share of what the whole item
+would reach, so replaced, left out and put in words lower it a little and chance matches hardly count.
 
 The items' n-grams are sent to the tasks in slices of at most ``SLICE_WORDS`` words; a larger benchmark takes one pass
 over the documents for each slice. Everything else is spread over the documents.
@@ -34,7 +35,9 @@ SEED = 3
 #: Words of test items that are sent to the tasks at once.
 SLICE_WORDS = 2_000_000
 #: Score from which a document counts as contaminated.
-LEAST = 0.5
+LEAST = 0.4
+#: Expected places in a million words up to which an n-gram is rare.
+RARE = 0.05
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Bytes of text worked on at once, and cells of alignments.
 STEP = 2 << 20
@@ -77,9 +80,17 @@ class Items:
         self.gram, self.item, self.place = chains[real][order], item[real][order], place[real][order]
         self.distinct, self.begin = np.unique(self.gram, return_index=True)
         self.stop = np.append(self.begin[1:], len(self.gram))
+        self.vocabulary, self.word = np.unique(self.words, return_inverse=True)
         self.table = np.zeros(1 << 22, bool)
         self.table[(self.distinct >> np.uint64(42)).astype(np.int64)] = True
 
+    def expected(self, counts: np.ndarray, total: int) -> np.ndarray:
+        """Of each n-gram, by the frequencies of its words: places in a million words."""
+        share = np.log(np.maximum(counts, 1) / max(total, 1))[self.word]
+        sums = np.concatenate(([0.0], np.cumsum(share)))
+        start = self.first[self.item] + self.place
+        return 1e6 * np.exp(sums[np.minimum(start + SEED, self.first[self.item + 1])] - sums[start])
+
     def hits(self, chains: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in ``chains`` of known n-grams, and the number of each one."""
         at = np.flatnonzero(self.table[(chains >> np.uint64(42)).astype(np.int64)])
@@ -158,6 +169,43 @@ FOUND = "row_id long, row_key long, item int, seeds array<int>, words binary"
 RESULT = "row_id long, row_key long, item_id long, score double, n_seeds int"
 
 
+#: The item of rows that have the counts of item words: all words as row_id, words' numbers as seeds, counts as words.
+COUNTS = -1
+
+
+def counted(items: Items, words: np.ndarray) -> pa.RecordBatch:
+    found, count = np.unique(words, return_counts=True)
+    at = np.minimum(np.searchsorted(items.vocabulary, found), max(len(items.vocabulary) - 1, 0))
+    ok = items.vocabulary[at] == found if len(items.vocabulary) else np.zeros(len(found), bool)
+    return pa.RecordBatch.from_pydict(
+        {
+            "row_id": pa.array([len(words)], pa.int64()),
+            "row_key": pa.array([0], pa.int64()),
+            "item": pa.array([COUNTS], pa.int32()),
+            "seeds": pa.array([at[ok].tolist()], pa.list_(pa.int32())),
+            "words": pa.array([count[ok].astype(np.int64).tobytes()], pa.binary()),
+        }
+    )
+
+
+def rare_seeds(found: DataFrame, items: Items) -> np.ndarray:
+    """Which of the items' n-grams (by place in ``items.gram``) are rare."""
+
+    def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for total, seeds, words in zip(batch.column("row_id"), batch.column("seeds"), batch.column("words")):
+                number = np.append(np.array(seeds.as_py(), np.int64), -1)
+                n = np.append(np.frombuffer(words.as_py(), np.int64), total.as_py())
+                yield pa.RecordBatch.from_pydict({"word": pa.array(number), "n": pa.array(n)})
+
+    rows = found.where(F.col("item") == COUNTS).select("row_id", "seeds", "words").mapInArrow(spread, "word long, n long")
+    # At most one row for each word of the slice.
+    counts = dict(rows.groupBy("word").agg(F.sum("n")).collect())
+    expected = items.expected(np.array([counts.get(i, 0) for i in range(len(items.vocabulary))], np.int64), counts.get(-1, 0))
+    middle = np.array([np.median(expected[items.item == i]) if (items.item == i).any() else 0 for i in range(len(items.ids))])
+    return (expected <= RARE) | (expected <= middle[items.item])
+
+
 def slice_matches(docs: DataFrame, items: Items, least: float) -> DataFrame:
     """Documents (id, key) and items of one slice that match."""
 
@@ -165,6 +213,7 @@ def slice_matches(docs: DataFrame, items: Items, least: float) -> DataFrame:
         for batch in batches:
             for part in pieces(batch, "text", STEP) if batch.num_rows else ():
                 words, first = word_lists(part.column("text"))
+                yield counted(items, words)
                 rows = list(windows(items, words, first))
                 if rows:
                     text = pa.array([r[0] for r in rows], pa.int64())
@@ -179,22 +228,14 @@ def slice_matches(docs: DataFrame, items: Items, least: float) -> DataFrame:
                     )
 
     found = stored(docs.mapInArrow(find, FOUND), "places")
-    # At most one row for each n-gram of the slice.
-    counts = found.select(F.explode("seeds").alias("seed")).groupBy("seed").count().collect()
-    often = np.zeros(len(items.distinct), np.int64)
-    for seed, n in counts:
-        often[seed] = n
-    gram_of = np.searchsorted(items.distinct, items.gram)
-    middle = np.zeros(len(items.ids))
-    for i in np.unique(items.item):
-        middle[i] = np.median(often[gram_of[items.item == i]])
+    rare = set(zip(items.item[at := rare_seeds(found, items)].tolist(), np.searchsorted(items.distinct, items.gram[at]).tolist()))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             item = batch.column("item").to_numpy()
             seeds = batch.column("seeds").to_pylist()
-            rare = np.array([any(often[s] <= middle[i] for s in own) for own, i in zip(seeds, item)], bool)
-            batch = batch.filter(pa.array(rare))
+            good = np.array([any((i, s) in rare for s in own) for own, i in zip(seeds, item.tolist())], bool)
+            batch = batch.filter(pa.array(good))
             if not batch.num_rows:
                 continue
             item = batch.column("item").to_numpy()
@@ -211,7 +252,7 @@ def slice_matches(docs: DataFrame, items: Items, least: float) -> DataFrame:
             )
             yield out.filter(pa.array(scores >= least))
 
-    return found.mapInArrow(score, RESULT)
+    return found.where(F.col("item") != COUNTS).mapInArrow(score, RESULT)
 
 
 def row_key(id_column: str, text: str) -> Column:

@@ -3,8 +3,8 @@
 1. Every document becomes the set of its word shingles' hashes. The chunks exchange their shingles by value and learn
    in how many documents each one stands. A document can be similar to another only if the wanted share of its
    shingles stands elsewhere too; the others are done.
-2. Documents with equal sets are one *class* from here on. Classes are partitioned into groups by their smallest
-   hash; a large group is split. Within a group a matrix of leaders by tokens gives the exact overlap of each class with
+2. Documents with equal sets are one *class* from here on. Classes are partitioned into groups by the smallest hash
+   that they share with any other document (edits' own shingles part no copies); a large group is split. Within a group a matrix of leaders by tokens gives the exact overlap of each class with
    all leaders at once; a class joins the first leader it is similar to, or becomes a leader.
 3. Token-group matrix: a group's token union stands for it. A class needs only look at groups that share one of its
    rarest tokens (so few that no similar set can avoid them all), and a group is opened only if the overlap with its
@@ -70,7 +70,7 @@ def all_tokens(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
 
 
-SETS = "row long, id long, n long, name binary, tokens binary, rare binary"
+SETS = "row long, id long, n long, name binary, tokens binary, rare binary, token binary"
 
 
 def candidates(chunks: Chunks, id_column: str, text: str, words: int, percent: int) -> DataFrame:
@@ -85,17 +85,18 @@ def candidates(chunks: Chunks, id_column: str, text: str, words: int, percent: i
         found = shingle_sets(rows, text, words)
         common = answered(got, np.uint8)
         tokens, _ = all_tokens(found)
-        names, full, rare = [], [], []
+        names, full, rare, least = [], [], [], []
         for own in found:
             degree = common[np.searchsorted(tokens, own)]
             need = needed(len(own), percent)
             if not len(own) or np.count_nonzero(degree) < need:
-                names.append(None), full.append(None), rare.append(None)
+                names.append(None), full.append(None), rare.append(None), least.append(None)
                 continue
             order = np.lexsort((own, degree))[: len(own) - need + 1]
             names.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
             full.append(own.tobytes())
             rare.append(own[order[degree[order] > 0]].tobytes())
+            least.append(own[degree > 0][:1].tobytes())
         yield pa.RecordBatch.from_pydict(
             {
                 "row": pa.array(row_ids(chunk, len(found))),
@@ -104,6 +105,7 @@ def candidates(chunks: Chunks, id_column: str, text: str, words: int, percent: i
                 "name": pa.array(names, pa.binary()),
                 "tokens": pa.array(full, pa.binary()),
                 "rare": pa.array(rare, pa.binary()),
+                "token": pa.array(least, pa.binary()),
             }
         )
 
@@ -148,11 +150,10 @@ class Matrix:
 
 def grouped(classes: DataFrame, percent: int) -> DataFrame:
     """``classes`` with their group (``token``, ``part``) and the leader each one is similar to."""
-    keyed = classes.withColumn("token", F.substring("tokens", 1, 8))
-    parts = keyed.groupBy("token").agg(
+    parts = classes.groupBy("token").agg(
         F.greatest(F.ceil(F.count("*") / GROUP_CLASSES), F.ceil(F.sum("n") / GROUP_TOKENS)).alias("parts")
     )
-    keyed = keyed.join(parts, "token").withColumn("part", F.pmod(F.xxhash64("row"), "parts")).drop("parts")
+    keyed = classes.join(parts, "token").withColumn("part", F.pmod(F.xxhash64("row"), "parts")).drop("parts")
 
     def lead(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("row")

@@ -24,8 +24,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm import hashing as H
 from millrace.llm.chunks import pieces, text_bytes
@@ -191,7 +192,9 @@ def fit(docs: DataFrame, language: str, text: str, bins: int = 1 << BIN_BITS) ->
     share = {r.lang: min(1.0, 2.0 * SAMPLE_ROWS / r.n) for r in sizes}
     # About twice the wanted rows by a hash of the text, of which the first ones in its order stay.
     order = F.xxhash64(F.lit("sample"), "text")
-    bound = F.coalesce(F.element_at(F.create_map(*[x for l, s in share.items() for x in (F.lit(l), F.lit(int((2 * s - 1) * (2**63 - 1))))]), F.col("lang")), F.lit(-(2**63))) if languages else F.lit(-(2**63))
+    low, high = -(1 << 63), (1 << 63) - 1
+    bounds = [x for lang, part in share.items() for x in (F.lit(lang), F.lit(high if part == 1 else int((2 * part - 1) * high)))]
+    bound = F.coalesce(F.create_map(*bounds)[F.col("lang")] if bounds else F.lit(None), F.lit(low))
     picked = used.withColumn("order", order).where(F.col("order") <= bound)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,8 +217,6 @@ def fit(docs: DataFrame, language: str, text: str, bins: int = 1 << BIN_BITS) ->
                     }
                 )
 
-    from pyspark.sql import Window
-
     ranked = picked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order", "text")))
     sample = ranked.where(F.col("rank") <= SAMPLE_ROWS).select("lang", "text")
     rows = sample.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect() if languages else []
@@ -274,8 +275,9 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, [*part.schema.names, "lang_pred", "lang_score", "lang_spans"])
 
     fields = [f for f in docs.schema if f.name not in ("lang_pred", "lang_score", "lang_spans")]
-    schema = type(docs.schema)(fields).add("lang_pred", "string").add("lang_score", "double")
-    schema = schema.add("lang_spans", "array<struct<first:int,stop:int,lang:string>>")
+    schema = type(docs.schema)(fields).add("lang_pred", T.StringType()).add("lang_score", T.DoubleType())
+    span = T.StructType().add("first", T.IntegerType()).add("stop", T.IntegerType()).add("lang", T.StringType())
+    schema = schema.add("lang_spans", T.ArrayType(span))
     return docs.select(*[F.col(f"`{f.name}`") for f in fields]).mapInArrow(each, schema)
 
 

@@ -21,21 +21,23 @@ from pyspark.sql import functions as F
 
 from millrace.llm.chunks import stored
 
-#: Limits of the distances, and lengths from which they are judged.
-CHAR_LIMIT = 0.3
-WORD_LIMIT = 0.6
-MIN_CHARS = 100
+#: Limit of the characters' distance for long texts, and what a text of n characters has more, times sqrt(n): shares of
+#: few characters are uneven by chance. Limit of the words' distance. Lengths from which they are judged.
+CHAR_LIMIT = 0.15
+CHAR_SLACK = 2.1
+WORD_LIMIT = 0.4
+MIN_CHARS = 250
 MIN_WORDS = 40
 
-# The most common words of the languages that are judged.
+# Common words of the languages that are judged.
 COMMON = {
-    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als".split(),
-    "en": "the of and to in a is that for it as was with be by on not he his this".split(),
-    "es": "de la que el en y a los del se las por un para con no una su al lo".split(),
-    "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au".split(),
+    "de": "der die und in den von zu das mit ist ein eine".split(),
+    "en": "the of and to in a is that for it was with".split(),
+    "es": "de la que el en y a los del se las por".split(),
+    "fr": "de la le et les des en un une que est pour".split(),
 }
-# Character classes; what is in none of them is the last class.
-CLASSES = ["a-z", "A-Z", "0-9", r"\x09-\x0D\x20", ".,;:!?'\"()\\-", r"\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E&&[^.,;:!?'\"()\-]"]
+# Character classes besides white space; what is in none of them is mostly a-z.
+CLASSES = ["A-Z", "0-9", ".,;:!?'\"()\\-", r"#$%&*+/<=>@\[\\\]\^_`{|}~", r"\x{80}-\x{10FFFF}"]
 
 SPACES = r"[\x20\x09-\x0D]+"
 #: Names of the columns that are added; any such columns of the input would be replaced.
@@ -51,17 +53,17 @@ def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
     five = ", ".join(f"get({words}, i + {k})" for k in range(5))
     df = df.withColumn(grams, F.expr(f"if(size({words}) < 5, array(), transform(sequence(0, size({words}) - 5), i -> xxhash64({five})))"))
     # Windows sorted by hash beside their places, only where some hash is there twice.
-    ordered = F.expr(f"if(size(array_distinct({grams})) < size({grams}), array_sort(transform({grams}, (h, i) -> struct(h, i))), null)")
+    ordered = F.expr(f"if(size(array_distinct({grams})) < size({grams}), sort_array(transform({grams}, (h, i) -> struct(h, i))), null)")
     df = df.withColumn("_quality_ordered", ordered)
     twice = "filter(_quality_ordered, (x, j) -> get(_quality_ordered, j - 1).h <=> x.h or get(_quality_ordered, j + 1).h <=> x.h)"
-    df = df.withColumn("_quality_twice", F.expr(f"array_sort(transform({twice}, x -> x.i))"))
+    df = df.withColumn("_quality_twice", F.expr(f"sort_array(transform({twice}, x -> x.i))"))
     covered = "aggregate(transform(_quality_twice, (p, j) -> least(5, coalesce(get(_quality_twice, j + 1) - p, 5))), 0L, (a, x) -> a + x)"
     every = sorted({w for ws in COMMON.values() for w in ws})
     quoted = ", ".join(f"'{w}'" for w in every)
-    common = f"concat(' ', array_join(filter(transform({words}, w -> lower(w)), w -> w in ({quoted})), '  '), ' ')"
+    common = f"concat(' ', array_join(filter({words}, w -> w in ({quoted})), '  '), ' ')"
     df = df.withColumn("_quality_common", F.expr(common))
     counts = f"transform(array({quoted}), w -> cast((length(_quality_common) - length(replace(_quality_common, concat(' ', w, ' '), ''))) / (length(w) + 2) as long))"
-    kinds = [F.length(F.regexp_replace(t, outside(c), "")).cast("long") for c in CLASSES]
+    kinds = [F.length(F.regexp_replace(t, f"[^{c}]+", "")).cast("long") for c in CLASSES]
     features = F.struct(
         F.size(words).cast("long").alias("n_words"),
         F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
@@ -69,7 +71,7 @@ def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         F.coalesce(F.expr(covered), F.lit(0)).cast("long").alias("n_repeat_words"),
         F.length(t).cast("long").alias("n_chars"),
-        F.array(*kinds).alias("chars"),
+        F.array(*kinds, (F.length(t) - F.length(F.array_join(words, ""))).cast("long")).alias("chars"),
         F.expr(counts).alias("words"),
     )
     df = df.withColumn(FEATURES, features)
@@ -77,30 +79,29 @@ def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
     return df.drop(*added)
 
 
-def outside(members: str) -> str:
-    """A pattern of runs of characters that are not in a class."""
-    if "&&" in members:
-        wide, but = members.split("&&", 1)
-        return f"(?:[^{wide}]|{but.replace('[^', '[', 1)})+"
-    return f"[^{members}]+"
-
-
 def base_failed() -> Column:
     f = F.col(FEATURES)
     return (f["n_words"] < 10) | (100 * f["n_repeat_words"] > 20 * f["n_words"])
 
 
 def references(featured: DataFrame, language: str = "lang") -> dict[str, tuple[list[float], list[float]]]:
-    """Shares of the character classes and of the language's common words, one row per language of ``COMMON``."""
+    """Shares of the character classes and of the language's common words, one row per language of ``COMMON``.
+
+    They are taken twice: over all documents that do not fail the base rules, and again over those of them that the
+    first references keep, so that junk does not become part of what is normal. ``featured`` should be stored."""
+    return shares(verdict(featured, shares(featured, language)).where("_quality_verdict.kept"), language)
+
+
+def shares(featured: DataFrame, language: str) -> dict[str, tuple[list[float], list[float]]]:
     f = F.col(FEATURES)
-    n = len({w for ws in COMMON.values() for w in ws})
+    every = sorted({w for ws in COMMON.values() for w in ws})
     good = featured.where(F.col(language).isin(list(COMMON)) & ~base_failed())
-    sums = [F.sum(f["chars"][i]).alias(f"c{i}") for i in range(len(CLASSES))] + [F.sum(f["words"][i]).alias(f"w{i}") for i in range(n)]
+    classes = range(len(CLASSES) + 1)
+    sums = [F.sum(f["chars"][i]).alias(f"c{i}") for i in classes] + [F.sum(f["words"][i]).alias(f"w{i}") for i in range(len(every))]
     rows = good.groupBy(F.col(language).alias("lang")).agg(F.sum(f["n_chars"]).alias("chars"), F.sum(f["n_words"]).alias("words"), *sums).collect()
-    every = sorted({w for ws in COMMON.values() for w in ws})
     out = {}
     for r in sorted(rows, key=lambda r: r["lang"]):
-        chars = [r[f"c{i}"] / r["chars"] for i in range(len(CLASSES))]
+        chars = [r[f"c{i}"] / r["chars"] for i in classes]
         words = [r[f"w{every.index(w)}"] / r["words"] for w in COMMON[r["lang"]]]
         out[r["lang"]] = (chars + [max(0.0, 1 - sum(chars))], words + [max(0.0, 1 - sum(words))])
     return out
@@ -133,7 +134,8 @@ def verdict(featured: DataFrame, known: dict[str, tuple[list[float], list[float]
         choices.append(f"named_struct('c', {chars_far}, 'w', {words_far}, 'lang', '{lang}')")
     if choices:
         df = df.withColumn("_quality_choices", F.expr(f"array({', '.join(choices)})"))
-        over = f"greatest(x.c / {CHAR_LIMIT}D, x.w / {WORD_LIMIT}D)"
+        limit = f"({CHAR_LIMIT}D + {CHAR_SLACK}D / sqrt({spread}))"
+        over = f"greatest(x.c / {limit}, x.w / {WORD_LIMIT}D)"
         nearest = F.expr(f"array_min(transform(_quality_choices, x -> struct({over} as far, x.c as c, x.w as w, x.lang as lang)))")
     else:
         nearest = F.expr("struct(0D as far, 0D as c, 0D as w, cast(null as string) as lang)")
@@ -160,7 +162,7 @@ def judged(docs: DataFrame, id_column: str = "doc_id", text: str = "text", langu
 
 
 def kept(docs: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:
-    """``docs`` without the rejected documents; nothing is shuffled but the sums."""
-    featured = with_features(docs, text)
-    known = references(featured, language)
-    return verdict(featured, known).where("_quality_verdict.kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the rejected documents; no text is shuffled."""
+    slim = docs.select(F.col(text).alias("text"), F.col(language).alias("lang"))
+    known = references(stored(with_features(slim).drop("text"), "features"), "lang")
+    return verdict(with_features(docs, text), known).where("_quality_verdict.kept").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -275,7 +275,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, [*part.schema.names, "lang_pred", "lang_score", "lang_spans"])
 
     fields = [f for f in docs.schema if f.name not in ("lang_pred", "lang_score", "lang_spans")]
-    schema = type(docs.schema)(fields).add("lang_pred", T.StringType()).add("lang_score", T.DoubleType())
+    schema = type(docs.schema)(list(fields)).add("lang_pred", T.StringType()).add("lang_score", T.DoubleType())
     span = T.StructType().add("first", T.IntegerType()).add("stop", T.IntegerType()).add("lang", T.StringType())
     schema = schema.add("lang_spans", T.ArrayType(span))
     return docs.select(*[F.col(f"`{f.name}`") for f in fields]).mapInArrow(each, schema)

@@ -265,7 +265,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: s
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids), mask=part.column(text).is_null())
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "pieces"])
 
-    schema = type(docs.schema)(kept).add("pieces", T.ArrayType(T.IntegerType()))
+    schema = type(docs.schema)(list(kept)).add("pieces", T.ArrayType(T.IntegerType()))
     return docs.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(each, schema)
 
 
@@ -287,5 +287,5 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, to: str = "decoded") -> D
                 [*batch.columns, pa.array(texts, pa.binary()).cast(pa.string())], [*batch.schema.names, to]
             )
 
-    schema = type(encoded.schema)(kept).add(to, T.StringType())
+    schema = type(encoded.schema)(list(kept)).add(to, T.StringType())
     return encoded.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(each, schema)

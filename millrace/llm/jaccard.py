@@ -32,8 +32,8 @@ from millrace.llm.chunks import SENT, Chunks, answered, exchanged, pack, row_ids
 from millrace.llm.components import components
 
 #: Classes and shingles in a group, and questions to a group that are answered at once.
-GROUP_CLASSES = 256
-GROUP_TOKENS = 100_000
+GROUP_CLASSES = 2048
+GROUP_TOKENS = 400_000
 QUESTIONS = 256
 
 
@@ -118,13 +118,14 @@ def decoded(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
 
 
 class Matrix:
-    """Sets by tokens: rows of booleans over the union of a group's tokens."""
+    """Sets by tokens: the sets that are in it, as places in the union of a group's tokens, one after the other."""
 
-    def __init__(self, sets: list[np.ndarray], rows: int):
+    def __init__(self, sets: list[np.ndarray]):
         self.union = np.unique(np.concatenate(sets))
-        self.cells = np.zeros((rows, len(self.union)), bool)
-        self.sizes = np.zeros(rows, np.int64)
-        self.n = 0
+        self.cells = np.empty(sum(map(len, sets)), np.int32)
+        self.starts = np.zeros(len(sets), np.int64)
+        self.sizes = np.zeros(len(sets), np.int64)
+        self.n = self.used = 0
 
     def places(self, own: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.union, own)
@@ -132,20 +133,20 @@ class Matrix:
         return at[self.union[at] == own]
 
     def add(self, own: np.ndarray) -> None:
-        self.cells[self.n, self.places(own)] = True
-        self.sizes[self.n] = len(own)
-        self.n += 1
+        self.cells[self.used : self.used + len(own)] = self.places(own)
+        self.starts[self.n], self.sizes[self.n] = self.used, len(own)
+        self.n, self.used = self.n + 1, self.used + len(own)
 
     def similar(self, own: np.ndarray, percent: int) -> np.ndarray:
-        """Rows that are similar to ``own``."""
+        """Numbers of the sets that are similar to ``own``."""
         places = self.places(own)
-        if len(places) < needed(len(own), percent):  # not even the union has enough of it
+        # Perhaps not even the union has enough of it.
+        if not self.n or len(places) < needed(len(own), percent):
             return np.zeros(0, np.int64)
-        close = np.flatnonzero((100 * self.sizes[: self.n] >= percent * len(own)) & (percent * self.sizes[: self.n] <= 100 * len(own)))
-        if not len(close):
-            return close
-        overlap = self.cells[close][:, places].sum(axis=1)
-        return close[100 * overlap >= percent * (len(own) + self.sizes[close] - overlap)]
+        row = np.zeros(len(self.union), np.int32)
+        row[places] = 1
+        overlap = np.add.reduceat(row[self.cells[: self.used]], self.starts[: self.n])
+        return np.flatnonzero(100 * overlap >= percent * (len(own) + self.sizes[: self.n] - overlap))
 
 
 def grouped(classes: DataFrame, percent: int) -> DataFrame:
@@ -158,10 +159,10 @@ def grouped(classes: DataFrame, percent: int) -> DataFrame:
     def lead(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("row")
         sets = decoded(rows.column("tokens"))
-        matrix, leaders, out = Matrix(sets, len(sets)), [], []
+        matrix, leaders, out = Matrix(sets), [], []
         ids = rows.column("row").to_pylist()
         for row, own in zip(ids, sets):
-            similar = matrix.similar(own, percent) if leaders else []
+            similar = matrix.similar(own, percent)
             if not len(similar):
                 matrix.add(own)
                 leaders.append(row)
@@ -176,14 +177,15 @@ def questions(asking: DataFrame, groups: DataFrame, root: str, percent: int) ->
     """Links ``a``, ``b`` between classes of ``asking`` and members of ``groups`` with another value of ``root``."""
     rare = F.explode(longs("rare")).alias("rare_token")
     held = (
-        groups.select(rare, "token", "part", F.col(root).alias("held"), "n")
-        .groupBy("rare_token", "token", "part", "held")
-        .agg(F.min("n").alias("low"), F.max("n").alias("high"))
+        groups.select(rare, "token", "part", F.col(root).alias("root"), "n")
+        .groupBy("rare_token", "token", "part")
+        .agg(F.min("root").alias("least"), F.max("root").alias("most"), F.min("n").alias("low"), F.max("n").alias("high"))
     )
-    several = held.groupBy("rare_token").agg(F.min("held").alias("x"), F.max("held").alias("y")).where("x < y")
+    several = held.groupBy("rare_token").agg(F.min("least").alias("x"), F.max("most").alias("y")).where("x < y")
     held = held.join(several.select("rare_token"), "rare_token", "left_semi")
     asked = asking.select("row", F.col(root).alias("own"), F.col("n").alias("size"), rare)
-    fits = (F.col("own") != F.col("held")) & (100 * F.col("high") >= percent * F.col("size"))
+    fits = (F.col("own") != F.col("least")) | (F.col("own") != F.col("most"))
+    fits &= 100 * F.col("high") >= percent * F.col("size")
     fits &= percent * F.col("low") <= 100 * F.col("size")
     pairs = asked.join(held, (asked.rare_token == held.rare_token) & fits).select("row", "token", "part").distinct()
     pairs = stored(pairs, "pairs")
@@ -202,7 +204,7 @@ def questions(asking: DataFrame, groups: DataFrame, root: str, percent: int) ->
         for batch in batches:
             for asked, members in zip(batch.column("asked").to_pylist(), batch.column("members").to_pylist()):
                 sets = [np.frombuffer(m["tokens"], np.uint64) for m in members]
-                matrix = Matrix(sets, len(sets))
+                matrix = Matrix(sets)
                 for own in sets:
                     matrix.add(own)
                 links = [

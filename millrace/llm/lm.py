@@ -1,7 +1,7 @@
 """Language-model scoring with a probabilistic suffix tree.
 
-A text is its lower-cased words (A-Z; runs without ASCII white space) joined by one space, with one end behind them.
-The model predicts the bytes of that sequence and its end. The tree's contexts are the last 0 to ``DEPTH`` bytes:
+A text is its lower-cased words (A-Z; runs without ASCII white space), each with a space behind it, and one end. The
+tree predicts the bytes of that sequence; its contexts are the last 0 to ``DEPTH`` bytes:
 
 * The chunks exchange their distinct byte strings of ``DEPTH`` + 1 by value; the buckets sum the training counts. All
   strings of the corpus are there, so the table of counts grows with the corpus and is never sent whole anywhere.
@@ -11,6 +11,10 @@ The model predicts the bytes of that sequence and its end. The tree's contexts a
 * Distributions are smoothed with the shorter context's, weighted by the number of different successors. So each
   string ends with the probability of its last byte in its longest retained suffix, which goes back to the chunks.
 
+A token's probability (a word with its space, or the end) is that of its bytes, smoothing in turn the tokens' own
+counts: ``(count + distinct * spelt) / (tokens + distinct)``. So frequent words have their share, and words that were
+never seen what their spelling deserves. The token probabilities of every state sum to one.
+
 The word unigram score beside it is the usual baseline with half a count added.
 
 Defined results: null text is empty and has one token, the end. A null id counts as an empty one in the choice of
@@ -46,8 +50,8 @@ class Words:
     def __init__(self, texts: list[bytes]):
         data = np.frombuffer(b"".join(texts), np.uint8)
         bounds = np.cumsum([0, *map(len, texts)])
-        starts, ends, self.first = H.words_of(data, bounds)
-        hashes = np.concatenate((H.word_hashes(data, starts, ends), END_WORD))
+        self.starts, self.ends, self.first = H.words_of(data, bounds)
+        hashes = np.concatenate((H.word_hashes(data, self.starts, self.ends), END_WORD))
         self.keys, self.of = np.unique(hashes, return_inverse=True)
         self.end, self.of = self.of[-1], self.of[:-1]
 
@@ -58,14 +62,17 @@ class Words:
         return out.astype(np.int64)
 
     def sums(self, values: np.ndarray) -> np.ndarray:
-        """Sum over each text's words and its end."""
-        total = np.concatenate(([0], np.cumsum(values[self.of])))
-        return total[self.first[1:]] - total[self.first[:-1]] + values[self.end]
+        """Sum over each text's words and its end of a value per key."""
+        return self.totals(values[self.of], values[self.end])
+
+    def totals(self, words: np.ndarray, end) -> np.ndarray:
+        total = np.concatenate(([0], np.cumsum(words)))
+        return total[self.first[1:]] - total[self.first[:-1]] + end
 
 
 def normal(rows: pa.Table, text: str) -> list[bytes]:
     texts = rows.column(text).cast(pa.binary()).fill_null(b"").to_pylist()
-    return [b" ".join(t.lower().split()) + END for t in texts]
+    return [b"".join(x for w in t.lower().split() for x in (w, b" ")) + END for t in texts]
 
 
 def strings(texts: list[bytes]) -> np.ndarray:
@@ -164,6 +171,15 @@ def looked_up(requests: DataFrame, model: DataFrame) -> DataFrame:
     return requests.groupBy("bucket").cogroup(model.groupBy("bucket")).applyInArrow(bucket, ANSWER)
 
 
+def mixed(count: np.ndarray, spelt: np.ndarray, tokens: int, distinct: int) -> np.ndarray:
+    """Logarithm (10) of tokens' probabilities by their counts and the logarithm of their spelling's probability."""
+    share = np.log10(max(distinct, 1) / (tokens + max(distinct, 1)))
+    seen = np.log10(np.maximum(count, 1) / (tokens + max(distinct, 1)))
+    return np.where(count > 0, np.logaddexp(seen * LN10, (spelt + share) * LN10) / LN10, spelt + share)
+
+
+LN10 = np.log(10.0)
+
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -201,7 +217,10 @@ def scores(docs: DataFrame, trains: Column, id_column: str = "doc_id", text: str
         keys = strings(texts)
         each = answered(logs, np.float32).astype(np.float64)[np.searchsorted(np.unique(keys), keys)]
         total = np.concatenate(([0], np.cumsum(each)))
-        bounds = np.cumsum([0, *map(len, texts)])
+        last = np.cumsum([len(t) for t in texts]) - 1
+        spelt = total[found.ends + 1] - total[found.starts]
+        words = mixed(count[found.of], spelt, tokens, distinct)
+        ends = mixed(np.full(len(texts), count[found.end]), each[last], tokens, distinct)
         yield pa.RecordBatch.from_pydict(
             {
                 "doc_id": rows.column("id").combine_chunks(),
@@ -210,7 +229,7 @@ def scores(docs: DataFrame, trains: Column, id_column: str = "doc_id", text: str
                 "n_known": pa.array(found.sums((count > 0).astype(np.int64)), pa.int64()),
                 "train_tokens": pa.array([tokens] * len(texts), pa.int64()),
                 "base_score": pa.array(found.sums(np.log10(count + 0.5) - log_all)),
-                "score": pa.array(total[bounds[1:]] - total[bounds[:-1]]),
+                "score": pa.array(found.totals(words, ends)),
             }
         )
 

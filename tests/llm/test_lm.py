@@ -24,7 +24,7 @@ def brute(rows):
     count = Counter(w for ws, t in zip(texts, train) if t for w in ws)
     n, v = sum(count.values()), len(count)
     grams = Counter()
-    streams = [lm.START * lm.DEPTH + b" ".join(ws[:-1]) + lm.END for ws in texts]
+    streams = [lm.START * lm.DEPTH + b"".join(w + b" " for w in ws[:-1]) + lm.END for ws in texts]
     for s, t in zip(streams, train):
         for i in range(lm.DEPTH, len(s)):
             for d in range(lm.DEPTH + 1):
@@ -46,7 +46,13 @@ def brute(rows):
     out = []
     for (i, *_), t, ws, s in zip(rows, train, texts, streams):
         base = sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws)
-        model = sum(math.log10(p(s[j - lm.DEPTH : j], s[j])[0]) for j in range(lm.DEPTH, len(s)))
+        model, j, distinct = 0.0, lm.DEPTH, max(v, 1)
+        for w in ws:
+            spelt = 1.0
+            for _ in range(len(w) + 1 if w else 1):
+                spelt *= p(s[j - lm.DEPTH : j], s[j])[0]
+                j += 1
+            model += math.log10((count[w] + distinct * spelt) / (n + distinct))
         out.append((i, not t, len(ws), sum(count[w] > 0 for w in ws), n, base, model))
     return sorted(out, key=repr)
 

@@ -66,7 +66,7 @@ def scan_delimited(spark, sf_dir):
 @query
 def scan_lenient_lines(spark, sf_dir):
     path = payment_files(spark, sf_dir)
-    rows = files.scan_lenient_lines(files.scan_lines(spark, path, b.PAYMENT_HEADER))
+    rows = files.scan_lenient_lines(files.scan_lines(spark, path))
     return rows.select("line_value", "n_fields", F.col("amount").cast("double").alias("amount"))
 
 
@@ -237,14 +237,13 @@ def replace_by_key(spark, sf_dir):
 
 @query
 def replace_stored(spark, sf_dir):
-    """The same replacement in a stored bucketed table."""
+    """The same replacement in a stored table of versions, every new row given twice."""
     path = scratch(spark, "billing_charge")
     schema = "source_id BIGINT, subscriber_id BIGINT, units BIGINT, rate BIGINT, cost BIGINT"
-    sinks.replace_in(b.billed_before(spark, sf_dir), path, "source_id", schema, buckets=8)
-    sinks.replace_in(
-        charges(spark, sf_dir).filter("rate >= 5"), path, "source_id", schema, buckets=8
-    )
-    return sinks.read_table(spark, path, schema)
+    sinks.replace_in(b.billed_before(spark, sf_dir), path, "source_id", schema)
+    fresh = charges(spark, sf_dir).filter("rate >= 5")
+    sinks.replace_in(fresh.union(fresh), path, "source_id", schema)
+    return sinks.read_versions(spark, path, "source_id", schema)
 
 
 def flagged_tickets(spark, sf_dir):
@@ -551,9 +550,11 @@ def check_positive_long(spark, sf_dir):
 
 @query
 def check_min_bytes(spark, sf_dir):
-    return b.table(spark, sf_dir, "documents").select(
-        "doc_id", checks.check_min_bytes(F.substring("text", 1, 31)).alias("reason")
-    )
+    """Whole values of 23 to 35 bytes, some of them blank."""
+    key = F.col("p_partkey").cast("string")
+    secret = F.concat_ws(" ", "p_name", "p_brand", "p_type", key)
+    given = F.when(F.col("p_partkey") % 11 == 0, F.lit("  ")).otherwise(secret)
+    return b.table(spark, sf_dir, "part").select("p_partkey", checks.check_min_bytes(given).alias("reason"))
 
 
 @query
@@ -817,15 +818,6 @@ def retry_outcome(spark, sf_dir):
     return rows.select("id", "outcome", "calls", "attempt_count")
 
 
-@query
-def backoff_schedule(spark, sf_dir):
-    rows = faults.retry_outcome(faults.classify(b.harvest_source(spark, sf_dir)), retry_limit=12)
-    waits = faults.backoff_schedule(F.col("calls") - 1)
-    return rows.select(
-        "id", F.to_json(waits).alias("waits"), faults.total_backoff(waits).alias("total_ms")
-    )
-
-
 @query
 def skip_limit_cut(spark, sf_dir):
     return faults.skip_limit_cut(harvest.outcomes(b.harvest_source(spark, sf_dir)))

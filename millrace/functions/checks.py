@@ -124,7 +124,7 @@ def check_path_safe(key: Column) -> Column:
         lambda acc, part: _step(acc, part),
     )
     bad = key.startswith("/") | (depth.getField("low") < 0)
-    return F.when(bad, F.concat(F.lit(UNSAFE_KEY), key))
+    return F.when(key.isNull(), F.lit(UNSAFE_KEY + "null")).when(bad, F.concat(F.lit(UNSAFE_KEY), key))
 
 
 def _step(acc: Column, part: Column) -> Column:

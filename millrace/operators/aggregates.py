@@ -25,7 +25,7 @@ def count_and_total(lines: DataFrame, amount: str = "amount") -> DataFrame:
     """All lines counted, present amounts summed."""
     return lines.agg(
         F.count("*").alias("payment_rows"),
-        F.coalesce(F.sum(amount), F.lit(0)).cast("decimal(38,6)").alias("payment_total"),
+        F.coalesce(F.sum(amount), F.lit(0)).alias("payment_total"),
     )
 
 
@@ -50,6 +50,7 @@ def reconcile(charges: DataFrame, usage: DataFrame) -> DataFrame:
             F.count_if(~F.col("charged")).alias("u"),
             F.sum(F.when(F.col("charged"), F.col("amount").cast("decimal(19,0)"))).alias("cs"),
             F.sum(F.when(~F.col("charged"), F.col("amount").cast("decimal(19,0)"))).alias("us"),
+            F.count_if(~F.col("charged") & F.col("amount").isNull()).alias("uo"),
         )
     )
 
@@ -63,6 +64,8 @@ def reconcile(charges: DataFrame, usage: DataFrame) -> DataFrame:
         total(F.sum("cs")).cast("decimal(38,0)").alias("charge_sum"),
         total(F.sum("us")).cast("decimal(38,0)").alias("usage_sum"),
         F.count_if(F.col("c") > 1).alias("double_billed"),
+        # Usage that cannot be rated exactly is in no sum.
+        total(F.sum("uo")).alias("unrated_rows"),
     )
 
 
@@ -72,7 +75,8 @@ def set_digest(*parts: Column) -> list[Column]:
     Unlike a hash over the concatenated rows it needs constant state per group and merges on the
     map side (the additive hash of Bellare and Micciancio, 1997).
     """
-    h = F.sha2(F.concat_ws("|", *parts), 256)
+    sized = [F.coalesce(F.concat(F.char_length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]
+    h = F.sha2(F.concat(*sized), 256)
     slices = [F.conv(F.substring(h, 1 + 15 * i, 15), 16, 10).cast("decimal(28,0)") for i in range(4)]
     return [F.sum(s).alias(f"_d{i}") for i, s in enumerate(slices)]
 

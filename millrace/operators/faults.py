@@ -24,6 +24,7 @@ from millrace.operators.ordering import (
     assign_id_range,
     running_total,
 )
+from millrace.session import stable
 
 # Exception names as they appear in stored records.
 POISON_CLASS = "PoisonItemException"
@@ -42,12 +43,8 @@ ABORT_MESSAGE = "Abort triggered by harvest_source.id={id} (abort_flag=TRUE)"
 CHUNK_SIZE = 5
 SKIP_LIMIT = 5
 RETRY_LIMIT = 3
-BACKOFF_MS = (10, 2, 100)
 DISPATCH_SIZE = 32
 
-# Largest skip limit that is looked up by a top-k.
-TOP_K_LIMIT = 100_000
-
 OK, ABORT, SKIP, EXHAUSTED = "OK", "ABORT", "SKIP", "RETRY_EXHAUSTED"
 
 
@@ -125,33 +122,13 @@ def describe_failure(df: DataFrame, retry_limit: int = RETRY_LIMIT) -> DataFrame
     )
 
 
-def backoff_schedule(
-    retries: Column, initial: int = BACKOFF_MS[0], factor: int = BACKOFF_MS[1], cap: int = BACKOFF_MS[2]
-) -> Column:
-    """Planned waits in ms before each retry: ``min(initial * factor^(k-1), cap)``."""
-    waits = F.transform(
-        F.sequence(F.lit(1), F.greatest(retries, F.lit(1)).cast("int")),
-        lambda k: F.least(F.lit(initial) * F.pow(F.lit(factor), k - 1), F.lit(cap)).cast("bigint"),
-    )
-    return F.when(retries > 0, waits).otherwise(F.array().cast("array<bigint>"))
-
-
-def total_backoff(waits: Column) -> Column:
-    return F.aggregate(waits, F.lit(0).cast("bigint"), lambda total, wait: total + wait)
-
-
 # ---- cut and committed prefix -------------------------------------------------------------
 
 
 def skip_limit_cut(df: DataFrame, limit: int = SKIP_LIMIT, key: str = "id") -> DataFrame:
-    """One row ``cut``: the key of skip number ``limit + 1``, NULL if the limit holds.
-
-    A top-k keeps ``limit + 1`` keys per task; a limit too large for that is found by position.
-    """
-    skips = df.filter(F.col("outcome").isin(SKIP, EXHAUSTED)).select(key)
-    if limit < TOP_K_LIMIT:
-        first = skips.orderBy(key).limit(limit + 1)
-        return first.agg(F.when(F.count("*") > limit, F.max(key)).alias("cut"))
+    """One row ``cut``: the key of skip number ``limit + 1``, NULL if the limit holds; found by position, whatever
+    the limit."""
+    skips = stable(df.filter(F.col("outcome").isin(SKIP, EXHAUSTED)).select(key))
     ranked = running_total(skips, [key], name="_position")
     return ranked.filter(F.col("_position") == limit).agg(F.max(key).alias("cut"))
 
@@ -199,18 +176,12 @@ def run_cut(
     """
     if failing is None:
         failing = df.filter(F.col("outcome") != OK)
-    if limit < TOP_K_LIMIT:
-        first = failing.select(key, "outcome").orderBy(key).limit(limit + 1)
-        found = first.agg(
-            F.min(F.when(F.col("outcome") == ABORT, F.col(key))).alias("abort"),
-            F.when(F.count("*") > limit, F.max(key)).alias("limit"),
-        ).first()
-        abort_cut, limit_cut = found["abort"], found["limit"]
-    else:
-        limit_cut = skip_limit_cut(failing, limit, key).first()["cut"]
-        abort_cut = failing.filter(F.col("outcome") == ABORT).agg(F.min(key)).first()[0]
-        if abort_cut is not None and limit_cut is not None and limit_cut < abort_cut:
-            abort_cut = None
+    ranked = running_total(stable(failing.select(key, "outcome")), [key], name="_position")
+    first = ranked.filter(F.col("_position") <= limit).agg(
+        F.min(F.when(F.col("outcome") == ABORT, F.col(key))).alias("abort"),
+        F.max(F.when(F.col("_position") == limit, F.col(key))).alias("limit"),
+    )
+    abort_cut, limit_cut = first.first()
     if abort_cut is None and limit_cut is None:
         return RunCut("COMPLETED", None, None, None)
     reason, cut = ("SKIP_LIMIT", limit_cut) if abort_cut is None else ("ABORT", abort_cut)
@@ -364,7 +335,8 @@ def recover(groups: DataFrame, members: DataFrame, accepted: DataFrame) -> DataF
     A SENT group is left alone. Only counts are needed here; the payload pages of a group come
     from ``group_members``.
     """
-    totals = members.groupBy("group_no").agg(F.count("*").alias("_n"))
+    wanted = groups.filter(F.col("dispatch_status") == "ERROR").select("group_no")
+    totals = members.join(wanted, "group_no", "left_semi").groupBy("group_no").agg(F.count("*").alias("_n"))
     answer = accepted.select("group_no", F.col("accepted").alias("_yes"))
     retried = F.col("dispatch_status") == "ERROR"
     won = retried & F.coalesce("_yes", F.lit(False))

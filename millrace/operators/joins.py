@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordering import ROWS_PER_BUCKET, assign_chunk
+from millrace.session import stable
 
 
 def event_files(files: DataFrame, tickets: DataFrame, event_id: int | None = None) -> DataFrame:
@@ -48,7 +49,9 @@ def group_members(
 ) -> DataFrame:
     """Groups with their members as pages of at most ``size``; a group without any has one empty
     page. ``members_total`` counts over all pages of the group."""
-    pages = pages_of(members.filter(F.col(group).isNotNull()), group, key, item, size, rows_per_bucket)
+    # Only the wanted groups' members are counted and put in pages.
+    members = stable(members.join(groups.select(group), group, "left_semi").withColumn("_item", item).select(group, key, "_item"))
+    pages = pages_of(members, group, key, F.col("_item"), size, rows_per_bucket)
     totals = members.groupBy(group).agg(F.count("*").alias("members_total"))
     none = F.lit(0).cast("bigint")
     counted = groups.join(totals, group, "left").withColumn(
@@ -80,7 +83,11 @@ def enrich(
     The lookup may be as large as the table, so the join strategy is left to the planner, which
     broadcasts it only when its measured size allows.
     """
-    joined = df.join(lookup.select(key, value), key, "left")
+    # A repeated key would multiply rows; it fails the query.
+    many = F.raise_error(F.concat(F.lit(f"more than one {value} for {key}="), F.col(key).cast("string")))
+    once = lookup.groupBy(key).agg(F.first(value).alias(value), F.count("*").alias("_n"))
+    once = once.select(key, F.when(F.col("_n") > 1, many.cast(lookup.schema[value].dataType)).otherwise(F.col(value)).alias(value))
+    joined = df.join(once, key, "left")
     if not required:
         return joined
     there = F.col(value).isNotNull() | F.raise_error(

@@ -17,13 +17,20 @@ NOT_IDENTIFYING = ["DESCRIPTION"]
 def run_identity(
     job_name: Column, params: Column, not_identifying: list[str] = NOT_IDENTIFYING
 ) -> Column:
-    """A key of job name and identifying parameters, whatever their order in the map."""
+    """A key of job name and identifying parameters, whatever their order in the map.
+
+    Every part carries its length, so that different names and values never give the same text; a NULL value is no
+    empty one.
+    """
+
+    def part(col: Column) -> Column:
+        return F.coalesce(F.concat(F.char_length(col).cast("string"), F.lit(":"), col), F.lit("-"))
+
     kept = F.map_filter(params, lambda k, v: ~k.isin(not_identifying))
     pairs = F.transform(
-        F.sort_array(F.map_entries(kept)),
-        lambda e: F.concat(e.getField("key"), F.lit("="), F.coalesce(e.getField("value"), F.lit(""))),
+        F.sort_array(F.map_entries(kept)), lambda e: F.concat(part(e.getField("key")), part(e.getField("value")))
     )
-    return F.md5(F.concat_ws("&", F.concat(F.lit("job="), job_name), pairs))
+    return F.md5(F.concat(part(job_name), F.concat_ws("", pairs)))
 
 
 def overlay_params(defaults: Column, caller: Column) -> Column:
@@ -42,7 +49,7 @@ def launch_decision(requests: DataFrame, jobs: DataFrame, executions: DataFrame)
 
     In this order: unknown job, missing date, no date, an execution still running, completed
     already, restart after a failure, first run. Of running and completed executions of the same
-    identity the latest one counts. ``executions`` has ``(identity, execution_id, status)``.
+    identity the latest one counts; of equal requests only the first may start. ``executions`` has ``(identity, execution_id, status)``.
     """
 
     def newest(status: str) -> Column:
@@ -66,11 +73,20 @@ def launch_decision(requests: DataFrame, jobs: DataFrame, executions: DataFrame)
         .when(F.col("last_execution_id").isNotNull(), "RESTART")
         .otherwise("NEW")
     )
-    return (
+    decided = (
         named.join(known, "job_name", "left")
         .join(history, "identity", "left")
         .select("request_id", "job_name", "identity", decision.alias("decision"), "last_execution_id")
     )
+    # Of equal requests that could start, only the first one does.
+    starts = F.col("decision").isin("NEW", "RESTART")
+    firsts = decided.filter(starts).groupBy("identity").agg(F.min("request_id").alias("_first"))
+    late = starts & (F.col("request_id") > F.col("_first"))
+    return (
+        decided.join(firsts, "identity", "left")
+        .withColumn("decision", F.when(late, "ALREADY_RUNNING").otherwise(F.col("decision")))
+        .select(*decided.columns)
+    )
 
 
 def duration_ms(start: Column, end: Column) -> Column:

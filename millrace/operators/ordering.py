@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import math
-import sys
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -12,12 +12,8 @@ from pyspark.sql import functions as F
 
 from millrace.session import stable
 
-# Rows one window task should sort, and the most buckets used for one running total.
+# Rows one window task should sort.
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 100_000
-# A bucket may hold this many times its share before the split is done by sampled ranges.
-TOLERANCE = 4
-_LARGEST = sys.float_info.max
 
 
 # ---- id ranges ----------------------------------------------------------------------------
@@ -98,42 +94,31 @@ def running_total(
 ) -> DataFrame:
     """Sum of the weights (default 1) of all rows before this one, per group, in ``order``.
 
-    ``order`` must be total within a group and its first column numeric or a timestamp. The
-    rows are cut into buckets along that column; each bucket is summed, the bucket sums give
-    every bucket its offset, and rows are ordered only inside their bucket. So neither a
-    table without groups nor one group with a third of all rows meets in one task. If equally
-    wide buckets come out uneven the rows are split by sampled ranges over the whole ``order``,
-    written once so that both passes see the same split.
+    ``order`` must be total within a group. Groups of up to ``rows_per_bucket`` rows are ordered by one window. Larger
+    ones (or a large table without groups) are cut into buckets by sampled ranges over groups and order, written once
+    so that both passes see the same cut; each bucket is summed, the sums give every bucket its offset, and rows are
+    ordered only inside their bucket. So neither a table without groups nor a group with a third of all rows meets in
+    one task, and small groups have no buckets at all.
 
     The input is read more than once: pass a table or a stored frame, not a long plan.
     """
     groups = groups or []
-    key = _as_number(df, order[0])
-    finite = F.when(key.between(-_LARGEST, _LARGEST), key)
-    stats = df.agg(
-        F.count("*").alias("n"), F.min(finite).alias("low"), F.max(finite).alias("high")
-    ).first()
-    n = stats["n"]
+    columns = [*df.columns, name, *([total] if total else [])]
+    sizes = df.groupBy(*groups).agg(F.count("*").alias("_rows"))
+    n = sizes.agg(F.sum(F.when(F.col("_rows") > rows_per_bucket, F.col("_rows")))).first()[0]
+    if not n:
+        return _plain_total(df, order, groups, weight, name, total).select(*columns)
+    out = []
+    large = df
+    if groups:
+        # At most one row for each rows_per_bucket rows.
+        named = stable(sizes.filter(F.col("_rows") > rows_per_bucket).select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)]))
+        same = reduce(lambda x, y: x & y, [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)])
+        out.append(_plain_total(df.join(named, same, "left_anti"), order, groups, weight, name, total))
+        large = df.join(named, same, "left_semi")
     buckets = max(math.ceil(n / rows_per_bucket), df.sparkSession.sparkContext.defaultParallelism)
-    buckets = min(buckets, MAX_BUCKETS)
-    low, high = stats["low"], stats["high"]
-    if low is None or high == low:
-        split = df.withColumn("_bucket", F.lit(0))
-    else:
-        # Halves, so that the width of the whole double range is still a number.
-        share = (key / 2 - low / 2) / F.lit(high / 2 - low / 2)
-        index = F.least(F.lit(buckets - 1), F.floor(share * buckets).cast("int"))
-        # NULL comes first, infinities at their ends, NaN last, as in the order itself.
-        split = df.withColumn(
-            "_bucket",
-            F.when(key > _LARGEST, buckets - 1).when(finite.isNull(), 0).otherwise(index),
-        )
+    split = stable(large.repartitionByRange(buckets, *groups, *order).withColumn("_bucket", F.spark_partition_id()))
     sums = _bucket_sums(split, groups, weight)
-    if n > rows_per_bucket and _largest(sums) > TOLERANCE * rows_per_bucket:
-        split = stable(
-            df.repartitionByRange(buckets, *order).withColumn("_bucket", F.spark_partition_id())
-        )
-        sums = _bucket_sums(split, groups, weight)
 
     per_group = W.partitionBy(*groups) if groups else W.partitionBy()
     before = per_group.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -154,35 +139,25 @@ def running_total(
     # Each bucket's offset joins its rows as a leading row of the same window: one shuffle, no join.
     inside = W.partitionBy(*groups, "_bucket").orderBy(F.desc("_head"), *order)
     so_far = inside.rowsBetween(W.unboundedPreceding, -1)
-    out = rows.unionByName(heads, allowMissingColumns=True).withColumn(
-        name, F.sum("_add").over(so_far).cast("bigint")
-    )
+    cut = rows.unionByName(heads, allowMissingColumns=True).withColumn(name, F.sum("_add").over(so_far).cast("bigint"))
     if total:
-        out = out.withColumn(total, F.first("_total").over(inside.rowsBetween(W.unboundedPreceding, 0)))
-    return out.filter(~F.col("_head")).select(*df.columns, name, *([total] if total else []))
+        cut = cut.withColumn(total, F.first("_total").over(inside.rowsBetween(W.unboundedPreceding, 0)))
+    out.append(cut.filter(~F.col("_head")))
+    return reduce(DataFrame.union, [x.select(*columns) for x in out])
 
 
-def _as_number(df: DataFrame, column: str) -> Column:
-    kind = dict(df.dtypes)[column]
-    col = F.col(column)
-    if kind == "timestamp_ntz":
-        col = col.cast("timestamp")
-    elif kind == "date":
-        col = F.unix_date(col)
-    return col.cast("double")
+def _plain_total(df: DataFrame, order: list[str], groups: list[str], weight: str | None, name: str, total: str | None) -> DataFrame:
+    """The same by one window per group."""
+    group = W.partitionBy(*groups) if groups else W.partitionBy()
+    add = F.col(weight) if weight else F.lit(1).cast("bigint")
+    so_far = group.orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    out = df.withColumn(name, F.coalesce(F.sum(add).over(so_far), F.lit(0)).cast("bigint"))
+    return out.withColumn(total, F.sum(add).over(group)) if total else out
 
 
 def _bucket_sums(split: DataFrame, groups: list[str], weight: str | None) -> DataFrame:
     weights = F.sum(weight) if weight else F.count("*")
-    return stable(
-        split.groupBy(*groups, "_bucket").agg(
-            weights.alias("_weight"), F.count("*").alias("_rows")
-        )
-    )
-
-
-def _largest(sums: DataFrame) -> int:
-    return sums.agg(F.max("_rows")).first()[0] or 0
+    return stable(split.groupBy(*groups, "_bucket").agg(weights.alias("_weight")))
 
 
 # Bits of a generated row id that count rows inside one task; the rest is the task's number.
@@ -190,20 +165,19 @@ _ROW_BITS = 33
 
 
 def number_rows(df: DataFrame, start: int = 1, name: str = "id") -> DataFrame:
-    """Rows numbered without gaps from ``start`` in the order they are read, without a shuffle.
+    """Rows numbered without gaps from ``start`` in the order they are read.
 
-    The rows are written once with the id Spark generates from task number and row number. The
-    rows per task are then added up: one small row per task, which bounds the broadcast.
+    The rows are written once with the id Spark generates from task number and row number. The rows of each
+    task are added up, and their running total is joined back; the planner broadcasts it only where it is small.
     """
     read = stable(df.withColumn("_at", F.monotonically_increasing_id()))
     task = F.shiftright("_at", _ROW_BITS)
-    sums = read.groupBy(task.alias("_task")).agg(F.count("*").alias("_n"))
-    before = W.orderBy("_task").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sums.select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    sums = stable(read.groupBy(task.alias("_task")).agg(F.count("*").alias("_n")))
+    offsets = running_total(sums, ["_task"], weight="_n", name="_before").select("_task", "_before")
     row = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
         read.withColumn("_task", task)
-        .join(F.broadcast(offsets), "_task")
+        .join(offsets, "_task")
         .select((F.col("_before") + row + start).alias(name), *df.columns)
     )
 

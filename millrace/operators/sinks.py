@@ -1,8 +1,8 @@
 """Idempotent writes.
 
 Each sink has a pure form, which returns the rows to write or the resulting table, and a small
-writer that stores them. Appends go to a folder of files; a key-replacing table is laid out in hash
-buckets, of which a write rewrites only those it touches.
+writer that stores them. Appends go to a folder of files; a key-replacing table keeps versions, of which the newest
+published one counts.
 """
 
 from __future__ import annotations
@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.text import root_cause, truncate_message
-from millrace.session import stable
-
-BUCKET = "key_bucket"
 
 
 # ---- stored tables ------------------------------------------------------------------------
@@ -37,35 +34,41 @@ def append_to(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-
-
-def replace_in(df: DataFrame, path: str, key: str, schema: str, buckets: int = 64) -> None:
-    """Replace the rows of ``df``'s keys in a bucketed table, rewriting only touched buckets.
+def replace_in(df: DataFrame, path: str, key: str, schema: str) -> None:
+    """Replace the rows of ``df``'s keys in a table that is kept as versions.
 
-    The number of buckets is fixed for a table, so the list of touched ones is bounded by it;
-    rows are rebalanced by bucket, which splits a large bucket over several tasks and files.
-    The new rows are written once and not computed again for each pass. Spark swaps the rewritten
-    buckets in when the job commits, so a lost executor only repeats tasks; plain files do not make
-    that swap atomic against the loss of the driver, for which a transactional table is needed.
+    The new rows are appended as a version of their own and count once its number is stored beside them, which is one
+    small file: until then, and if the run is lost before, readers see the old rows. No stored row is rewritten;
+    ``compact_versions`` does that on its own schedule.
     """
     spark = df.sparkSession
-    fresh = stable(with_bucket(df, key, buckets))
-    touched = [row[0] for row in fresh.select(BUCKET).distinct().collect()]
-    if not touched:
-        return
-    stored = read_table(spark, path, f"{schema}, {BUCKET} INT").filter(F.col(BUCKET).isin(touched))
-    (
-        replace_by_key(fresh, stored, key)
-        .hint("rebalance", BUCKET)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(path)
+    number = _versions(spark, path).agg(F.coalesce(F.max("version"), F.lit(0)) + 1).first()[0]
+    # A version of that number that was begun and never published is overwritten.
+    names = T.StructType.fromDDL(schema).names
+    last_per_key(df.select(*names), key).write.mode("overwrite").parquet(f"{path}/rows/version={number}")
+    spark.range(1).select(F.lit(number).cast("bigint").alias("version")).coalesce(1).write.mode("append").parquet(
+        f"{path}/published"
     )
 
 
+def _versions(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, f"{path}/published", "version BIGINT").distinct()
+
+
+def read_versions(spark: SparkSession, path: str, key: str, schema: str) -> DataFrame:
+    """The newest published row of every key."""
+    names = T.StructType.fromDDL(schema).names
+    rows = read_table(spark, f"{path}/rows", f"{schema}, version BIGINT")
+    newest = F.max(F.struct("version", *[c for c in names if c != key])).alias("_newest")
+    seen = rows.join(_versions(spark, path), "version", "left_semi").groupBy(key).agg(newest)
+    return seen.select(*[F.col(c) if c == key else F.col("_newest").getField(c).alias(c) for c in names])
+
+
+def compact_versions(spark: SparkSession, path: str, key: str, schema: str, target: str) -> None:
+    """Write the newest rows to a new table at ``target`` as its only version; the old one stays as it is."""
+    replace_in(read_versions(spark, path, key, schema), target, key, schema)
+
+
 # ---- append and insert --------------------------------------------------------------------
 
 
@@ -92,6 +95,15 @@ def first_per_key(df: DataFrame, key: str, order: list[str] | None = None) -> Da
     )
 
 
+def last_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One row per key, the largest by all other columns."""
+    rest = [c for c in df.columns if c != key]
+    if not rest:
+        return df.distinct()
+    kept = df.groupBy(key).agg(F.max(F.struct(*rest)).alias("_last"))
+    return kept.select(*[F.col(c) if c == key else F.col("_last").getField(c).alias(c) for c in df.columns])
+
+
 def insert_if_absent(
     df: DataFrame,
     target: DataFrame,
@@ -101,11 +113,11 @@ def insert_if_absent(
 ) -> DataFrame:
     """The rows of ``df`` to add: keys not in the target, the first row of each repeated key.
 
-    The aggregate and the anti join share one shuffle by key. ``unique_keys`` states that the
-    input holds no key twice and saves the aggregate.
+    The anti join comes first, so that only new keys are reduced. ``unique_keys`` states that the input holds no key
+    twice and saves the aggregate.
     """
-    fresh = df if unique_keys else first_per_key(df, key, order)
-    return fresh.join(target.select(key), key, "left_anti")
+    fresh = df.join(target.select(key), key, "left_anti").select(*df.columns)
+    return fresh if unique_keys else first_per_key(fresh, key, order)
 
 
 def near(target: DataFrame, df: DataFrame, key: str) -> DataFrame:
@@ -146,8 +158,8 @@ def seed_if_empty(seed: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def replace_by_key(df: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """The target without the rows of ``df``'s keys, plus ``df``."""
-    return target.join(df.select(key), key, "left_anti").unionByName(df)
+    """The target without the rows of ``df``'s keys, plus one row of ``df`` for each of its keys."""
+    return target.join(df.select(key), key, "left_anti").unionByName(last_per_key(df, key))
 
 
 def mark_processed(target: DataFrame, ids: DataFrame, key: str = "id", guard: bool = True) -> DataFrame:
@@ -222,38 +234,28 @@ def write_expecting(
 ) -> DataFrame:
     """``df`` if each of its keys names exactly one target row and is new to the registry.
 
-    Anything else fails the query. The target is reduced to one count per key before the join.
+    Anything else fails the query. Only the target's and the registry's rows of ``df``'s keys are counted, all three
+    by one aggregate.
     """
     target_key = target_key or key
-    found = (
-        target.select(F.col(target_key).alias(key))
-        .groupBy(key)
-        .agg(F.count("*").alias("_found"))
-    )
-    known = registry.select(key).distinct().withColumn("_known", F.lit(True))
-    given = df.groupBy(key).agg(F.count("*").alias("_given"))
-    found_n = F.coalesce("_found", F.lit(0))
+    keys = df.select(key)
+
+    def tagged(rows: DataFrame, tag: str) -> DataFrame:
+        return rows.select(F.col(key), *[F.lit(int(tag == t)).alias(t) for t in ("_given", "_found", "_known")])
+
+    found = target.select(F.col(target_key).alias(key)).join(keys, key, "left_semi")
+    known = registry.select(key).join(keys, key, "left_semi")
+    every = tagged(keys, "_given").unionByName(tagged(found, "_found")).unionByName(tagged(known, "_known"))
+    counts = every.groupBy(key).agg(*[F.sum(t).alias(t) for t in ("_given", "_found", "_known")])
     ok = (
-        F.when(
-            found_n != 1,
-            _fail("Expected to mark 1 row for ", key, found_n),
-        )
-        .when(
-            F.col("_known").isNotNull() | (F.col("_given") != 1),
-            _fail("Expected 1 insert for ", key, F.col("_given")),
-        )
+        F.when(F.col("_found") != 1, _fail("rows of the target to mark, 1 expected, for ", key, F.col("_found")))
+        .when((F.col("_known") > 0) | (F.col("_given") != 1), _fail("new rows to insert, 1 expected, for ", key, F.col("_given")))
         .otherwise(F.lit(True))
     )
-    return (
-        df.join(given, key)
-        .join(found, key, "left")
-        .join(known, key, "left")
-        .filter(ok)
-        .select(*df.columns)
-    )
+    return df.join(counts, key).filter(ok).select(*df.columns)
 
 
 def _fail(text: str, key: str, n: Column) -> Column:
     return F.raise_error(
-        F.concat(F.lit(f"{text}{key}="), F.col(key).cast("string"), F.lit(" but found "), n.cast("string"))
+        F.concat(F.lit(f"{text}{key}="), F.col(key).cast("string"), F.lit(": "), n.cast("string"))
     ).cast("boolean")

@@ -109,7 +109,7 @@ VIEWS: dict[str, str] = {
                    for i in range(4))}) AS checksum_sha256,
                CAST(sum(file_size_bytes) AS BIGINT) AS file_size_bytes,
                count(*) AS ticket_count, 'COMPLETED' AS status
-        FROM (SELECT *, sha256(entry || '|' || checksum_sha256) AS h FROM entries)
+        FROM (SELECT *, sha256(length(entry) || ':' || entry || length(checksum_sha256) || ':' || checksum_sha256) AS h FROM entries)
         GROUP BY event_id""",
     "payments": """
         SELECT CASE WHEN o_orderkey % 20 = 0 THEN 'TXN-' || o_orderkey || ',ACC-' || o_custkey || ',,'
@@ -125,8 +125,8 @@ VIEWS: dict[str, str] = {
                     THEN ts + to_milliseconds(CAST(round(value * 10) AS BIGINT)) END AS end_time,
                CASE WHEN event_id % 10 = 0 THEN 'FAILED' WHEN event_id % 10 = 1 THEN 'STARTED'
                     ELSE 'COMPLETED' END AS status,
-               md5('job=' || event_type || '&ATTEMPT_NUMBER=' || (user_id % 3 + 1)
-                   || '&DATE=' || strftime(ts, '%Y-%m-%d')) AS identity
+               md5(length(event_type) || ':' || event_type || '14:ATTEMPT_NUMBER1:' || (user_id % 3 + 1)
+                   || '4:DATE10:' || strftime(ts, '%Y-%m-%d')) AS identity
         FROM events""",
     "defined": """
         SELECT event_type AS job_name, min(event_id) AS definition_id, '1.0.0' AS version
@@ -422,11 +422,12 @@ BODIES: dict[str, str] = {
         FROM (SELECT *, CASE WHEN regexp_full_match(trim(given), '[+-]?[0-9]+')
                              THEN TRY_CAST(trim(given) AS BIGINT) END AS number FROM ({_LONGS}))""",
     "check_min_bytes": """
-        SELECT doc_id,
+        SELECT p_partkey,
                CASE WHEN regexp_full_match(secret, '\\s*') THEN 'TOKEN_SECRET is required and must not be blank'
                     WHEN octet_length(encode(secret)) < 32
                     THEN 'TOKEN_SECRET must be at least 32 bytes for HMAC-SHA256 strength' END AS reason
-        FROM (SELECT doc_id, substr(text, 1, 31) AS secret FROM documents)""",
+        FROM (SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 THEN '  '
+                     ELSE p_name || ' ' || p_brand || ' ' || p_type || ' ' || p_partkey END AS secret FROM part)""",
     "check_fixed": f"""
         SELECT p_partkey,
                CASE WHEN p_size % 5 <> 0 AND p_size <> {GRID}
@@ -497,7 +498,7 @@ BODIES: dict[str, str] = {
                CAST((SELECT count(*) FROM usage_record) AS BIGINT) AS usage_rows,
                CAST((SELECT sum(cost) FROM charges) AS BIGINT) AS charge_sum,
                CAST((SELECT sum(units * rate) FROM usage_record) AS BIGINT) AS usage_sum,
-               CAST(0 AS BIGINT) AS double_billed""",
+               CAST(0 AS BIGINT) AS double_billed, CAST(0 AS BIGINT) AS unrated_rows""",
     "bundle_entries": "SELECT event_id, ticket_id, entry, file_size_bytes, checksum_sha256 FROM entries",
     "ordered_entries": """
         SELECT event_id, row_number() OVER (PARTITION BY event_id ORDER BY ticket_id) - 1 AS entry_no, entry
@@ -573,12 +574,6 @@ BODIES: dict[str, str] = {
                          WHEN fault = 'TRANSIENT' THEN transient_fail_until_attempt + 1 ELSE 1 END
                     AS INTEGER) AS attempt_count
         FROM outcomes""",
-    "backoff_schedule": """
-        SELECT id, CASE n WHEN 0 THEN '[]' WHEN 1 THEN '[10]' WHEN 2 THEN '[10,20]'
-                          ELSE '[10,20,40,80,100,100,100,100,100,100]' END AS waits,
-               CAST(CASE n WHEN 0 THEN 0 WHEN 1 THEN 10 WHEN 2 THEN 30 ELSE 750 END AS BIGINT) AS total_ms
-        FROM (SELECT id, CASE WHEN fault = 'TRANSIENT' THEN transient_fail_until_attempt ELSE 0 END AS n
-              FROM outcomes)""",
     "skip_limit_cut": """
         SELECT max(id) FILTER (n = 6) AS cut
         FROM (SELECT id, row_number() OVER (ORDER BY id) AS n FROM outcomes
@@ -621,15 +616,17 @@ BODIES: dict[str, str] = {
                            ELSE strftime(ts, '%Y-%m-%d') END AS date,
                       CASE WHEN event_id % 2 = 0 THEN CAST(user_id % 5 + 1 AS VARCHAR) ELSE '1' END AS attempt
                FROM events),
-             named AS (SELECT *, md5('job=' || job_name || '&ATTEMPT_NUMBER=' || attempt
-                                     || CASE WHEN date IS NULL THEN '' ELSE '&DATE=' || date END) AS identity
+             named AS (SELECT *, md5(length(job_name) || ':' || job_name || '14:ATTEMPT_NUMBER1:' || attempt
+                                     || CASE WHEN date IS NULL THEN ''
+                                             ELSE '4:DATE' || length(date) || ':' || date END) AS identity
                        FROM asked),
              history AS (
                SELECT identity, max(execution_id) AS last_execution_id,
                       arg_max(state, execution_id) FILTER (state IN ('STARTED', 'COMPLETED')) AS state
                FROM (SELECT identity, execution_id,
                             CASE WHEN attempt = '1' AND job_name = 'error' THEN 'FAILED' ELSE status END AS state
-                     FROM runs) GROUP BY identity)
+                     FROM runs) GROUP BY identity),
+             decided AS (
         SELECT request_id, job_name, identity,
                CASE WHEN job_name = 'view' THEN 'NOT_FOUND'
                     WHEN date IS NULL OR trim(date) = '' THEN 'MISSING_DATE'
@@ -638,7 +635,11 @@ BODIES: dict[str, str] = {
                     WHEN state = 'COMPLETED' THEN 'ALREADY_COMPLETE'
                     WHEN last_execution_id IS NOT NULL THEN 'RESTART' ELSE 'NEW' END AS decision,
                last_execution_id
-        FROM named LEFT JOIN history USING (identity)""",
+        FROM named LEFT JOIN history USING (identity))
+        SELECT * REPLACE (CASE WHEN decision IN ('NEW', 'RESTART')
+                                    AND row_number() OVER (PARTITION BY identity, decision ORDER BY request_id) > 1
+                               THEN 'ALREADY_RUNNING' ELSE decision END AS decision)
+        FROM decided""",
     "run_audit": f"""
         SELECT definition_id AS job_definition_id, execution_id AS job_execution_id, version AS job_version, ms AS duration_ms,
                outcome, '{{"startedAt":"' || {_iso('start_time')} || '"'

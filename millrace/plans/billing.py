@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.checks import check_fixed
 from millrace.functions.money import rate_exact, rate_or_null
-from millrace.operators.faults import committed_rows, range_outcomes, restart_partitions
+from millrace.operators.faults import committed_rows, range_outcomes, restart_partitions, unfinished_ranges
 from millrace.operators.ordering import Bounds, assign_id_range, id_bounds, id_ranges
 from millrace.operators.sinks import append_to, insert_if_absent_into, read_table
 from millrace.plans.params import identity_of, require
@@ -43,7 +43,8 @@ def run_billing(
     A range that fails keeps its whole chunks and is left open; the next run with the same
     identifying parameters takes up the open ranges by the bounds saved at the first run. Charges
     are stored before the ranges are reported, and stored only if absent, so a run that broke in
-    between is simply repeated.
+    between is simply repeated. A finished run is refused: its parameters name what was billed, and rows that came
+    later need a run of their own.
     """
     spark = usage.sparkSession
     given = [(name, params.get(name)) for name in ("GRID_SIZE", "CHUNK_SIZE")]
@@ -65,6 +66,12 @@ def run_billing(
         saved = id_ranges(limits, grid)
         rows = assign_id_range(usage, "id", grid, Bounds.fixed(low, high))
     else:
+        if unfinished_ranges(ledger).isEmpty():
+            return BillingRun(
+                "ALREADY_COMPLETE",
+                read_table(spark, charge_path, BILLING_CHARGE),
+                read_table(spark, ledger_path, RANGE_LEDGER),
+            )
         saved = ledger.select("range_no", "min_id", "max_id").distinct()
         rows = restart_partitions(usage, ledger)
 

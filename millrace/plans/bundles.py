@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.checks import check_positive_long
 from millrace.operators.aggregates import bundle_entries, bundle_manifest
-from millrace.operators.sinks import read_table, replace_in
+from millrace.operators.sinks import read_versions, replace_in
 from millrace.plans.params import require, text
 from millrace.schemas import GENERATED_BUNDLES
 from millrace.sources.files import require_files
@@ -19,7 +19,6 @@ def run_bundles(
     root: str,
     event_id: str | None = None,
     found: DataFrame | None = None,
-    buckets: int = 64,
 ) -> DataFrame:
     """Bundle one event, or all events in one pass, and return the stored bundles.
 
@@ -37,5 +36,5 @@ def run_bundles(
         present = require_files(wanted.join(entries.select("ticket_id"), "ticket_id", "left_semi"), found)
         entries = entries.join(present.select("ticket_id"), "ticket_id", "left_semi")
     path = f"{root}/generated_bundles"
-    replace_in(bundle_manifest(entries), path, "event_id", GENERATED_BUNDLES, buckets)
-    return read_table(spark, path, GENERATED_BUNDLES)
+    replace_in(bundle_manifest(entries), path, "event_id", GENERATED_BUNDLES)
+    return read_versions(spark, path, "event_id", GENERATED_BUNDLES)

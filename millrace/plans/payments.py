@@ -8,5 +8,5 @@ from millrace.operators.aggregates import count_and_total
 from millrace.sources.files import scan_lenient_lines, scan_lines
 
 
-def payment_summary(spark: SparkSession, path: str, header: str | None = None) -> DataFrame:
-    return count_and_total(scan_lenient_lines(scan_lines(spark, path, header)))
+def payment_summary(spark: SparkSession, path: str) -> DataFrame:
+    return count_and_total(scan_lenient_lines(scan_lines(spark, path)))

@@ -36,11 +36,14 @@ class Payload:
 def load_persons(spark: SparkSession, csv_path: str, root: str, run_id: int) -> DataFrame:
     """Step 1: the file's rows with upper-case names, numbered behind the rows already stored.
 
-    Each run owns one folder and replaces it when repeated.
+    Each run owns one folder and a range of ids; a repeated run replaces its folder and keeps its range, so that
+    marks, snapshots and groups still fit. It is refused if its file has grown into the ids of a later run.
     """
     path = f"{root}/persons"
-    before = read_table(spark, path, f"{PERSONS}, run_id BIGINT").filter(F.col("run_id") != run_id)
-    start = before.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    stored = read_table(spark, path, f"{PERSONS}, run_id BIGINT")
+    mine = F.col("run_id") == run_id
+    last, first, own_last = stored.agg(F.max("id"), F.min(F.when(mine, F.col("id"))), F.max(F.when(mine, F.col("id")))).first()
+    start = (last or 0) if first is None else first - 1
     rows = upper_names(scan_delimited(spark, csv_path, CSV_COLUMNS))
     out = number_rows(rows, start + 1).select(
         "id",
@@ -51,6 +54,10 @@ def load_persons(spark: SparkSession, csv_path: str, root: str, run_id: int) ->
         F.lit(False).alias("processed"),
         F.lit(run_id).cast("bigint").alias("run_id"),
     )
+    if first is not None and last > own_last:
+        out = stable(out)
+        if (out.agg(F.max("id")).first()[0] or 0) > own_last:
+            raise ValueError(f"run {run_id} has more rows than before, and later runs have the ids behind them")
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "run_id"
     ).parquet(path)

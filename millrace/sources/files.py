@@ -20,40 +20,47 @@ def scan_delimited(spark: SparkSession, path: str, names: list[str], sep: str =
     )
 
 
-def scan_lines(spark: SparkSession, path: str, header: str | None = None) -> DataFrame:
-    """Every line after the header of each file, blank ones included, as ``value``.
+def scan_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Every line after the first one of each file, blank ones included, as ``value``.
 
-    ``header`` is the header line; it is looked up in the first file when not given. A line is
-    taken for the header only at the start of a file, i.e. inside its first block.
+    The first line is the one read first from the block at the file's start, whatever it says; lines that look
+    like it stay. Numbers by task and row tell the lines of a block apart; both reads of a file see the same blocks.
     """
-    lines = spark.read.text(path)
-    if header is None:
-        first = lines.first()
-        header = first["value"] if first else ""
-    at_start = F.col("_metadata.file_block_start") == 0
-    return lines.filter(~(at_start & (F.col("value") == header))).select("value")
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    first = lines.filter("_start = 0").groupBy("_file").agg(F.min("_at").alias("_at"))
+    return lines.join(first, ["_file", "_at"], "left_anti").select("value")
 
 
 def fields(line: Column, sep: str = ",") -> Column:
     """Fields of a line without trailing empty ones; an empty line has one empty field."""
-    kept = F.regexp_replace(line, f"(?:{sep})+$", "")
+    plain = "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+    kept = F.regexp_replace(line, f"(?:{plain})+$", "")
     none = (kept == "") & (line != "")
-    return F.when(none, F.array().cast("array<string>")).otherwise(F.split(kept, sep))
+    return F.when(none, F.array().cast("array<string>")).otherwise(F.split(kept, plain))
 
 
 def scan_lenient_lines(
-    lines: DataFrame, min_fields: int = 3, value_index: int = 2, type_: str = "decimal(38,6)"
+    lines: DataFrame, min_fields: int = 3, value_index: int = 2, scale: int = 18
 ) -> DataFrame:
     """``(line_value, n_fields, amount)`` per line.
 
     A line with fewer than ``min_fields`` fields has a NULL amount and still counts as a row;
-    an amount that is present but no number fails the query.
+    an amount that is present but no number, or that has digits behind ``scale`` decimals, fails the query.
     """
+    type_ = f"decimal(38,{scale})"
     parts = lines.select(fields(F.col("value")).alias("f"), F.col("value").alias("line_value"))
     text = strip_edges(F.get("f", value_index))
     number = text.try_cast(type_)
+    decimals = F.length(F.regexp_extract(text, r"\.(\d*?)0*$", 1))
+    shifted = text.rlike("[eE]") & (number.cast("double") != text.try_cast("double"))
+    exact = F.when((decimals > scale) | shifted, F.raise_error(F.concat(F.lit("too many decimals: "), text)).cast(type_))
     amount = F.when(F.size("f") < min_fields, F.lit(None).cast(type_)).otherwise(
-        F.coalesce(number, F.raise_error(F.concat(F.lit("not a number: "), text)).cast(type_))
+        F.coalesce(exact, number, F.raise_error(F.concat(F.lit("not a number: "), text)).cast(type_))
     )
     return parts.select("line_value", F.size("f").alias("n_fields"), amount.alias("amount"))
 

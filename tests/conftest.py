@@ -9,8 +9,9 @@ from millrace.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = build_session("tests", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.checkpoint.dir": shared})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

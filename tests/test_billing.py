@@ -90,8 +90,10 @@ def test_overflow_fails_one_range_and_restart_bills_once(spark):
     ledger = second.ranges.collect()
     assert [r["range_no"] for r in ledger if r["run_id"] == 2] == [2]
     assert {r["range_no"] for r in ledger if r["run_id"] == 1} == {0, 1, 2, 3}
-    third = run_billing(usage(spark, test_seed()), root, PARAMS, 3)
-    assert third.status == "COMPLETED" and totals(third.charges) == (24, 1290, 24)
+    later = [*test_seed(), (1000, 1, 5, 5)]
+    third = run_billing(usage(spark, later), root, PARAMS, 3)
+    assert third.status == "ALREADY_COMPLETE" and totals(third.charges) == (24, 1290, 24)
+    assert third.ranges.count() == len(ledger)
 
 
 def test_empty_source(spark):

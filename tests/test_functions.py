@@ -201,6 +201,35 @@ def test_header_is_dropped_once_when_a_file_is_split(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.mark.parametrize("block", ["40", "100000"])
+def test_only_the_first_line_of_a_file_goes(spark, tmp_path, block):
+    write_lines(tmp_path / "in", "a.csv", ["h,h,h", "k,a,1,x", "h,h,2", "k,a,3,x", *["h,h,4"] * 30])
+    write_lines(tmp_path / "in", "b.csv", ["other header", "k,a,0.0000004,x", "other header"])
+    (tmp_path / "in" / "empty.csv").write_text("")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        lines = files.scan_lines(spark, str(tmp_path / "in"))
+        got = sorted(r["value"] for r in lines.collect())
+        assert got == sorted(["k,a,1,x", "h,h,2", "k,a,3,x", *["h,h,4"] * 30, "k,a,0.0000004,x", "other header"])
+        total = files.scan_lenient_lines(lines).agg(F.sum("amount")).first()[0]
+        assert str(total).rstrip("0") == "126.0000004"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_amounts_lose_no_digit(spark):
+    read = lambda v: files.scan_lenient_lines(spark.createDataFrame([(f"a,b,{v}",)], "value STRING")).first()["amount"]
+    assert str(read("0.000000000000000001")) == "1E-18" and float(read("1.50" + "0" * 30)) == 1.5 and float(read("2.5E3")) == 2500
+    for lost in ("0.0000000000000000001", "1E-19"):
+        with pytest.raises(PySparkException, match="too many decimals"):
+            read(lost)
+
+
+def test_separators_are_plain_text(spark):
+    assert values(spark, ["a|b||", "|", "a.b"], files.fields(F.col("v"), "|")) == [["a", "b"], [], ["a.b"]]
+
+
 def test_files_and_missing_ones(spark, tmp_path):
     (tmp_path / "x.pdf").write_bytes(b"abc")
     found = files.scan_files(spark, str(tmp_path), "*.pdf")

@@ -182,3 +182,19 @@ def test_stream_rate_closes_windows_behind_the_watermark(spark):
     ends = [r["window_start"] + timedelta(minutes=5) for r in out]
     assert max(ends) <= datetime(2024, 1, 1, 0, 19, 30)
     assert {r["events"] for r in out if r["window_start"] >= datetime(2024, 1, 1)} == {5}
+
+
+def test_identities_do_not_collide(spark):
+    maps = [{"A": "1&B=2"}, {"A": "1", "B": "2"}, {"A": None}, {"A": ""}, {}, {"A": "1", "B": "2", "DESCRIPTION": "x"}]
+    df = spark.createDataFrame([(i, m) for i, m in enumerate(maps)], "i INT, m MAP<STRING, STRING>")
+    found = [r[0] for r in df.orderBy("i").select(ledger.run_identity(F.lit("job"), F.col("m"))).collect()]
+    assert len(set(found)) == 5 and found[1] == found[5]
+
+
+def test_equal_requests_start_once(spark):
+    ask = [(i, "job", {"DATE": d}) for i, d in enumerate(["2024-01-01", "2024-01-01", "2024-01-02", "2024-01-01"])]
+    requests = spark.createDataFrame(ask, "request_id BIGINT, job_name STRING, params MAP<STRING, STRING>")
+    jobs = spark.createDataFrame([("job",)], "job_name STRING")
+    runs = spark.createDataFrame([], "identity STRING, execution_id BIGINT, status STRING")
+    out = {r["request_id"]: r["decision"] for r in ledger.launch_decision(requests, jobs, runs).collect()}
+    assert out == {0: "NEW", 1: "ALREADY_RUNNING", 2: "NEW", 3: "ALREADY_RUNNING"}

@@ -133,3 +133,19 @@ def test_rows_are_numbered_without_gaps(spark):
     out = number_rows(df, start=5).orderBy("id").collect()
     assert [r["id"] for r in out] == list(range(5, 1005))
     assert [r["v"] for r in out] == list(range(1000))
+
+
+def test_only_large_groups_are_cut(spark, monkeypatch):
+    """15,000 rows in small groups and a group with a third of all rows."""
+    from millrace.operators import ordering
+
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 4 == 0, F.lit(None)).otherwise(F.col("id") % 1500).alias("g"), F.col("id").alias("k")
+    )
+    seen = []
+    monkeypatch.setattr(ordering, "_bucket_sums", lambda split, *a, f=ordering._bucket_sums: seen.append(split) or f(split, *a))
+    out = running_total(rows, ["k"], ["g"], total="n", rows_per_bucket=1000)
+    assert [s.filter("g IS NOT NULL").count() for s in seen] == [0]
+    assert seen[0].select("_bucket").distinct().count() >= 5
+    got = out.groupBy("g").agg(F.count("*").alias("n"), F.max("position").alias("p"), F.countDistinct("position").alias("d"))
+    assert got.filter("p <> n - 1 OR d <> n").count() == 0 and out.count() == 20_000

@@ -41,18 +41,19 @@ def one_task_windows(text: str) -> list[str]:
     return re.findall(r"Window .*\n.*Sort .*\n.*Exchange SinglePartition.*\n", text)
 
 
-@pytest.mark.parametrize("name", [n for n in catalog.QUERIES if n not in STORED])
-def test_windows_over_everything_see_bucket_rows_only(spark, name):
-    text = plan(catalog.QUERIES[name](spark, SF_DIR))
-    for found in one_task_windows(text):
-        assert "_bucket" in found, text
+def test_windows_over_everything_see_bucket_rows_only(spark):
+    """A table above the limit is never ordered by one task; below it one task orders it."""
+    rows = b.usage_record(spark, SF_DIR)
+    text = plan(ordering.running_total(rows, ["id"], rows_per_bucket=100))
+    found = one_task_windows(text)
+    assert found and all("_bucket" in x for x in found), text
+    assert len(re.findall(r"Exchange hashpartitioning\(_bucket", text)) == 1 and "Join" not in text
 
 
-def test_positions_shuffle_the_rows_once(spark):
+def test_small_groups_have_no_buckets(spark):
     rows = b.usage_record(spark, SF_DIR)
-    text = plan(ordering.running_total(rows, ["id"]))
-    hashed = re.findall(r"Exchange hashpartitioning\(_bucket", text)
-    assert len(hashed) == 1 and "Join" not in text
+    text = plan(ordering.running_total(rows, ["id"], ["subscriber_id"]))
+    assert "_bucket" not in text and not one_task_windows(text) and text.count("Exchange") == 1
 
 
 def test_filters_reach_the_scan(spark):

@@ -180,9 +180,15 @@ def narrow(x: np.ndarray) -> bytes:
     return low.to_bytes(8, "little", signed=True) + bytes([kind.itemsize]) + (x - low).astype(kind).tobytes()
 
 
-def sent(chunk: int, keys: np.ndarray, columns: list[np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Rows chunk, bucket, n, entries: the columns' slices of every bucket, one after the other. Signed 64-bit
-    columns are sent narrow."""
+def sent(
+    chunk: int,
+    keys: np.ndarray,
+    columns: list[np.ndarray],
+    buckets: int,
+    entry: Callable[[list[np.ndarray]], bytes] | None = None,
+) -> Iterator[pa.RecordBatch]:
+    """Rows chunk, bucket, n, entries: the columns' slices of every bucket, one after the other (or as ``entry`` puts
+    them together). Signed 64-bit columns are sent narrow."""
     bounds = cuts(keys, buckets)
     full = np.flatnonzero(bounds[1:] > bounds[:-1])
     if not len(full):
@@ -190,6 +196,8 @@ def sent(chunk: int, keys: np.ndarray, columns: list[np.ndarray], buckets: int)
 
     def slices(b: int) -> bytes:
         parts = [c[bounds[b] : bounds[b + 1]] for c in columns]
+        if entry:
+            return entry(parts)
         return b"".join(narrow(x) if x.dtype == np.int64 else x.tobytes() for x in parts)
 
     yield pa.RecordBatch.from_pydict(
@@ -220,9 +228,13 @@ def columns_of(blob: bytes, n: int, kinds: list) -> list[np.ndarray]:
     return out
 
 
-def exchanged(requests: DataFrame, kinds: list, fn: Callable[[list[np.ndarray]], list[np.ndarray]]) -> DataFrame:
+#: The chunk of rows with what buckets found in all.
+FOUND = -1
+
+
+def exchanged(requests: DataFrame, kinds: list, fn: Callable[[list[np.ndarray]], list[np.ndarray]], found: int = 0) -> DataFrame:
     """Answers of the buckets. ``fn`` gets a bucket's columns, those of ``sent``, and returns columns whose entries go
-    back to the chunks they came from."""
+    back to the chunks they came from; the last ``found`` of them go, as integers, to a row of chunk ``FOUND``."""
 
     def bucket(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
@@ -231,13 +243,30 @@ def exchanged(requests: DataFrame, kinds: list, fn: Callable[[list[np.ndarray]],
         columns = [np.concatenate([b[i] for b in blobs]) for i in range(len(kinds))]
         del blobs
         out = fn(columns)
+        out, more = out[: len(out) - found], out[len(out) - found :]
         ends = np.cumsum(n)
         entries = [pack(b"".join(c[e - k : e].tobytes() for c in out)) for e, k in zip(ends, n)]
-        return pa.table({"chunk": rows.column("chunk"), "bucket": rows.column("bucket"), "entries": pa.array(entries, pa.binary())})
+        chunk, number = rows.column("chunk").to_numpy(), rows.column("bucket").to_numpy()
+        if found:
+            entries.append(np.array([int(x) for x in more], np.int64).tobytes())
+            chunk, number = np.append(chunk, FOUND), np.append(number, number[0])
+        return pa.table({"chunk": pa.array(chunk), "bucket": pa.array(number), "entries": pa.array(entries, pa.binary())})
 
     return requests.groupBy("bucket").applyInArrow(bucket, ANSWER)
 
 
+def found_in_all(answers: DataFrame, n: int) -> list[int]:
+    """The sums of what the buckets found."""
+
+    def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.array([np.frombuffer(x.as_py(), np.int64) for x in batch.column("entries")]).reshape(-1, n)
+            yield pa.RecordBatch.from_pydict({f"x{i}": pa.array(rows[:, i].copy()) for i in range(n)})
+
+    rows = answers.where(F.col("chunk") == FOUND).mapInArrow(each, ", ".join(f"x{i} long" for i in range(n)))
+    return [x or 0 for x in rows.agg(*[F.sum(f"x{i}") for i in range(n)]).first()]
+
+
 def answered(blobs: list[bytes], kind) -> np.ndarray:
     """The answers of all buckets in the order of the keys that were sent."""
     return np.concatenate([np.frombuffer(unpack(b), kind) for b in blobs]) if blobs else np.zeros(0, kind)

@@ -5,15 +5,14 @@ tree predicts the bytes of that sequence; its contexts are the last 0 to ``DEPTH
 
 * The chunks exchange their distinct byte strings of ``DEPTH`` + 1 by value; the buckets sum the training counts. All
   strings of the corpus are there, so the table of counts grows with the corpus and is never sent whole anywhere.
-* Level by level a context is retained if the one a byte shorter is and if coding its successors by their own
-  distribution instead of the shorter context's saves more bits than its parameters cost (a divergence test: the
-  training count times the relative entropy against half a logarithm of the count for each successor seen).
-* Distributions are smoothed with the shorter context's, weighted by the number of different successors. So each
+* Level by level a context is retained if coding its successors by their own distribution instead of that of its
+  longest retained suffix saves more bits than its parameters cost (a divergence test: the training count times the
+  relative entropy against half a logarithm of the count for each successor seen).
+* Distributions are smoothed with that suffix's, weighted by the number of different successors. So each
   string ends with the probability of its last byte in its longest retained suffix, which goes back to the chunks.
 
-A token's probability (a word with its space, or the end) is that of its bytes, smoothing in turn the tokens' own
-counts: ``(count + distinct * spelt) / (tokens + distinct)``. So frequent words have their share, and words that were
-never seen what their spelling deserves. The token probabilities of every state sum to one.
+A token's probability (a word with its space, or the end) is that of its bytes, smoothed with the token's share of all
+tokens at the weight ``WEIGHT``. The token probabilities of every state sum to one.
 
 The word unigram score beside it is the usual baseline with half a count added.
 
@@ -31,14 +30,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import hashing as H
-from millrace.llm.chunks import ANSWER, SENT, Chunks, answered, columns_of, exchanged, pack, sent, stored
+from millrace.llm.chunks import ANSWER, SENT, Chunks, answered, exchanged, found_in_all, pack, sent, stored, unpack
 
-#: Bytes of the longest context.
-DEPTH = 4
+#: Bytes of the longest context; a string of one more has to fit into 6 bytes.
+DEPTH = 5
+#: Weight of the tokens' own shares beside their spelling.
+WEIGHT = 0.2
 START, END = b"\r", b"\n"
-#: Odd, so that strings and keys are one to one; spreads strings over the buckets.
-SPREAD = 0x9E3779B97F4A7C15
-UNSPREAD = pow(SPREAD, -1, 1 << 64)
+#: Odd, so that a string's first three bytes are spread over the buckets one to one; the strings that share them stay
+#: neighbours and are sent as small steps.
+SPREAD = 0x9E3779
+UNSPREAD = pow(SPREAD, -1, 1 << 24)
 #: The end of a text as a word.
 END_WORD = H.places_hash(np.frombuffer(END, np.uint8), np.zeros(1, np.int64), 1)
 TRAINS = "training row of the language model"
@@ -82,7 +84,17 @@ def strings(texts: list[bytes]) -> np.ndarray:
     out = wide[DEPTH:].copy()
     for back in range(1, DEPTH + 1):
         out |= wide[DEPTH - back : len(wide) - back] << np.uint64(8 * back)
-    return out[data[DEPTH:] != START[0]] * np.uint64(SPREAD)
+    return key_of(out[data[DEPTH:] != START[0]])
+
+
+def key_of(string: np.ndarray) -> np.ndarray:
+    first = ((string >> np.uint64(24)) * np.uint64(SPREAD)) & np.uint64(0xFFFFFF)
+    return (first << np.uint64(40)) | ((string & np.uint64(0xFFFFFF)) << np.uint64(16))
+
+
+def string_of(key: np.ndarray) -> np.ndarray:
+    first = ((key >> np.uint64(40)) * np.uint64(UNSPREAD)) & np.uint64(0xFFFFFF)
+    return (first << np.uint64(24)) | ((key >> np.uint64(16)) & np.uint64(0xFFFFFF))
 
 
 def training(rows: pa.Table) -> np.ndarray:
@@ -90,34 +102,48 @@ def training(rows: pa.Table) -> np.ndarray:
 
 
 def totals(columns: list[np.ndarray]) -> list[np.ndarray]:
-    """For entries key, count: the key's count, and 1 at one of its entries."""
+    """For entries key, count: the key's count; and the bucket's distinct trained keys and the sum of their counts."""
     key, count = columns
-    keys, first, of = np.unique(key, return_index=True, return_inverse=True)
+    keys, of = np.unique(key, return_inverse=True)
     total = np.bincount(of, weights=count, minlength=len(keys)).astype(np.int64)
-    return [total[of]]
+    return [total[of], np.count_nonzero(total), total.sum()]
 
 
-def corpus(requests: DataFrame) -> DataFrame:
-    """Rows words, tokens of each bucket: distinct trained keys and the sum of their counts."""
+def planes(x: np.ndarray) -> bytes:
+    """Numbers with their first bytes together, then their second ones, and so on, compressed."""
+    return pack(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes())
+
+
+def from_planes(blob: bytes, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(unpack(blob), np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+def squeezed(parts: list[np.ndarray]) -> bytes:
+    """Sorted keys by their steps, and their counts."""
+    key, count = parts
+    steps = planes(np.diff(key, prepend=np.uint64(0)))
+    return len(steps).to_bytes(4, "little") + steps + planes(count.astype(np.uint32))
+
+
+def keys_of(blob: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(blob[4 : 4 + int.from_bytes(blob[:4], "little")], np.uint64), dtype=np.uint64)
 
-    def bucket(rows: pa.Table) -> pa.Table:
-        parts = [columns_of(e.as_py(), n, [np.uint64, np.int64]) for e, n in zip(rows.column("entries"), rows.column("n").to_numpy())]
-        key, count = (np.concatenate(x) for x in zip(*parts))
-        return pa.table({"words": pa.array([len(np.unique(key[count > 0]))], pa.int64()), "tokens": pa.array([int(count.sum())], pa.int64())})
 
-    return requests.groupBy("bucket").applyInArrow(bucket, "words long, tokens long")
+def counts_of(blob: bytes) -> np.ndarray:
+    return from_planes(blob[4 + int.from_bytes(blob[:4], "little") :], np.uint32).astype(np.int64)
 
 
 def counted(requests: DataFrame) -> DataFrame:
     """Rows bucket, g (the string as a number), c (training count)."""
 
     def bucket(rows: pa.Table) -> pa.Table:
-        parts = [columns_of(e.as_py(), n, [np.uint64, np.int64]) for e, n in zip(rows.column("entries"), rows.column("n").to_numpy())]
-        key, count = (np.concatenate(x) for x in zip(*parts))
+        blobs = [e.as_py() for e in rows.column("entries")]
+        key, count = np.concatenate([keys_of(b) for b in blobs]), np.concatenate([counts_of(b) for b in blobs])
         keys, of = np.unique(key, return_inverse=True)
         total = np.bincount(of, weights=count, minlength=len(keys)).astype(np.int64)
-        g = (keys * np.uint64(UNSPREAD)).astype(np.int64)
-        return pa.table({"bucket": pa.array(np.full(len(g), rows.column("bucket")[0].as_py(), np.int32)), "g": pa.array(g), "c": pa.array(total)})
+        number = np.full(len(keys), rows.column("bucket")[0].as_py(), np.int32)
+        return pa.table({"bucket": pa.array(number), "g": pa.array(string_of(keys).astype(np.int64)), "c": pa.array(total)})
 
     return requests.groupBy("bucket").applyInArrow(bucket, "bucket int, g long, c long")
 
@@ -133,9 +159,9 @@ def tree(counts: DataFrame) -> DataFrame:
         last = depth == DEPTH
         nodes = counts if last else counts.groupBy(suffix(depth + 1).alias("g")).agg(F.sum("c").alias("c"))
         if level is None:
-            nodes = nodes.withColumns({"p": F.lit(1 / 256), "alive": F.lit(True)})
+            nodes = nodes.withColumn("p", F.lit(1 / 256))
         else:
-            shorter = level.select(F.col("g").alias("shorter"), "p", "alive")
+            shorter = level.select(F.col("g").alias("shorter"), "p")
             nodes = nodes.withColumn("shorter", suffix(depth)).join(shorter, "shorter")
         context = Window.partitionBy(F.shiftright("g", 8))
         seen = F.col("c") > 0
@@ -148,10 +174,9 @@ def tree(counts: DataFrame) -> DataFrame:
         )
         bits = F.when(F.col("n") > 0, F.col("n") * F.log2("n")).otherwise(0.0)
         cost = F.when(F.col("n") > 0, F.col("k") * F.log2("n") / 2).otherwise(0.0)
-        alive = F.col("alive") & (F.col("k") > 0) & (F.lit(depth == 0) | (F.col("gain") - bits > cost))
+        state = (F.col("k") > 0) & (F.lit(depth == 0) | (F.col("gain") - bits > cost))
         own = (F.col("c") + F.col("k") * F.col("p")) / (F.col("n") + F.col("k"))
-        level = nodes.withColumn("alive", alive).withColumn("p", F.when(F.col("alive"), own).otherwise(F.col("p")))
-        level = level.select("g", "p", "alive", *["bucket"] * last)
+        level = nodes.withColumn("p", F.when(state, own).otherwise(F.col("p"))).select("g", "p", *["bucket"] * last)
     return level.select("bucket", "g", "p")
 
 
@@ -159,23 +184,22 @@ def looked_up(requests: DataFrame, model: DataFrame) -> DataFrame:
     """For each chunk's strings the logarithm (10) of the model's probability."""
 
     def bucket(asked: pa.Table, known: pa.Table) -> pa.Table:
-        g = known.column("g").to_numpy().astype(np.uint64) * np.uint64(SPREAD)
-        order = np.argsort(g)
-        g, p = g[order], np.log10(known.column("p").to_numpy()[order]).astype(np.float32)
-        entries = [
-            pack(p[np.searchsorted(g, columns_of(e.as_py(), n, [np.uint64])[0])].tobytes())
-            for e, n in zip(asked.column("entries"), asked.column("n").to_numpy())
-        ]
+        key = key_of(known.column("g").to_numpy().astype(np.uint64))
+        order = np.argsort(key)
+        key, p = key[order], np.log10(known.column("p").to_numpy()[order]).astype(np.float32)
+        entries = [planes(p[np.searchsorted(key, keys_of(e.as_py()))]) for e in asked.column("entries")]
         return pa.table({"chunk": asked.column("chunk"), "bucket": asked.column("bucket"), "entries": pa.array(entries, pa.binary())})
 
     return requests.groupBy("bucket").cogroup(model.groupBy("bucket")).applyInArrow(bucket, ANSWER)
 
 
-def mixed(count: np.ndarray, spelt: np.ndarray, tokens: int, distinct: int) -> np.ndarray:
+def mixed(count: np.ndarray, spelt: np.ndarray, tokens: int) -> np.ndarray:
     """Logarithm (10) of tokens' probabilities by their counts and the logarithm of their spelling's probability."""
-    share = np.log10(max(distinct, 1) / (tokens + max(distinct, 1)))
-    seen = np.log10(np.maximum(count, 1) / (tokens + max(distinct, 1)))
-    return np.where(count > 0, np.logaddexp(seen * LN10, (spelt + share) * LN10) / LN10, spelt + share)
+    if not tokens:
+        return spelt
+    own = spelt + np.log10(1 - WEIGHT)
+    seen = np.log10(WEIGHT * np.maximum(count, 1) / tokens)
+    return np.where(count > 0, np.logaddexp(seen * LN10, own * LN10) / LN10, own)
 
 
 LN10 = np.log(10.0)
@@ -199,15 +223,12 @@ def scores(docs: DataFrame, trains: Column, id_column: str = "doc_id", text: str
         keys = np.unique(keys)
         total = np.zeros(len(keys), np.int64)
         total[np.searchsorted(keys, used)] = count
-        yield from sent(chunk, keys, [keys, total], buckets)
+        yield from sent(chunk, keys, [keys, total], buckets, squeezed)
 
-    word_requests = stored(chunks.map(words, SENT), "words")
-    size = corpus(word_requests).agg(F.sum("words"), F.sum("tokens")).first()
-    distinct, tokens = size[0] or 0, size[1] or 0
+    counts = stored(exchanged(chunks.map(words, SENT), [np.uint64, np.int64], totals, found=2), "counts")
+    distinct, tokens = found_in_all(counts, 2)
     requests = stored(chunks.map(pieces, SENT), "strings")
-    model = tree(stored(counted(requests), "counts"))
-    asked = looked_up(requests, model)
-    counts = exchanged(word_requests, [np.uint64, np.int64], totals)
+    asked = looked_up(requests, tree(stored(counted(requests), "model")))
     log_all = np.log10(tokens + 0.5 * (distinct + 1))
 
     def score(chunk: int, rows: pa.Table, counts: list[bytes], logs: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -215,12 +236,13 @@ def scores(docs: DataFrame, trains: Column, id_column: str = "doc_id", text: str
         found = Words(texts)
         count = answered(counts, np.int64)
         keys = strings(texts)
-        each = answered(logs, np.float32).astype(np.float64)[np.searchsorted(np.unique(keys), keys)]
+        logs = np.concatenate([from_planes(b, np.float32) for b in logs]).astype(np.float64)
+        each = logs[np.searchsorted(np.unique(keys), keys)]
         total = np.concatenate(([0], np.cumsum(each)))
         last = np.cumsum([len(t) for t in texts]) - 1
         spelt = total[found.ends + 1] - total[found.starts]
-        words = mixed(count[found.of], spelt, tokens, distinct)
-        ends = mixed(np.full(len(texts), count[found.end]), each[last], tokens, distinct)
+        words = mixed(count[found.of], spelt, tokens)
+        ends = mixed(np.full(len(texts), count[found.end]), each[last], tokens)
         yield pa.RecordBatch.from_pydict(
             {
                 "doc_id": rows.column("id").combine_chunks(),

@@ -1,5 +1,6 @@
 """The suffix tree and the unigram baseline against plain counts."""
 
+import functools
 import math
 import random
 import re
@@ -34,25 +35,26 @@ def brute(rows):
         if c:
             after.setdefault(context, {})[symbol] = c
 
+    @functools.cache
     def p(context, symbol):
-        below = p(context[1:], symbol) if context else (1 / 256, True)
+        below = p(context[1:], symbol) if context else 1 / 256
         own = after.get(context, {})
         total, k = sum(own.values()), len(own)
-        gain = sum(c * (math.log2(c / total) - math.log2(p(context[1:], s)[0])) for s, c in own.items()) if context else 1e9
-        if not below[1] or not k or gain <= k * math.log2(total) / 2:
-            return below[0], False
-        return (own.get(symbol, 0) + k * below[0]) / (total + k), True
+        gain = sum(c * (math.log2(c / total) - math.log2(p(context[1:], s))) for s, c in own.items()) if context else 1e9
+        if not k or gain <= k * math.log2(total) / 2:
+            return below
+        return (own.get(symbol, 0) + k * below) / (total + k)
 
     out = []
     for (i, *_), t, ws, s in zip(rows, train, texts, streams):
         base = sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws)
-        model, j, distinct = 0.0, lm.DEPTH, max(v, 1)
+        model, j = 0.0, lm.DEPTH
         for w in ws:
             spelt = 1.0
             for _ in range(len(w) + 1 if w else 1):
-                spelt *= p(s[j - lm.DEPTH : j], s[j])[0]
+                spelt *= p(s[j - lm.DEPTH : j], s[j])
                 j += 1
-            model += math.log10((count[w] + distinct * spelt) / (n + distinct))
+            model += math.log10(lm.WEIGHT * count[w] / n + (1 - lm.WEIGHT) * spelt if n else spelt)
         out.append((i, not t, len(ws), sum(count[w] > 0 for w in ws), n, base, model))
     return sorted(out, key=repr)
 

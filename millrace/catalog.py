@@ -1082,7 +1082,7 @@ def job_dispatch_recovery(spark, sf_dir):
     run = recovery.run_recovery(
         stored_groups(spark, sf_dir), all_members(spark, sf_dir), second_answer(spark, sf_dir), root
     )
-    stored = sinks.read_table(spark, f"{root}/recovered_group", recovery.GROUP_SCHEMA)
+    stored = sinks.read_versions(spark, f"{root}/recovered_group", "group_no", recovery.GROUP_SCHEMA)
     return stored.withColumn("run_status", F.lit(run.status))
 
 
@@ -1105,8 +1105,9 @@ def job_event_bundles(spark, sf_dir):
     """All events bundled, then one event bundled again: still one row per event."""
     root = scratch(spark, "bundles")
     registered, sold = b.generated_files(spark, sf_dir), flagged_tickets(spark, sf_dir)
-    bundles.run_bundles(registered, sold, root, buckets=8)
-    return bundles.run_bundles(registered, sold, root, event_id="7", buckets=8)
+    found = registered.select(F.col("storage_path").alias("path"))
+    bundles.run_bundles(registered, sold, root, found=found)
+    return bundles.run_bundles(registered, sold, root, event_id="7", found=found)
 
 
 @query

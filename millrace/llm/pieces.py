@@ -38,7 +38,7 @@ from millrace.llm.chunks import pieces as batches_of
 from millrace.llm.chunks import text_bytes
 
 #: Bytes of text worked on at once.
-STEP = 2 << 20
+STEP = 1 << 19
 #: The blank's sign in a vocabulary.
 BLANK = "▁"
 

@@ -38,8 +38,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def pack(blob: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(blob)
+def pack(blob: bytes, level: int = 1) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(blob)
 
 
 def unpack(blob: bytes) -> bytes:

@@ -65,15 +65,6 @@ def slice_hashes(sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nd
     return mix((sums[stop] - sums[start]) * down[start] + (stop - start).astype(np.uint64))
 
 
-def window_hashes(sums: np.ndarray, width: int) -> np.ndarray:
-    """Mixed hashes of all windows of ``width`` bytes."""
-    n = len(sums) - width
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    _, down = powers(len(sums))
-    return mix((sums[width:] - sums[:n]) * down[:n])
-
-
 def words_of(data: np.ndarray, bounds: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every run of bytes that are not ``space``, cut at the texts' ``bounds``, and for each text the
     number of words before it."""

@@ -89,7 +89,13 @@ def references(featured: DataFrame, language: str = "lang") -> dict[str, tuple[l
 
     They are taken twice: over all documents that do not fail the base rules, and again over those of them that the
     first references keep, so that junk does not become part of what is normal. ``featured`` should be stored."""
-    return shares(verdict(featured, shares(featured, language)).where("_quality_verdict.kept"), language)
+    return shares(only_kept(verdict(featured, shares(featured, language))), language)
+
+
+def only_kept(judged: DataFrame) -> DataFrame:
+    """The rows of ``verdict`` that are kept. A list of the verdict alone is exploded first: the filter stays above
+    it, where it would otherwise be pushed below every projection and repeat their expressions in one another."""
+    return judged.withColumn("_quality_kept", F.explode(F.array("_quality_verdict.kept"))).where("_quality_kept")
 
 
 def shares(featured: DataFrame, language: str) -> dict[str, tuple[list[float], list[float]]]:
@@ -165,4 +171,4 @@ def kept(docs: DataFrame, text: str = "text", language: str = "lang") -> DataFra
     """``docs`` without the rejected documents; no text is shuffled."""
     slim = docs.select(F.col(text).alias("text"), F.col(language).alias("lang"))
     known = references(stored(with_features(slim).drop("text"), "features"), "lang")
-    return verdict(with_features(docs, text), known).where("_quality_verdict.kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return only_kept(verdict(with_features(docs, text), known)).select(*[F.col(f"`{c}`") for c in docs.columns])

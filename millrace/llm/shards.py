@@ -45,6 +45,8 @@ TRAILER = 16
 #: Bytes of text in a chunk.
 CHUNK_BYTES = 4 << 20
 ROUNDS = 6
+#: Compression of tokens on their way.
+LEVEL = 6
 
 
 @dataclass(frozen=True)
@@ -136,7 +138,7 @@ def tokenised(docs: DataFrame, vocabulary: Bytepairs, length: int, id_column: st
                 "n": pa.array([len(tokens) // length], pa.int64()),
                 "ids": pa.array([ids], pa.list_(pa.int64())),
                 "ends": pa.array([ends], pa.list_(pa.int64())),
-                "tokens": pa.array([pack(tokens.tobytes())], pa.binary()),
+                "tokens": pa.array([pack(tokens.tobytes(), LEVEL)], pa.binary()),
             }
             chunk, held, ids, size = chunk + 1, [], [], 0
             return pa.RecordBatch.from_pydict(out)
@@ -184,7 +186,7 @@ def write(docs: DataFrame, path: str, vocabulary: Bytepairs, key: int = 0, lengt
                 for row, slot, used in zip(tokens, slots, real):
                     body = row.tobytes()
                     trailer = int(slot).to_bytes(8, "little") + int(used).to_bytes(3, "little")
-                    blobs.append(pack(body + trailer + zlib.crc32(body).to_bytes(4, "little")))
+                    blobs.append(pack(body + trailer + zlib.crc32(body).to_bytes(4, "little"), LEVEL))
                 yield pa.RecordBatch.from_pydict(
                     {"shard": pa.array(slots // records), "slot": pa.array(slots), "record": pa.array(blobs, pa.binary())}
                 )

@@ -40,7 +40,6 @@ from millrace.llm.chunks import (
     SENT,
     Chunks,
     answered,
-    columns_of,
     cuts,
     exchanged,
     pack,

@@ -84,3 +84,28 @@ def test_empty_table_and_unknown_language(spark):
     assert Q.judged(spark.createDataFrame([], SCHEMA)).collect() == []
     rows = [(1, "ten words are enough here when no reference is known", "xx", 0, ""), (2, "too few", "xx", 0, "")]
     assert {r.doc_id: r.kept for r in Q.judged(spark.createDataFrame(rows, SCHEMA)).collect()} == {1: True, 2: False}
+
+
+def test_languages_without_written_words(spark):
+    """Prose of other scripts is judged by its own references, junk of such a language is rejected."""
+    rng = random.Random(3)
+    common = "и в не на что он как это по но из у".split()
+    rare = ["".join(rng.choice("абвгдежзиклмнопрст") for _ in range(rng.randint(3, 9))) for _ in range(300)]
+    russian = lambda n: " ".join(rng.choice(common if rng.random() < 0.4 else rare) for _ in range(n)).capitalize() + "."
+    chinese = lambda n: " ".join("".join(chr(rng.randint(0x4E00, 0x4F00)) for _ in range(6)) for _ in range(n))
+    rows = [(i, russian(rng.randint(100, 300)), "ru", 1, "") for i in range(30)] + [(100 + i, chinese(150), "z'h", 1, "") for i in range(10)]
+    rows += [(200 + i, prose(rng, "en", 200), "en", 1, "") for i in range(20)]
+    rows += [(300, " ".join(w.upper() + "***" for w in prose(rng, "en", 200).split()), "ru", 0, ""), (301, russian(200), None, 1, "")]
+    rows += [(302, russian(200), "none", 1, "")]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    learnt = Q.learnt_words(df.where("doc_id < 300"))
+    assert set(learnt) == {"ru", "z'h"} and set(learnt["ru"]) == set(common)
+    got = {r.doc_id: r for r in Q.judged(df).collect()}
+    assert sorted(i for i, r in got.items() if not r.kept) == [300]
+    assert {r.reference for i, r in got.items() if i < 100} == {"ru"} and got[100].reference == "z'h"
+    left = Q.kept(df.withColumnsRenamed({"lang": "l", "text": "t"}), "t", "l")
+    assert sorted(r.doc_id for r in left.collect()) == sorted(i for i, r in got.items() if r.kept)
+    # A document whose language has no reference has the base rules only.
+    featured = Q.with_features(df)
+    known = {"en": Q.references(featured)["en"]}
+    assert [r.kept for r in Q.verdict(featured, known).where("doc_id in (301, 302)").select("_quality_verdict.kept").collect()] == [True, True]

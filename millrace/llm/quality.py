@@ -5,7 +5,8 @@ Each document gets two histograms: its characters by class, and its words by the
 the base rules; they are a few numbers per language, taken from the whole corpus. Every value of the language column
 has a reference: the common words of the languages of ``COMMON`` are written there, those of any other language are
 the words that are in most of its documents. A document is kept if for its own language or one of ``COMMON`` the
-Jensen-Shannon distances (square root of the divergence in bits, 0 to 1) of both histograms are within limits. Minimum lengths guard short texts, whose histograms say little: below ``MIN_CHARS`` characters or
+Jensen-Shannon distances (square root of the divergence in bits, 0 to 1) of both histograms are within limits. The limit of the characters follows from the distances of all documents of a language by their length: its
+median and what they deviate from that, times the square root of the length. Minimum lengths guard short texts, whose histograms say little: below ``MIN_CHARS`` characters or
 ``MIN_WORDS`` words the one or the other distance is not judged.
 
 Everything is computed within the row; the only exchanges are the sum of the histograms by language and, for languages
@@ -26,10 +27,13 @@ from pyspark.sql import functions as F
 
 from millrace.llm.chunks import stored
 
-#: Limit of the characters' distance for long texts, and what a text of n characters has more, times sqrt(n): shares of
-#: few characters are uneven by chance. Limit of the words' distance. Lengths from which they are judged.
+#: Limit of the characters' distance for long texts, and what a text of n characters has more, times sqrt(n), while the
+#: references are learnt: shares of few characters are uneven by chance. After that it has so many times the root mean
+#: square of what the language's texts have more than their median. Limit of the words' distance. Lengths from which
+#: they are judged.
 CHAR_LIMIT = 0.15
 CHAR_SLACK = 2.1
+DEVIATIONS = 5.5
 WORD_LIMIT = 0.4
 MIN_CHARS = 250
 MIN_WORDS = 40
@@ -53,11 +57,23 @@ FEATURES = "_quality_features"
 
 
 class Reference(NamedTuple):
-    """Shares of the character classes and of the common words, the rest last in both; the common words."""
+    """Shares of the character classes and of the common words, the rest last in both; the common words; the median of
+    the characters' distances and the root mean square of sqrt(n) times the deviations from it, if they are known."""
 
     chars: list[float]
     words: list[float]
     common: list[str]
+    middle: float | None = None
+    spread: float | None = None
+
+    def limit(self) -> str:
+        return char_limit("cast(null as double)" if self.middle is None else f"{self.middle!r}D", f"{self.spread or 0.0!r}D")
+
+
+def char_limit(middle: str, spread: str) -> str:
+    """Limit of the characters' distance, as SQL; that of the first references without a median."""
+    root = f"sqrt(greatest({FEATURES}.n_chars, 1))"
+    return f"if({middle} is null, {CHAR_LIMIT}D + {CHAR_SLACK}D / {root}, greatest({CHAR_LIMIT}D, {middle} + {DEVIATIONS}D * {spread} / {root}))"
 
 
 def literal(value: str) -> str:
@@ -135,9 +151,24 @@ def references(featured: DataFrame, language: str = "lang", learnt: dict[str, li
     ``learnt`` that has a document which does not fail the base rules.
 
     They are taken twice: over all documents that do not fail the base rules, and again over those of them that the
-    first references keep, so that junk does not become part of what is normal. ``featured`` should be stored."""
+    first references keep, so that junk does not become part of what is normal; so are the spreads of the distances to
+    them. ``featured`` should be stored."""
     first = shares(featured, language, learnt)
-    return shares(only_kept(verdict(featured, first, language)), language, learnt)
+    return with_spreads(featured, shares(only_kept(verdict(featured, first, language)), language, learnt), language)
+
+
+def with_spreads(featured: DataFrame, known: dict[str, Reference], language: str) -> dict[str, Reference]:
+    """``known`` with the spread of the distances of all documents it keeps. Equal distances of texts of one length count
+    once, so that copies do not narrow it; no language has less than the spread of all."""
+    near = only_kept(verdict(featured, known, language)).where(F.col(f"{FEATURES}.n_chars") >= MIN_CHARS)
+    v = F.col("_quality_verdict")
+    near = near.select(v["reference"].alias("lang"), F.col(f"{FEATURES}.n_chars").alias("n"), v["char_distance"].alias("c")).distinct()
+    sums = [F.sum(F.col("n") * F.col("c") * F.col("c")).alias("ncc"), F.sum(F.col("n") * F.col("c")).alias("nc"), F.sum("n").alias("n")]
+    rows = near.groupBy("lang").agg(F.percentile_approx("c", 0.5, 10000).alias("middle"), F.count("*").alias("docs"), *sums).collect()
+    squares = {r["lang"]: max(0.0, r["ncc"] - 2 * r["middle"] * r["nc"] + r["middle"] ** 2 * r["n"]) for r in rows if r["lang"] in known}
+    every = sum(squares.values()) / max(1, sum(r["docs"] for r in rows if r["lang"] in known))
+    spread = {r["lang"]: (r["middle"], max(every, squares[r["lang"]] / r["docs"]) ** 0.5) for r in rows if r["lang"] in known}
+    return {lang: r._replace(middle=spread[lang][0], spread=spread[lang][1]) if lang in spread else r for lang, r in known.items()}
 
 
 def only_kept(judged: DataFrame) -> DataFrame:
@@ -184,33 +215,36 @@ def verdict(featured: DataFrame, known: dict[str, Reference], language: str = "l
     rest = f"{f}.n_chars - aggregate({f}.chars, 0L, (a, x) -> a + x)"
     df = featured.withColumn("_quality_chars", F.expr(f"transform(concat({f}.chars, array({rest})), x -> x / {spread})"))
 
-    def choice(name: str, counts: str, chars: str, words: str, lang: str) -> str:
+    def choice(name: str, counts: str, chars: str, words: str, lang: str, limit: str) -> str:
         """The distances to one language, whose words' shares become the column ``name``."""
         nonlocal df
         df = df.withColumn(name, F.expr(f"transform({counts}, x -> x / greatest({f}.n_words, 1))"))
         shares = f"concat({name}, array(1D - aggregate({name}, 0D, (a, x) -> a + x)))"
         chars_far = f"if({f}.n_chars < {MIN_CHARS}, 0D, {distance('_quality_chars', chars)})"
         words_far = f"if({f}.n_words < {MIN_WORDS}, 0D, {distance(shares, words)})"
-        return f"named_struct('c', {chars_far}, 'w', {words_far}, 'lang', {lang})"
+        return f"named_struct('c', {chars_far}, 'w', {words_far}, 'lang', {lang}, 'most', {limit})"
 
     choices = []
     for lang in (x for x in known if x in COMMON):
         picked = ", ".join(f"{f}.words[{every.index(w)}]" for w in known[lang].common)
         chars, words = numbers(known[lang].chars), numbers(known[lang].words)
-        choices.append(choice(f"_quality_words_{lang}", f"array({picked})", chars, words, literal(lang)))
+        choices.append(choice(f"_quality_words_{lang}", f"array({picked})", chars, words, literal(lang), known[lang].limit()))
     choices = f"array({', '.join(choices)})" if choices else None
     others = {lang: r for lang, r in known.items() if lang not in COMMON}
     if others:
-        values = {lang: f"named_struct('c', {numbers(r.chars)}, 'w', {numbers(r.words)})" for lang, r in others.items()}
+        values = {
+            lang: f"named_struct('c', {numbers(r.chars)}, 'w', {numbers(r.words)}, 'm', cast({r.middle if r.middle is not None else 'null'} as double), 's', {r.spread or 0.0!r}D)"
+            for lang, r in others.items()
+        }
         df = df.withColumn("_quality_reference", F.expr(by_language(values, language, "")))
         counts = f"coalesce({f}.own, array())"
-        own = choice("_quality_words", counts, "_quality_reference.c", "_quality_reference.w", f"cast(`{language}` as string)")
+        most = char_limit("_quality_reference.m", "_quality_reference.s")
+        own = choice("_quality_words", counts, "_quality_reference.c", "_quality_reference.w", f"cast(`{language}` as string)", most)
         own = f"filter(array(if(_quality_reference is null, null, {own})), x -> x is not null)"
         choices = f"concat({choices}, {own})" if choices else own
     if choices:
         df = df.withColumn("_quality_choices", F.expr(choices))
-        limit = f"({CHAR_LIMIT}D + {CHAR_SLACK}D / sqrt({spread}))"
-        over = f"greatest(x.c / {limit}, x.w / {WORD_LIMIT}D)"
+        over = f"greatest(x.c / x.most, x.w / {WORD_LIMIT}D)"
         nearest = F.expr(f"array_min(transform(_quality_choices, x -> struct({over} as far, x.c as c, x.w as w, x.lang as lang)))")
     else:
         nearest = F.expr("struct(0D as far, 0D as c, 0D as w, cast(null as string) as lang)")

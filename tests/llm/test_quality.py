@@ -109,3 +109,16 @@ def test_languages_without_written_words(spark):
     featured = Q.with_features(df)
     known = {"en": Q.references(featured)["en"]}
     assert [r.kept for r in Q.verdict(featured, known).where("doc_id in (301, 302)").select("_quality_verdict.kept").collect()] == [True, True]
+
+
+def test_junk_of_medium_length(spark):
+    """Menus of 1,000 to 2,000 characters beside prose of every length: all of it is kept, and none of them."""
+    rng = random.Random(4)
+    rows = [(i, prose(rng, "en", rng.randint(50, 500)), "en", 1, "") for i in range(400)]
+    rows += [(1000 + i, " | ".join(prose(rng, "en", 3).lower().strip(".") for _ in range(rng.randint(70, 100))), "en", 0, "") for i in range(4)]
+    got = Q.judged(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    junk = [r for r in got if r.doc_id >= 1000]
+    assert not any(r.base_failed for r in got) and sorted(r.doc_id for r in got if r.kept) == list(range(400))
+    texts = {r[0]: r[1] for r in rows}
+    fixed = [r.char_distance / (Q.CHAR_LIMIT + Q.CHAR_SLACK / math.sqrt(len(texts[r.doc_id]))) for r in junk]
+    assert max(fixed) < 1  # the limit that does not know the spread keeps them

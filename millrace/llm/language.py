@@ -7,8 +7,9 @@ A Viterbi pass over the words of a text, with a penalty for each switch of langu
 most letters is the text's, and the score is its share of the letters.
 
 The model is fitted on a bounded sample of whole rows per language (``SAMPLE_ROWS``), chosen by a hash of the text;
-its size depends only on ``BINS`` and the number of languages (at most ``LANGUAGES``, the most frequent ones), so it
-can be sent to every task. All rows are predicted, over their whole texts.
+its size depends only on ``BIN_BITS`` and the number of languages, all of which are learnt. It is sent to the
+tasks whole, ``4 << BIN_BITS`` bytes for each language. All rows are
+predicted, over their whole texts.
 
 Defined results: null text, and text without a letter, is ``und`` with score 0; a model without any training row
 says ``und`` for all. Equal scores go to the language that is first in order. Only the text is an input of a
@@ -33,8 +34,6 @@ from millrace.llm.chunks import pieces, text_bytes
 
 #: Training rows of each language at most, taken in order of a hash of their text.
 SAMPLE_ROWS = 1000
-#: Languages at most.
-LANGUAGES = 64
 #: Bins of trigrams, as a power of two.
 BIN_BITS = 16
 #: Cost of a switch of language between two words, in natural logarithms.
@@ -43,8 +42,9 @@ SWITCH = 8.0
 FOREIGN = 30.0
 #: A script is foreign to a language with less than this share of its letters.
 RARE = 0.001
-#: Words in a block of the Viterbi pass.
+#: Words in a block of the Viterbi pass, and languages up to which blocks are solved for every pair of labels.
 BLOCK = 64
+PAIRS = 64
 #: Bytes of text worked on at once.
 STEP = 1 << 20
 
@@ -129,6 +129,8 @@ def best_path(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarra
     Blocks of words are solved side by side for every pair of first and last label, then the blocks of a text one
     after the other, then the labels within all blocks side by side again."""
     n, k = scores.shape
+    if k > PAIRS:
+        return path_by_words(scores, first, switch)
     sizes = np.diff(first)
     blocks = -(-sizes // BLOCK)
     before = np.concatenate(([0], np.cumsum(blocks)))
@@ -182,13 +184,38 @@ def best_path(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarra
     return out
 
 
+def path_by_words(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
+    """``best_path`` for many languages: word after word, all texts and labels side by side."""
+    n, k = scores.shape
+    sizes = np.diff(first)
+    order = np.argsort(-sizes, kind="stable")
+    start, size = first[:-1][order], sizes[order]
+    live = [int(np.searchsorted(-size, -step)) for step in range(int(size.max(initial=0)))]  # texts of more words
+    total = np.zeros((len(size), k))
+    stay, top = np.zeros((n, k), bool), np.zeros(n, np.int32)
+    for step, m in enumerate(live):
+        at, old = start[:m] + step, total[:m]
+        jump = old.max(axis=1, keepdims=True) - switch
+        stay[at], top[at] = old >= jump, old.argmax(axis=1)
+        total[:m] = np.maximum(old, jump) - jump + scores[at]
+    out = np.zeros(n, np.int32)
+    label = total.argmax(axis=1)
+    for step in range(len(live) - 1, -1, -1):
+        m = live[step]
+        at, own = start[:m] + step, label[:m]
+        out[at] = own
+        label[:m] = np.where(stay[at, own], own, top[at])
+    return out
+
+
 def fit(docs: DataFrame, language: str, text: str, bins: int = 1 << BIN_BITS) -> Model:
     """The model of the rows of ``docs``: a bounded sample of each language's texts, counted in tasks."""
     used = docs.where(F.col(language).isNotNull() & F.col(text).isNotNull()).select(
         F.col(language).cast("string").alias("lang"), F.col(text).alias("text")
     )
-    sizes = used.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    sizes = used.groupBy("lang").agg(F.count("*").alias("n")).collect()
     languages = sorted(r.lang for r in sizes)
+    number = {lang: i for i, lang in enumerate(languages)}
     share = {r.lang: min(1.0, 2.0 * SAMPLE_ROWS / r.n) for r in sizes}
     # About twice the wanted rows by a hash of the text, of which the first ones in its order stay.
     order = F.xxhash64(F.lit("sample"), "text")
@@ -202,7 +229,7 @@ def fit(docs: DataFrame, language: str, text: str, bins: int = 1 << BIN_BITS) ->
             for part in pieces(batch, "text", STEP):
                 data, bounds = text_bytes(part.column("text"))
                 read_ = read(data, bounds)
-                name = np.array([languages.index(x) for x in part.column("lang").to_pylist()])
+                name = np.array([number[x] for x in part.column("lang").to_pylist()])
                 word = np.repeat(name, np.diff(read_.first))
                 sizes = np.diff(np.append(read_.at, len(read_.bins)))
                 kept = read_.letters > 0
@@ -219,17 +246,19 @@ def fit(docs: DataFrame, language: str, text: str, bins: int = 1 << BIN_BITS) ->
 
     ranked = picked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order", "text")))
     sample = ranked.where(F.col("rank") <= SAMPLE_ROWS).select("lang", "text")
-    rows = sample.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect() if languages else []
-    counts = np.zeros((len(languages), bins))
+    counts = np.zeros((bins, len(languages)), np.float32)
     scripts = np.zeros((len(languages), len(SCRIPTS)))
-    for key, n in rows:
-        if key >= 0:
-            counts[key // bins, key % bins] = n
-        else:
-            scripts[(-1 - key) // len(SCRIPTS), (-1 - key) % len(SCRIPTS)] = n
-    logs = np.log((counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * bins))
+    if languages:
+        rows = sample.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+        key, n = rows.column("key").to_numpy(), rows.column("n").to_numpy()
+        counts[key[key >= 0] % bins, key[key >= 0] // bins] = n[key >= 0]
+        scripts[(-1 - key[key < 0]) // len(SCRIPTS), (-1 - key[key < 0]) % len(SCRIPTS)] = n[key < 0]
+    counts += np.float32(0.5)
+    every = counts.sum(axis=0, dtype=np.float64)
+    logs = np.log(counts, out=counts)
+    logs -= np.log(every).astype(np.float32)
     rare = scripts < RARE * np.maximum(scripts.sum(axis=1, keepdims=True), 1)
-    return Model(languages, logs.T.astype(np.float32).copy(), (rare.T * FOREIGN).astype(np.float32))
+    return Model(languages, logs, (rare.T * FOREIGN).astype(np.float32))
 
 
 def labelled(model: Model, data: np.ndarray, bounds: np.ndarray) -> tuple[Text, np.ndarray]:
@@ -240,10 +269,11 @@ def labelled(model: Model, data: np.ndarray, bounds: np.ndarray) -> tuple[Text,
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``lang_score`` and ``lang_spans``: from word, to word, language of each span."""
     names = pa.array(model.languages, pa.string())
+    step = STEP * PAIRS // max(PAIRS, len(model.languages))  # scores are words by languages
 
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, text, STEP) if batch.num_rows else ():
+            for part in pieces(batch, text, step) if batch.num_rows else ():
                 yield finished(part)
 
     def finished(part: pa.RecordBatch) -> pa.RecordBatch:

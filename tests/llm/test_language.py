@@ -81,3 +81,25 @@ def test_without_rows(spark):
     assert L.identify(df, F.lit(True)).collect() == []
     df = spark.createDataFrame([(1, "some text", None, 0, "")], SCHEMA)
     assert [(r.lang_pred, r.lang_score) for r in L.identify(df, F.lit(True)).collect()] == [("und", 0)]
+
+
+def test_path_of_many_languages():
+    rng = np.random.default_rng(7)
+    first = np.cumsum([0, 0, 1, 70, 64, 0, 33])
+    scores = rng.normal(size=(first[-1], L.PAIRS + 6)).astype(np.float32) * 3
+    got = L.best_path(scores, first, 2.0)
+    for a, b in zip(first, first[1:]):
+        if b > a:
+            own = got[a:b]
+            total = scores[np.arange(a, b), own].sum() - 2.0 * np.count_nonzero(own[1:] != own[:-1])
+            assert total == pytest.approx(plain_path(scores[a:b], 2.0)[0], abs=1e-2)
+
+
+def test_more_languages_than_64(spark):
+    """The rarest of 70 languages are learnt too."""
+    rng = random.Random(5)
+    words = {f"l{i:02}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(12)] for i in range(70)}
+    rows = [(i, t, lang, 0, "") for i, lang in enumerate(words) for t in sentences(rng, words[lang], 4 if lang < "l64" else 3)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    out = L.identify(df, F.lit(True)).collect()
+    assert len(out) == len(rows) and all(r.lang_pred == r.lang for r in out)

@@ -6,7 +6,7 @@ code points, and a language in whose training text a script is (almost) absent p
 A Viterbi pass over the words of a text, with a penalty for each switch of language, labels spans; the language with
 most letters is the text's, and the score is its share of the letters.
 
-The model is fitted on a bounded sample of whole rows per language (``SAMPLE_ROWS``), chosen by a hash of the text;
+The model is fitted on a bounded sample of different texts per language (``SAMPLE_ROWS``), chosen by their hash;
 its size depends only on ``BIN_BITS`` and the number of languages, all of which are learnt. It is sent to the
 tasks whole, ``4 << BIN_BITS`` bytes for each language. All rows are
 predicted, over their whole texts.
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from millrace.llm import hashing as H
 from millrace.llm.chunks import pieces, text_bytes
 
-#: Training rows of each language at most, taken in order of a hash of their text.
+#: Training rows of each language at most, all of different texts, taken in order of a hash of their text.
 SAMPLE_ROWS = 1000
 #: Bins of trigrams, as a power of two.
 BIN_BITS = 16
@@ -208,21 +208,29 @@ def path_by_words(scores: np.ndarray, first: np.ndarray, switch: float) -> np.nd
     return out
 
 
+def sampled(used: DataFrame) -> tuple[list[str], DataFrame]:
+    """The languages, and ``SAMPLE_ROWS`` different texts of each, or all of them if there are fewer."""
+    order = F.xxhash64(F.lit("sample"), "text")
+    texts = used.select("lang", order.alias("order")).groupBy("lang", "order").agg(F.lit(1).alias("one"))
+    sizes = texts.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    share = {r.lang: min(1.0, 2.0 * SAMPLE_ROWS / r.n) for r in sizes}
+    # About twice the wanted texts by a hash of them, of which the first ones in its order stay.
+    low, high = -(1 << 63), (1 << 63) - 1
+    bounds = [x for lang, part in share.items() for x in (F.lit(lang), F.lit(high if part == 1 else int((2 * part - 1) * high)))]
+    bound = F.coalesce(F.create_map(*bounds)[F.col("lang")] if bounds else F.lit(None), F.lit(low))
+    picked = used.withColumn("order", order).where(F.col("order") <= bound)
+    once = picked.groupBy("lang", "order").agg(F.min("text").alias("text"))
+    ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order")))
+    return sorted(share), ranked.where(F.col("rank") <= SAMPLE_ROWS).select("lang", "text")
+
+
 def fit(docs: DataFrame, language: str, text: str, bins: int = 1 << BIN_BITS) -> Model:
     """The model of the rows of ``docs``: a bounded sample of each language's texts, counted in tasks."""
     used = docs.where(F.col(language).isNotNull() & F.col(text).isNotNull()).select(
         F.col(language).cast("string").alias("lang"), F.col(text).alias("text")
     )
-    sizes = used.groupBy("lang").agg(F.count("*").alias("n")).collect()
-    languages = sorted(r.lang for r in sizes)
+    languages, sample = sampled(used)
     number = {lang: i for i, lang in enumerate(languages)}
-    share = {r.lang: min(1.0, 2.0 * SAMPLE_ROWS / r.n) for r in sizes}
-    # About twice the wanted rows by a hash of the text, of which the first ones in its order stay.
-    order = F.xxhash64(F.lit("sample"), "text")
-    low, high = -(1 << 63), (1 << 63) - 1
-    bounds = [x for lang, part in share.items() for x in (F.lit(lang), F.lit(high if part == 1 else int((2 * part - 1) * high)))]
-    bound = F.coalesce(F.create_map(*bounds)[F.col("lang")] if bounds else F.lit(None), F.lit(low))
-    picked = used.withColumn("order", order).where(F.col("order") <= bound)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,8 +252,6 @@ def fit(docs: DataFrame, language: str, text: str, bins: int = 1 << BIN_BITS) ->
                     }
                 )
 
-    ranked = picked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order", "text")))
-    sample = ranked.where(F.col("rank") <= SAMPLE_ROWS).select("lang", "text")
     counts = np.zeros((bins, len(languages)), np.float32)
     scripts = np.zeros((len(languages), len(SCRIPTS)))
     if languages:

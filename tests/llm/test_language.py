@@ -103,3 +103,14 @@ def test_more_languages_than_64(spark):
     df = spark.createDataFrame(rows, SCHEMA).repartition(4)
     out = L.identify(df, F.lit(True)).collect()
     assert len(out) == len(rows) and all(r.lang_pred == r.lang for r in out)
+
+
+def test_sample_of_different_texts(spark, monkeypatch):
+    """Copies do not take the places of other texts."""
+    monkeypatch.setattr(L, "SAMPLE_ROWS", 20)
+    rng = random.Random(6)
+    texts = sentences(rng, [chr(97 + i) * 3 for i in range(26)], 100)
+    rows = [(0, t, "en", 0, "") for t in texts] + [(1, t, "en", 0, "") for t in texts[:30] for _ in range(100)] + [(2, "a b c", "few", 0, "")] * 5
+    languages, sample = L.sampled(spark.createDataFrame(rows, SCHEMA).select("lang", "text").repartition(4))
+    got = [tuple(r) for r in sample.collect()]
+    assert languages == ["en", "few"] and len(set(got)) == len(got) == 21

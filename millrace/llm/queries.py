@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, language, licenses, lm, pieces, quality, shards, suffixes
+from millrace.llm import chat, counts, decontaminate, jaccard, language, licenses, lm, pieces, quality, shards, suffixes, vocabularies
 from millrace.session import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Key of the training order and seed of the sampled segmentations.
 ORDER_KEY = 20240601
 SEED = 7
+#: Tokens above which a document is over the limit.
+TOKEN_LIMIT = 4096
 
 
 def query(fn: Query) -> Query:
@@ -45,6 +47,10 @@ def sentence_pieces() -> pieces.Vocabulary:
     return pieces.Vocabulary.read(f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
+def vocabulary(name: str) -> vocabularies.Vocabulary:
+    return vocabularies.Vocabulary.read(f"{TOKENIZERS}/{name}")
+
+
 @query
 def op1_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as binary shards in training order, read back: one row per sequence with its place and documents."""
@@ -120,3 +126,11 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     odd = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], rows.schema)
     return chat.digest(rows.unionByName(more))
+
+
+@query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, each different text encoded once, from a cache that starts empty."""
+    docs, cache = table(spark, sf_dir, "documents"), scratch(spark, "token_counts")
+    rows = counts.count(docs, vocabulary("piece_bpe_32k.model"), cache, keep=["doc_id"]).rows
+    return rows.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))

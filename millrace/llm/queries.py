@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, counts, decontaminate, jaccard, language, licenses, lm, pieces, quality, shards, suffixes, vocabularies
+from millrace.llm import alignment, chat, counts, decontaminate, jaccard, language, licenses, lm, pieces, quality, shards, suffixes, vocabularies, whitening
 from millrace.session import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,9 +128,23 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(rows.unionByName(more))
 
 
+@query
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of every document's tokens by two tokenizers, weighed by the whole corpus' links."""
+    docs = table(spark, sf_dir, "documents")
+    found = alignment.Alignment(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    return found.documents().withColumnRenamed("id", "doc_id")
+
+
 @query
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, each different text encoded once, from a cache that starts empty."""
     docs, cache = table(spark, sf_dir, "documents"), scratch(spark, "token_counts")
     rows = counts.count(docs, vocabulary("piece_bpe_32k.model"), cache, keep=["doc_id"]).rows
     return rows.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on the first eight whitened components of all vectors' covariance."""
+    return whitening.digest(table(spark, sf_dir, "embeddings"), components=8)

@@ -81,12 +81,12 @@ def divisible(vocabulary: Vocabulary) -> bool:
 
 
 def parts(text: str, step: int = PART) -> Iterator[str]:
-    """``text`` cut before blanks that follow another character, at about every ``step`` characters. The first part
+    """``text`` cut before blanks that follow no other white space, at about every ``step`` characters. The first part
     begins as the text does, every other one with its blank; none is a blank alone, which a model would not see."""
     at = 0
     while at < len(text):
         stop = at + step
-        while (stop := text.find(" ", stop)) >= 0 and text[stop - 1] in (" ", BLANK):
+        while (stop := text.find(" ", stop)) >= 0 and (text[stop - 1].isspace() or text[stop - 1] == BLANK):
             stop += 1
         stop = len(text) if stop < 0 or stop == len(text) - 1 else stop
         yield text[at:stop]

@@ -7,8 +7,8 @@ tokenizer's own normaliser leaves it. A run takes these steps:
 1. Every text is digested once; a narrow row (columns to keep, digest, bytes) is stored, the text is not.
 2. The different digests are joined to the cache's rows of this version. What has no count is a miss.
 3. One text of each miss is encoded. Up to ``SENT_MISSES`` misses their digests go to all tasks, so only missing
-   texts are shuffled; above that, texts are first reduced to one a digest and task, then meet the misses by a join.
-   Encoding takes a hundred times longer than that shuffle.
+   texts are shuffled; above that, texts are first reduced to one a digest and task, then meet the misses by a join,
+   which is left out where nothing was known. Encoding takes a hundred times longer than that shuffle.
 4. The new counts are appended to the cache, and the narrow rows get their counts by digest.
 
 A text that is a third of all rows arrives once per task at the one place that encodes it; its narrow rows
@@ -37,7 +37,7 @@ from millrace.llm.vocabularies import Vocabulary, json_tokenizer, piece_ids, pie
 from millrace.operators.sinks import append_to, read_table
 
 #: Misses whose digests (32 bytes each) are sent to all tasks.
-SENT_MISSES = 1 << 18
+SENT_MISSES = 1 << 17
 #: Bytes of text that are encoded at once; a longer text is taken alone.
 STEP_BYTES = 1 << 20
 
@@ -111,11 +111,11 @@ def count(docs: DataFrame, vocabulary: Vocabulary, cache: str, keep: list[str],
     if misses:
         missing = looked_up.where("n_tokens is null").select("digest")
         texts = slim.select("text").mapInArrow(digested, "text string, digest binary")
-        if misses <= sent_misses:
+        few, some = misses <= sent_misses, misses < distinct
+        if few and some:
             texts = texts.join(F.broadcast(missing), "digest", "left_semi")
-            missing = None
         single = texts.groupBy("digest").agg(F.first("text").alias("text"))
-        if missing is not None and misses < distinct:
+        if some and not few:
             single = single.join(missing, "digest", "left_semi")
         encoded = stored(encode(single, vocabulary), "encoded")
         append_to_cache(encoded, cache, version)

@@ -59,7 +59,7 @@ def test_counts_are_the_librarys(spark, tmp_path, name):
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("sent", [0, 1 << 18])
+@pytest.mark.parametrize("sent", [0, 1 << 17])
 def test_only_misses_are_encoded(spark, tmp_path, monkeypatch, sent):
     stored_at, vocabulary = str(tmp_path / "cache"), vocabulary_of(NAMES[0])
     first, more = some_texts(2, 60), some_texts(3, 60)

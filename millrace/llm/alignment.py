@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.chunks import blob_of, pack, pieces, stored, table_of, unpack
-from millrace.llm.vocabularies import BLANK, Vocabulary, divisible, json_tokenizer, parts, piece_model
+from millrace.llm.vocabularies import BLANK, Vocabulary, byte_alphabet, divisible, json_tokenizer, parts, piece_model, plain_ids
 
 #: Bytes of text that are aligned at once; a longer text is taken alone.
 CHUNK_BYTES = 2 << 20
@@ -48,14 +48,6 @@ SENT_PAIRS = 1 << 21
 PART = 1 << 18
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others in
-    order from 256 on."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 @dataclass(frozen=True)
 class Side:
     """The bytes of a tokenizer's ids."""
@@ -120,14 +112,14 @@ def encoded(a: Vocabulary, b: Vocabulary, texts: list[str]) -> list[tuple[list[n
     """For every text the ids of both tokenizers, part by part; None if there are no tokens."""
     cuts = [list(parts(" " + t, PART if begin_anew(a, b) else len(t) + 1)) if t else [] for t in texts]
     flat = [part for some in cuts for part in some]
-    of_a = json_tokenizer(a, plain=True).encode_batch_fast(flat, add_special_tokens=False)
+    of_a = plain_ids(a, flat)
     of_b = piece_model(b).encode([part[1:] for part in flat], num_threads=1)
     bytes_a, bytes_b = byte_side(a).tokens, piece_side(b).tokens
     out, at = [], 0
     for some in cuts:
         ids_a, ids_b, whole = [], [], bool(some)
         for part in some:
-            x, y, want = of_a[at].ids, of_b[at], part.encode()
+            x, y, want = of_a[at], of_b[at], part.encode()
             whole = whole and b"".join(map(bytes_a.__getitem__, x)) == want == b"".join(map(bytes_b.__getitem__, y))
             ids_a.append(np.array(x, np.int64))
             ids_b.append(np.array(y, np.int64))
@@ -159,22 +151,27 @@ def aligned(a: Vocabulary, b: Vocabulary, ids_a: list[np.ndarray], ids_b: list[n
     ends_a, ends_b = np.cumsum(lengths_a[tokens_a]), np.cumsum(lengths_b[tokens_b])
     text_ends = ends_a[np.cumsum([len(x) for x in ids_a]) - 1]
     # Ends of both sides end a group; the ends of either side cut the bytes into one piece per link.
-    every = np.union1d(ends_a, ends_b)
-    both = np.intersect1d(ends_a, ends_b, assume_unique=True)
-    group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
-    size_a, size_b = np.bincount(group_a, minlength=len(both)), np.bincount(group_b, minlength=len(both))
-    link_a, link_b = tokens_a[np.searchsorted(ends_a, every)], tokens_b[np.searchsorted(ends_b, every)]
-    group = np.searchsorted(both, every)
-    identical = (size_a[group] == 1) & (size_b[group] == 1) & (same[link_a] == link_b)
+    marks = np.zeros((2, int(text_ends[-1]) + 1), bool)
+    marks[0, ends_a] = marks[1, ends_b] = True
+    every = np.flatnonzero(marks[0] | marks[1])
+    at_a, at_b = marks[0, every], marks[1, every]
+    both = at_a & at_b
+    # Tokens and groups before a link: the ends before its own.
+    link_a, link_b = tokens_a[np.cumsum(at_a) - at_a], tokens_b[np.cumsum(at_b) - at_b]
+    group = np.cumsum(both) - both
+    group_a, group_b, last_a, last_b = group[at_a], group[at_b], both[at_a], both[at_b]
+    size_a, size_b = np.bincount(group_a), np.bincount(group_b)
+    identical = ((size_a == 1) & (size_b == 1))[group] & (same[link_a] == link_b)
     # A group's ids of A come first, then those of B: a token's place is its own number plus the other side's before it.
     through_a, before_b = np.cumsum(size_a), np.cumsum(size_b) - size_b
     signs = np.empty(len(tokens_a) + len(tokens_b), np.int64)
-    last_a, last_b = np.isin(ends_a, both, assume_unique=True), np.isin(ends_b, both, assume_unique=True)
     signs[np.arange(len(tokens_a)) + before_b[group_a]] = tokens_a + np.where(last_a, n, 0)
     signs[np.arange(len(tokens_b)) + through_a[group_b]] = 2 * n + tokens_b + np.where(last_b, m, 0)
-    groups = np.diff(np.searchsorted(both, text_ends, side="right"), prepend=0)
+    links = np.searchsorted(every, text_ends, side="right")
+    groups = np.diff(np.cumsum(both)[links - 1], prepend=0)
+    text = np.repeat(np.arange(len(text_ends)), np.diff(links, prepend=0))
     sign_ends = np.cumsum([len(x) + len(y) for x, y in zip(ids_a, ids_b)])
-    return Aligned(link_a, link_b, np.searchsorted(text_ends, every), identical, groups, signs, sign_ends)
+    return Aligned(link_a, link_b, text, identical, groups, signs, sign_ends)
 
 
 def summed(values: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:

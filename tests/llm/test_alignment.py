@@ -10,7 +10,7 @@ import pytest
 
 from millrace.llm import alignment as A
 from millrace.llm import queries
-from millrace.llm.vocabularies import BLANK, json_tokenizer, parts, piece_model
+from millrace.llm.vocabularies import BLANK, json_tokenizer, parts, piece_model, plain_ids, ranked
 
 SCHEMA = "doc_id long, text string, id string, pair long, links long"
 ODD = [
@@ -153,6 +153,19 @@ def test_parts_of_a_long_text(monkeypatch):
             assert np.concatenate(got[1]).tolist() == piece_model(b).encode(text)
 
 
+def test_ranks_give_the_librarys_ids():
+    """The fast way against the library, on words of the vocabulary put together and on characters of all kinds."""
+    a, _ = sides()
+    assert ranked(a) is not None and ranked(queries.vocabulary("word_bpe_49k.json")) is None
+    rng, entries = random.Random(11), [t.decode(errors="replace") for t in token_bytes()[0].values()]
+    kinds = [(32, 127), (0, 0x250), (0x400, 0x500), (0x4E00, 0xA000), (0x1F300, 0x1F700)]
+    texts = ["".join(rng.choices(entries, k=rng.randint(1, 6))) for _ in range(4000)]
+    texts += ["".join(chr(rng.randrange(*rng.choice(kinds))) for _ in range(rng.randint(1, 25))) for _ in range(4000)]
+    texts += [t or "" for t in ODD] + ["x" * 30_000]
+    want = json_tokenizer(a, plain=True).encode_batch(texts, add_special_tokens=False)
+    assert plain_ids(a, texts) == [w.ids for w in want]
+
+
 def test_empty_table(spark):
     found = A.Alignment(spark.createDataFrame([], SCHEMA), *sides())
     assert found.documents().collect() == [] and found.pairs().collect() == []

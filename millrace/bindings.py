@@ -80,6 +80,15 @@ def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def person_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delimited lines of all persons; some have two fields only, some one too many."""
+    id_ = F.col("id")
+    names = F.concat_ws(",", "first_name", F.coalesce("last_name", F.lit("")))
+    full = F.concat_ws(",", names, "email", "profession")
+    line = F.when(id_ % 40 == 0, names).when(id_ % 41 == 0, F.concat(full, F.lit(",more"))).otherwise(full)
+    return persons(spark, sf_dir).select(line.alias("value"))
+
+
 def enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_acctbal").cast("decimal(19,2)").alias("value")
@@ -135,6 +144,7 @@ def generated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed value: the header of payment files.
 PAYMENT_HEADER = "transaction_id,account_id,amount,currency,status"
 
 

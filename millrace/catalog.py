@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from millrace import bindings as b
 from millrace.functions import checks, money, text, tokens
-from millrace.operators import aggregates, faults, joins, ledger, metrics, ordering, sinks
-from millrace.plans import billing, bundles, harvest, payments, person_etl, recovery, tickets
+from millrace.operators import aggregates, bucketed, faults, joins, ledger, metrics, ordering, runs, sinks
+from millrace.plans import billing, bundles, harvest, payments, person_etl, recovery, registry, tickets
 from millrace.session import scratch
 from millrace.sources import files, tables
 from millrace.streaming import incremental
@@ -26,6 +26,7 @@ RUN_DATE = "2024-06-01"
 RUN_ID = 42
 STAMP = "2024-06-01 12:00:00"
 PARAMS = {"DATE": RUN_DATE, "ATTEMPT_NUMBER": "1"}
+SHORT_PAYLOAD = 12
 
 
 def query(fn: Query) -> Query:
@@ -51,6 +52,12 @@ def persons_csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def person_line_files(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch(spark, "person_lines")
+    b.person_lines(spark, sf_dir).write.text(path)
+    return path
+
+
 def payment_files(spark: SparkSession, sf_dir: str) -> str:
     path = scratch(spark, "payments")
     lines = b.payment_lines(spark, sf_dir).withColumnRenamed("value", b.PAYMENT_HEADER)
@@ -63,6 +70,31 @@ def scan_delimited(spark, sf_dir):
     return files.scan_delimited(spark, persons_csv(spark, sf_dir), person_etl.CSV_COLUMNS)
 
 
+@query
+def scan_permissive(spark, sf_dir):
+    rows, _ = files.scan_permissive(spark, person_line_files(spark, sf_dir), person_etl.CSV_COLUMNS)
+    return rows
+
+
+@query
+def dead_letter_read(spark, sf_dir):
+    """Every line that cannot be read as a dead letter without an id."""
+    _, broken = files.scan_permissive(spark, person_line_files(spark, sf_dir), person_etl.CSV_COLUMNS)
+    at = F.lit(STAMP).cast("timestamp_ntz")
+    out = sinks.dead_letter(faults.read_skips(broken, len(person_etl.CSV_COLUMNS)), RUN_ID, at, faults.KNOWN_CLASSES)
+    return out.withColumn("recorded_at", stamp("recorded_at"))
+
+
+@query
+def dead_letter_write(spark, sf_dir):
+    """Rows that a target with a short payload column refuses."""
+    rules = [checks.NotNull("payload"), checks.MaxLength("payload", SHORT_PAYLOAD), checks.AtLeast("id", 100)]
+    _, refused = sinks.split_by_rules(b.harvest_source(spark, sf_dir).select("id", "payload"), rules)
+    at = F.lit(STAMP).cast("timestamp_ntz")
+    out = sinks.dead_letter(faults.write_skips(refused, F.col("payload")), RUN_ID, at, faults.KNOWN_CLASSES)
+    return out.withColumn("recorded_at", stamp("recorded_at"))
+
+
 @query
 def scan_lenient_lines(spark, sf_dir):
     path = payment_files(spark, sf_dir)
@@ -228,6 +260,19 @@ def insert_stored_twice(spark, sf_dir):
     return sinks.read_table(spark, path, schema)
 
 
+@query
+def insert_bucketed(spark, sf_dir):
+    """Usage rated into a bucketed table that holds earlier charges, twice: only absent keys are added."""
+    path, columns = scratch(spark, "bucketed"), "source_id BIGINT, cost BIGINT"
+    charged = bucketed.bucketed(spark, path, "source_id", columns)
+    charged.insert_if_absent(b.billed_before(spark, sf_dir).select("source_id", "cost"), unique_keys=True)
+    usage = b.usage_record(spark, sf_dir)
+    rated = usage.select(F.col("id").alias("source_id"), money.rate_exact(F.col("units"), F.col("rate")).alias("cost"))
+    for _ in range(2):
+        charged.insert_if_absent(rated.unionByName(rated))
+    return charged.read()
+
+
 @query
 def replace_by_key(spark, sf_dir):
     before = b.billed_before(spark, sf_dir)
@@ -573,6 +618,13 @@ def check_upload(spark, sf_dir):
     return b.uploads(spark, sf_dir).select("upload_id", reason.alias("reason"))
 
 
+@query
+def check_uploads(spark, sf_dir):
+    """Uploads against stored names; hosts stand for job names, so most names come more than once."""
+    stored = b.uploads(spark, sf_dir).filter(F.col("upload_id") % 10 == 3).select("job_name")
+    return checks.check_uploads(b.uploads(spark, sf_dir), stored).select("upload_id", "reason")
+
+
 @query
 def check_constraints(spark, sf_dir):
     finished = b.table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
@@ -972,6 +1024,37 @@ def restart_history(spark, sf_dir):
     return ledger.restart_history(identified(spark, sf_dir))
 
 
+@query
+def run_ledger(spark, sf_dir):
+    """The stored ledger after launches of two jobs, some of them refused: every run with its audit row, its identity's
+    history, the charges it stored and the decision that another equal launch would meet."""
+    root, at = scratch(spark, "ledger"), F.lit(STAMP).cast("timestamp_ntz")
+    path = payment_files(spark, sf_dir)
+    for usage in (b.usage_with_bad_row(spark, sf_dir), *[b.usage_record(spark, sf_dir)] * 2):
+        registry.launch_job(spark, root, "billing", PARAMS, at, usage=usage)
+    for params in (PARAMS, PARAMS, {}, {"DATE": "2024-13-01"}):
+        registry.launch_job(spark, root, "payment_summary", params, at, path=path)
+    registry.launch_job(spark, root, "no_such_job", PARAMS, at)
+    history, jobs = runs.executions(spark, root), registry.known_jobs(spark)
+    defined = jobs.select(F.xxhash64("job_name").alias("definition_id"), "job_name", F.lit("1.0.0").alias("version"))
+    audit = ledger.run_audit(history, defined).select(F.col("job_execution_id").alias("execution_id"), "duration_ms", "outcome")
+    again = history.groupBy("identity").agg(F.max(F.struct("execution_id", "job_name")).alias("e"), F.first("params").alias("params"))
+    requests_ = again.select(F.col("e.execution_id").alias("request_id"), "e.job_name", "params")
+    decided = ledger.launch_decision(requests_, jobs, history).select("identity", F.col("decision").alias("next_decision"))
+    charges = sinks.read_table(spark, f"{root}/billing_charge", billing.BILLING_CHARGE)
+    stored = charges.groupBy(F.col("job_execution_id").alias("execution_id")).agg(F.count("*").alias("charges"))
+    return (
+        history.join(ledger.restart_proof(history), "identity")
+        .join(decided, "identity")
+        .join(audit, "execution_id")
+        .join(stored, "execution_id", "left")
+        .select(
+            "execution_id", "job_name", F.col("params").getItem("DATE").alias("run_date"), "turn", "status", "outcome",
+            "duration_ms", "executions", "failed", "completed", "recovered", "next_decision", "charges",
+        )
+    )
+
+
 # ---- metrics ------------------------------------------------------------------------------
 
 
@@ -995,6 +1078,15 @@ def p95(spark, sf_dir):
     return rows.withColumn("quantile", F.round("quantile", 6))
 
 
+@query
+def p95_sliding(spark, sf_dir):
+    """Sketched quantiles of all sliding windows, held against the true ranks of all values."""
+    events = b.metric_events(spark, sf_dir)
+    found = metrics.sliding_quantile(events)
+    errors = metrics.rank_error(events, found).withColumn("close", F.col("rank_error") <= 0.03)
+    return readable(found.join(errors, ["tag", "window_start"]).select("tag", "window_start", "n", "close"))
+
+
 @query
 def p95_daily(spark, sf_dir):
     rows = readable(metrics.p95(b.metric_events(spark, sf_dir), minutes=1440))
@@ -1029,20 +1121,26 @@ def client_error_rate(spark, sf_dir):
 # ---- jobs ---------------------------------------------------------------------------------
 
 
-@query
-def job_person_etl(spark, sf_dir):
-    """File to persons to snapshot rows to groups; ids are numbered, so rows compare by email."""
+def person_job(spark: SparkSession, sf_dir: str, csv_path: str, skip_limit: int | None = None) -> str:
+    """The whole job; returns its folder. Ids are numbered by the load, so looked-up values are found by email."""
     root = scratch(spark, "person_etl")
     by_email = b.persons(spark, sf_dir).select("email", F.col("id").alias("custkey"))
-    people = person_etl.load_persons(spark, persons_csv(spark, sf_dir), root, RUN_ID)
+    people = person_etl.load_persons(spark, csv_path, root, RUN_ID, skip_limit)
     lookup = (
         people.join(by_email, "email")
         .join(b.enrichment(spark, sf_dir).withColumnRenamed("id", "custkey"), "custkey")
         .select("id", "value")
     )
-    person_etl.snapshot_persons(people, lookup, root, RUN_DATE, RUN_ID)
-    stored = sinks.read_table(spark, f"{root}/persons_v2", person_etl.PERSONS_V2)
+    stored = person_etl.snapshot_persons(people, lookup, root, RUN_DATE, RUN_ID, person_etl.PERSON_RULES)
     person_etl.dispatch_persons(stored, b.acceptance(spark, sf_dir), root)
+    return root
+
+
+@query
+def job_person_etl(spark, sf_dir):
+    """File to persons to snapshot rows to groups: every snapshot row with its group, if that was accepted."""
+    root = person_job(spark, sf_dir, persons_csv(spark, sf_dir))
+    stored = sinks.read_table(spark, f"{root}/persons_v2", person_etl.PERSONS_V2)
     tags = sinks.read_table(spark, f"{root}/group_member", person_etl.GROUP_MEMBER)
     return stored.join(tags.withColumnRenamed("id", "source_id"), "source_id", "left").select(
         "email",
@@ -1052,19 +1150,14 @@ def job_person_etl(spark, sf_dir):
         F.col("snapshot_date").cast("string").alias("snapshot_date"),
         F.col("salary").cast("double").alias("salary"),
         F.col("group_no").isNotNull().alias("sent"),
-    ).groupBy("profession", "first_name", "snapshot_date").agg(
-        F.count("*").alias("people"),
-        F.round(F.sum(F.col("salary").cast("decimal(19,2)")), 2).cast("double").alias("salaries"),
-        F.count("last_name").alias("last_names"),
+        "group_no",
     )
 
 
 @query
 def job_person_etl_groups(spark, sf_dir):
     """The groups and tags the same job leaves behind."""
-    root = scratch(spark, "person_etl")
-    people = text.snapshot(joins.enrich(b.persons(spark, sf_dir), b.enrichment(spark, sf_dir)), RUN_DATE)
-    person_etl.dispatch_persons(people, b.acceptance(spark, sf_dir), root)
+    root = person_job(spark, sf_dir, persons_csv(spark, sf_dir))
     groups = sinks.read_table(spark, f"{root}/dispatched_group", person_etl.DISPATCHED_GROUP)
     tags = sinks.read_table(spark, f"{root}/group_member", person_etl.GROUP_MEMBER)
     tagged = aggregates.group_stats(tags).withColumnRenamed("records_included", "tagged")
@@ -1076,6 +1169,14 @@ def job_person_etl_groups(spark, sf_dir):
     )
 
 
+@query
+def job_person_etl_letters(spark, sf_dir):
+    """Dead letters of the same job on a file with broken lines: lines it could not read, rows the snapshot refuses."""
+    root = person_job(spark, sf_dir, person_line_files(spark, sf_dir), skip_limit=1 << 40)
+    letters = sinks.read_table(spark, f"{root}/dead_letter", person_etl.DEAD_LETTER)
+    return letters.drop("recorded_at")
+
+
 @query
 def job_dispatch_recovery(spark, sf_dir):
     root = scratch(spark, "recovery")
@@ -1110,10 +1211,9 @@ def job_event_bundles(spark, sf_dir):
     return bundles.run_bundles(registered, sold, root, event_id="7", found=found)
 
 
-@query
-def job_harvest(spark, sf_dir):
-    """Three runs of one identity: the first aborts, the second has abort and poison rows repaired
-    and meets the skip limit, the third has all rows repaired. State of every row at the end."""
+def harvest_runs(spark: SparkSession, sf_dir: str) -> harvest.HarvestRun:
+    """Three runs of one identity: the first aborts, the second has abort and poison rows repaired and meets the skip
+    limit, the third has all rows repaired."""
     root = scratch(spark, "harvest")
     source = b.harvest_source(spark, sf_dir)
     at = F.lit(STAMP).cast("timestamp_ntz")
@@ -1121,12 +1221,24 @@ def job_harvest(spark, sf_dir):
     calm = source.withColumns({"abort_flag": F.lit(False), "poison_flag": F.lit(False)})
     harvest.run_harvest(calm, root, PARAMS, 2, at)
     sound = calm.withColumn("transient_fail_until_attempt", F.lit(0))
-    last = harvest.run_harvest(sound, root, PARAMS, 3, at)
+    return harvest.run_harvest(sound, root, PARAMS, 3, at)
+
+
+@query
+def job_harvest(spark, sf_dir):
+    """State of every row after the three runs."""
+    last = harvest_runs(spark, sf_dir)
     marks = last.processed.withColumnRenamed("run_id", "processed_by")
     letters = last.dead_letters.groupBy(F.col("source_id").alias("id")).agg(
         F.count("*").alias("letters"), F.max("job_execution_id").alias("last_letter_run")
     )
-    return source.select("id").join(marks, "id", "left").join(letters, "id", "left")
+    return b.harvest_source(spark, sf_dir).select("id").join(marks, "id", "left").join(letters, "id", "left")
+
+
+@query
+def job_harvest_steps(spark, sf_dir):
+    """Status and counters of the three runs, as they are stored."""
+    return harvest_runs(spark, sf_dir).steps
 
 
 @query
@@ -1176,10 +1288,13 @@ def run_incremental(spark, sf_dir):
 
 @query
 def stream_rate(spark, sf_dir):
-    """Closed windows of the event stream."""
+    """All windows of the event stream, those that no watermark has closed yet among them; the second run continues
+    from the state of the first and finds nothing new."""
     root = scratch(spark, "stream_rate")
     schema = b.table(spark, sf_dir, "events").schema
-    source = incremental.read_increments(spark, f"{sf_dir}/events.parquet*", schema)
-    tagged = source.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("tag"))
-    incremental.run_to_files(incremental.stream_rate(tagged), f"{root}/out", f"{root}/state")
-    return readable(spark.read.parquet(f"{root}/out"))
+    key, columns = ["tag", "window_start"], "tag STRING, window_start TIMESTAMP, events BIGINT, per_minute DOUBLE"
+    for _ in range(2):
+        source = incremental.read_increments(spark, f"{sf_dir}/events.parquet*", schema)
+        tagged = source.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("tag"))
+        incremental.run_to_versions(incremental.stream_rate(tagged), f"{root}/out", key, columns, f"{root}/state")
+    return readable(sinks.read_versions(spark, f"{root}/out", key, columns))

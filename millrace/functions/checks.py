@@ -32,6 +32,7 @@ WRONG_MAGIC = "File is not a valid JAR — missing ZIP/PK magic bytes. Expected
 CLASS_MISSING = "mainClassName must not be blank"
 CLASS_INVALID = "mainClassName must be a fully-qualified Java class name (e.g. com.example.MyClass): "
 NAME_MISSING = "Job name and version must not be blank"
+NAME_TAKEN = ("A job definition with name '", "' already exists")
 NAME_UNSAFE = "Job name and version must contain only alphanumeric, dot, dash, or underscore: "
 
 
@@ -163,6 +164,24 @@ def check_upload(
     return F.coalesce(*reasons)
 
 
+def check_uploads(uploads: DataFrame, definitions: DataFrame) -> DataFrame:
+    """``uploads`` with the ``reason`` why each is refused, NULL when it is accepted.
+
+    After the checks of the archive itself a job name must be new: not among the stored ``definitions``, and of several
+    uploads of a name that pass so far only the first one by ``upload_id`` is taken. Names are looked up by one
+    aggregate over both tables.
+    """
+    parts = [F.col(name) for name in ("file_name", "content", "job_name", "version", "class_name")]
+    judged = uploads.withColumn("_own", check_upload(*parts))
+    none = F.lit(None).cast(uploads.schema["upload_id"].dataType)
+    fine = judged.filter(F.col("_own").isNull()).select("job_name", "upload_id", F.lit(False).alias("_stored"))
+    named = fine.unionByName(definitions.select("job_name", none.alias("upload_id"), F.lit(True).alias("_stored")))
+    names = named.groupBy("job_name").agg(F.min("upload_id").alias("_first"), F.max("_stored").alias("_stored"))
+    taken = F.col("_own").isNull() & (F.col("_stored") | (F.col("upload_id") > F.col("_first")))
+    repeated = F.when(taken, F.concat(F.lit(NAME_TAKEN[0]), F.col("job_name"), F.lit(NAME_TAKEN[1])))
+    return judged.join(names, "job_name", "left").select(*uploads.columns, F.coalesce("_own", repeated).alias("reason"))
+
+
 # ---- table constraints --------------------------------------------------------------------
 
 
@@ -198,45 +217,83 @@ class ForeignKey:
 Rule = NotNull | MaxLength | AtLeast | Unique | ForeignKey
 
 
+def _row_rule(rule: Rule) -> tuple[str, Column] | None:
+    """Name and condition of a rule that one row can break by itself."""
+    col = F.col(rule.column)
+    match rule:
+        case NotNull():
+            return f"not_null({rule.column})", col.isNull()
+        case MaxLength():
+            return f"max_length({rule.column})", F.length(col) > rule.length
+        case AtLeast():
+            return f"at_least({rule.column})", col < rule.minimum
+    return None
+
+
+def first_violation(rules: list[Rule]) -> Column:
+    """Name of the first row rule a row breaks, in the order given; NULL when it breaks none."""
+    found = [F.lit(None).cast("string")]
+    for rule in rules:
+        named = _row_rule(rule)
+        if named is None:
+            raise ValueError(f"no rule for one row: {type(rule).__name__}({rule.column})")
+        found.append(F.when(named[1], F.lit(named[0])))
+    return F.coalesce(*found)
+
+
 def check_constraints(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """``(rule, violations)`` for every rule.
+    """``(rule, violations)`` for every rule, by one scan of the table, one of each parent, and one exchange.
 
-    Row rules share one aggregate. UNIQUE and FOREIGN KEY first reduce the table to one row per
-    key on the map side, so a key held by a third of all rows costs one row per task.
+    A row becomes one entry per key column of its UNIQUE and FOREIGN KEY rules, a parent row one entry per rule that
+    names it; entries are counted by column and key, on the map side first, so a key held by a third of all rows costs
+    one row per task. Row rules are counted along on the first entry. Keys meet as text, a parent's after the cast to
+    the type of the column that refers to it.
     """
-    row_rules: list[tuple[str, Column]] = []
-    parts: list[DataFrame] = []
-    for rule in rules:
-        col = F.col(rule.column)
-        match rule:
-            case NotNull():
-                row_rules.append((f"not_null({rule.column})", col.isNull()))
-            case MaxLength():
-                row_rules.append((f"max_length({rule.column})", F.length(col) > rule.length))
-            case AtLeast():
-                row_rules.append((f"at_least({rule.column})", col < rule.minimum))
-            case Unique():
-                per_key = df.filter(col.isNotNull()).groupBy(rule.column).agg(F.count("*").alias("n"))
-                parts.append(
-                    per_key.agg(F.count_if(F.col("n") > 1).alias("violations")).select(
-                        F.lit(f"unique({rule.column})").alias("rule"), "violations"
-                    )
-                )
-            case ForeignKey():
-                per_key = df.filter(col.isNotNull()).groupBy(rule.column).agg(F.count("*").alias("n"))
-                parents = rule.parent.select(F.col(rule.parent_column).alias(rule.column))
-                parts.append(
-                    per_key.join(parents, rule.column, "left_anti")
-                    .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
-                    .select(F.lit(f"foreign_key({rule.column})").alias("rule"), "violations")
-                )
-    if row_rules:
-        counts = df.agg(*[F.count_if(bad).alias(name) for name, bad in row_rules])
-        parts.insert(
-            0,
-            counts.unpivot([], [F.col(f"`{name}`") for name, _ in row_rules], "rule", "violations"),
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    named = [(rule, _row_rule(rule)) for rule in rules]
+    row_rules = [found for _, found in named if found]
+    columns = list(dict.fromkeys(rule.column for rule, found in named if found is None))
+    parents = [rule for rule in rules if isinstance(rule, ForeignKey)]
+    counted = [f"_r{i}" for i in range(len(row_rules))]
+    held = [f"_p{i}" for i in range(len(parents))]
+
+    def entry(number: int, key: Column) -> Column:
+        flags = [
+            F.when(bad, 1).otherwise(0).cast("bigint").alias(name) if number == 0 else F.lit(0).cast("bigint").alias(name)
+            for name, (_, bad) in zip(counted, row_rules)
+        ]
+        return F.struct(F.lit(number).alias("_column"), key.alias("_key"), F.lit(1).cast("bigint").alias("_n"), *flags)
+
+    # Without key rules one entry a row carries the row rules.
+    keys = [F.col(column).cast("string") for column in columns] or [F.lit(None).cast("string")]
+    stacked = df.select(F.explode(F.array(*[entry(i, key) for i, key in enumerate(keys)])).alias("_e")).select("_e.*")
+    zeros = {name: F.lit(0).cast("bigint") for name in held}
+    every = stacked.withColumns(zeros) if held else stacked
+    for i, rule in enumerate(parents):
+        key = F.col(rule.parent_column).cast(df.schema[rule.column].dataType).cast("string")
+        marks = {name: F.lit(int(name == held[i])).cast("bigint") for name in held}
+        nothing = {name: F.lit(0).cast("bigint") for name in counted}
+        number = F.lit(columns.index(rule.column))
+        rows = rule.parent.select(number.alias("_column"), key.alias("_key"), F.lit(0).cast("bigint").alias("_n"))
+        every = every.unionByName(rows.withColumns({**nothing, **marks}))
+    per_key = every.groupBy("_column", "_key").agg(*[F.sum(c).alias(c) for c in ("_n", *counted, *held)])
+
+    def total(col: Column) -> Column:
+        return F.coalesce(F.sum(col), F.lit(0)).cast("bigint")
+
+    def of(column: str) -> Column:
+        return (F.col("_column") == columns.index(column)) & F.col("_key").isNotNull() & (F.col("_n") > 0)
+
+    names, sums, rows_left, parents_left = [], [], iter(counted), iter(held)
+    for rule, found in named:
+        if found:
+            names.append(found[0])
+            sums.append(total(F.col(next(rows_left))))
+        elif isinstance(rule, Unique):
+            names.append(f"unique({rule.column})")
+            sums.append(F.count_if(of(rule.column) & (F.col("_n") > 1)))
+        else:
+            names.append(f"foreign_key({rule.column})")
+            sums.append(total(F.when(of(rule.column) & (F.col(next(parents_left)) == 0), F.col("_n"))))
+    counts = per_key.agg(*[value.alias(f"_v{i}") for i, value in enumerate(sums)])
+    pairs = [F.struct(F.lit(name).alias("rule"), F.col(f"_v{i}").alias("violations")) for i, name in enumerate(names)]
+    return counts.select(F.explode(F.array(*pairs)).alias("_e")).select("_e.*")

@@ -139,14 +139,10 @@ def status_health(definitions: DataFrame, registry: DataFrame) -> DataFrame:
     ).withColumn("status", F.when(F.col("failed") > 0, "DOWN").otherwise("UP"))
 
 
-def step_counters(rows: DataFrame, chunk: int, step: str = "step_name") -> DataFrame:
-    """Counters per step of committed rows with an ``outcome`` of OK, FILTERED or a skip kind.
-
-    Commits are the chunks the rows fill, so no positions are needed.
-    """
+def _counters(chunk: int) -> list[Column]:
     outcome = F.col("outcome")
     skip = ~outcome.isin("OK", "FILTERED")
-    return rows.groupBy(step).agg(
+    return [
         F.count("*").alias("read_count"),
         F.count_if(outcome == "FILTERED").alias("filter_count"),
         F.count_if(outcome == "OK").alias("write_count"),
@@ -154,7 +150,20 @@ def step_counters(rows: DataFrame, chunk: int, step: str = "step_name") -> DataF
         F.count_if(skip & (F.col("phase") == "PROCESS")).alias("process_skip_count"),
         F.count_if(skip & (F.col("phase") == "WRITE")).alias("write_skip_count"),
         F.ceil(F.count("*") / chunk).cast("bigint").alias("commit_count"),
-    )
+    ]
+
+
+def step_counters(rows: DataFrame, chunk: int, step: str = "step_name") -> DataFrame:
+    """Counters per step of committed rows with an ``outcome`` of OK, FILTERED or a skip kind.
+
+    Commits are the chunks the rows fill, so no positions are needed.
+    """
+    return rows.groupBy(step).agg(*_counters(chunk))
+
+
+def all_counters(rows: DataFrame, chunk: int, *more: Column) -> DataFrame:
+    """The counters of all rows and ``more`` aggregates as one row, zeros if there is none."""
+    return rows.agg(*_counters(chunk), *more)
 
 
 def running_by_job(

@@ -11,19 +11,15 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.money import rate_exact, rate_or_null
 from millrace.functions.text import fill, payload_item
-from millrace.operators.ordering import (
-    ROWS_PER_BUCKET,
-    Bounds,
-    assign_chunk,
-    assign_id_range,
-    running_total,
-)
+from millrace.operators.intervals import Interval, inside, rows_of
+from millrace.operators.ordering import ROWS_PER_BUCKET, Bounds, assign_chunk, assign_id_range
 from millrace.session import stable
 
 # Exception names as they appear in stored records.
@@ -32,6 +28,12 @@ TRANSIENT_CLASS = "TransientProcessingException"
 ABORT_CLASS = "AbortJobException"
 KNOWN_CLASSES = [POISON_CLASS, TRANSIENT_CLASS, ABORT_CLASS]
 
+# Names and messages of skips outside processing: a line that cannot be read, a row that the target refuses.
+MALFORMED_CLASS = "MalformedLineException"
+REFUSED_CLASS = "ConstraintViolationException"
+MALFORMED_MESSAGE = "Line has {found} fields, {expected} expected"
+REFUSED_MESSAGE = "Row breaks {rule}"
+
 # Messages as they appear in stored records, around the id of the row.
 POISON_MESSAGE = "Poison item detected for harvest_source.id={id}"
 TRANSIENT_MESSAGE = (
@@ -45,6 +47,9 @@ SKIP_LIMIT = 5
 RETRY_LIMIT = 3
 DISPATCH_SIZE = 32
 
+#: Keys of a slice of an id range, as a power of two: what one task ranks.
+SLICE_BITS = 16
+
 OK, ABORT, SKIP, EXHAUSTED = "OK", "ABORT", "SKIP", "RETRY_EXHAUSTED"
 
 
@@ -122,15 +127,42 @@ def describe_failure(df: DataFrame, retry_limit: int = RETRY_LIMIT) -> DataFrame
     )
 
 
+def read_skips(broken: DataFrame, expected: int) -> DataFrame:
+    """Skips of lines that could not be read, ``(line, n_fields)``: there is no row, so no id; the line is the payload."""
+    text = fill(MALFORMED_MESSAGE, {"found": F.col("n_fields"), "expected": F.lit(expected)})
+    return _skips(broken, F.lit(None).cast("bigint"), F.col("line"), "READ", MALFORMED_CLASS, text)
+
+
+def write_skips(refused: DataFrame, payload: Column, key: str = "id", rule: str = "rule") -> DataFrame:
+    """Skips of rows the target refuses; ``rule`` names what they break."""
+    text = fill(REFUSED_MESSAGE, {"rule": F.col(rule)})
+    return _skips(refused, F.col(key).cast("bigint"), payload, "WRITE", REFUSED_CLASS, text)
+
+
+def _skips(df: DataFrame, key: Column, payload: Column, phase: str, class_name: str, message: Column) -> DataFrame:
+    none = F.lit(None).cast("string")
+    return df.select(
+        key.alias("id"),
+        payload.alias("payload"),
+        F.lit(phase).alias("phase"),
+        F.lit(SKIP).alias("outcome"),
+        F.lit(class_name).alias("exception_class"),
+        message.alias("exception_msg"),
+        none.alias("cause_class"),
+        none.alias("cause_msg"),
+        F.lit(1).alias("attempt_count"),
+    )
+
+
 # ---- cut and committed prefix -------------------------------------------------------------
 
 
 def skip_limit_cut(df: DataFrame, limit: int = SKIP_LIMIT, key: str = "id") -> DataFrame:
-    """One row ``cut``: the key of skip number ``limit + 1``, NULL if the limit holds; found by position, whatever
-    the limit."""
-    skips = stable(df.filter(F.col("outcome").isin(SKIP, EXHAUSTED)).select(key))
-    ranked = running_total(skips, [key], name="_position")
-    return ranked.filter(F.col("_position") == limit).agg(F.max(key).alias("cut"))
+    """One row ``cut``: the key of skip number ``limit + 1``, NULL if the limit holds. Every task hands on its first
+    ``limit + 1`` skips."""
+    skips = df.filter(F.col("outcome").isin(SKIP, EXHAUSTED)).select(key)
+    first = skips.orderBy(key).limit(limit + 1)
+    return first.agg(F.when(F.count("*") > limit, F.max(key)).alias("cut"))
 
 
 @dataclass(frozen=True)
@@ -152,13 +184,28 @@ class RunCut:
 
 
 def commit_boundary(df: DataFrame, cut: int, chunk: int, key: str = "id") -> int:
-    """First key of the chunk that holds ``cut``; one count and one top-k, two scalars."""
-    below = df.filter(F.col(key) < cut)
-    rolled_back = below.count() % chunk
-    if rolled_back == 0:
-        return cut
-    tail = below.select(key).orderBy(F.desc(key)).limit(rolled_back)
-    return tail.agg(F.min(key)).first()[0]
+    """First key of the chunk that holds ``cut``, by one pass: the rows below it are counted while the last
+    ``chunk - 1`` of them are found."""
+    met = Observation()
+    below = df.filter(F.col(key) < cut).select(key).observe(met, F.count("*").alias("rows"))
+    last = [row[0] for row in below.orderBy(F.desc(key)).limit(max(chunk - 1, 1)).collect()]
+    rolled_back = met.get["rows"] % chunk
+    return last[rolled_back - 1] if rolled_back else cut
+
+
+def first_failure(failing: DataFrame, limit: int = SKIP_LIMIT, key: str = "id") -> tuple[str, int] | None:
+    """Why and at which key a run over rows that are not OK ends, None if it does not.
+
+    The first ``limit + 1`` of them decide: an abort among them comes before the limit is passed, and without one the
+    last of them passes it. Every task hands on its first ``limit + 1`` rows.
+    """
+    first = failing.select(key, "outcome").orderBy(key).limit(limit + 1)
+    abort, found, last = first.agg(
+        F.min(F.when(F.col("outcome") == ABORT, F.col(key))), F.count("*"), F.max(key)
+    ).first()
+    if abort is not None:
+        return "ABORT", abort
+    return ("SKIP_LIMIT", last) if found > limit else None
 
 
 def run_cut(
@@ -168,23 +215,16 @@ def run_cut(
     key: str = "id",
     failing: DataFrame | None = None,
 ) -> RunCut:
-    """Where a run over classified rows ends. Only scalars leave the executors.
+    """Where a run over classified rows ends. Only scalars and one chunk's keys leave the executors.
 
-    The first ``limit + 1`` rows that are not OK decide: an abort among them comes before the
-    limit is passed, and without one the last of them passes it. ``failing`` are these rows where
-    the caller can select them more cheaply.
+    ``failing`` are the rows that are not OK where the caller can select them more cheaply.
     """
     if failing is None:
         failing = df.filter(F.col("outcome") != OK)
-    ranked = running_total(stable(failing.select(key, "outcome")), [key], name="_position")
-    first = ranked.filter(F.col("_position") <= limit).agg(
-        F.min(F.when(F.col("outcome") == ABORT, F.col(key))).alias("abort"),
-        F.max(F.when(F.col("_position") == limit, F.col(key))).alias("limit"),
-    )
-    abort_cut, limit_cut = first.first()
-    if abort_cut is None and limit_cut is None:
+    end = first_failure(failing, limit, key)
+    if end is None:
         return RunCut("COMPLETED", None, None, None)
-    reason, cut = ("SKIP_LIMIT", limit_cut) if abort_cut is None else ("ABORT", abort_cut)
+    reason, cut = end
     return RunCut("FAILED", reason, cut, commit_boundary(df, cut, chunk, key))
 
 
@@ -203,28 +243,69 @@ def resume(df: DataFrame, checkpoints: DataFrame, identity: str, key: str = "id"
 
 
 def range_outcomes(
-    df: DataFrame, bad: Column, chunk: int, key: str = "id", range_: str = "range_no"
+    df: DataFrame,
+    bad: Column,
+    chunk: int,
+    key: str = "id",
+    range_: str = "range_no",
+    slice_bits: int = SLICE_BITS,
 ) -> DataFrame:
     """Per id range ``(range_no, read_rows, first_bad, boundary, status)``.
 
-    A failing range keeps the chunks before its first bad row. The largest ``chunk - 1`` keys
-    below that row are found by a row limit per range that every task applies before the shuffle.
+    A failing range keeps the chunks before its first bad row. The first read counts the rows of every range and slice
+    of ``2 ** slice_bits`` keys. These counts say how many rows lie before the slice of the first bad row, so the second
+    read takes only that slice, and before it as many as it takes to hold ``chunk - 1`` rows; they alone are ranked.
     """
-    firsts = df.groupBy(range_).agg(
-        F.count("*").alias("read_rows"), F.min(F.when(bad, F.col(key))).alias("first_bad")
+    at = F.shiftright(F.col(key), slice_bits)
+    counts = stable(
+        df.groupBy(range_, at.alias("_slice")).agg(
+            F.count("*").alias("_n"), F.min(F.when(bad, F.col(key))).alias("first_bad")
+        )
     )
-    # One row per range: the number of ranges is a setting of the run, never of the data.
-    limits = F.broadcast(firsts.filter("first_bad IS NOT NULL").select(range_, "first_bad"))
-    below = df.join(limits, range_).filter(F.col(key) < F.col("first_bad")).select(range_, key)
-    counts = below.groupBy(range_).agg((F.count("*") % chunk).alias("rolled_back"))
-    newest = W.partitionBy(range_).orderBy(F.desc(key))
-    tail = (
-        below.withColumn("_rank", F.row_number().over(newest))
+    firsts = counts.groupBy(range_).agg(F.sum("_n").alias("read_rows"), F.min("first_bad").alias("first_bad"))
+    failed = firsts.filter("first_bad IS NOT NULL").select(
+        range_, "first_bad", F.shiftright("first_bad", slice_bits).alias("_last")
+    )
+    # One row per range, here and below: the number of ranges is a setting of the run, never of the data.
+    earlier = counts.drop("first_bad").join(F.broadcast(failed), range_).filter(F.col("_slice") < F.col("_last"))
+    before = earlier.groupBy(range_).agg(F.sum("_n").alias("_before"))
+    newest = W.partitionBy(range_).orderBy(F.desc("_slice"))
+    nearer = F.coalesce(F.sum("_n").over(newest.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    near = (
+        earlier.withColumn("_rank", F.row_number().over(newest))
         .filter(F.col("_rank") <= max(chunk - 1, 1))
-        .join(F.broadcast(counts), range_)
-        .filter(F.col("_rank") <= F.col("rolled_back"))
+        .withColumn("_nearer", nearer)
+        .filter(F.col("_nearer") < chunk - 1)
         .groupBy(range_)
-        .agg(F.min(key).alias("_start"))
+        .agg(F.min("_slice").alias("_from"), F.sum("_n").alias("_near"))
+    )
+    windows = (
+        failed.join(before, range_, "left")
+        .join(near, range_, "left")
+        .select(
+            range_,
+            F.col("first_bad").alias("_bad"),
+            F.shiftleft(F.coalesce("_from", "_last"), slice_bits).alias("_low"),
+            (F.coalesce("_before", F.lit(0)) - F.coalesce("_near", F.lit(0))).alias("_skipped"),
+        )
+        .collect()
+    )
+    if not windows:
+        none = F.lit(None).cast(df.schema[key].dataType)
+        return firsts.select(range_, "read_rows", "first_bad", none.alias("boundary"), F.lit("COMPLETED").alias("status"))
+    fields = [df.schema[range_], *[T.StructField(name, T.LongType()) for name in ("_bad", "_low", "_skipped")]]
+    listed = df.sparkSession.createDataFrame(windows, T.StructType(fields))
+    rows = (
+        df.filter(inside(key, [Interval(row["_low"], row["_bad"] - 1) for row in windows]))
+        .select(range_, key)
+        .join(F.broadcast(listed), range_)
+        .filter((F.col(key) >= F.col("_low")) & (F.col(key) < F.col("_bad")))
+    )
+    group = W.partitionBy(range_)
+    tail = (
+        rows.withColumns({"_rank": F.row_number().over(group.orderBy(F.desc(key))), "_n": F.count("*").over(group)})
+        .filter(F.col("_rank") == (F.col("_skipped") + F.col("_n")) % chunk)
+        .select(range_, F.col(key).alias("_start"))
     )
     return firsts.join(F.broadcast(tail), range_, "left").select(
         range_,
@@ -279,17 +360,12 @@ def unfinished_ranges(ledger: DataFrame) -> DataFrame:
 def restart_partitions(df: DataFrame, ledger: DataFrame, key: str = "id") -> DataFrame:
     """Rows of the ranges still to do, by the **saved** bounds, with their range number.
 
-    The ledger holds one row per range and run, a number set by the job's grid, so reading the
-    open ranges to build the file filter is bounded; that filter prunes finished ranges.
+    The ledger holds one row per range and run, a number set by the job's grid, so reading the open ranges is bounded.
+    They become the file filter, which prunes finished ranges, and a row finds its range by bins of keys.
     """
-    todo = unfinished_ranges(ledger).orderBy("range_no").collect()
-    inside = F.lit(False)
-    number = F.lit(None).cast("int")
-    for row in todo:
-        hit = F.col(key).between(row["min_id"], row["max_id"])
-        inside = inside | hit
-        number = F.when(hit, row["range_no"]).otherwise(number)
-    return df.filter(inside).withColumn("range_no", number)
+    todo = unfinished_ranges(ledger).collect()
+    intervals = [Interval(row["min_id"], row["max_id"], (row["range_no"],)) for row in todo]
+    return rows_of(df, intervals, [T.StructField("range_no", T.IntegerType())], key)
 
 
 # ---- dispatch and recovery ----------------------------------------------------------------

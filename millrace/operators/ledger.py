@@ -56,37 +56,36 @@ def launch_decision(requests: DataFrame, jobs: DataFrame, executions: DataFrame)
         latest = F.max(F.when(F.col("status") == status, F.col("execution_id")))
         return F.coalesce(latest, F.lit(-1).cast("bigint"))
 
-    history = executions.groupBy("identity").agg(
+    date = F.col("params").getItem("DATE")
+    known = jobs.select("job_name").distinct().withColumn("_known", F.lit(True))
+    named = requests.withColumn("identity", run_identity(F.col("job_name"), launch_params(F.col("params"))))
+    # Requests of one identity have the same job and date, so the first of them stands for all: one aggregate gives it
+    # together with the history.
+    none = F.lit(None).cast("bigint")
+    every = executions.select("identity", "execution_id", "status", none.alias("request_id")).unionByName(
+        named.select("identity", none.alias("execution_id"), F.lit(None).cast("string").alias("status"), "request_id")
+    )
+    history = every.groupBy("identity").agg(
         newest("STARTED").alias("_running"),
         newest("COMPLETED").alias("_complete"),
         F.max("execution_id").alias("last_execution_id"),
+        F.min("request_id").alias("_first"),
     )
-    date = F.col("params").getItem("DATE")
-    known = jobs.select("job_name").distinct().withColumn("_known", F.lit(True))
-    named = requests.withColumn("identity", run_identity(F.col("job_name"), launch_params(F.col("params"))))
     decision = (
         F.when(F.col("_known").isNull(), "NOT_FOUND")
         .when(is_blank(date), "MISSING_DATE")
         .when(as_date(date).isNull(), "INVALID_DATE")
         .when(F.col("_running") > F.col("_complete"), "ALREADY_RUNNING")
         .when(F.col("_complete") > F.col("_running"), "ALREADY_COMPLETE")
+        .when(F.col("request_id") > F.col("_first"), "ALREADY_RUNNING")
         .when(F.col("last_execution_id").isNotNull(), "RESTART")
         .otherwise("NEW")
     )
-    decided = (
+    return (
         named.join(known, "job_name", "left")
-        .join(history, "identity", "left")
+        .join(history, "identity")
         .select("request_id", "job_name", "identity", decision.alias("decision"), "last_execution_id")
     )
-    # Of equal requests that could start, only the first one does.
-    starts = F.col("decision").isin("NEW", "RESTART")
-    firsts = decided.filter(starts).groupBy("identity").agg(F.min("request_id").alias("_first"))
-    late = starts & (F.col("request_id") > F.col("_first"))
-    return (
-        decided.join(firsts, "identity", "left")
-        .withColumn("decision", F.when(late, "ALREADY_RUNNING").otherwise(F.col("decision")))
-        .select(*decided.columns)
-    )
 
 
 def duration_ms(start: Column, end: Column) -> Column:

@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.checks import Rule, first_violation
 from millrace.functions.text import root_cause, truncate_message
+from millrace.operators.claims import next_number
 
 
 # ---- stored tables ------------------------------------------------------------------------
@@ -34,37 +36,66 @@ def append_to(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def replace_in(df: DataFrame, path: str, key: str, schema: str) -> None:
-    """Replace the rows of ``df``'s keys in a table that is kept as versions.
+def _keys(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
 
-    The new rows are appended as a version of their own and count once its number is stored beside them, which is one
-    small file: until then, and if the run is lost before, readers see the old rows. No stored row is rewritten;
-    ``compact_versions`` does that on its own schedule.
-    """
-    spark = df.sparkSession
-    number = _versions(spark, path).agg(F.coalesce(F.max("version"), F.lit(0)) + 1).first()[0]
-    # A version of that number that was begun and never published is overwritten.
-    names = T.StructType.fromDDL(schema).names
-    last_per_key(df.select(*names), key).write.mode("overwrite").parquet(f"{path}/rows/version={number}")
-    spark.range(1).select(F.lit(number).cast("bigint").alias("version")).coalesce(1).write.mode("append").parquet(
-        f"{path}/published"
-    )
+
+def _manifest(key: str | list[str], schema: str) -> T.StructType:
+    """One row per published version: its number, and smallest and largest value of every key column."""
+    kinds = T.StructType.fromDDL(schema)
+    bounds = [T.StructField(f"{side}_{name}", kinds[name].dataType) for name in _keys(key) for side in ("low", "high")]
+    return T.StructType([T.StructField("version", T.LongType()), *bounds])
 
 
-def _versions(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, f"{path}/published", "version BIGINT").distinct()
+def replace_in(df: DataFrame, path: str, key: str | list[str], schema: str) -> None:
+    """Replace the rows of ``df``'s keys in a table that is kept as versions.
 
+    A writer claims a number that nobody else gets, writes its rows under it, and they count once the number is
+    published beside them with the range of its keys, which is one small file: until then, and if the run is lost
+    before, readers see the old rows. So writers at once lose nothing; of a key that two of them replace the row with
+    the larger number counts. No stored row is rewritten; ``compact_versions`` does that on its own schedule.
+    """
+    spark, names = df.sparkSession, T.StructType.fromDDL(schema).names
+    published = read_table(spark, f"{path}/published", _manifest(key, schema))
+    first = published.agg(F.coalesce(F.max("version"), F.lit(0)) + 1).first()[0]
+    number = next_number(spark, f"{path}/claims", first)
+    rows = f"{path}/rows/version={number}"
+    last_per_key(df.select(*names), key).write.parquet(rows)
+    bounds = [make(name).alias(f"{side}_{name}") for name in _keys(key) for side, make in (("low", F.min), ("high", F.max))]
+    written = spark.read.schema(schema).parquet(rows).agg(*bounds, F.count("*").alias("_n"))
+    # Without rows there is nothing to publish.
+    row = written.filter("_n > 0").drop("_n").select(F.lit(number).cast("bigint").alias("version"), "*")
+    # In a folder of its own: writers at once would share the committer's temporary one.
+    append_to(row.coalesce(1), f"{path}/published/writer={number}")
+
+
+def versions_of(spark: SparkSession, path: str, key: str | list[str], schema: str, within: dict[str, tuple] | None = None) -> list[int]:
+    """Published versions that may hold a key within the bounds (column: smallest and largest value), all without."""
+    rows = read_table(spark, f"{path}/published", _manifest(key, schema))
+    for name, (low, high) in (within or {}).items():
+        rows = rows.filter((F.col(f"low_{name}") <= F.lit(high)) & (F.col(f"high_{name}") >= F.lit(low)))
+    return sorted({row["version"] for row in rows.select("version").collect()})
+
+
+def read_versions(
+    spark: SparkSession, path: str, key: str | list[str], schema: str, within: dict[str, tuple] | None = None
+) -> DataFrame:
+    """The newest published row of every key; with ``within`` of the keys in these bounds.
 
-def read_versions(spark: SparkSession, path: str, key: str, schema: str) -> DataFrame:
-    """The newest published row of every key."""
-    names = T.StructType.fromDDL(schema).names
-    rows = read_table(spark, f"{path}/rows", f"{schema}, version BIGINT")
-    newest = F.max(F.struct("version", *[c for c in names if c != key])).alias("_newest")
-    seen = rows.join(_versions(spark, path), "version", "left_semi").groupBy(key).agg(newest)
-    return seen.select(*[F.col(c) if c == key else F.col("_newest").getField(c).alias(c) for c in names])
+    The manifest has a row per version, which compaction keeps few; only files of versions that may hold a wanted key
+    are read.
+    """
+    keys, names = _keys(key), T.StructType.fromDDL(schema).names
+    wanted = versions_of(spark, path, key, schema, within)
+    rows = read_table(spark, f"{path}/rows", f"{schema}, version BIGINT").filter(F.col("version").isin(wanted))
+    for name, (low, high) in (within or {}).items():
+        rows = rows.filter(F.col(name).between(F.lit(low), F.lit(high)))
+    newest = F.max(F.struct("version", *[c for c in names if c not in keys])).alias("_newest")
+    seen = rows.groupBy(*keys).agg(newest)
+    return seen.select(*[F.col(c) if c in keys else F.col("_newest").getField(c).alias(c) for c in names])
 
 
-def compact_versions(spark: SparkSession, path: str, key: str, schema: str, target: str) -> None:
+def compact_versions(spark: SparkSession, path: str, key: str | list[str], schema: str, target: str) -> None:
     """Write the newest rows to a new table at ``target`` as its only version; the old one stays as it is."""
     replace_in(read_versions(spark, path, key, schema), target, key, schema)
 
@@ -95,13 +126,14 @@ def first_per_key(df: DataFrame, key: str, order: list[str] | None = None) -> Da
     )
 
 
-def last_per_key(df: DataFrame, key: str) -> DataFrame:
+def last_per_key(df: DataFrame, key: str | list[str]) -> DataFrame:
     """One row per key, the largest by all other columns."""
-    rest = [c for c in df.columns if c != key]
+    keys = _keys(key)
+    rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    kept = df.groupBy(key).agg(F.max(F.struct(*rest)).alias("_last"))
-    return kept.select(*[F.col(c) if c == key else F.col("_last").getField(c).alias(c) for c in df.columns])
+    kept = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_last"))
+    return kept.select(*[F.col(c) if c in keys else F.col("_last").getField(c).alias(c) for c in df.columns])
 
 
 def insert_if_absent(
@@ -229,6 +261,25 @@ def dead_letter(skips: DataFrame, run_id: int, recorded_at: Column, known: list[
     )
 
 
+def split_by_rules(df: DataFrame, rules: list[Rule], name: str = "rule") -> tuple[DataFrame, DataFrame]:
+    """``(taken, refused)``: rows that keep all row rules, and the others with the first one they break as ``name``."""
+    judged = df.withColumn(name, first_violation(rules))
+    return judged.filter(F.col(name).isNull()).select(*df.columns), judged.filter(F.col(name).isNotNull())
+
+
+def store_letters(letters: DataFrame, path: str, schema: str, run_id: int) -> None:
+    """Append dead letters of a run once: a repeated attempt leaves out those it finds of its own number.
+
+    Letters are told apart by phase, source id and payload; of lines without an id the payload is all there is, so a
+    repeated attempt adds none of a line it finds stored.
+    """
+    mine = read_table(letters.sparkSession, path, schema).filter(F.col("job_execution_id") == run_id)
+    names = ["failure_phase", "source_id", "raw_payload"]
+    known = mine.select(*[F.col(name).alias(f"_{name}") for name in names]).distinct()
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in names]
+    append_to(letters.join(known, same, "left_anti"), path)
+
+
 def write_expecting(
     df: DataFrame, target: DataFrame, registry: DataFrame, key: str, target_key: str | None = None
 ) -> DataFrame:

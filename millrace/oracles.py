@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 
-from millrace.catalog import GRID, RUN_DATE, RUN_ID, SECRET, STAMP
+from millrace.catalog import GRID, RUN_DATE, RUN_ID, SECRET, SHORT_PAYLOAD, STAMP
 from millrace.functions.text import MESSAGE_LENGTH, MISSING_FIELD
-from millrace.functions.tokens import pads
 
-_INNER, _OUTER = (pad.hex() for pad in pads(SECRET))
+# The two pads of the keyed hash, by its definition: the secret filled to 64 bytes, each with one of two fixed values.
+_KEY = SECRET.encode().ljust(64, b"\x00")
+_INNER, _OUTER = (bytes(byte ^ value for byte in _KEY).hex() for value in (0x36, 0x5C))
 
 
 def _uuid(text: str) -> str:
@@ -74,6 +75,14 @@ VIEWS: dict[str, str] = {
                c_mktsegment AS profession, lower(c_name) || '@example.com' AS email,
                c_custkey % 3 = 0 AS processed, CAST(c_acctbal AS DECIMAL(19,2)) AS value
         FROM customer""",
+    "taken_persons": """
+        SELECT *, (row_number() OVER (ORDER BY id) - 1) // 32 AS group_no FROM persons WHERE last_name IS NOT NULL""",
+    "person_lines": """
+        SELECT *, CASE WHEN id % 40 = 0 THEN 2 WHEN id % 41 = 0 THEN 5 ELSE 4 END AS n_fields,
+               first_name || ',' || coalesce(last_name, '')
+               || CASE WHEN id % 40 = 0 THEN '' ELSE ',' || email || ',' || profession END
+               || CASE WHEN id % 40 <> 0 AND id % 41 = 0 THEN ',more' ELSE '' END AS line
+        FROM persons""",
     "all_members": f"""
         SELECT *, CAST((row_number() OVER (ORDER BY id) - 1) // 32 AS BIGINT) AS group_no,
                {_uuid(f"'{RUN_DATE}|' || id")} AS uuid_v4
@@ -277,9 +286,61 @@ _BILLED = f"""
     FROM usage_record u JOIN (SELECT id, range_no, pos FROM ranks) USING (id)
     JOIN range_state USING (range_no)"""
 
+_CHECKED = f"""
+        SELECT upload_id,
+               CASE WHEN NOT lower(file_name) LIKE '%.jar'
+                    THEN 'File must have .jar extension; received: ' || file_name
+                    WHEN octet_length(content) = 0 THEN 'File is empty — cannot read magic bytes'
+                    WHEN left(hex(content), 8) <> '504B0304'
+                    THEN 'File is not a valid JAR — missing ZIP/PK magic bytes. Expected 0x504B0304, got: '
+                         || lower(left(hex(content), 8))
+                    WHEN trim(class_name) = '' THEN 'mainClassName must not be blank'
+                    WHEN NOT regexp_full_match(class_name, '([a-zA-Z_$][a-zA-Z0-9_$]*\\.)+[a-zA-Z_$][a-zA-Z0-9_$]*')
+                    THEN 'mainClassName must be a fully-qualified Java class name (e.g. com.example.MyClass): '
+                         || class_name
+                    WHEN trim(job_name) = '' THEN 'Job name and version must not be blank'
+                    WHEN NOT regexp_full_match(job_name, '[a-zA-Z0-9._\\-]+') THEN {_UNSAFE} || job_name
+                    WHEN trim(version) = '' THEN 'Job name and version must not be blank'
+                    WHEN NOT regexp_full_match(version, '[a-zA-Z0-9._\\-]+') THEN {_UNSAFE} || version
+               END AS reason
+        FROM ({_UPLOADS})"""
+
+# Three harvest runs: rows of the first, of the second by position, and where the second ends.
+_HARVEST = (
+    _committed(5)
+    + """,
+             first AS (SELECT id FROM cut_ranks, p WHERE pos // 5 < bad_chunk),
+             reached1 AS (SELECT id FROM outcomes, cut WHERE id < cut_id AND outcome IN ('SKIP', 'RETRY_EXHAUSTED')),
+             second AS (SELECT id, transient_fail_until_attempt >= 3 AS skip,
+                               row_number() OVER (ORDER BY id) - 1 AS pos
+                        FROM outcomes WHERE id NOT IN (SELECT id FROM first)),
+             skips2 AS (SELECT id, pos, row_number() OVER (ORDER BY id) AS n FROM second WHERE skip),
+             cut2 AS (SELECT coalesce((SELECT id FROM skips2 WHERE n = 6), 9000000000000000000) AS cut_id,
+                             coalesce((SELECT pos // 5 FROM skips2 WHERE n = 6), 9000000000000000000) AS bad_chunk),
+             letters AS (SELECT id, 1 AS run FROM reached1
+                         UNION ALL SELECT s.id, 2 FROM skips2 s, cut2 WHERE s.id < cut2.cut_id),
+             per_id AS (SELECT id, count(*) AS letters, CAST(max(run) AS BIGINT) AS last_letter_run
+                        FROM letters GROUP BY id)"""
+)
+
 BODIES: dict[str, str] = {
     # sources
     "scan_delimited": "SELECT first_name, last_name, email, profession FROM persons",
+    "scan_permissive": "SELECT first_name, last_name, email, profession FROM person_lines WHERE n_fields = 4",
+    "dead_letter_read": f"""
+        SELECT CAST(NULL AS BIGINT) AS source_id, line AS raw_payload, 'READ' AS failure_phase, 'SKIP' AS failure_type,
+               'MalformedLineException' AS exception_class,
+               'Line has ' || n_fields || ' fields, 4 expected' AS exception_msg, 1 AS attempt_count,
+               CAST({RUN_ID} AS BIGINT) AS job_execution_id, '{STAMP}' AS recorded_at
+        FROM person_lines WHERE n_fields <> 4""",
+    "dead_letter_write": f"""
+        SELECT id AS source_id, payload AS raw_payload, 'WRITE' AS failure_phase, 'SKIP' AS failure_type,
+               'ConstraintViolationException' AS exception_class,
+               'Row breaks ' || CASE WHEN payload IS NULL THEN 'not_null(payload)'
+                                     WHEN length(payload) > {SHORT_PAYLOAD} THEN 'max_length(payload)'
+                                     ELSE 'at_least(id)' END AS exception_msg,
+               1 AS attempt_count, CAST({RUN_ID} AS BIGINT) AS job_execution_id, '{STAMP}' AS recorded_at
+        FROM harvest_source WHERE payload IS NULL OR length(payload) > {SHORT_PAYLOAD} OR id < 100""",
     "scan_lenient_lines": "SELECT line_value, n_fields, CAST(amount AS DOUBLE) AS amount FROM payments",
     "scan_ordered": "SELECT * FROM harvest_source ORDER BY id",
     "scan_id_ranges": f"""
@@ -314,6 +375,11 @@ BODIES: dict[str, str] = {
         WHERE l_orderkey NOT IN (SELECT source_id FROM billed_before)
         QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, cost, l_partkey) = 1""",
     "insert_stored_twice": "SELECT * FROM charges",
+    "insert_bucketed": """
+        SELECT source_id, cost FROM (
+          SELECT o_orderkey AS source_id, CAST(floor(o_totalprice) AS BIGINT) AS cost FROM orders WHERE o_orderstatus = 'F'
+          UNION ALL SELECT source_id, cost FROM charges
+          WHERE source_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'))""",
     "replace_by_key": _REPLACED,
     "replace_stored": _REPLACED,
     "mark_processed": _MARKED.format("hit AND NOT processed"),
@@ -433,24 +499,15 @@ BODIES: dict[str, str] = {
                CASE WHEN p_size % 5 <> 0 AND p_size <> {GRID}
                     THEN 'GRID_SIZE is fixed at {GRID} and cannot be overridden, got: ' || p_size END AS reason
         FROM part""",
-    "check_upload": f"""
+    "check_upload": _CHECKED,
+    "check_uploads": f"""
+        WITH judged AS (SELECT u.*, c.reason AS own FROM ({_UPLOADS}) u JOIN ({_CHECKED}) c USING (upload_id)),
+             names AS (SELECT job_name, min(upload_id) AS first_id FROM judged WHERE own IS NULL GROUP BY job_name)
         SELECT upload_id,
-               CASE WHEN NOT lower(file_name) LIKE '%.jar'
-                    THEN 'File must have .jar extension; received: ' || file_name
-                    WHEN octet_length(content) = 0 THEN 'File is empty — cannot read magic bytes'
-                    WHEN left(hex(content), 8) <> '504B0304'
-                    THEN 'File is not a valid JAR — missing ZIP/PK magic bytes. Expected 0x504B0304, got: '
-                         || lower(left(hex(content), 8))
-                    WHEN trim(class_name) = '' THEN 'mainClassName must not be blank'
-                    WHEN NOT regexp_full_match(class_name, '([a-zA-Z_$][a-zA-Z0-9_$]*\\.)+[a-zA-Z_$][a-zA-Z0-9_$]*')
-                    THEN 'mainClassName must be a fully-qualified Java class name (e.g. com.example.MyClass): '
-                         || class_name
-                    WHEN trim(job_name) = '' THEN 'Job name and version must not be blank'
-                    WHEN NOT regexp_full_match(job_name, '[a-zA-Z0-9._\\-]+') THEN {_UNSAFE} || job_name
-                    WHEN trim(version) = '' THEN 'Job name and version must not be blank'
-                    WHEN NOT regexp_full_match(version, '[a-zA-Z0-9._\\-]+') THEN {_UNSAFE} || version
-               END AS reason
-        FROM ({_UPLOADS})""",
+               CASE WHEN own IS NOT NULL THEN own
+                    WHEN job_name IN (SELECT job_name FROM judged WHERE upload_id % 10 = 3) OR upload_id > first_id
+                    THEN 'A job definition with name ' || chr(39) || job_name || chr(39) || ' already exists' END AS reason
+        FROM judged LEFT JOIN names USING (job_name)""",
     "check_constraints": """
         SELECT 'not_null(l_shipdate)' AS rule, count(*) AS violations FROM lineitem WHERE l_shipdate IS NULL
         UNION ALL SELECT 'max_length(l_returnflag)', count(*) FROM lineitem WHERE length(l_returnflag) > 1
@@ -659,12 +716,31 @@ BODIES: dict[str, str] = {
         SELECT identity, execution_id, status,
                row_number() OVER (PARTITION BY identity ORDER BY execution_id) - 1 AS turn
         FROM runs""",
+    "run_ledger": f"""
+        WITH failed_first AS (SELECT count(first_bad) > 0 AS f FROM range_state),
+             done AS (SELECT job_execution_id AS execution_id, count(*) AS charges FROM ({_BILLED}) GROUP BY 1),
+             listed AS (
+               SELECT 1 AS execution_id, 'billing' AS job_name, '{RUN_DATE}' AS run_date, 0 AS turn,
+                      CASE WHEN f THEN 'FAILED' ELSE 'COMPLETED' END AS status, f AS several FROM failed_first
+               UNION ALL SELECT 2, 'billing', '{RUN_DATE}', 1, 'COMPLETED', f FROM failed_first WHERE f
+               UNION ALL SELECT 2 + f::INT, 'payment_summary', '{RUN_DATE}', 0, 'COMPLETED', false FROM failed_first
+               UNION ALL SELECT 3 + f::INT, 'payment_summary', '2024-01-01', 0, 'COMPLETED', false FROM failed_first)
+        SELECT CAST(l.execution_id AS BIGINT) AS execution_id, job_name, run_date, turn, status,
+               CASE status WHEN 'COMPLETED' THEN 'SUCCESS' ELSE 'FAILURE' END AS outcome,
+               CAST(0 AS BIGINT) AS duration_ms, CAST(1 + several::INT AS BIGINT) AS executions,
+               CAST(several::INT AS BIGINT) AS failed, CAST(1 AS BIGINT) AS completed, several AS recovered,
+               'ALREADY_COMPLETE' AS next_decision, CASE WHEN job_name = 'billing' THEN charges END AS charges
+        FROM listed l LEFT JOIN done d ON d.execution_id = l.execution_id""",
     # metrics
     "rate_per_minute": _rate(),
     "rate_per_minute_total": _rate(tag=False),
     "server_error_rate": _rate("WHERE regexp_matches(status_code, '^5..$')"),
     "client_error_rate": _rate("WHERE regexp_matches(status_code, '^4..$')"),
     "p95": _p95(_FIVE),
+    "p95_sliding": """
+        SELECT tag, strftime(date_trunc('minute', ts) - to_minutes(k), '%Y-%m-%d %H:%M:%S') AS window_start,
+               count(*) AS n, true AS close
+        FROM metric, range(5) AS r(k) WHERE duration IS NOT NULL GROUP BY ALL""",
     "p95_daily": _p95("date_trunc('day', ts)"),
     "mean_ratio": f"""
         SELECT tag, {_stamp(_FIVE)} AS window_start,
@@ -676,16 +752,27 @@ BODIES: dict[str, str] = {
         FROM persons GROUP BY profession""",
     # jobs
     "job_person_etl": f"""
-        SELECT profession, upper(first_name) AS first_name, '{RUN_DATE}' AS snapshot_date, count(*) AS people,
-               CAST(sum(value) AS DOUBLE) AS salaries, count(last_name) AS last_names
-        FROM persons GROUP BY ALL""",
+        SELECT email, upper(first_name) AS first_name, upper(last_name) AS last_name, profession,
+               '{RUN_DATE}' AS snapshot_date, CAST(value AS DOUBLE) AS salary, group_no % 4 <> 0 AS sent,
+               CASE WHEN group_no % 4 <> 0 THEN group_no END AS group_no
+        FROM taken_persons""",
     "job_person_etl_groups": """
         SELECT group_no, CASE WHEN group_no % 4 = 0 THEN 'ERROR' ELSE 'SENT' END AS dispatch_status,
                CASE WHEN group_no % 4 = 0 THEN 0 ELSE n END AS records_included,
                CASE WHEN group_no % 4 = 0 THEN 0 ELSE n END AS tagged
-        FROM (SELECT group_no, count(*) AS n
-              FROM (SELECT (row_number() OVER (ORDER BY c_custkey) - 1) // 32 AS group_no FROM customer)
-              GROUP BY group_no)""",
+        FROM (SELECT group_no, count(*) AS n FROM taken_persons GROUP BY group_no)""",
+    "job_person_etl_letters": f"""
+        SELECT CAST(NULL AS BIGINT) AS source_id, line AS raw_payload, 'READ' AS failure_phase, 'SKIP' AS failure_type,
+               'MalformedLineException' AS exception_class,
+               'Line has ' || n_fields || ' fields, 4 expected' AS exception_msg, 1 AS attempt_count,
+               CAST({RUN_ID} AS BIGINT) AS job_execution_id
+        FROM person_lines WHERE n_fields <> 4
+        UNION ALL
+        SELECT number, CAST(to_json({{'first_name': upper(first_name), 'last_name': last_name, 'email': email,
+                                      'profession': profession}}) AS VARCHAR),
+               'WRITE', 'SKIP', 'ConstraintViolationException', 'Row breaks not_null(last_name)', 1, {RUN_ID}
+        FROM (SELECT *, row_number() OVER (ORDER BY id) AS number FROM person_lines WHERE n_fields = 4)
+        WHERE last_name IS NULL""",
     "job_dispatch_recovery": f"""
         SELECT group_no, dispatch_status, records_included, 'FAILED' AS run_status
         FROM ({_RECOVERED}) WHERE group_no % 4 = 0 AND NOT failed""",
@@ -701,26 +788,34 @@ BODIES: dict[str, str] = {
                CAST({RUN_ID} AS BIGINT) AS run_id
         FROM ({_TICKET_DOC})""",
     "job_event_bundles": "SELECT * FROM manifest",
-    "job_harvest": _committed(5)
-    + """,
-             first AS (SELECT id FROM cut_ranks, p WHERE pos // 5 < bad_chunk),
-             reached1 AS (SELECT id FROM outcomes, cut WHERE id < cut_id AND outcome IN ('SKIP', 'RETRY_EXHAUSTED')),
-             second AS (SELECT id, transient_fail_until_attempt >= 3 AS skip,
-                               row_number() OVER (ORDER BY id) - 1 AS pos
-                        FROM outcomes WHERE id NOT IN (SELECT id FROM first)),
-             skips2 AS (SELECT id, pos, row_number() OVER (ORDER BY id) AS n FROM second WHERE skip),
-             cut2 AS (SELECT coalesce((SELECT id FROM skips2 WHERE n = 6), 9000000000000000000) AS cut_id,
-                             coalesce((SELECT pos // 5 FROM skips2 WHERE n = 6), 9000000000000000000) AS bad_chunk),
-             letters AS (SELECT id, 1 AS run FROM reached1
-                         UNION ALL SELECT s.id, 2 FROM skips2 s, cut2 WHERE s.id < cut2.cut_id),
-             per_id AS (SELECT id, count(*) AS letters, CAST(max(run) AS BIGINT) AS last_letter_run
-                        FROM letters GROUP BY id)
+    "job_harvest": _HARVEST
+    + """
         SELECT o.id,
                CAST(CASE WHEN o.id IN (SELECT id FROM first) THEN CASE WHEN o.outcome = 'OK' THEN 1 END
                          WHEN s.pos // 5 < cut2.bad_chunk THEN CASE WHEN NOT s.skip THEN 2 END
                          ELSE 3 END AS BIGINT) AS processed_by,
                letters, last_letter_run
         FROM outcomes o LEFT JOIN second s USING (id) LEFT JOIN per_id USING (id), cut2""",
+    "job_harvest_steps": _HARVEST
+    + """,
+             ends AS (
+               SELECT 1 AS run_id, (SELECT cut_id FROM cut) < 9000000000000000000 AS failed,
+                      CASE WHEN (SELECT cut_id FROM cut) = (SELECT min(id) FROM outcomes WHERE outcome = 'ABORT')
+                           THEN 'ABORT' ELSE 'SKIP_LIMIT' END AS why
+               UNION ALL SELECT 2, (SELECT cut_id FROM cut2) < 9000000000000000000, 'SKIP_LIMIT'
+               UNION ALL SELECT 3, false, ''),
+             committed AS (
+               SELECT 1 AS run_id, outcome FROM cut_ranks, p WHERE pos // 5 < bad_chunk
+               UNION ALL SELECT 2, CASE WHEN skip THEN 'SKIP' ELSE 'OK' END FROM second, cut2 WHERE pos // 5 < cut2.bad_chunk
+               UNION ALL SELECT 3, 'OK' FROM second, cut2 WHERE pos // 5 >= cut2.bad_chunk)
+        SELECT CAST(run_id AS BIGINT) AS run_id, 'harvestStep' AS step_name,
+               CASE WHEN failed THEN 'FAILED' ELSE 'COMPLETED' END AS status, CASE WHEN failed THEN why END AS reason,
+               count(outcome) AS read_count, CAST(0 AS BIGINT) AS filter_count,
+               count(*) FILTER (outcome = 'OK') AS write_count, CAST(0 AS BIGINT) AS read_skip_count,
+               count(*) FILTER (outcome IN ('SKIP', 'RETRY_EXHAUSTED')) AS process_skip_count,
+               CAST(0 AS BIGINT) AS write_skip_count, CAST(ceil(count(outcome) / 5) AS BIGINT) AS commit_count,
+               CAST(CASE WHEN failed THEN 1 ELSE 0 END AS BIGINT) AS rollback_count
+        FROM ends LEFT JOIN committed USING (run_id) GROUP BY run_id, failed, why""",
     "job_billing": _BILLED,
     "job_billing_ranges": f"""
         WITH g AS (SELECT CAST(k AS INTEGER) AS range_no, lo + k * ((hi - lo) // {GRID}) AS min_id,
@@ -736,10 +831,7 @@ BODIES: dict[str, str] = {
         SELECT count(*) AS payment_rows, CAST(sum(amount) AS DOUBLE) AS payment_total FROM payments""",
     # streaming
     "run_incremental": "SELECT source_id, cost FROM charges",
-    "stream_rate": f"""
-        SELECT * FROM ({_rate()})
-        WHERE CAST(window_start AS TIMESTAMP) + INTERVAL 5 MINUTE
-              <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+    "stream_rate": _rate(),
 }
 
 

@@ -7,24 +7,43 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.checks import check_date
+from millrace.functions.checks import MaxLength, NotNull, Rule, check_date
 from millrace.functions.text import key_uuid, snapshot, to_payload_json, upper_names
-from millrace.operators.faults import DISPATCH_SIZE, dispatch
+from millrace.operators.faults import DISPATCH_SIZE, KNOWN_CLASSES, dispatch, read_skips, write_skips
 from millrace.operators.joins import enrich
 from millrace.operators.ordering import number_rows
 from millrace.operators.sinks import (
     append_to,
+    dead_letter,
     insert_if_absent,
     insert_if_absent_into,
     read_table,
+    split_by_rules,
+    store_letters,
 )
 from millrace.plans.params import require, text
-from millrace.schemas import DISPATCHED_GROUP, GROUP_MEMBER, MARK, PERSONS, PERSONS_V2
+from millrace.schemas import DEAD_LETTER, DISPATCHED_GROUP, GROUP_MEMBER, MARK, PERSONS, PERSONS_V2
 from millrace.session import stable
-from millrace.sources.files import scan_delimited
+from millrace.sources.files import scan_delimited, scan_permissive
 
 CSV_COLUMNS = ["first_name", "last_name", "email", "profession"]
 
+# What the snapshot table asks of a row; the first table is wider and takes NULL.
+PERSON_RULES: list[Rule] = [
+    NotNull("first_name"),
+    NotNull("last_name"),
+    NotNull("email"),
+    NotNull("profession"),
+    MaxLength("first_name", 50),
+    MaxLength("last_name", 50),
+    MaxLength("email", 50),
+    MaxLength("profession", 15),
+]
+
+
+class SkipLimitExceeded(RuntimeError):
+    """More rows were skipped than a run may skip; their dead letters are stored."""
+
 
 @dataclass(frozen=True)
 class Payload:
@@ -33,9 +52,14 @@ class Payload:
     groups: DataFrame
 
 
-def load_persons(spark: SparkSession, csv_path: str, root: str, run_id: int) -> DataFrame:
+def load_persons(
+    spark: SparkSession, csv_path: str, root: str, run_id: int, skip_limit: int | None = None
+) -> DataFrame:
     """Step 1: the file's rows with upper-case names, numbered behind the rows already stored.
 
+    A broken line fails the read. With a ``skip_limit`` up to so many of them become dead letters of the READ phase
+    instead; they are stored first, and one more fails the run before any row is.
+
     Each run owns one folder and a range of ids; a repeated run replaces its folder and keeps its range, so that
     marks, snapshots and groups still fit. It is refused if its file has grown into the ids of a later run.
     """
@@ -44,7 +68,16 @@ def load_persons(spark: SparkSession, csv_path: str, root: str, run_id: int) ->
     mine = F.col("run_id") == run_id
     last, first, own_last = stored.agg(F.max("id"), F.min(F.when(mine, F.col("id"))), F.max(F.when(mine, F.col("id")))).first()
     start = (last or 0) if first is None else first - 1
-    rows = upper_names(scan_delimited(spark, csv_path, CSV_COLUMNS))
+    if skip_limit is None:
+        read = scan_delimited(spark, csv_path, CSV_COLUMNS)
+    else:
+        read, broken = scan_permissive(spark, csv_path, CSV_COLUMNS)
+        skips = read_skips(broken, len(CSV_COLUMNS))
+        letters = stable(dead_letter(skips, run_id, F.current_timestamp(), KNOWN_CLASSES))
+        store_letters(letters, f"{root}/dead_letter", DEAD_LETTER, run_id)
+        if letters.count() > skip_limit:
+            raise SkipLimitExceeded(f"run {run_id} has met more than {skip_limit} lines it cannot read")
+    rows = upper_names(read)
     out = number_rows(rows, start + 1).select(
         "id",
         "first_name",
@@ -70,17 +103,28 @@ def open_persons(persons: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def snapshot_persons(
-    persons: DataFrame, lookup: DataFrame, root: str, date: str, run_id: int
+    persons: DataFrame,
+    lookup: DataFrame,
+    root: str,
+    date: str,
+    run_id: int,
+    rules: list[Rule] | None = None,
 ) -> DataFrame:
     """Step 2: snapshot rows of all open persons, then their marks.
 
     Only rows of the same date can be there already; the UUID follows from date and person, so a
-    repeated run would write the very same row.
+    repeated run would write the very same row. Persons that break one of ``rules`` are not written: they get a dead
+    letter of the WRITE phase, which is stored first, and stay open.
     """
     spark = persons.sparkSession
     require(spark, check_date(text(date)))
     marks_path, path = f"{root}/persons_processed", f"{root}/persons_v2"
     todo = open_persons(persons, read_table(spark, marks_path, MARK))
+    if rules:
+        todo, refused = split_by_rules(todo, rules)
+        skips = write_skips(refused, to_payload_json(F.struct(*CSV_COLUMNS)))
+        letters = dead_letter(skips, run_id, F.current_timestamp(), KNOWN_CLASSES)
+        store_letters(letters, f"{root}/dead_letter", DEAD_LETTER, run_id)
     rows = snapshot(enrich(todo, lookup), date)
     today = F.col("snapshot_date") == F.lit(date).cast("date")
     same_day = read_table(spark, path, PERSONS_V2).filter(today)
@@ -151,7 +195,9 @@ def run_person_etl(
     root: str,
     date: str,
     run_id: int,
+    skip_limit: int | None = None,
 ) -> Payload:
-    persons = load_persons(spark, csv_path, root, run_id)
-    people = snapshot_persons(persons, lookup, root, date, run_id)
+    """All three steps; only rows that keep the snapshot table's rules reach it."""
+    persons = load_persons(spark, csv_path, root, run_id, skip_limit)
+    people = snapshot_persons(persons, lookup, root, date, run_id, PERSON_RULES)
     return dispatch_persons(people, accepted, root)

@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.checks import check_min_bytes, check_optional_long, unprocessed
 from millrace.functions.text import ticket_fields, ticket_file_name
 from millrace.functions.tokens import checksum, sign_token
-from millrace.operators.sinks import (
-    append_to,
-    insert_if_absent_into,
-    read_table,
-    write_expecting,
-)
+from millrace.operators.bucketed import Bucketed, bucketed
+from millrace.operators.sinks import write_expecting
 from millrace.plans.params import require, text
-from millrace.schemas import GENERATED_FILES, MARK
+from millrace.schemas import GENERATED_FILES, MARK, STORED_FILES
 
 
 def ticket_documents(tickets: DataFrame, secret: str, event_id: str | None = None) -> DataFrame:
@@ -57,6 +54,14 @@ def registry_rows(documents: DataFrame, output_dir: str) -> DataFrame:
     )
 
 
+def stored_registry(spark: SparkSession, root: str) -> Bucketed:
+    return bucketed(spark, f"{root}/generated_files", "ticket_id", STORED_FILES)
+
+
+def stored_marks(spark: SparkSession, root: str) -> Bucketed:
+    return bucketed(spark, f"{root}/tickets_processed", "id", MARK)
+
+
 def run_tickets(
     tickets: DataFrame, root: str, secret: str, run_id: int, event_id: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -65,27 +70,19 @@ def run_tickets(
     The documents and their registry rows are stored in one write, keyed by ticket, then the marks. A
     ticket without a mark whose row is stored already only gets its mark: a run that broke between
     the two writes is completed by the next one.
+
+    Registry and marks are bucketed by ticket. The open tickets are shuffled once, into the same buckets, and meet the
+    stored keys there; the history itself never moves.
     """
     spark = tickets.sparkSession
     require(spark, check_min_bytes(text(secret)), check_optional_long(text(event_id)))
-    files_path, marks_path = f"{root}/generated_files", f"{root}/tickets_processed"
-    marks = read_table(spark, marks_path, MARK)
-    open_ = tickets.join(marks.select("id"), "id", "left_anti")
-    registry = read_table(spark, files_path, GENERATED_FILES)
+    registry, marks = stored_registry(spark, root), stored_marks(spark, root)
+    open_ = marks.absent(unprocessed(tickets, event_id), "id", unique_keys=True)
     rows = registry_rows(ticket_documents(open_, secret, event_id), f"{root}/tickets")
-    fresh = rows.join(registry.select("ticket_id"), "ticket_id", "left_anti")
-    checked = write_expecting(fresh, tickets, registry, "ticket_id", "id")
-    append_to(checked, files_path)
-
-    stored = read_table(spark, files_path, GENERATED_FILES)
-    done = unprocessed(open_, event_id).select("id").join(
-        stored.select(F.col("ticket_id").alias("id")), "id", "left_semi"
-    )
-    insert_if_absent_into(
-        done.withColumn("run_id", F.lit(run_id).cast("bigint")),
-        marks_path,
-        "id",
-        MARK,
-        unique_keys=True,
-    )
-    return stored, read_table(spark, marks_path, MARK)
+    fresh = registry.absent(rows, unique_keys=True, in_place=True)
+    registry.append(write_expecting(fresh, tickets, registry.read(), "ticket_id", "id"))
+    # Every open ticket has its row now.
+    done = open_.select("id", F.lit(run_id).cast("bigint").alias("run_id"))
+    marks.append(done)
+    names = T.StructType.fromDDL(GENERATED_FILES).names
+    return registry.read().select(*names), marks.read()

@@ -25,6 +25,9 @@ GENERATED_FILES = (
     " checksum_sha256 STRING, file_size_bytes BIGINT"
 )
 
+# The registry as it is stored has the document itself behind its columns.
+STORED_FILES = f"{GENERATED_FILES}, document STRING"
+
 GENERATED_BUNDLES = (
     "event_id BIGINT, storage_type STRING, storage_path STRING, checksum_sha256 STRING,"
     " file_size_bytes BIGINT, ticket_count BIGINT, status STRING"
@@ -48,3 +51,9 @@ CHECKPOINT = "identity STRING, run_id BIGINT, last_id BIGINT, status STRING"
 RANGE_LEDGER = (
     "identity STRING, run_id BIGINT, range_no INT, min_id BIGINT, max_id BIGINT, status STRING"
 )
+
+STEP_EXECUTION = (
+    "run_id BIGINT, step_name STRING, status STRING, reason STRING, read_count BIGINT, filter_count BIGINT,"
+    " write_count BIGINT, read_skip_count BIGINT, process_skip_count BIGINT, write_skip_count BIGINT,"
+    " commit_count BIGINT, rollback_count BIGINT"
+)

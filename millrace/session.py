@@ -59,3 +59,19 @@ def stable(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` below the shared folder and read it back, with the path for ``dropped``."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``scratch`` has named; anything else stays."""
+    parent = path.rstrip("/").rsplit("/", 1)[0]
+    if not parent.startswith(f"{shared_folder(spark).rstrip('/')}/millrace-"):
+        raise ValueError(f"{path} is no scratch folder of this session")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parent)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -20,20 +20,47 @@ def scan_delimited(spark: SparkSession, path: str, names: list[str], sep: str =
     )
 
 
+def scan_permissive(spark: SparkSession, path: str, names: list[str], sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """Headerless delimited text as ``(rows, broken)``: a line with another number of fields breaks nothing but itself.
+
+    ``rows`` has the columns by position; ``broken`` has the whole line as ``line`` and its number of fields as
+    ``n_fields``. Blank lines are left out.
+    """
+    schema = ", ".join(f"`{name}` STRING" for name in names) + ", `_broken` STRING"
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    parsed = lines.select("value", F.from_csv("value", schema, options).alias("_row"))
+    rows = parsed.filter(F.col("_row._broken").isNull()).select(*[F.col("_row").getField(name).alias(name) for name in names])
+    plain = F.split("value", "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E")
+    broken = parsed.filter(F.col("_row._broken").isNotNull()).select(
+        F.col("value").alias("line"), F.size(plain).alias("n_fields")
+    )
+    return rows, broken
+
+
+#: Files whose first lines' numbers (8 bytes each) go to all tasks.
+SENT_FIRST_LINES = 1 << 20
+
+
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:
     """Every line after the first one of each file, blank ones included, as ``value``.
 
     The first line is the one read first from the block at the file's start, whatever it says; lines that look
-    like it stay. Numbers by task and row tell the lines of a block apart; both reads of a file see the same blocks.
+    like it stay. Numbers by task and row tell the lines apart; both reads of a file see the same blocks. The numbers
+    of the first lines are one per file, of which the driver knows how many there are, so they are broadcast and no line
+    is shuffled.
     """
-    lines = spark.read.text(path).select(
+    text = spark.read.text(path)
+    lines = text.select(
         "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_at"),
     )
-    first = lines.filter("_start = 0").groupBy("_file").agg(F.min("_at").alias("_at"))
-    return lines.join(first, ["_file", "_at"], "left_anti").select("value")
+    first = lines.filter("_start = 0").groupBy("_file").agg(F.min("_at").alias("_at")).select("_at")
+    if len(text.inputFiles()) <= SENT_FIRST_LINES:
+        first = F.broadcast(first)
+    return lines.select("value", "_at").join(first, "_at", "left_anti").select("value")
 
 
 def fields(line: Column, sep: str = ",") -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.sinks import insert_if_absent_into
+from millrace.operators.sinks import insert_if_absent_into, replace_in
 
 
 def read_increments(
@@ -65,7 +65,7 @@ def stream_rate(events: DataFrame, minutes: int = 5, slide: int = 1, tag: str =
 
 
 def run_to_files(rates: DataFrame, target: str, checkpoint: str) -> None:
-    """Append the closed windows of a streaming aggregate to files and stop."""
+    """Append the closed windows of a streaming aggregate to files and stop; windows still open stay in its state."""
     query = (
         rates.writeStream.format("parquet")
         .option("path", target)
@@ -75,3 +75,24 @@ def run_to_files(rates: DataFrame, target: str, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
+
+
+def run_to_versions(aggregate: DataFrame, target: str, key: list[str], schema: str, checkpoint: str) -> None:
+    """Keep a streaming aggregate up to date in a table of versions and stop.
+
+    Every batch replaces the groups it changed with their totals so far, the last windows too, which no watermark has
+    closed yet. A batch that is delivered again replaces rows by equal ones. Read the table by ``sinks.read_versions``;
+    the bounds of the windows in its manifest keep readers of some hours away from the rest.
+    """
+
+    def store(batch: DataFrame, _batch_id: int) -> None:
+        replace_in(batch, target, key, schema)
+
+    query = (
+        aggregate.writeStream.foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("update")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()

@@ -66,7 +66,8 @@ def test_a_run_broken_before_its_marks_is_completed(spark):
     root = scratch(spark, "tickets")
     sold = ticket_rows(spark, [(1, 10), (2, 10)])
     documents = tickets.ticket_documents(sold, SECRET)
-    sinks.append_to(tickets.registry_rows(documents, "/x"), f"{root}/generated_files")
+    registry = tickets.stored_registry(spark, root)
+    registry.append(registry.placed(tickets.registry_rows(documents, "/x")))
     registry, marks = tickets.run_tickets(sold, root, SECRET, 1)
     assert registry.count() == 2 and sorted(r["id"] for r in marks.collect()) == [1, 2]
 
@@ -341,7 +342,7 @@ def test_a_broken_replacement_leaves_the_old_rows(spark, monkeypatch):
         raise OSError("driver lost")
 
     new = spark.createDataFrame([(1, "new")], schema)
-    monkeypatch.setattr(type(spark), "range", lost)  # after the rows, before their number is published
+    monkeypatch.setattr(sinks, "append_to", lost)  # after the rows, before their number is published
     with pytest.raises(OSError):
         sinks.replace_in(new, path, "k", schema)
     monkeypatch.undo()

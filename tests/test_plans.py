@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace import bindings as b
 from millrace import catalog
-from millrace.operators import faults, ordering, sinks
+from millrace.operators import aggregates, faults, ledger, metrics, ordering, sinks
 from millrace.plans import harvest
 from millrace.session import scratch
 
@@ -41,6 +41,20 @@ def one_task_windows(text: str) -> list[str]:
     return re.findall(r"Window .*\n.*Sort .*\n.*Exchange SinglePartition.*\n", text)
 
 
+@pytest.mark.parametrize("name", [n for n in catalog.QUERIES if n not in STORED])
+def test_no_query_orders_everything_in_one_task(spark, monkeypatch, name):
+    """With buckets of a few rows, as a large table has them, every window over everything holds bucket sums only."""
+    real = ordering.running_total
+
+    def cut_small(*args, **settings):
+        return real(*args, **{**settings, "rows_per_bucket": 50})
+
+    for module in (ordering, aggregates, ledger, metrics):
+        monkeypatch.setattr(module, "running_total", cut_small)
+    text = plan(catalog.QUERIES[name](spark, SF_DIR))
+    assert all("_bucket" in x for x in one_task_windows(text)), text
+
+
 def test_windows_over_everything_see_bucket_rows_only(spark):
     """A table above the limit is never ordered by one task; below it one task orders it."""
     rows = b.usage_record(spark, SF_DIR)
@@ -97,10 +111,101 @@ def test_bounds_read_one_column(spark):
     assert "ReadSchema: struct<o_orderkey:bigint>" in text
 
 
-def test_range_limit_is_applied_before_the_shuffle(spark):
-    rows = ordering.assign_id_range(b.usage_record(spark, SF_DIR), "id", 4)
-    text = plan(faults.range_outcomes(rows, F.col("units") < 0, 100))
-    assert re.search(r"Exchange hashpartitioning\(range_no.*\n.*WindowGroupLimit.*Partial", text), text
+def reads(spark, run) -> list[str]:
+    """The plans of all queries that ``run`` executes."""
+    context = spark.sparkContext._jsc.sc()
+    store = spark._jsparkSession.sharedState().statusStore()
+    context.listenerBus().waitUntilEmpty(30_000)
+    seen = store.executionsCount()
+    run()
+    context.listenerBus().waitUntilEmpty(30_000)
+    rows = store.executionsList(seen, 1_000_000)
+    return [rows.apply(k).physicalPlanDescription() for k in range(rows.size())]
+
+
+def test_range_outcomes_rank_slices_only(spark, tmp_path):
+    """Two reads of the table, the second one of the slices around the first bad rows."""
+    path = str(tmp_path / "usage")
+    ordering.assign_id_range(b.usage_with_bad_row(spark, SF_DIR), "id", 4).write.parquet(path)
+    rows = spark.read.parquet(path)
+    bad = F.col("units") > 1 << 60
+    plans = reads(spark, lambda: faults.range_outcomes(rows, bad, 100, slice_bits=6).collect())
+    mine = [text for text in plans if "/usage]" in text]
+    assert len(mine) == 2
+    assert "GreaterThanOrEqual(id," in mine[1] and "LessThanOrEqual(id,1012)" in mine[1]
+    low = int(re.search(r"GreaterThanOrEqual\(id,(\d+)\)", mine[1]).group(1))
+    held = rows.filter(F.col("id").between(low, 1012)).count()
+    assert 99 <= held < 99 + 2 * 64 and "WindowGroupLimit" not in mine[1]
+
+
+def test_harvest_reads_its_source_twice(spark, tmp_path):
+    path = str(tmp_path / "source")
+    b.harvest_source(spark, SF_DIR).write.parquet(path)
+    source = spark.read.parquet(path)
+    root = scratch(spark, "harvest")
+    plans = reads(spark, lambda: harvest.run_harvest(source, root, {"DATE": "2026-01-01"}, 1))
+    mine = [text for text in plans if "/source]" in text]
+    assert len(mine) == 2
+
+
+def test_constraints_take_one_scan_and_one_exchange(spark):
+    lines, parts = b.table(spark, SF_DIR, "lineitem"), b.table(spark, SF_DIR, "part")
+    from millrace.functions import checks
+
+    rules = [
+        checks.NotNull("l_shipdate"),
+        checks.Unique("l_orderkey"),
+        checks.ForeignKey("l_partkey", parts, "p_partkey"),
+        checks.ForeignKey("l_partkey", parts.filter("p_partkey > 5"), "p_partkey"),
+    ]
+    text = plan(checks.check_constraints(lines, rules))
+    assert text.count("lineitem.parquet") == 1 and text.count("part.parquet") == 2
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
+
+
+def test_lines_are_not_shuffled(spark, tmp_path):
+    from millrace.sources import files
+
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_text("a\nb\n\nc\n")
+    text = plan(files.scan_lines(spark, str(tmp_path)))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_stored_buckets_do_not_move(spark):
+    from millrace.operators import bucketed
+
+    table = bucketed.bucketed(spark, scratch(spark, "bucketed"), "id", "id BIGINT, run_id BIGINT")
+    marks = spark.range(1000).select("id", F.lit(1).cast("bigint").alias("run_id"))
+    table.insert_if_absent(marks)
+    text = plan(table.absent(marks, unique_keys=True))
+    assert text.count("Exchange") == 1 and re.search(rf"Exchange hashpartitioning\(id#\d+L, {table.buckets}\)", text), text
+    assert "Bucketed: true" in text
+    files_ = [f for f in os.listdir(table.path.removeprefix("file:")) if f.startswith("part-")]
+    assert len(files_) <= table.buckets
+
+
+def test_finished_ranges_are_pruned_and_many_ranges_stay_small(spark, tmp_path):
+    path = str(tmp_path / "usage")
+    spark.range(100_000).write.parquet(path)
+    ledger = [("me", 1, n, 10 * n, 10 * n + 9, "COMPLETED" if n < 5000 else "FAILED") for n in range(10_000)]
+    names = "identity STRING, run_id BIGINT, range_no INT, min_id BIGINT, max_id BIGINT, status STRING"
+    todo = faults.restart_partitions(spark.read.parquet(path), spark.createDataFrame(ledger, names))
+    text = scans(todo)
+    assert "GreaterThanOrEqual(id,50000)" in text and len(text) < 20_000
+    assert todo.filter("range_no <> id DIV 10").count() == 0 and todo.count() == 50_000
+
+
+def test_versions_are_read_by_their_keys(spark):
+    path, columns = scratch(spark, "versions"), "id BIGINT, value STRING"
+    for n in range(4):
+        rows = spark.range(100 * n, 100 * n + 150).select("id", F.lit(str(n)).alias("value"))
+        sinks.replace_in(rows, path, "id", columns)
+    assert sinks.versions_of(spark, path, "id", columns, {"id": (120, 130)}) == [1, 2]
+    got = sinks.read_versions(spark, path, "id", columns, {"id": (120, 130)})
+    assert {(r.id, r.value) for r in got.collect()} == {(i, "1") for i in range(120, 131)}
+    assert "version IN (1,2)" in re.sub(r"#\d+L?", "", scans(got)).replace("version#", "version")
+    assert sinks.read_versions(spark, path, "id", columns).count() == 450
 
 
 def test_repeated_keys_shrink_before_the_shuffle(spark):

@@ -74,19 +74,48 @@ class Words:
 
 def normal(rows: pa.Table, text: str) -> list[bytes]:
     texts = rows.column(text).cast(pa.binary()).fill_null(b"").to_pylist()
-    return [b"".join(x for w in t.lower().split() for x in (w, b" ")) + END for t in texts]
+    return [b" ".join([*t.lower().split(), END]) for t in texts]
 
 
 def strings(texts: list[bytes]) -> np.ndarray:
     """The key of every byte with the ``DEPTH`` bytes before it, text after text."""
     data = np.frombuffer(b"".join(x for t in texts for x in (START * DEPTH, t)), np.uint8)
-    wide = data.astype(np.uint64)
-    out = wide[DEPTH:].copy()
-    for back in range(1, DEPTH + 1):
-        out |= wide[DEPTH - back : len(wide) - back] << np.uint64(8 * back)
+    # Two bytes, four, and six at every place from the sixth on.
+    two = data.astype(np.uint64)
+    two[1:] |= np.left_shift(two[:-1], np.uint64(8))
+    out = np.left_shift(two[3:-2], np.uint64(16))
+    out |= two[5:]
+    out |= np.left_shift(two[1:-4], np.uint64(32))
     return key_of(out[data[DEPTH:] != START[0]])
 
 
+def firsts(ordered: np.ndarray) -> np.ndarray:
+    """Where each different value of a sorted array begins."""
+    return np.flatnonzero(np.concatenate((ordered[:1] == ordered[:1], ordered[1:] != ordered[:-1])))
+
+
+def numbered(keys: np.ndarray) -> np.ndarray:
+    """The place of every key among the different ones in order."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.zeros(len(keys), np.int64)
+    new[firsts(ordered)[1:]] = 1
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
+def distinct_counts(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys in order, and how often each stands in training text. Keys leave their last bits free, so one
+    of them can say so while they are sorted."""
+    flagged = keys | train.astype(np.uint64)
+    flagged.sort()
+    plain = flagged & ~np.uint64(1)
+    at = firsts(plain)
+    counts = np.add.reduceat((flagged & np.uint64(1)).astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+    return plain[at], counts
+
+
 def key_of(string: np.ndarray) -> np.ndarray:
     first = ((string >> np.uint64(24)) * np.uint64(SPREAD)) & np.uint64(0xFFFFFF)
     return (first << np.uint64(40)) | ((string & np.uint64(0xFFFFFF)) << np.uint64(16))
@@ -140,8 +169,10 @@ def counted(requests: DataFrame) -> DataFrame:
     def bucket(rows: pa.Table) -> pa.Table:
         blobs = [e.as_py() for e in rows.column("entries")]
         key, count = np.concatenate([keys_of(b) for b in blobs]), np.concatenate([counts_of(b) for b in blobs])
-        keys, of = np.unique(key, return_inverse=True)
-        total = np.bincount(of, weights=count, minlength=len(keys)).astype(np.int64)
+        order = np.argsort(key)
+        key = key[order]
+        at = firsts(key)
+        keys, total = key[at], np.add.reduceat(count[order], at)
         number = np.full(len(keys), rows.column("bucket")[0].as_py(), np.int32)
         return pa.table({"bucket": pa.array(number), "g": pa.array(string_of(keys).astype(np.int64)), "c": pa.array(total)})
 
@@ -218,11 +249,7 @@ def scores(docs: DataFrame, trains: Column, id_column: str = "doc_id", text: str
 
     def pieces(chunk: int, rows: pa.Table) -> Iterator[pa.RecordBatch]:
         texts, train = normal(rows, "text"), training(rows)
-        keys = strings(texts)
-        used, count = np.unique(keys[np.repeat(train, [len(t) for t in texts])], return_counts=True)
-        keys = np.unique(keys)
-        total = np.zeros(len(keys), np.int64)
-        total[np.searchsorted(keys, used)] = count
+        keys, total = distinct_counts(strings(texts), np.repeat(train, [len(t) for t in texts]))
         yield from sent(chunk, keys, [keys, total], buckets, squeezed)
 
     counts = stored(exchanged(chunks.map(words, SENT), [np.uint64, np.int64], totals, found=2), "counts")
@@ -235,9 +262,8 @@ def scores(docs: DataFrame, trains: Column, id_column: str = "doc_id", text: str
         texts = normal(rows, "text")
         found = Words(texts)
         count = answered(counts, np.int64)
-        keys = strings(texts)
         logs = np.concatenate([from_planes(b, np.float32) for b in logs]).astype(np.float64)
-        each = logs[np.searchsorted(np.unique(keys), keys)]
+        each = logs[numbered(strings(texts))]
         total = np.concatenate(([0], np.cumsum(each)))
         last = np.cumsum([len(t) for t in texts]) - 1
         spelt = total[found.ends + 1] - total[found.starts]

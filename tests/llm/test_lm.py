@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,3 +75,17 @@ def test_scores(spark, n):
     assert [r[:5] for r in got] == [r[:5] for r in want]
     for a, b in zip(got, want):
         assert a[5:] == pytest.approx(b[5:], rel=1e-5)
+
+
+def test_strings_and_their_numbers():
+    """Keys of six bytes, sorted once."""
+    texts = [b"\n", b"ab \n", b"caf\xc3\xa9 \xff\x00 ab ab ab \n"]
+    keys = lm.strings(texts)
+    want = [(lm.START * lm.DEPTH + t)[i : i + lm.DEPTH + 1] for t in texts for i in range(len(t))]
+    assert [int(x).to_bytes(6, "big") for x in lm.string_of(keys)] == want
+    different, place = np.unique(keys, return_inverse=True)
+    assert (lm.numbered(keys) == place).all() and lm.numbered(keys[:0]).tolist() == []
+    train = np.arange(len(keys)) % 3 > 0
+    got, count = lm.distinct_counts(keys, train)
+    assert (got == different).all() and (count == np.bincount(place, weights=train)).all()
+    assert [len(x) for x in lm.distinct_counts(keys[:0], train[:0])] == [0, 0]

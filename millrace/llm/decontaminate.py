@@ -1,12 +1,11 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Words are runs of ASCII letters and digits and of non-ASCII characters, lower-cased (A-Z). The test items' word
-n-grams are looked up in every document in one pass; around each place where one stands the document's words that
-could align with the item are kept (overlapping places are one), so no text has to be read again. The same pass counts
-the items' words. An n-gram is a rare seed if the frequencies of its words let one expect it less than ``RARE`` times
-in a million words, or if it is among the rarer half of its item's; so a test item that was copied very often does not
-become common by that. Places without a rare seed are dropped, the others are aligned with the item word by word
-(match 2, mismatch -1, gap -1), many at once. The score is the best local alignment as a share of what the whole item
+Words are runs of ASCII letters and digits and of non-ASCII characters, lower-cased (A-Z). A first pass counts the test
+items' words in all documents. A word n-gram of an item is a rare seed if the frequencies of its words let one expect it
+less than ``RARE`` times in a million words, or if it is among the rarer half of its item's; so a test item that was copied
+very often does not become common by that. A second pass looks the seeds up in every document; around each place where one
+stands the document's words that could align with the item (overlapping places are one) are aligned with it word by
+word (match 2, mismatch -1, gap -1), many at once. The score is the best local alignment as a share of what the whole item
 would reach, so replaced, left out and put in words lower it a little and chance matches hardly count.
 
 The items' n-grams are sent to the tasks in slices of at most ``SLICE_WORDS`` words; a larger benchmark takes one pass
@@ -19,8 +18,10 @@ of a null id; other columns, whatever their names, play no part.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,10 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 #: Bytes of text worked on at once, and cells of alignments.
 STEP = 2 << 20
 CELLS = 1 << 20
+#: Windows that are aligned at once.
+WINDOWS = 4096
+#: Keys of matching rows (8 bytes each) that are sent to all tasks.
+SENT_KEYS = 1 << 20
 
 #: Bytes between words.
 BREAK = np.ones(256, bool)
@@ -77,13 +82,30 @@ class Items:
         place = np.arange(len(self.words)) - self.first[item]
         real = (place + SEED <= sizes[item]) | (place == 0)
         order = np.argsort(chains[real], kind="stable")
-        self.gram, self.item, self.place = chains[real][order], item[real][order], place[real][order]
-        self.distinct, self.begin = np.unique(self.gram, return_index=True)
-        self.stop = np.append(self.begin[1:], len(self.gram))
         self.vocabulary, self.word = np.unique(self.words, return_inverse=True)
+        self.look_up(chains[real][order], item[real][order], place[real][order])
+
+    def look_up(self, gram: np.ndarray, item: np.ndarray, place: np.ndarray) -> None:
+        """The n-grams that are looked for, sorted."""
+        self.gram, self.item, self.place = gram, item, place
+        self.distinct, self.begin = np.unique(gram, return_index=True)
+        self.stop = np.append(self.begin[1:], len(gram))
         self.table = np.zeros(1 << 22, bool)
         self.table[(self.distinct >> np.uint64(42)).astype(np.int64)] = True
 
+    def keep_rare(self, counts: np.ndarray, total: int) -> None:
+        """Look for the rare n-grams only, by the counts of the items' words among ``total`` words."""
+        expected = self.expected(counts, total)
+        order = np.lexsort((expected, self.item))
+        sizes = np.bincount(self.item, minlength=len(self.ids))
+        begins = np.cumsum(sizes) - sizes
+        # The median of each item's n-grams; one without any has none to keep.
+        low, high = begins + np.maximum(sizes - 1, 0) // 2, begins + sizes // 2
+        ordered = np.append(expected[order], 0.0)
+        middle = (ordered[np.minimum(low, len(expected))] + ordered[np.minimum(high, len(expected))]) / 2
+        rare = (expected <= RARE) | (expected <= middle[self.item])
+        self.look_up(self.gram[rare], self.item[rare], self.place[rare])
+
     def expected(self, counts: np.ndarray, total: int) -> np.ndarray:
         """Of each n-gram, by the frequencies of its words: places in a million words."""
         share = np.log(np.maximum(counts, 1) / max(total, 1))[self.word]
@@ -165,94 +187,56 @@ def aligned(items: Items, item: np.ndarray, parts: list[np.ndarray]) -> np.ndarr
     return out
 
 
-FOUND = "row_id long, row_key long, item int, seeds array<int>, words binary"
 RESULT = "row_id long, row_key long, item_id long, score double, n_seeds int"
 
 
-#: The item of rows that have the counts of item words: all words as row_id, words' numbers as seeds, counts as words.
-COUNTS = -1
-
-
-def counted(items: Items, words: np.ndarray) -> pa.RecordBatch:
-    found, count = np.unique(words, return_counts=True)
-    at = np.minimum(np.searchsorted(items.vocabulary, found), max(len(items.vocabulary) - 1, 0))
-    ok = items.vocabulary[at] == found if len(items.vocabulary) else np.zeros(len(found), bool)
-    return pa.RecordBatch.from_pydict(
-        {
-            "row_id": pa.array([len(words)], pa.int64()),
-            "row_key": pa.array([0], pa.int64()),
-            "item": pa.array([COUNTS], pa.int32()),
-            "seeds": pa.array([at[ok].tolist()], pa.list_(pa.int32())),
-            "words": pa.array([count[ok].astype(np.int64).tobytes()], pa.binary()),
-        }
-    )
-
+def word_counts(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
+    """How often each of the items' words stands in all documents, and the number of all words."""
 
-def rare_seeds(found: DataFrame, items: Items) -> np.ndarray:
-    """Which of the items' n-grams (by place in ``items.gram``) are rare."""
-
-    def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = 0, np.zeros(len(items.vocabulary), np.int64)
         for batch in batches:
-            for total, seeds, words in zip(batch.column("row_id"), batch.column("seeds"), batch.column("words")):
-                number = np.append(np.array(seeds.as_py(), np.int64), -1)
-                n = np.append(np.frombuffer(words.as_py(), np.int64), total.as_py())
-                yield pa.RecordBatch.from_pydict({"word": pa.array(number), "n": pa.array(n)})
+            for part in pieces(batch, "text", STEP) if batch.num_rows else ():
+                words, _ = word_lists(part.column("text"))
+                total += len(words)
+                if len(seen):
+                    found, n = np.unique(words, return_counts=True)
+                    at = np.minimum(np.searchsorted(items.vocabulary, found), len(seen) - 1)
+                    ok = items.vocabulary[at] == found
+                    seen[at[ok]] += n[ok]
+        number = np.append(np.flatnonzero(seen), -1)
+        yield pa.RecordBatch.from_pydict({"word": pa.array(number), "n": pa.array(np.append(seen[seen > 0], total))})
 
-    rows = found.where(F.col("item") == COUNTS).select("row_id", "seeds", "words").mapInArrow(spread, "word long, n long")
     # At most one row for each word of the slice.
-    counts = dict(rows.groupBy("word").agg(F.sum("n")).collect())
-    expected = items.expected(np.array([counts.get(i, 0) for i in range(len(items.vocabulary))], np.int64), counts.get(-1, 0))
-    middle = np.array([np.median(expected[items.item == i]) if (items.item == i).any() else 0 for i in range(len(items.ids))])
-    return (expected <= RARE) | (expected <= middle[items.item])
+    found = dict(docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n")).collect())
+    return np.array([found.get(i, 0) for i in range(len(items.vocabulary))], np.int64), found.get(-1, 0)
 
 
 def slice_matches(docs: DataFrame, items: Items, least: float) -> DataFrame:
-    """Documents (id, key) and items of one slice that match."""
+    """Documents (id, key) and items of one slice that match. The items' words are counted first, so that only rare
+    n-grams are looked for and a common one, in however many items and documents it stands, makes no window."""
+    items.keep_rare(*word_counts(docs, items))
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text", STEP) if batch.num_rows else ():
                 words, first = word_lists(part.column("text"))
-                yield counted(items, words)
-                rows = list(windows(items, words, first))
-                if rows:
+                found = windows(items, words, first)
+                while rows := list(islice(found, WINDOWS)):
                     text = pa.array([r[0] for r in rows], pa.int64())
-                    yield pa.RecordBatch.from_pydict(
+                    scores = aligned(items, np.array([r[1] for r in rows]), [r[3] for r in rows])
+                    out = pa.RecordBatch.from_pydict(
                         {
                             "row_id": part.column("row_id").take(text),
                             "row_key": part.column("row_key").take(text),
-                            "item": pa.array([r[1] for r in rows], pa.int32()),
-                            "seeds": pa.array([r[2].tolist() for r in rows], pa.list_(pa.int32())),
-                            "words": pa.array([r[3].tobytes() for r in rows], pa.binary()),
+                            "item_id": pa.array([items.ids[r[1]] for r in rows], pa.int64()),
+                            "score": pa.array(scores),
+                            "n_seeds": pa.array([len(r[2]) for r in rows], pa.int32()),
                         }
                     )
+                    yield out.filter(pa.array(scores >= least))
 
-    found = stored(docs.mapInArrow(find, FOUND), "places")
-    rare = set(zip(items.item[at := rare_seeds(found, items)].tolist(), np.searchsorted(items.distinct, items.gram[at]).tolist()))
-
-    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            item = batch.column("item").to_numpy()
-            seeds = batch.column("seeds").to_pylist()
-            good = np.array([any((i, s) in rare for s in own) for own, i in zip(seeds, item.tolist())], bool)
-            batch = batch.filter(pa.array(good))
-            if not batch.num_rows:
-                continue
-            item = batch.column("item").to_numpy()
-            parts = [np.frombuffer(w.as_py(), np.uint64) for w in batch.column("words")]
-            scores = aligned(items, item, parts)
-            out = pa.RecordBatch.from_pydict(
-                {
-                    "row_id": batch.column("row_id"),
-                    "row_key": batch.column("row_key"),
-                    "item_id": pa.array([items.ids[i] for i in item], pa.int64()),
-                    "score": pa.array(scores),
-                    "n_seeds": pa.array([len(s) for s in batch.column("seeds").to_pylist()], pa.int32()),
-                }
-            )
-            yield out.filter(pa.array(scores >= least))
-
-    return found.where(F.col("item") != COUNTS).mapInArrow(score, RESULT)
+    return docs.mapInArrow(find, RESULT)
 
 
 def row_key(id_column: str, text: str) -> Column:
@@ -282,6 +266,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text", **names) -> DataFrame:
-    """``docs`` without the rows that match a test item."""
-    bad = matches(docs, benchmark, id_column=id_column, text=text, **names).select(F.col("row_key").alias("_row_key")).distinct()
-    return docs.join(bad, row_key(id_column, text) == F.col("_row_key"), "left_anti")
+    """``docs`` without the rows that match a test item. Up to ``SENT_KEYS`` keys of such rows go to all tasks, so that no
+    text is shuffled; more are joined."""
+    name = f"_{uuid.uuid4().hex}"
+    found = matches(docs, benchmark, id_column=id_column, text=text, **names)
+    bad = stored(found.select(F.col("row_key").alias(name)).distinct(), "matched")
+    bad = F.broadcast(bad) if bad.count() <= SENT_KEYS else bad
+    return docs.join(bad, row_key(id_column, text) == F.col(name), "left_anti")

@@ -69,3 +69,61 @@ def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b c d", 0, "", "")], SCHEMA)
     assert D.contaminated(docs, items.where("item_id = 2")).collect() == []
     assert [r.doc_id for r in D.decontaminate(docs, items.where("item_id = 2")).collect()] == [1]
+
+
+def test_generic_items_make_few_windows(spark, monkeypatch):
+    """Items that all begin with the same words meet documents that have these words only by them: no table of all pairs,
+    and none of them matches."""
+    rng = random.Random(9)
+    made_up = lambda: "".join(rng.choice("bcdfgklm") for _ in range(6))
+    start = "which of the following is the"
+    items = [(i, f"{start} {' '.join(made_up() for _ in range(8))}") for i in range(2000)]
+    docs = [(i, f"{start} {made_up()} " * 3) for i in range(300)] + [(900, "so " * 50 + items[7][1] + " and on" * 20)]
+    tests = D.Items([i for i, _ in items], [t for _, t in items])
+    df, benchmark = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = D.contaminated(df, benchmark).collect()
+    assert [(r.doc_id, r.item_id, r.score) for r in got] == [(900, 7, 1.0)]
+    tests.keep_rare(*D.word_counts(df, tests))
+    words, first = D.word_lists(D.pa.array([t for _, t in docs]))
+    assert len(list(D.windows(tests, words, first))) < 50
+
+
+def test_all_documents_and_items_by_loops(spark):
+    """The whole operator against plain alignments of every document with every item: what is found scores as there, and
+    every copy with up to a fifth of its words replaced is found."""
+    rng = random.Random(12)
+    vocabulary = [f"w{int(rng.paretovariate(0.4)) % 700}" for _ in range(3000)]
+    items = [(i, rng.choices(vocabulary, k=rng.randint(20, 40))) for i in range(15)]
+    docs, copies = [], set()
+    for i in range(60):
+        body = rng.choices(vocabulary, k=rng.randint(0, 80))
+        if i % 3 == 0:
+            item, words = rng.choice(items)
+            swapped = set(rng.sample(range(len(words)), len(words) // 5))
+            body[len(body) // 2 : len(body) // 2] = [f"x{rng.random()}".replace(".", "") if k in swapped else w for k, w in enumerate(words)]
+            copies.add((i, item))
+        docs.append((i, body))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in docs], "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in D.contaminated(df, benchmark).collect()}
+    numbers = {w: n for n, w in enumerate(sorted({w for _, t in [*docs, *items] for w in t}))}
+    best = {
+        (i, k): plain([numbers[w] for w in words], [numbers[w] for w in text]) / (2 * len(words))
+        for i, text in docs
+        for k, words in items
+        if text
+    }
+    assert copies <= set(got)
+    assert all(score <= best[pair] + 1e-9 and score >= D.LEAST for pair, score in got.items())
+    assert all(abs(got[pair] - best[pair]) < 1e-9 for pair in copies)
+    assert all(best[pair] < 0.6 for pair in best if pair not in got)
+
+
+def test_clashing_column_and_many_keys(spark, monkeypatch):
+    rows = [(1, "one two three four five six seven", "a"), (2, "nothing like it at all", "b"), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row_key string")
+    benchmark = spark.createDataFrame([(1, "one two three four five six seven")], "item_id long, text string")
+    for sent in (D.SENT_KEYS, 0):
+        monkeypatch.setattr(D, "SENT_KEYS", sent)
+        left = D.decontaminate(docs, benchmark)
+        assert sorted(map(tuple, left.collect()), key=repr) == sorted(rows[1:], key=repr) and left.columns == docs.columns

@@ -273,8 +273,11 @@ def judged(docs: DataFrame, id_column: str = "doc_id", text: str = "text", langu
 
 
 def kept(docs: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:
-    """``docs`` without the rejected documents; no text is shuffled."""
-    slim = docs.select(F.col(text).alias("text"), F.col(language).alias("lang"))
+    """``docs`` without the rejected documents; no text is shuffled. A row is carried as one value, so that its columns
+    may have any name."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = docs.select(row.alias("doc"), F.col(text).alias("text"), F.col(language).alias("lang"))
+    slim = whole.drop("doc")
     learnt = learnt_words(slim)
-    known = references(stored(with_features(slim, learnt=learnt).drop("text"), "features"), "lang", learnt)
-    return only_kept(verdict(with_features(docs, text, language, learnt), known, language)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    known = references(stored(with_features(slim, learnt=learnt).drop("text"), "features"), learnt=learnt)
+    return only_kept(verdict(with_features(whole, learnt=learnt), known)).select("doc.*")

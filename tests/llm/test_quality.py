@@ -122,3 +122,13 @@ def test_junk_of_medium_length(spark):
     texts = {r[0]: r[1] for r in rows}
     fixed = [r.char_distance / (Q.CHAR_LIMIT + Q.CHAR_SLACK / math.sqrt(len(texts[r.doc_id]))) for r in junk]
     assert max(fixed) < 1  # the limit that does not know the spread keeps them
+
+
+def test_kept_leaves_columns_of_any_name_alone(spark):
+    """Columns named like those the rules work with come out as they went in."""
+    text = " ".join(f"word{i}" for i in range(30))
+    names = "_quality_text string, _quality_kept long, _quality_features string, doc string, lang string, text string, b long"
+    rows = [("x", 7, "f", "d", "en", text, 1), ("y", 8, None, None, None, None, 2), ("z", 9, "f", "d", "en", "too short", 3)]
+    df = spark.createDataFrame(rows, names)
+    got = Q.kept(df)
+    assert got.schema == df.schema and [tuple(r) for r in got.collect()] == rows[:1]

@@ -12,7 +12,8 @@ model's score is taken as a logarithm), so that long and common pieces are prefe
 no piece covers is coded in byte pieces, and so is the blank's own sign where it stands in a text: decoding gives
 back every text, byte for byte.
 
-Everything is done for many words at once: tables of hashes find the pieces at every place, places at equal distance
+Long words, as in text without blanks, are cut at every character that no piece reaches over: all ways meet there, so
+the parts are drawn apart. Everything is done for many words at once: tables of hashes find the pieces at every place, places at equal distance
 from their word's start are filtered together, and all words are sampled together from their ends.
 
 Defined results: null stays null and an empty text has no pieces; a null key counts as a key of its own; equal
@@ -39,6 +40,8 @@ from millrace.llm.chunks import text_bytes
 
 #: Bytes of text worked on at once.
 STEP = 1 << 19
+#: Bytes of a word from which it is cut where no piece reaches over.
+LONG = 64
 #: The blank's sign in a vocabulary.
 BLANK = "▁"
 
@@ -131,7 +134,7 @@ def tables(vocabulary: Vocabulary) -> Tables:
     return Tables(vocabulary)
 
 
-def segments(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def words_in(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Starts of the words of all texts: a word starts at a blank, at a text's start, and around a line feed."""
     cut = data == 32
     line = data == 10
@@ -141,6 +144,42 @@ def segments(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def segments(t: Tables, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Starts of the parts that are sampled apart: words, and within words of more than ``LONG`` bytes (text without
+    blanks) every character that no piece reaches over. All ways through a word meet there, so nothing changes but
+    that the longest part, whose bytes are taken step by step, stays short."""
+    starts = words_in(data, bounds)
+    sizes = np.diff(starts, append=len(data))
+    long = sizes > LONG
+    if not long.any():
+        return starts
+    first = np.concatenate(([0], np.cumsum(sizes[long])))
+    place = np.arange(first[-1]) + np.repeat(starts[long] - first[:-1], sizes[long])
+    inner = joints(t, data[place], first)
+    return np.sort(np.concatenate((starts, place[inner])))
+
+
+def joints(t: Tables, words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Places inside words, at the start of a character, that no piece reaches over."""
+    stop = np.repeat(first[1:], np.diff(first))
+    sums = H.prefix_sums(words)
+    over = np.zeros(len(words) + 1, np.int32)
+    active = np.arange(len(words))
+    for k in range(1, t.longest + 1):
+        active = active[active + k <= stop[active]]
+        if not len(active):
+            break
+        got = t.find(H.slice_hashes(sums, active, active + k))
+        active, got = active[got >= 0], got[got >= 0]
+        # Every place begins one piece of a size at most.
+        piece = active[t.ids[got] >= 0]
+        over[piece + 1] += 1
+        over[piece + k] -= 1
+    free = (np.cumsum(over[:-1]) == 0) & ((words & 0xC0) != 0x80)
+    free[first[:-1]] = False
+    return np.flatnonzero(free)
+
+
 class Lattice:
     """All edges (pieces) between the places of distinct words, by their ends, with the forward sums.
 
@@ -209,7 +248,7 @@ def sampled(t: Tables, data: np.ndarray, bounds: np.ndarray, seeds: np.ndarray)
     """Pieces of all texts in order, and the number of pieces before each text."""
     if not len(data):
         return np.zeros(0, np.int32), np.zeros(len(bounds), np.int64)
-    starts = segments(data, bounds)
+    starts = segments(t, data, bounds)
     ends = np.append(starts[1:], len(data))
     keys, example, of = np.unique(H.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
     sizes = (ends - starts)[example]

@@ -95,3 +95,35 @@ def test_model_file():
             P.Vocabulary.read("/opt/tokenizers/piece_bpe_32k.model")
         finally:
             sentencepiece.SentencePieceProcessor = old
+
+
+def unspaced(kind, n, seed=4):
+    rng = random.Random(seed)
+    if kind == "han":
+        return "".join(chr(rng.randrange(0x4E00, 0x9000)) if rng.random() < 0.5 else rng.choice("的一是不了人我在有他") for _ in range(n))
+    return "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(n))
+
+
+@pytest.mark.parametrize("kind", ["han", "base64"])
+def test_cut_words_have_the_pieces_of_whole_ones(monkeypatch, kind):
+    """The parts' draws are those of the whole word."""
+    t = P.tables(P.Vocabulary.read("/opt/tokenizers/piece_bpe_32k.model"))
+    text = (unspaced(kind, 700) + " and é\n" + unspaced(kind, 90, 5)).encode()
+    data, bounds = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    cut, _ = P.sampled(t, data, bounds, P.seeds_of([3], 1))
+    parts = P.segments(t, data, bounds)
+    monkeypatch.setattr(P, "LONG", 1 << 30)
+    whole, _ = P.sampled(t, data, bounds, P.seeds_of([3], 1))
+    assert cut.tolist() == whole.tolist() and P.spelt(t, cut).tobytes() == text
+    assert len(parts) > 2 * len(P.segments(t, data, bounds))
+
+
+@pytest.mark.parametrize("kind, n, seconds", [("han", 350_000, 4), ("base64", 1_000_000, 20)])
+def test_a_megabyte_without_blanks(kind, n, seconds):
+    import time
+
+    t = P.tables(P.Vocabulary.read("/opt/tokenizers/piece_bpe_32k.model"))
+    text = unspaced(kind, n).encode()
+    start = time.process_time()
+    ids, _ = P.sampled(t, np.frombuffer(text, np.uint8), np.array([0, len(text)]), P.seeds_of([1], 0))
+    assert time.process_time() - start < seconds and P.spelt(t, ids).tobytes() == text

@@ -5,8 +5,9 @@ the last sequence of a chunk of documents is filled with end tokens. The sequenc
 Feistel permutation of the numbers gives every sequence its slot in the training order: the network permutes the
 smallest power of four that covers all numbers, and a result outside them is permuted again until it is inside
 (cycle walking). So the order is a bijection that needs no sort by a random key and can be computed for any slot
-at any time. A shard is a range of ``records`` slots; each is written by one task as one file of records of a fixed
-stride, so slot ``s`` stands at byte ``s % records * stride`` of shard ``s // records`` and a reader can start anywhere.
+at any time. (The numbers follow the order in which the table is read; a table that is read in other splits has its
+sequences numbered in another order.) A shard is a range of ``records`` slots; tasks write ranges of shards, each shard as
+one file of records of a fixed stride, so slot ``s`` stands at byte ``s % records * stride`` of shard ``s // records`` and a reader can start anywhere.
 
 A record has the tokens (little-endian, 2 bytes each, or 4 for a large vocabulary), 8 bytes for the slot, 3 for the
 number of tokens without the filling, 4 for the CRC-32 of the tokens, and a line feed. The files are written by
@@ -42,8 +43,9 @@ LENGTH = 2048
 RECORDS = 2048
 #: Bytes of a record behind its tokens.
 TRAILER = 16
-#: Bytes of text in a chunk.
+#: Bytes of text in a chunk, and bytes of shards that one task sorts and writes.
 CHUNK_BYTES = 4 << 20
+TASK_BYTES = 256 << 20
 ROUNDS = 6
 #: Compression of tokens on their way.
 LEVEL = 6
@@ -199,7 +201,12 @@ def write(docs: DataFrame, path: str, vocabulary: Bytepairs, key: int = 0, lengt
                 yield pa.RecordBatch.from_arrays([part.column("shard"), part.column("slot"), blobs], part.schema.names)
 
     shape = "shard long, slot long, record binary"
-    dealt = placed.mapInArrow(spread, shape).repartition("shard").mapInArrow(unpacked, shape)
+    # A task writes a range of shards: some hundred MB, or less while there are not enough for all cores.
+    every = max(-(-count // records), 1)
+    size = count * (length * width + TRAILER)
+    tasks = min(every, max(2 * docs.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES)))
+    task = F.call_function("div", F.col("shard") * F.lit(tasks), F.lit(every)).cast("int")
+    dealt = placed.mapInArrow(spread, shape).repartitionById(tasks, task).mapInArrow(unpacked, shape)
     ordered = dealt.sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("value"))
     ordered.write.partitionBy("shard").option("lineSep", "\n").option("compression", "none").text(path)
 

@@ -60,3 +60,16 @@ def test_round_trip(spark, vocabulary, tmp_path):
 
 def test_empty_table(spark, vocabulary, tmp_path):
     assert S.summary(spark.createDataFrame([], SCHEMA), str(tmp_path / "none"), vocabulary).collect() == []
+
+
+def test_tasks_write_ranges_of_shards(spark, vocabulary, tmp_path, monkeypatch):
+    """Every task has neighbouring shards, also where there are more of them than tasks."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(S, "TASK_BYTES", 1 << 12)
+    df = spark.createDataFrame([(i, "some words " * 40) for i in range(60)], "doc_id long, text string").repartition(4)
+    out = S.write(df, str(tmp_path / "shards"), vocabulary, key=2, length=16, records=2)
+    files = {int(d.split("=")[1]): f for d in os.listdir(out.path) if "=" in d for f in os.listdir(f"{out.path}/{d}") if f.startswith("part-")}
+    tasks = [int(files[shard].split("-")[1]) for shard in sorted(files)]
+    assert tasks == sorted(tasks) and len(tasks) == -(-out.count // 2) > len(set(tasks)) > 8
+    assert S.read(spark, out).where(~F.col("whole")).count() == 0

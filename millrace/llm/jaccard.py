@@ -250,21 +250,30 @@ class Similar:
         joined = stored(rooted(groups, links), "rooted")
         links = links.unionByName(questions(joined, joined, "root", percent))
         roots = rooted(groups, links).select("row", "root")
-        of_name = firsts.join(roots, "row").select("name", "root")
-        self.members = named.select("row", "id", "name").join(of_name, "name").select("row", "id", "root")
+        self.named = named.select("row", "id", "name")
+        self.of_name = stored(firsts.join(roots, "row").select("name", "root"), "of_name")
+
+    def joined(self, value: Column, name: str) -> DataFrame:
+        """Rows row, id and the smallest ``value`` of their component as ``name``.
+
+        It is found by class of equal sets and then by component; a row meets its class only. All joins are between
+        stored tables, so that a class or component with a third of all rows is split."""
+        own = self.named.groupBy("name").agg(F.min(value).alias(name))
+        classes = stored(own.join(self.of_name, "name"), "classes")
+        least = stored(classes.groupBy("root").agg(F.min(name).alias(name)), "least")
+        by_class = stored(classes.select("name", "root").join(least, "root").select("name", name), "by_class")
+        return self.named.join(by_class, "name").select("row", "id", name)
 
     def documents(self) -> DataFrame:
         """Rows row, id, n, component."""
-        least = self.members.groupBy("root").agg(F.min("id").alias("component"))
-        found = self.members.join(least, "root").select("row", "component")
+        found = self.joined(F.col("id"), "component").select("row", "component")
         rows = self.sets.select("row", "id", "n").join(found, "row", "left")
         return rows.withColumn("component", F.coalesce("component", "id"))
 
     def kept(self) -> DataFrame:
         """The given documents without all but one of each component."""
-        order = F.struct(F.col("id").isNull(), "id", "row")
-        least = self.members.groupBy("root").agg(F.min(order).alias("first"))
-        gone = self.members.join(least, "root").where(F.col("row") != F.col("first.row")).select("row")
+        found = self.joined(F.struct(F.col("id").isNull().alias("none"), "id", "row"), "first")
+        gone = found.where(F.col("row") != F.col("first.row")).select("row")
         place = F.shiftrightunsigned("row", 20).alias("chunk"), F.col("row").bitwiseAND((1 << 20) - 1).cast("int").alias("place")
         lists = gone.select(*place).groupBy("chunk").agg(F.collect_list("place").alias("places"))
 

@@ -148,3 +148,64 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors on the first eight whitened components of all vectors' covariance."""
     return whitening.digest(table(spark, sf_dir, "embeddings"), components=8)
+
+
+# ---- SQL ----------------------------------------------------------------------------------
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# All pairs that share a shingle, and the closure of their links: for tables of some thousand documents.
+SQL["op2_ngram_jaccard_join"] = f"""
+    WITH RECURSIVE words AS (
+           SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+         shingles AS (
+           SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+                                               WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                                               ELSE [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)] END) AS g
+           FROM words),
+         sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+         pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+                   FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+         links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+                   WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+         reached AS (SELECT doc_id, doc_id AS root FROM documents
+                     UNION SELECT b, root FROM reached JOIN links ON a = doc_id),
+         lowest AS (SELECT doc_id, min(root) AS component_id FROM reached GROUP BY doc_id)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+    FROM documents LEFT JOIN sizes USING (doc_id) JOIN lowest USING (doc_id)"""
+
+# Every string of 50 bytes with the smallest document it starts in; starts at most 50 apart make one run.
+SQL["op9_suffix_array_dedup"] = """
+    WITH bytes AS (SELECT doc_id, encode(coalesce(text, '')) AS t FROM documents),
+         sized AS (SELECT *, octet_length(t) AS n FROM bytes),
+         grams AS (SELECT doc_id, pos, array_slice(t, pos, pos + 49) AS g
+                   FROM (SELECT doc_id, t, unnest(range(1, n - 48)) AS pos FROM sized WHERE n >= 50)),
+         least_of AS (SELECT g, min(doc_id) AS first_id FROM grams GROUP BY g),
+         hits AS (SELECT doc_id, pos, pos > lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 50 AS apart
+                  FROM grams JOIN least_of USING (g) WHERE doc_id > first_id),
+         numbered AS (SELECT doc_id, pos, sum(CASE WHEN apart IS FALSE THEN 0 ELSE 1 END)
+                                         OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM hits),
+         runs AS (SELECT doc_id, run, min(pos) AS low, max(pos) + 49 AS high FROM numbered GROUP BY doc_id, run),
+         edges AS (SELECT doc_id, low, high FROM runs UNION ALL SELECT doc_id, n + 1, n + 1 FROM sized),
+         parts AS (SELECT doc_id, low, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) + 1 AS since FROM edges),
+         kept AS (SELECT doc_id, string_agg(CASE WHEN since < low THEN hex(array_slice(t, since, low - 1)) ELSE '' END, ''
+                                            ORDER BY low) AS k
+                  FROM parts JOIN sized USING (doc_id) GROUP BY doc_id),
+         removed AS (SELECT doc_id, sum(high - low + 1) AS bytes_, count(*) AS spans FROM runs GROUP BY doc_id)
+    SELECT doc_id, n AS n_bytes, CAST(coalesce(bytes_, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+           sha256(unhex(k)) AS kept_sha256
+    FROM sized JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)"""
+
+# Control strings of the template are 17 characters a turn; every escaped character takes one more.
+SQL["op10_chat_formatting"] = """
+    WITH said AS (
+           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+           UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(17 + 2 * length(role || text) - length(replace(replace(role || text, '~', ''), '[', ''))) AS BIGINT)
+             AS formatted_chars
+    FROM said GROUP BY conv_id"""

@@ -7,14 +7,13 @@ published one counts.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.checks import Rule, first_violation
 from millrace.functions.text import root_cause, truncate_message
-from millrace.operators.claims import next_number
+from millrace.operators.claims import claimed, next_number
 
 
 # ---- stored tables ------------------------------------------------------------------------
@@ -24,12 +23,9 @@ def read_table(spark: SparkSession, path: str, schema: str | T.StructType) -> Da
     """The stored table, or an empty one while nothing has been written yet."""
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    try:
-        return spark.read.schema(schema).parquet(path).select(*schema.names)
-    except AnalysisException as problem:
-        if "PATH_NOT_FOUND" not in str(problem):
-            raise
+    if not claimed(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def append_to(df: DataFrame, path: str) -> None:

@@ -7,6 +7,7 @@ that is small between zero and the block's smallest Ritz value damps all that is
 Then the block is made orthonormal (QR), rotated to its Ritz vectors (Rayleigh-Ritz), and the residuals
 |Vq - eq| of the wanted ones are looked at. It ends when they are as small as double precision allows; a
 residual bounds the distance of a Ritz value to an eigenvalue, and over the gap to the next one the angle to its vector.
+Where a spectrum is too flat for that in ``ROUNDS`` rounds, the block is widened, at the most to the whole space.
 
 Entries are taken as whole numbers x = floor(scale * c) + shift, so that sums, means and deviations are exact. Rows
 are packed into blocks of some MB in a stored table that every pass reads; only sums of (dimension x block width)
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +44,8 @@ DEGREE = 8
 ROUNDING, CERTIFIED = 2e-15, 1e-10
 #: Share of the largest eigenvalue below which a direction counts as flat.
 FLAT = 1e-11
-#: Rounds after which an iteration that is not certified fails.
-ROUNDS = 60
+#: Rounds after which the block is made twice as wide, if the spectrum is so flat that it is not certified by then.
+ROUNDS = 24
 
 
 @dataclass(frozen=True)
@@ -168,9 +170,10 @@ def fit(vectors: Vectors, components: int, seed: int = 1) -> Fit:
     trace = vectors.summed(lambda x: np.array([(centred(x, n, sums) ** 2).sum()]), 1)[0] / n
     if trace == 0:
         return none
-    q, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, width)))
+    rng = np.random.default_rng(seed)
+    q, _ = np.linalg.qr(rng.standard_normal((dim, width)))
     wanted, before = min(components, width), np.inf
-    for _ in range(ROUNDS):
+    for step in count(1):
         z = product(q)
         h = q.T @ z
         values, turn = np.linalg.eigh((h + h.T) / 2)
@@ -178,12 +181,15 @@ def fit(vectors: Vectors, components: int, seed: int = 1) -> Fit:
         q, z = q @ turn, z @ turn
         residuals = np.linalg.norm(z - q * values, axis=0)[:wanted]
         worst = residuals.max() / values[0]
-        if worst <= ROUNDING * dim or (worst <= CERTIFIED and worst > before / 2):
+        # A block as wide as the space holds every eigenvector.
+        if worst <= ROUNDING * dim or (worst <= CERTIFIED and worst > before / 2) or q.shape[1] == dim:
             break
         before = worst
-        q = filtered(product, q, z, values)
-    else:
-        raise ArithmeticError(f"residuals of {worst:.1e} after {ROUNDS} rounds")
+        if step % ROUNDS:
+            q = filtered(product, q, z, values)
+        else:
+            more = rng.standard_normal((dim, min(dim, 2 * q.shape[1]) - q.shape[1]))
+            q, _ = np.linalg.qr(np.concatenate((q, more), axis=1))
     real = int((values[:wanted] > FLAT * values[0]).sum())
     return Fit(n, sums, values[:real], q[:, :real], residuals[:real], trace, vectors.passes)
 

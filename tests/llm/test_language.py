@@ -114,3 +114,72 @@ def test_sample_of_different_texts(spark, monkeypatch):
     languages, sample = L.sampled(spark.createDataFrame(rows, SCHEMA).select("lang", "text").repartition(4))
     got = [tuple(r) for r in sample.collect()]
     assert languages == ["en", "few"] and len(set(got)) == len(got) == 21
+
+
+def brute_predictions(rows):
+    """Prediction and score of every row by plain counts: trained on the rows with a language whose flag is set."""
+    import math
+    import unicodedata
+    from collections import Counter
+
+    def read(text):
+        """Words as bytes, with their number of letters and their script."""
+        out = []
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for word in lower.encode().split():
+            scripts = Counter()
+            for c in word.decode():
+                if unicodedata.category(c)[0] == "L":
+                    scripts[[name for start, name in L.RANGES if start <= ord(c)][-1]] += 1
+            script = max(L.SCRIPTS, key=lambda s: (scripts[s], -L.SCRIPTS.index(s)))
+            padded = b" " + word + b" "
+            bins = [int.from_bytes(padded[i : i + 3], "big") * 0x9E3779B1 % 2**32 >> (32 - L.BIN_BITS) for i in range(len(word))]
+            out.append((sum(scripts.values()), script, bins, scripts))
+        return out
+
+    languages = sorted({lang for _, _, lang, trains in rows if trains and lang})
+    logs, foreign = {}, {}
+    for lang in languages:
+        counts, scripts = Counter(), Counter()
+        for text in {text for _, text, own, trains in rows if trains and own == lang and text is not None}:
+            for letters, script, bins, _ in read(text):
+                if letters:
+                    counts.update(bins)
+                    scripts[script] += letters
+        total = sum(counts.values()) + 0.5 * 2**L.BIN_BITS
+        logs[lang] = lambda b, counts=counts, total=total: math.log((counts[b] + 0.5) / total)
+        foreign[lang] = {s for s in L.SCRIPTS if scripts[s] < L.RARE * max(sum(scripts.values()), 1)}
+    out = {}
+    for i, text, *_ in rows:
+        words = read(text)
+        if not any(letters for letters, *_ in words):
+            out[i] = ("und", 0.0)
+            continue
+        scores = np.array(
+            [
+                [sum(map(logs[lang], bins)) - L.FOREIGN * (script in foreign[lang]) if letters else 0.0 for lang in languages]
+                for letters, script, bins, _ in words
+            ]
+        )
+        share = Counter()
+        for (letters, *_), label in zip(words, plain_path(scores, L.SWITCH)[1]):
+            share[label] += letters
+        best = max(share, key=lambda label: (share[label], -label))
+        out[i] = (languages[best], share[best] / sum(share.values()))
+    return out
+
+
+def test_predictions_against_plain_counts(spark):
+    """The whole operator: scores, scripts, spans and the vote of the letters."""
+    rng = random.Random(5)
+    corpus_rows, *words = corpus()
+    rows = [(i, text, lang, i % 4 != 2) for i, text, lang, *_ in corpus_rows]
+    for i in range(40):
+        mixed = [w for part in rng.sample(words, 2) for w in rng.choices(part, k=rng.randint(1, 25))]
+        rows.append((1000 + i, " ".join([*mixed, "12", "—", rng.choice(["日本", "x", "Ωμ"])]), None, False))
+    rows += [(2000, None, "en", True), (2001, "12 --", "de", True), (2002, "", None, False)]
+    want = brute_predictions(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, trains boolean").repartition(3)
+    got = {r.doc_id: (r.lang_pred, r.lang_score) for r in L.identify(df, F.col("trains")).collect()}
+    assert {i: p for i, (p, _) in got.items()} == {i: p for i, (p, _) in want.items()}
+    assert all(got[i][1] == pytest.approx(want[i][1], abs=1e-6) for i in want)

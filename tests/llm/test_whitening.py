@@ -102,6 +102,14 @@ def test_filter_damps_what_is_not_wanted():
     assert np.abs(turned[3:]).max() < 1e-3 * np.abs(turned[:2]).min()
 
 
+def test_a_flat_spectrum_widens_the_block(spark, monkeypatch):
+    """With one round before each widening the block becomes the whole space, and the result is the same."""
+    monkeypatch.setattr(W, "ROUNDS", 1)
+    rng = np.random.default_rng(2)
+    vectors = [[float(np.float32(c)) for c in row] for row in rng.standard_normal((500, 90))]
+    check(W.digest(table(spark, vectors), 8).collect(), list(range(500)), vectors, 8)
+
+
 def test_query_over_whole_table(spark):
     sf_dir = "/root/testdata/sf0.001"
     rows = queries.table(spark, sf_dir, "embeddings").collect()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 
@@ -1211,6 +1212,38 @@ def job_event_bundles(spark, sf_dir):
     return bundles.run_bundles(registered, sold, root, event_id="7", found=found)
 
 
+def ticket_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """The document of every registered ticket, to be written as a file of its own, and the folder for them."""
+    sold = b.event_tickets(spark, sf_dir).filter("processed")
+    text_ = b.document_text(F.col("ticket_code"), F.col("holder_name"))
+    return sold.select(F.col("id").alias("ticket_id"), text_.alias("value")), scratch(spark, "ticket_files")
+
+
+@query
+def job_event_bundles_files(spark, sf_dir):
+    """All events bundled from files that were really written, one per ticket. While one of them is missing the run is
+    refused and stores nothing; once it is there all events have their bundle."""
+    root = scratch(spark, "bundles")
+    registered, sold = b.generated_files(spark, sf_dir), flagged_tickets(spark, sf_dir)
+    documents, folder = ticket_files(spark, sf_dir)
+    late = documents.agg(F.max("ticket_id")).first()[0]
+
+    def bundled() -> DataFrame:
+        number = F.regexp_extract("path", r"ticket_id=(\d+)", 1)
+        found = files.scan_files(spark, folder, "part-*").select(F.concat(F.lit("/data/tickets/"), number, F.lit(".pdf")).alias("path"))
+        return bundles.run_bundles(registered, sold, root, found=found)
+
+    documents.filter(F.col("ticket_id") != late).write.partitionBy("ticket_id").text(folder)
+    try:
+        bundled()
+        refused = "none"
+    except Exception as problem:  # noqa: BLE001
+        refused = re.search(r"missing file: \S*?\.pdf", str(problem))[0]
+    nothing = sinks.versions_of(spark, f"{root}/generated_bundles", "event_id", bundles.GENERATED_BUNDLES) == []
+    documents.filter(F.col("ticket_id") == late).write.mode("append").partitionBy("ticket_id").text(folder)
+    return bundled().withColumns({"refused": F.lit(refused), "stored_before": F.lit(not nothing)})
+
+
 def harvest_runs(spark: SparkSession, sf_dir: str) -> harvest.HarvestRun:
     """Three runs of one identity: the first aborts, the second has abort and poison rows repaired and meets the skip
     limit, the third has all rows repaired."""

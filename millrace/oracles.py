@@ -788,6 +788,10 @@ BODIES: dict[str, str] = {
                CAST({RUN_ID} AS BIGINT) AS run_id
         FROM ({_TICKET_DOC})""",
     "job_event_bundles": "SELECT * FROM manifest",
+    "job_event_bundles_files": """
+        SELECT *, 'missing file: /data/tickets/' || (SELECT max(id) FROM tickets WHERE processed) || '.pdf' AS refused,
+               false AS stored_before
+        FROM manifest""",
     "job_harvest": _HARVEST
     + """
         SELECT o.id,

@@ -1230,17 +1230,17 @@ def job_event_bundles_files(spark, sf_dir):
 
     def bundled() -> DataFrame:
         number = F.regexp_extract("path", r"ticket_id=(\d+)", 1)
-        found = files.scan_files(spark, folder, "part-*").select(F.concat(F.lit("/data/tickets/"), number, F.lit(".pdf")).alias("path"))
+        found = files.scan_files(spark, folder, "*.txt").select(F.concat(F.lit("/data/tickets/"), number, F.lit(".pdf")).alias("path"))
         return bundles.run_bundles(registered, sold, root, found=found)
 
-    documents.filter(F.col("ticket_id") != late).write.partitionBy("ticket_id").text(folder)
+    sinks.write_files(documents.filter(F.col("ticket_id") != late), folder, "ticket_id")
     try:
         bundled()
         refused = "none"
     except Exception as problem:  # noqa: BLE001
         refused = re.search(r"missing file: \S*?\.pdf", str(problem))[0]
     nothing = sinks.versions_of(spark, f"{root}/generated_bundles", "event_id", bundles.GENERATED_BUNDLES) == []
-    documents.filter(F.col("ticket_id") == late).write.mode("append").partitionBy("ticket_id").text(folder)
+    sinks.write_files(documents.filter(F.col("ticket_id") == late), folder, "ticket_id")
     return bundled().withColumns({"refused": F.lit(refused), "stored_before": F.lit(not nothing)})
 
 

@@ -7,6 +7,12 @@ published one counts.
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Iterable, Iterator
+from itertools import groupby
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +20,7 @@ from pyspark.sql import types as T
 from millrace.functions.checks import Rule, first_violation
 from millrace.functions.text import root_cause, truncate_message
 from millrace.operators.claims import claimed, next_number
+from millrace.session import local_path
 
 
 # ---- stored tables ------------------------------------------------------------------------
@@ -32,6 +39,48 @@ def append_to(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+#: Folders that files of their own are dealt to.
+FILE_FOLDERS = 256
+
+
+def write_files(rows: DataFrame, folder: str, key: str, value: str = "value") -> None:
+    """A text file for every ``key`` (an integer, not null), its path ending in ``key=number.txt`` or in a text file below
+    ``key=number``; it has a line per row of that key. A key that is written again has its file replaced.
+
+    On local and mounted storage the tasks write the files themselves, each under a name of its own and then renamed: so
+    a task that is run again leaves the same files. Spark's writer starts processes there to set the permissions of
+    every file, checksum and folder, which takes far longer than the files.
+    """
+    spark = rows.sparkSession
+    base = local_path(spark, folder)
+    whole = rows.select(F.pmod(F.hash(key), F.lit(FILE_FOLDERS)).alias("_folder"), key, value)
+    tasks = min(FILE_FOLDERS, 2 * spark.sparkContext.defaultParallelism)
+    whole = whole.repartition(tasks, "_folder").sortWithinPartitions("_folder", key)
+    if base is None:
+        by_key = whole.select(key, value).write.partitionBy(key).mode("overwrite")
+        by_key.option("partitionOverwriteMode", "dynamic").text(folder)
+        return
+    os.makedirs(base, exist_ok=True)
+
+    def entries(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            yield from zip(*(column.to_pylist() for column in batch.columns))
+
+    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = 0
+        for (number, id_), same in groupby(entries(batches), lambda row: row[:2]):
+            into = f"{base}/folder={number}"
+            os.makedirs(into, exist_ok=True)
+            name = f"{into}/_{uuid.uuid4().hex}"
+            with open(name, "wb") as file:
+                file.writelines(f"{text or ''}\n".encode() for *_, text in same)
+            os.replace(name, f"{into}/{key}={id_}.txt")
+            count += 1
+        yield pa.RecordBatch.from_pydict({"files": pa.array([count], pa.int64())})
+
+    whole.mapInArrow(write, "files long").agg(F.sum("files")).first()
+
+
 def _keys(key: str | list[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 

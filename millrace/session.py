@@ -52,6 +52,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/millrace-{uuid.uuid4().hex}/{name}"
 
 
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """``path`` as the operating system names it, if it lies on local or mounted storage."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    uri = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(target).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
 def stable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once and continue from the written rows.
 

@@ -10,6 +10,7 @@ from millrace.operators.aggregates import bundle_entries, bundle_manifest
 from millrace.plans import bundles, person_etl, recovery, tickets
 from millrace.schemas import DISPATCHED_GROUP, GROUP_MEMBER, MARK, PERSONS_V2
 from millrace.session import scratch
+from millrace.sources import files
 
 SECRET = "0123456789abcdef0123456789abcdef"
 TICKETS = (
@@ -122,6 +123,40 @@ def test_a_new_bundle_replaces_the_old_one(spark):
     assert second[0]["checksum_sha256"] != first["checksum_sha256"]
 
 
+@pytest.mark.parametrize("local", [True, False])
+def test_a_file_per_ticket(spark, monkeypatch, local):
+    """One file per key, whole and replaced when written again; on local storage without a folder per key."""
+    folder = scratch(spark, "ticket_files")
+    if not local:
+        monkeypatch.setattr(sinks, "local_path", lambda *_: None)
+    rows = [(i, f"T-{i}|ü") for i in range(600)] + [(7, "again"), (8, None), (-1, None)]
+    sinks.write_files(spark.createDataFrame(rows, "id BIGINT, value STRING").repartition(5), folder, "id")
+    sinks.write_files(spark.createDataFrame([(5, "new")], "id BIGINT, value STRING"), folder, "id")
+    read = spark.read.text(folder, wholetext=True, recursiveFileLookup=True)
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"id=(-?\d+)", 1).cast("int")
+    got = {n: sorted(text.splitlines()) for n, text in read.select(number, "value").collect()}
+    want = {i: sorted((text or "") for k, text in rows if k == i) for i in range(-1, 600)}
+    assert got == want | {5: ["new"]}
+    assert files.scan_files(spark, folder, "*.txt").count() == 601
+    if local:
+        folders = files.scan_files(spark, folder).select(F.regexp_extract("path", "(.*)/", 1)).distinct()
+        assert folders.count() <= sinks.FILE_FOLDERS
+
+
+def test_tickets_are_written_as_files_without_a_folder_each(spark, monkeypatch):
+    from millrace import bindings, catalog
+
+    made = []
+    keep = lambda session, name: made.append(scratch(session, name)) or made[-1]
+    monkeypatch.setattr(catalog, "scratch", keep)
+    sf_dir = "/root/testdata/sf0.001"
+    out = catalog.QUERIES["job_event_bundles_files"](spark, sf_dir).collect()
+    folder = next(path for path in made if path.endswith("ticket_files"))
+    found = files.scan_files(spark, folder, "*.txt").select("path").collect()
+    assert len(found) == bindings.generated_files(spark, sf_dir).count() == sum(row["ticket_count"] for row in out)
+    assert len({row["path"].rsplit("/", 1)[0] for row in found}) <= sinks.FILE_FOLDERS < len(found)
+
+
 def test_a_missing_file_stores_nothing(spark):
     root = scratch(spark, "bundles")
     sold = ticket_rows(spark, [(1, 10), (2, 10), (3, 11)])

@@ -11,7 +11,8 @@ of a window meet in the bucket of its minimiser and no other place has to be loo
    iterative interleave refinement: the interleave for prefixes of h + 1 bytes is the stable order, by preceding
    byte, of the interleave for h bytes, carried through the LF mapping. No suffix is sorted again. Blocks of equal
    prefixes are carried along: after ``width`` rounds they are the intervals of suffixes whose common prefix is
-   ``width`` or longer, and the smallest document of an interval tells which windows repeat.
+   ``width`` or longer, and the smallest document of an interval tells which windows repeat. Carried are the suffixes
+   that become a window's in the rounds left, one per window; the others tell nothing about windows.
 
 3. A minimiser with very many strings in a chunk (the edge of a passage that many documents share) is *hot*. The
    chunk sends one mark for it, and wherever strings meet a mark, their windows are compared by hash, each in the
@@ -184,20 +185,20 @@ def last_to_first(bwts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(steps), np.concatenate(starts)
 
 
-def interleave(bwts: list[np.ndarray], step: np.ndarray, width: int) -> np.ndarray:
-    """For each row of the transforms the number of its interval: suffixes that share their first ``width`` bytes."""
+def interleave(bwts: list[np.ndarray], step: np.ndarray, rows: np.ndarray, width: int) -> np.ndarray:
+    """For each row that ``rows`` reach in ``width`` steps the number of its interval: suffixes of them that share their
+    first ``width`` bytes. Other rows have -1; they are in no interval of these and need not be carried."""
     last = np.concatenate(bwts)
-    rows = np.arange(len(last), dtype=np.int32)
-    block = np.zeros(len(last), np.int32)
+    block = np.zeros(len(rows), np.int32)
     for _ in range(width):
         byte = last[rows]
         order = np.argsort(byte, kind="stable")
         byte, block = byte[order], block[order]
         rows = step[rows[order]]
         new = (byte[1:] != byte[:-1]) | (block[1:] != block[:-1])
-        block = np.zeros(len(last), np.int32)
+        block = np.zeros(len(rows), np.int32)
         np.cumsum(new, out=block[1:])
-    of_row = np.empty(len(last), np.int32)
+    of_row = np.full(len(last), -1, np.int32)
     of_row[rows] = block
     return of_row
 
@@ -205,7 +206,12 @@ def interleave(bwts: list[np.ndarray], step: np.ndarray, width: int) -> np.ndarr
 def repeated(bwts: list[np.ndarray], runs: np.ndarray, docs: np.ndarray, width: int) -> np.ndarray:
     """For each string a bit per window: does the window stand in a string of a smaller document?"""
     step, rows = last_to_first(bwts)
-    interval = interleave(bwts, step, width)
+    # The suffixes behind the windows: only these become, byte by byte, suffixes that begin with a whole window.
+    behind, at = [], rows
+    for back in range(int(runs.max())):
+        behind.append(at[runs > back])
+        at = step[at]
+    interval = interleave(bwts, step, np.concatenate(behind), width)
     for _ in range(width - 1):  # from the end of the strings to their last windows
         rows = step[rows]
     least = np.full(int(interval.max()) + 1, np.iinfo(np.int64).max)

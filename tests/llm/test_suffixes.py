@@ -94,3 +94,20 @@ def test_merge_of_transforms():
             least[t[p : p + 6]] = min(least.get(t[p : p + 6], d), d)
     want = [sum(1 << p for p in range(len(t) - 5) if least[t[p : p + 6]] < d) for d, t in zip(docs, flat)]
     assert S.repeated(bwts, runs, docs, 6).tolist() == want
+
+
+def test_only_suffixes_behind_windows_are_carried(monkeypatch):
+    """The interleave has a row per window, not one per byte of the strings."""
+    rng = random.Random(6)
+    texts = [sorted({bytes(rng.choice(b"abc") for _ in range(rng.randint(30, 36))) for _ in range(20)}) for _ in range(3)]
+    bwts = [S.transform(t) for t in texts]
+    runs = np.array([len(t) - 29 for part in texts for t in part])
+    sizes, sort = [], np.argsort
+
+    def counted(x, **how):
+        sizes.append(len(x))
+        return sort(x, **how)
+
+    monkeypatch.setattr(S.np, "argsort", counted)
+    S.repeated(bwts, runs, np.arange(len(runs)), 30)
+    assert sizes == [len(b) for b in bwts] + [runs.sum()] * 30

@@ -48,8 +48,8 @@ def write_files(rows: DataFrame, folder: str, key: str, value: str = "value") ->
     ``key=number``; it has a line per row of that key. A key that is written again has its file replaced.
 
     On local and mounted storage the tasks write the files themselves, each under a name of its own and then renamed: so
-    a task that is run again leaves the same files. Spark's writer starts processes there to set the permissions of
-    every file, checksum and folder, which takes far longer than the files.
+    a task that is run again leaves the same files. Spark's writer makes a folder, a file and a checksum there per key,
+    and was far slower (figures in the README).
     """
     spark = rows.sparkSession
     base = local_path(spark, folder)

@@ -12,6 +12,7 @@ together with the executors' memory, so that the pieces of a chunk do not become
 
 from __future__ import annotations
 
+import ctypes
 import math
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -46,6 +47,15 @@ def unpack(blob: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(blob)
 
 
+def give_back() -> None:
+    """Returns free memory to the system. A worker lives on between tasks, and what one has kept lies idle beside the
+    others; called after each chunk, bucket or part."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def table_of(blob: bytes) -> pa.Table:
     """The rows of a chunk."""
     with pa.ipc.open_stream(blob) as reader:
@@ -133,6 +143,7 @@ class Chunks:
             for batch in batches:
                 for chunk, rows in zip(batch.column("chunk"), batch.column("rows")):
                     yield from fn(chunk.as_py(), table_of(rows.as_py()))
+                    give_back()
 
         return self.df.mapInArrow(each, schema)
 
@@ -154,6 +165,8 @@ class Chunks:
                 for i in range(batch.num_rows):
                     got = [batch.column(name)[i].as_py() or [] for name in names]
                     yield from fn(batch.column("chunk")[i].as_py(), table_of(batch.column("rows")[i].as_py()), *got)
+                    del got
+                    give_back()
 
         return joined.mapInArrow(each, schema)
 
@@ -214,7 +227,17 @@ SENT = "chunk long, bucket int, n long, entries binary"
 ANSWER = "chunk long, bucket int, entries binary"
 
 
-def columns_of(blob: bytes, n: int, kinds: list) -> list[np.ndarray]:
+def shares(keys: np.ndarray, parts: int = 8) -> Iterator[np.ndarray]:
+    """Places of the entries, share by share; equal keys are in one share, so that what sorts them needs only a share's
+    memory at once."""
+    low = (keys % keys.dtype.type(parts)).astype(np.uint8)
+    for part in range(parts):
+        at = np.flatnonzero(low == part)
+        if len(at):
+            yield at
+
+
+def columns_of(blob: bytes | memoryview, n: int, kinds: list) -> list[np.ndarray]:
     """The arrays of one row of ``sent``."""
     out, at = [], 0
     for kind in kinds:
@@ -239,13 +262,15 @@ def exchanged(requests: DataFrame, kinds: list, fn: Callable[[list[np.ndarray]],
     def bucket(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
         n = rows.column("n").to_numpy()
-        blobs = [columns_of(e.as_py(), k, kinds) for e, k in zip(rows.column("entries"), n)]
+        blobs = [columns_of(memoryview(e.as_buffer()).cast("B"), k, kinds) for e, k in zip(rows.column("entries"), n)]
         columns = [np.concatenate([b[i] for b in blobs]) for i in range(len(kinds))]
         del blobs
         out = fn(columns)
         out, more = out[: len(out) - found], out[len(out) - found :]
         ends = np.cumsum(n)
+        del columns
         entries = [pack(b"".join(c[e - k : e].tobytes() for c in out)) for e, k in zip(ends, n)]
+        give_back()
         chunk, number = rows.column("chunk").to_numpy(), rows.column("bucket").to_numpy()
         if found:
             entries.append(np.array([int(x) for x in more], np.int64).tobytes())

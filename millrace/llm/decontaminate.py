@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import hashing as H
-from millrace.llm.chunks import pieces, stored, text_bytes
+from millrace.llm.chunks import give_back, pieces, stored, text_bytes
 
 #: Words of a seed.
 SEED = 3
@@ -56,7 +56,7 @@ BREAK[48:58] = BREAK[65:91] = BREAK[97:123] = BREAK[128:] = False
 def word_lists(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, text after text, and the number of words before each text."""
     data, bounds = text_bytes(column)
-    data = H.LOWER[data]
+    data = H.looked_up(H.LOWER, data)
     starts, ends, first = H.words_of(data, bounds, BREAK)
     return H.word_hashes(data, starts, ends), first
 
@@ -204,6 +204,7 @@ def word_counts(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
                     at = np.minimum(np.searchsorted(items.vocabulary, found), len(seen) - 1)
                     ok = items.vocabulary[at] == found
                     seen[at[ok]] += n[ok]
+                give_back()
         number = np.append(np.flatnonzero(seen), -1)
         yield pa.RecordBatch.from_pydict({"word": pa.array(number), "n": pa.array(np.append(seen[seen > 0], total))})
 
@@ -235,6 +236,7 @@ def slice_matches(docs: DataFrame, items: Items, least: float) -> DataFrame:
                         }
                     )
                     yield out.filter(pa.array(scores >= least))
+                give_back()
 
     return docs.mapInArrow(find, RESULT)
 

@@ -17,11 +17,20 @@ M64 = (1 << 64) - 1
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
+#: Bytes hashed at once where a long text is read in steps; with it stay the powers that a worker keeps (4 MB) and the
+#: arrays of a step small.
+STEP = 1 << 17
+
 #: A-Z to a-z, every other byte to itself.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def looked_up(table: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """``table[data]`` for a table of 256 bytes or booleans, without the eight bytes of index that numpy makes of each byte."""
+    return np.frombuffer(data.tobytes().translate(table.tobytes()), table.dtype)
+
+
 @lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
@@ -35,7 +44,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0 to n - 1 at least of the base and of its inverse."""
-    size = 1 << max(16, int(n - 1).bit_length())
+    size = 1 << max(18, int(n - 1).bit_length())
     up, down = _powers(size)
     return up, down
 
@@ -71,7 +80,7 @@ def words_of(data: np.ndarray, bounds: np.ndarray, space: np.ndarray = SPACE) ->
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(bounds), np.int64)
-    word = ~space[data]
+    word = ~looked_up(space, data)
     first, last = word.copy(), word.copy()
     first[1:] &= ~word[:-1]
     last[:-1] &= ~word[1:]
@@ -82,7 +91,7 @@ def words_of(data: np.ndarray, bounds: np.ndarray, space: np.ndarray = SPACE) ->
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, bounds)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, step: int = 1 << 19) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, step: int = STEP) -> np.ndarray:
     """Hashes of the words, read in steps of about ``step`` bytes."""
     out = np.empty(len(starts), np.uint64)
     at = 0

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import hashing as H
-from millrace.llm.chunks import SENT, Chunks, answered, exchanged, pack, row_ids, sent, stored, text_bytes
+from millrace.llm.chunks import SENT, Chunks, answered, exchanged, give_back, pack, row_ids, sent, shares, stored, text_bytes
 from millrace.llm.components import components
 
 #: Classes and shingles in a group, and questions to a group that are answered at once.
@@ -40,7 +40,7 @@ QUESTIONS = 256
 def shingle_sets(rows: pa.Table, text: str, words: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of every text, lower-cased (A-Z)."""
     data, bounds = text_bytes(rows.column(text))
-    data = H.LOWER[data]
+    data = H.looked_up(H.LOWER, data)
     starts, ends, first = H.words_of(data, bounds)
     hashes = H.word_hashes(data, starts, ends)
     chains = H.chain(hashes, words)
@@ -61,9 +61,12 @@ def needed(n: int, percent: int) -> int:
 def document_counts(columns: list[np.ndarray]) -> list[np.ndarray]:
     """For entries key, count: the binary logarithm of the key's number of documents, rounded down."""
     key, count = columns
-    keys, of = np.unique(key, return_inverse=True)
-    total = np.bincount(of, weights=count, minlength=len(keys))
-    return [np.floor(np.log2(total)).astype(np.uint8)[of]]
+    out = np.empty(len(key), np.uint8)
+    for at in shares(key):
+        keys, of = np.unique(key[at], return_inverse=True)
+        total = np.bincount(of, weights=count[at], minlength=len(keys))
+        out[at] = np.floor(np.log2(total)).astype(np.uint8)[of]
+    return [out]
 
 
 def all_tokens(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -167,6 +170,7 @@ def grouped(classes: DataFrame, percent: int) -> DataFrame:
                 matrix.add(own)
                 leaders.append(row)
             out.append(leaders[similar[0]] if len(similar) else row)
+        give_back()
         return rows.append_column("leader", pa.array(out, pa.int64()))
 
     schema = f"{', '.join(f'`{n}` {t}' for n, t in keyed.dtypes)}, leader long"
@@ -216,6 +220,7 @@ def questions(asking: DataFrame, groups: DataFrame, root: str, percent: int) ->
                 if links:
                     a, b = zip(*links)
                     yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            give_back()
 
     return both.mapInArrow(answer, "a long, b long")
 

@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import hashing as H
+from millrace.llm.chunks import give_back, text_bytes
 from millrace.llm.chunks import pieces as batches_of
-from millrace.llm.chunks import text_bytes
 
 #: Bytes of text worked on at once.
 STEP = 1 << 19
@@ -303,6 +303,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: s
                 ids, first = sampled(t, data, bounds, seeds_of(part.column(key).to_pylist(), seed))
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids), mask=part.column(text).is_null())
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "pieces"])
+                give_back()
 
     schema = type(docs.schema)(list(kept)).add("pieces", T.ArrayType(T.IntegerType()))
     return docs.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(each, schema)
@@ -321,6 +322,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, to: str = "decoded") -> D
                 before = ends[start - 1] if start else 0
                 stop = max(start + 1, int(np.searchsorted(ends, before + STEP // 4, side="right")))
                 yield finished(t, batch.slice(start, stop - start))
+                give_back()
                 start = stop
 
     def finished(t: Tables, batch: pa.RecordBatch) -> pa.RecordBatch:

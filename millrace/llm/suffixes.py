@@ -43,8 +43,10 @@ from millrace.llm.chunks import (
     answered,
     cuts,
     exchanged,
+    give_back,
     pack,
     sent,
+    shares,
     stored,
     text_bytes,
     unpack,
@@ -68,7 +70,7 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 class Strings:
     """The strings of a chunk's texts: rows ``start``, ``runs`` (windows), ``doc`` (row in the chunk), ``key``, ``name``."""
 
-    STEP = 1 << 19
+    STEP = H.STEP
 
     def __init__(self, rows: pa.Table, id_column: str, text: str, width: int):
         self.width = width
@@ -285,6 +287,8 @@ def merged(requests: DataFrame, width: int) -> DataFrame:
         bits = repeated(bwts, np.concatenate(runs), np.concatenate(docs), width)
         ends = np.cumsum(n)
         entries = [pack(bits[e - k : e].tobytes()) for e, k in zip(ends, n)]
+        del runs, docs, bwts
+        give_back()
         return pa.table({"chunk": rows.column("chunk"), "bucket": rows.column("bucket"), "entries": pa.array(entries, pa.binary())})
 
     keyed = requests.withColumn("at", F.expr(f"shiftright(bucket, {SHARD_BITS})"))
@@ -293,7 +297,14 @@ def merged(requests: DataFrame, width: int) -> DataFrame:
 
 def classes(columns: list[np.ndarray]) -> list[np.ndarray]:
     """The class of every entry key, name, doc of a bucket."""
-    key, name, doc = columns
+    out = np.empty(len(columns[0]), np.uint8)
+    for at in shares(columns[0]):
+        out[at] = classes_of(*(c[at] for c in columns))
+    return [out]
+
+
+def classes_of(key: np.ndarray, name: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """The classes of all entries of some keys."""
     order = np.lexsort((doc, name, key))
     key, name, doc = key[order], name[order], doc[order]
     new_key = np.ones(len(key), bool)
@@ -307,7 +318,7 @@ def classes(columns: list[np.ndarray]) -> list[np.ndarray]:
     own = np.where(hot, SPLIT, np.where(several, OPEN, ALONE))[np.cumsum(new_key) - 1]
     out = np.empty(len(key), np.uint8)
     out[order] = np.where(doc > least[np.cumsum(new) - 1], LATER, own)
-    return [out]
+    return out
 
 
 KINDS = [np.uint32, np.uint64, np.int64]

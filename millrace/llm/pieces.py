@@ -13,8 +13,8 @@ no piece covers is coded in byte pieces, and so is the blank's own sign where it
 back every text, byte for byte.
 
 Long words, as in text without blanks, are cut at every character that no piece reaches over: all ways meet there, so
-the parts are drawn apart. Everything is done for many words at once: tables of hashes find the pieces at every place, places at equal distance
-from their word's start are filtered together, and all words are sampled together from their ends.
+the parts are drawn apart. Everything is done for many words at once: a trie finds the pieces at every place, places
+at equal distance from their word's start are filtered together, and all words are sampled together from their ends.
 
 Defined results: null stays null and an empty text has no pieces; a null key counts as a key of its own; equal
 rows have equal pieces; other columns, whatever their names, stay.
@@ -44,6 +44,10 @@ STEP = 1 << 19
 LONG = 64
 #: The blank's sign in a vocabulary.
 BLANK = "▁"
+#: Bytes of the character that a byte begins.
+WIDTHS = np.repeat(np.array([1, 2, 3, 4], np.uint8), [128, 96, 16, 16])
+#: Bytes from a word's start up to which a place counts as near.
+NEAR = 64
 
 
 @dataclass(frozen=True)
@@ -77,9 +81,7 @@ class Vocabulary:
 
 
 class Tables:
-    """Lookup of pieces and their prefixes by hash."""
-
-    BITS = 21
+    """The vocabulary's pieces and their prefixes as a trie, whose steps (a node and the next byte) are hashed."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.logs = np.array(vocabulary.logs)
@@ -97,37 +99,66 @@ class Tables:
             if piece:
                 known[piece] = i
         names = sorted(known)
+        node = {name: i for i, name in enumerate(names)}
+        self.none = len(names)  # the node of what is not known
         self.longest = max(map(len, names), default=1)
-        self.ids = np.array([known[p] for p in names], np.int32)
-        data = np.frombuffer(b"".join(names), np.uint8)
-        ends = np.cumsum([len(p) for p in names])
-        self.hashes = H.slice_hashes(H.prefix_sums(data), np.concatenate(([0], ends[:-1])), ends)
-        # Two tables of slots: what does not get its slot in the first goes to the second, and the rest is searched.
-        self.slots = []
-        left = np.arange(len(names))
-        for shift in (64 - self.BITS, 64 - 2 * self.BITS):
-            slot = self.slot(self.hashes[left], shift)
-            table = np.full(1 << self.BITS, -1, np.int32)
-            table[slot] = left
-            self.slots.append((shift, table))
-            left = left[table[slot] != left]
-        order = np.argsort(self.hashes[left])
-        self.rest = left[order]
-
-    def slot(self, hashes: np.ndarray, shift: int) -> np.ndarray:
-        return ((hashes >> np.uint64(shift)) & np.uint64((1 << self.BITS) - 1)).astype(np.int64)
-
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Place of each hash among the known strings, or -1."""
-        out = np.full(len(hashes), -1, np.int32)
-        for shift, table in self.slots:
-            got = table[self.slot(hashes, shift)]
-            out = np.where((got >= 0) & (self.hashes[got] == hashes), got, out)
-        if len(self.rest):
-            at = np.minimum(np.searchsorted(self.hashes[self.rest], hashes), len(self.rest) - 1)
-            out = np.where(self.hashes[self.rest[at]] == hashes, self.rest[at], out)
+        self.ids = np.array([*(known[name] for name in names), -1], np.int32)
+        deep = [name for name in names if len(name) > 1]
+        parents = np.array([node[name[:-1]] for name in deep], np.int32)
+        self.inner = np.zeros(self.none + 1, bool)  # nodes with a next step
+        self.inner[parents] = True
+        self.first = np.array([node.get(bytes([b]), self.none) for b in range(256)], np.int32)
+        self.steps = np.full(self.none + 1, -1, np.int64)
+        places = np.array([node[name] for name in deep], np.int32)
+        self.steps[places] = step_of(parents, np.array([name[-1] for name in deep], np.uint8))
+        # A step that finds its slot taken goes to the next free one.
+        self.bits = (4 * self.none).bit_length()
+        self.slots = np.full(1 << self.bits, self.none, np.int32)
+        slot = self.slot(self.steps[places])
+        while len(places):
+            free = self.slots[slot] == self.none
+            self.slots[slot[free]] = places[free]
+            left = self.slots[slot] != places
+            places, slot = places[left], self.after(slot[left])
+
+    def slot(self, steps: np.ndarray) -> np.ndarray:
+        return ((steps.astype(np.uint64) * np.uint64(H.BASE)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def after(self, slot: np.ndarray) -> np.ndarray:
+        return (slot + 1) & ((1 << self.bits) - 1)
+
+    def below(self, nodes: np.ndarray, bytes_: np.ndarray) -> np.ndarray:
+        """The node that each node's step with a byte leads to, or ``none``."""
+        steps = step_of(nodes, bytes_)
+        slot = self.slot(steps)
+        out = self.slots[slot]
+        open_ = np.flatnonzero((self.steps[out] != steps) & (out != self.none))
+        while len(open_):
+            slot[open_] = self.after(slot[open_])
+            out[open_] = self.slots[slot[open_]]
+            open_ = open_[(self.steps[out[open_]] != steps[open_]) & (out[open_] != self.none)]
         return out
 
+    def inside(self, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Each size of pieces with the places inside words where one of that size starts, and its id. Every place
+        begins one piece of a size at most."""
+        at = np.arange(len(words))
+        room = np.repeat(first[1:], np.diff(first)) - at
+        nodes = self.first[words]
+        for k in range(1, self.longest + 1):
+            ids = self.ids[nodes]
+            hit = np.flatnonzero(ids >= 0)
+            yield k, at[hit], ids[hit]
+            on = np.flatnonzero(self.inner[nodes] & (room > k))
+            if not len(on):
+                return
+            at, room = at[on], room[on]
+            nodes = self.below(nodes[on], words[at + k])
+
+
+def step_of(nodes: np.ndarray, bytes_: np.ndarray) -> np.ndarray:
+    return nodes.astype(np.int64) << 8 | bytes_
+
 
 @lru_cache(maxsize=2)
 def tables(vocabulary: Vocabulary) -> Tables:
@@ -161,18 +192,8 @@ def segments(t: Tables, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def joints(t: Tables, words: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Places inside words, at the start of a character, that no piece reaches over."""
-    stop = np.repeat(first[1:], np.diff(first))
-    sums = H.prefix_sums(words)
     over = np.zeros(len(words) + 1, np.int32)
-    active = np.arange(len(words))
-    for k in range(1, t.longest + 1):
-        active = active[active + k <= stop[active]]
-        if not len(active):
-            break
-        got = t.find(H.slice_hashes(sums, active, active + k))
-        active, got = active[got >= 0], got[got >= 0]
-        # Every place begins one piece of a size at most.
-        piece = active[t.ids[got] >= 0]
+    for k, piece, _ in t.inside(words, first):
         over[piece + 1] += 1
         over[piece + k] -= 1
     free = (np.cumsum(over[:-1]) == 0) & ((words & 0xC0) != 0x80)
@@ -181,67 +202,80 @@ def joints(t: Tables, words: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 class Lattice:
-    """All edges (pieces) between the places of distinct words, by their ends, with the forward sums.
+    """All edges (pieces) between the places of distinct words, by their ends, with their shares by the forward sums.
 
-    Place ``i + word`` is the place before byte ``i``; each word has one place more than bytes."""
+    Words come longest first. Each has one place more than bytes, and places are numbered by their distance from the
+    word's start, then by word: place ``base[distance] + word``. So the edges into all places of a distance are a run."""
 
     def __init__(self, t: Tables, words: np.ndarray, first: np.ndarray):
         n = len(words)
-        word = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        stop = first[1:][word]
-        sums = H.prefix_sums(words)
-        active = np.arange(n)
+        sizes = np.diff(first)
+        wide = len(sizes) - np.concatenate(([0], np.cumsum(np.bincount(sizes))))[:-1]  # words that reach a distance
+        self.base = np.concatenate(([0], np.cumsum(wide)))
+        distance = np.arange(n) - np.repeat(first[:-1], sizes)
+        before = self.base[distance] + np.repeat(np.arange(len(sizes)), sizes)
+        after = before + wide[distance]
         start, piece, size = [], [], []
         single = np.zeros(n, bool)  # the character that starts here is a piece
-        width = np.where(words < 0x80, 1, np.where(words < 0xE0, 2, np.where(words < 0xF0, 3, 4)))
-        for k in range(1, t.longest + 1):
-            active = active[active + k <= stop[active]]
-            if not len(active):
-                break
-            got = t.find(H.slice_hashes(sums, active, active + k))
-            active, got = active[got >= 0], got[got >= 0]
-            ids = t.ids[got]
-            hit = ids >= 0
-            start.append(active[hit])
-            piece.append(ids[hit])
+        width = H.looked_up(WIDTHS, words)
+        for k, at, ids in t.inside(words, first):
+            start.append(at)
+            piece.append(ids)
             size.append(k)
-            single[start[-1][width[start[-1]] == k]] = True
+            if k <= 4:
+                single[at[width[at] == k]] = True
         # Bytes of characters that are no piece are pieces of one byte.
         lead = (words & 0xC0) != 0x80
         lead[first[:-1][first[:-1] < n]] = True
-        covered = single[np.maximum.accumulate(np.where(lead, np.arange(n), 0))] if n else single
+        covered = single if lead.all() else single[np.maximum.accumulate(np.where(lead, np.arange(n), 0))]
         alone = np.flatnonzero(~covered)
         start.append(alone)
         piece.append(t.bytes_[words[alone]])
         size.append(1)
         # In order of their ends, then of their starts: a place has one edge of each size at most.
-        ends = [x + word[x] + k for x, k in zip(start, size)]
-        count = np.bincount(np.concatenate(ends), minlength=n + len(first))
+        ends = [after[x + (k - 1)] for x, k in zip(start, size)]
+        count = np.bincount(np.concatenate(ends), minlength=self.base[-1])
         self.edges = np.concatenate(([0], np.cumsum(count)))  # first edge into each place
         free = self.edges[:-1].copy()
         total = int(self.edges[-1])
-        self.source, self.piece, self.size = np.empty(total, np.int64), np.empty(total, np.int32), np.empty(total, np.int64)
-        offset = np.empty(total, np.uint16 if n < 1 << 16 or int(np.diff(first).max()) < 1 << 16 else np.int64)
+        source, self.piece, self.size = np.empty(total, np.int64), np.empty(total, np.int32), np.empty(total, np.min_scalar_type(t.longest))
         for x, ids, k, end in sorted(zip(start, piece, size, ends), key=lambda e: -e[2]):
             at = free[end]
-            free[end] += 1
-            self.source[at], self.piece[at], self.size[at] = end - k, ids, k
-            offset[at] = x - first[word[x]]
-        end = self.source + self.size
-        logs = t.logs[self.piece]
-        total = np.full(n + len(first) - 1, -np.inf)
-        total[first[:-1] + np.arange(len(first) - 1)] = 0.0
-        by_offset = np.argsort(offset, kind="stable")
-        steps = np.concatenate(([0], np.cumsum(np.bincount(offset))))
-        for low, high in zip(steps, steps[1:]):
-            e = by_offset[low:high]
-            np.logaddexp.at(total, end[e], total[self.source[e]] + logs[e])
-        self.share = np.exp(total[self.source] + logs - total[end])
-        self.ends = first[1:] + np.arange(len(first) - 1)
-
-
-def uniform(seeds: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return (H.mix(seeds + places.astype(np.uint64) * np.uint64(H.BASE)) >> np.uint64(11)).astype(np.float64) / (1 << 53)
+            free[end] = at + 1
+            source[at], self.piece[at], self.size[at] = before[x], ids, k
+        # The sums of each distance from those of the smaller ones, as logarithms. Near ones have many places: shares are
+        # told to a place's largest first, so that each edge takes one exponential. Far ones have few, and take few calls.
+        self.share = t.logs[self.piece]
+        sums = np.full(self.base[-1], -np.inf)
+        sums[: len(sizes)] = 0.0
+        reached = np.flatnonzero(count)
+        low, many = self.edges[reached], count[reached]
+        cuts = np.searchsorted(reached, self.base[1:])
+        runs = np.append(low, total)[cuts]
+        near, far = cuts[: NEAR + 1][-1], runs[: NEAR + 1][-1]
+        whole = np.empty(near)
+        for i, j, begin, end in zip(cuts.tolist(), cuts[1:].tolist(), runs.tolist(), runs[1:].tolist()):
+            if i == j:
+                continue
+            x = self.share[begin:end]
+            x += sums[source[begin:end]]
+            heads = low[i:j] - begin
+            if i >= near:
+                sums[reached[i:j]] = np.logaddexp.reduceat(x, heads)
+                continue
+            most = np.maximum.reduceat(x, heads)
+            x -= np.repeat(most, many[i:j])
+            np.exp(x, out=x)
+            whole[i:j] = np.add.reduceat(x, heads)
+            sums[reached[i:j]] = most + np.log(whole[i:j])
+        self.share[:far] /= np.repeat(whole, many[:near])
+        x = self.share[far:]
+        x -= np.repeat(sums[reached[near:]], many[near:])
+        np.exp(x, out=x)
+
+
+def uniform(states: np.ndarray) -> np.ndarray:
+    return (H.mix(states) >> np.uint64(11)).astype(np.float64) / (1 << 53)
 
 
 def sampled(t: Tables, data: np.ndarray, bounds: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -249,33 +283,38 @@ def sampled(t: Tables, data: np.ndarray, bounds: np.ndarray, seeds: np.ndarray)
     if not len(data):
         return np.zeros(0, np.int32), np.zeros(len(bounds), np.int64)
     starts = segments(t, data, bounds)
-    ends = np.append(starts[1:], len(data))
-    keys, example, of = np.unique(H.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-    sizes = (ends - starts)[example]
+    at = np.append(starts[1:], len(data))
+    keys, example, of = np.unique(H.word_hashes(data, starts, at), return_index=True, return_inverse=True)
+    left = at - starts
+    order = np.argsort(-left[example], kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    word, example = rank[of], example[order]
+    sizes = left[example]
     first = np.concatenate(([0], np.cumsum(sizes)))
-    words = data[np.repeat(starts[example], sizes) + np.arange(first[-1]) - np.repeat(first[:-1], sizes)]
+    words = data[np.repeat(starts[example] - first[:-1], sizes) + np.arange(first[-1])]
     lattice = Lattice(t, words, first)
+    # The state of a draw is the seed and the place in the text; from a word's end it goes back with the pieces.
     text = np.searchsorted(bounds, starts, side="right") - 1
-    place = lattice.ends[of]
-    begin = place - (ends - starts)
-    at = ends.copy()
-    live = np.arange(len(starts))
+    state = seeds[text] + (at - bounds[text]).astype(np.uint64) * np.uint64(H.BASE)
     out = np.full(len(data) + 1, -1, np.int32)
-    while len(live):
-        here = at[live]
-        draw = uniform(seeds[text[live]], here - bounds[text[live]])
-        edge = lattice.edges[place[live]].copy()
-        last = lattice.edges[place[live] + 1] - 1
+    while len(at):
+        place = lattice.base[left] + word
+        edge = lattice.edges[place]
+        last = lattice.edges[place + 1] - 1
+        draw = uniform(state)
         open_ = np.flatnonzero(edge < last)
         while len(open_):
             draw[open_] -= lattice.share[edge[open_]]
             open_ = open_[draw[open_] >= 0]
             edge[open_] += 1
             open_ = open_[edge[open_] < last[open_]]
-        out[here] = lattice.piece[edge]
-        at[live] -= lattice.size[edge]
-        place[live] -= lattice.size[edge]
-        live = live[place[live] > begin[live]]
+        out[at] = lattice.piece[edge]
+        back = lattice.size[edge]
+        on = np.flatnonzero(left > back)
+        back, word = back[on], word[on]
+        at, left = at[on] - back, left[on] - back
+        state = state[on] - back * np.uint64(H.BASE)
     found = np.flatnonzero(out >= 0)
     return out[found], np.searchsorted(found, bounds, side="right")
 

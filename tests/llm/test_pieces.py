@@ -127,3 +127,53 @@ def test_a_megabyte_without_blanks(kind, n, seconds):
     start = time.process_time()
     ids, _ = P.sampled(t, np.frombuffer(text, np.uint8), np.array([0, len(text)]), P.seeds_of([1], 0))
     assert time.process_time() - start < seconds and P.spelt(t, ids).tobytes() == text
+
+
+def test_trie_finds_every_piece():
+    """Steps that share a slot are told apart, and what is no piece or prefix is not found."""
+    rng = random.Random(5)
+    known = {bytes(rng.choice(b"abc \xc3") for _ in range(rng.randint(1, 9))) for _ in range(3000)}
+    t = P.Tables(P.Vocabulary((b"",) * 256 + tuple(sorted(known)), (0.0,) * (256 + len(known)), BYTES))
+    ids = {piece: 256 + i for i, piece in enumerate(sorted(known))}
+    words = [bytes(rng.choice(b"abcd \xc3") for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    first = np.cumsum([0, *map(len, words)])
+    got = {(int(x), k): int(i) for k, at, found in t.inside(np.frombuffer(b"".join(words), np.uint8), first) for x, i in zip(at, found)}
+    spans = ((low, w, i, k) for low, w in zip(first, words) for i in range(len(w)) for k in range(1, 10) if i + k <= len(w))
+    assert got == {(int(low) + i, k): ids[w[i : i + k]] for low, w, i, k in spans if w[i : i + k] in ids}
+    assert any(t.below(np.array([n]), np.array([b], np.uint8)) == t.none for n in range(9) for b in b"d\x00")
+
+
+def test_shares_near_and_far():
+    """An edge's share is its part of the weight of all ways to its end; a word's shares are the same beside others."""
+    t = P.Tables(tiny(["a", "b", "ab", "ba", "aba", " a", "é", "bé"]))
+    rng = random.Random(6)
+    texts = [(" " + "".join(rng.choice("abé日") for _ in range(n))).encode() for n in (200, P.NEAR, 30, 7, 3, 0)]
+    texts.sort(key=len, reverse=True)
+    many = P.Lattice(t, np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+    for word, text in enumerate(texts):
+        alone = P.Lattice(t, np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        sums = [0.0] + [-math.inf] * len(text)
+        for end in range(1, len(text) + 1):
+            place = many.base[end] + word
+            edges, own = slice(*many.edges[place : place + 2]), slice(*alone.edges[alone.base[end] : alone.base[end] + 2])
+            assert many.share[edges].tolist() == alone.share[own].tolist()
+            assert many.piece[edges].tolist() == alone.piece[own].tolist()
+            ways_ = [sums[end - int(k)] + t.logs[i] for k, i in zip(many.size[edges], many.piece[edges])]
+            assert all(text[end - int(k) : end] == P.spelt(t, np.array([i])).tobytes() for k, i in zip(many.size[edges], many.piece[edges]))
+            if ways_:
+                sums[end] = float(np.logaddexp.reduce(ways_))
+                assert np.allclose(many.share[edges], np.exp(np.array(ways_) - sums[end]), rtol=1e-9)
+
+
+def test_work_for_ordinary_text(monkeypatch):
+    """CPU seconds went into hashes of every place for every size of pieces and into single sums of logarithms: now only
+    whole words are hashed, and no edge near a word's start is added by itself."""
+    t = P.tables(P.Vocabulary.read("/opt/tokenizers/piece_bpe_32k.model"))
+    rng = random.Random(7)
+    syllables = "the and ing tion er re con pro ver un de lo ma ni sch ei gr ö é".split()
+    text = " ".join("".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(2000)).encode()
+    hashed, hashes = [], P.H.slice_hashes
+    monkeypatch.setattr(P.H, "slice_hashes", lambda sums, start, stop: (hashed.append(len(start)), hashes(sums, start, stop))[1])
+    monkeypatch.setattr(np, "logaddexp", None)
+    ids, _ = P.sampled(t, np.frombuffer(text, np.uint8), np.array([0, len(text)]), P.seeds_of([1], 0))
+    assert P.spelt(t, ids).tobytes() == text and sum(hashed) == 2000

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+import zlib
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import strip_edges
+from millrace.session import local_path
 
 
 def scan_delimited(spark: SparkSession, path: str, names: list[str], sep: str = ",") -> DataFrame:
@@ -92,19 +100,135 @@ def scan_lenient_lines(
     return parts.select("line_value", F.size("f").alias("n_fields"), amount.alias("amount"))
 
 
+#: Files per batch that a listing or reading task hands on.
+FILES_PER_BATCH = 10_000
+#: A path with one of these is a pattern to Spark's readers.
+PATTERN = set("{}[]*?\\")
+
+
+def _listing(base: str) -> tuple[Callable, Callable]:
+    """Two functions for tasks: what lies in ``base`` as (path, whether a folder), and all files in and below such paths.
+
+    Names count as for Spark's readers: hidden ones are left out, but not folders named as Spark's metadata, and those that
+    are no UTF-8.
+    """
+
+    def hidden(name: str) -> bool:
+        return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+    def encoded(name: str) -> bool:
+        try:
+            return bool(name.encode())
+        except UnicodeEncodeError:
+            return False
+
+    def inside(folder: str, whole: bool) -> Iterator[tuple[str, bool]]:
+        try:
+            entries = os.scandir(folder)
+        except FileNotFoundError:
+            if folder == base:
+                raise
+            return  # removed since its own folder was listed
+        with entries:
+            for entry in entries:
+                if not encoded(entry.name):
+                    continue
+                if os.path.isdir(entry.path):
+                    if hidden(entry.name) and not entry.name.startswith(("_metadata", "_common_metadata")):
+                        continue
+                    if whole:
+                        yield from inside(entry.path, True)
+                    else:
+                        yield entry.path, True
+                elif not hidden(entry.name) and os.path.isfile(entry.path):
+                    yield entry.path, False
+
+    def top(path: str) -> Iterable[tuple[str, bool]]:
+        if os.path.isfile(path):
+            return [] if hidden(os.path.basename(path)) else [(path, False)]
+        return inside(path, False)
+
+    def below(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
+        paths = (found for path, folder in rows for found, _ in (inside(path, True) if folder else [(path, False)]))
+        while some := list(islice(paths, FILES_PER_BATCH)):
+            yield pa.RecordBatch.from_pydict({"path": pa.array(some, pa.string())})
+
+    return top, below
+
+
+def _reading() -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's function from paths to path, size and SHA-256 of the files that are not empty.
+
+    A checksum file that Hadoop's local writer has left beside a file must agree with it, as for Spark's readers.
+    """
+
+    def sums_of(path: str) -> tuple:
+        """The open checksum file behind its header and the bytes per checksum; ``(None, 0)`` if there is none."""
+        folder, name = os.path.split(path)
+        try:
+            sums = open(f"{folder}/.{name}.crc", "rb")
+            head = sums.read(8)
+        except OSError:
+            return None, 0
+        if head[:4] == b"crc\0" and len(head) == 8:
+            return sums, int.from_bytes(head[4:], "big")
+        sums.close()
+        return None, 0
+
+    def digest(path: str) -> tuple[str, int, str]:
+        (sums, step), all_, size = sums_of(path), hashlib.sha256(), 0
+        with open(path, "rb") as file:
+            while part := file.read(step * max(1, (1 << 20) // step) if sums else 1 << 20):
+                all_.update(part)
+                size += len(part)
+                for i in range(0, len(part) if sums else 0, step or 1):
+                    if zlib.crc32(part[i : i + step]).to_bytes(4, "big") != sums.read(4):
+                        raise OSError(f"checksum error: {path}")
+        if sums:
+            sums.close()
+        return f"file:{path}", size, all_.hexdigest()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (digest(path) for batch in batches for path in batch.column(0).to_pylist())
+        while some := list(islice(rows, FILES_PER_BATCH)):
+            paths, sizes, digests = zip(*some)
+            read = {"path": pa.array(paths, pa.string()), "size_bytes": pa.array(sizes, pa.int64())}
+            full = pa.RecordBatch.from_pydict(read | {"checksum_sha256": pa.array(digests, pa.string())})
+            yield full.filter(pa.array([size > 0 for size in sizes]))
+
+    return run
+
+
 def scan_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Path, size and SHA-256 of every file; the bytes stay in the scanning task."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select(
-            "path",
-            F.octet_length("content").cast("bigint").alias("size_bytes"),
-            F.sha2("content", 256).alias("checksum_sha256"),
+    """Path, size and SHA-256 of every file that is not empty; the bytes stay in the scanning task.
+
+    On local and mounted storage tasks also list the files, when the query runs, so the driver holds no list of them.
+    Spark's reader, which keeps the status of every file there, is left for other storage and for a path with a pattern.
+    """
+    base = local_path(spark, path)
+    if base is None or PATTERN & set(path) or not os.path.exists(base):
+        return (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", True)
+            .load(path)
+            .select(
+                "path",
+                F.octet_length("content").cast("bigint").alias("size_bytes"),
+                F.sha2("content", 256).alias("checksum_sha256"),
+            )
         )
-    )
+    context, (top, below) = spark.sparkContext, _listing(base)
+    tasks = 2 * context.defaultParallelism
+    # Dealt out as an RDD: from a shuffle of a plan Spark would take the size of these few rows for that of all files, and
+    # broadcast them in joins. So it has no size until all paths are shuffled.
+    first = context.parallelize([base], 1).flatMap(top).keyBy(lambda entry: entry[0]).partitionBy(tasks).values()
+    listed = spark.createDataFrame(first, "path STRING, folder BOOLEAN").mapInArrow(below, "path STRING")
+    named = context._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().pattern()
+    wanted = listed.filter(F.substring_index("path", "/", -1).rlike(f"(?s)\\A(?:{named})\\z"))
+    tasks = max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return wanted.repartition(tasks, "path").mapInArrow(_reading(), "path STRING, size_bytes BIGINT, checksum_sha256 STRING")
 
 
 def missing_files(expected: DataFrame, found: DataFrame, path: str = "path") -> DataFrame:

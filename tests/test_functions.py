@@ -1,8 +1,10 @@
 import base64
 import hashlib
 import hmac
+import zlib
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -241,6 +243,69 @@ def test_files_and_missing_ones(spark, tmp_path):
         files.require_files(expected, found).collect()
 
 
+def listed_by_reader(spark, path, glob="*"):
+    read = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(str(path))
+    return read.select("path", F.octet_length("content").cast("bigint"), F.sha2("content", 256))
+
+
+def test_files_are_listed_in_tasks_as_by_the_reader(spark, tmp_path):
+    """The driver holds no list of the files; the same files count as for Spark's reader, which does."""
+    names = "a.txt _h.txt .h.txt _h=1.txt _metadata x._COPYING_ b.bin empty.txt sub/b.txt _sub/c.txt .sub/c.txt _sub=1/d.txt"
+    more = "k=1/j=2/f.txt k=1/g.txt sub/_temporary/0/t.txt _metadata_dir/q.txt"
+    for name in [*names.split(), *more.split(), "s p%20ä+#?.txt", "n\nl.txt"]:
+        file = tmp_path / "all" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(b"" if name == "empty.txt" else name.encode())
+    (tmp_path / "all/link.txt").symlink_to(tmp_path / "all/a.txt")
+    (tmp_path / "all/folder").symlink_to(tmp_path / "all/sub")
+    (tmp_path / "all/dangling.txt").symlink_to(tmp_path / "nowhere")
+    (tmp_path / "none").mkdir()
+    for path, glob in [("all", "*"), ("all", "*.txt"), ("all", "{a,b}.*"), ("all", "[!a].txt"), ("all", "?.bin"), ("none", "*"),
+                       ("all/a.txt", "*"), ("all/_h.txt", "*"), ("all/_sub", "*"), ("all/../all/k=1/", "*")]:
+        found = files.scan_files(spark, f"{tmp_path}/{path}", glob)
+        want = listed_by_reader(spark, f"{tmp_path}/{path}", glob)
+        assert found.inputFiles() == [] and found.dtypes == files.scan_files(spark, f"{tmp_path}/{path}*", glob).dtypes
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect())), (path, glob)
+    assert files.scan_files(spark, f"{tmp_path}/all/a*").count() == 1
+    with pytest.raises(PySparkException, match="PATH_NOT_FOUND"):
+        files.scan_files(spark, f"{tmp_path}/gone")
+
+
+def test_many_files_of_few_folders_are_not_broadcast(spark, tmp_path):
+    """A join knows the size of all files, not only that of the folders they lie in."""
+    for i in range(3000):
+        file = tmp_path / f"folder={i % 2}" / f"{i}.txt"
+        file.parent.mkdir(exist_ok=True)
+        file.write_text("x")
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        found = files.scan_files(spark, str(tmp_path)).select("path")
+        expected = spark.range(3000).select(F.format_string(f"file:{tmp_path}/folder=%d/%d.txt", F.col("id") % 2, "id").alias("path"))
+        joined = files.require_files(expected.repartition(4), found)
+        assert len(joined.collect()) == 3000
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+
+
+def test_a_file_that_differs_from_its_checksums_fails(spark, tmp_path):
+    """Checksum files of Hadoop's local writer hold, those that are none do not count."""
+    file, data = tmp_path / "a.txt", bytes(range(256)) * 10
+    sums = b"".join(zlib.crc32(data[i : i + 512]).to_bytes(4, "big") for i in range(0, len(data), 512))
+    file.write_bytes(data)
+    (tmp_path / ".a.txt.crc").write_bytes(b"crc\0" + (512).to_bytes(4, "big") + sums)
+    assert files.scan_files(spark, str(tmp_path)).first()["size_bytes"] == 2560
+    for changed in (data[:-1] + b"x", data + b"x", data[:-1]):
+        file.write_bytes(changed)
+        with pytest.raises(Py4JJavaError, match="FAILED_READ_FILE"):
+            listed_by_reader(spark, tmp_path).collect()
+        with pytest.raises(PySparkException, match="checksum error"):
+            files.scan_files(spark, str(tmp_path)).collect()
+    (tmp_path / ".a.txt.crc").write_bytes(b"none")
+    assert files.scan_files(spark, str(tmp_path)).first()["size_bytes"] == 2559
+
+
 def test_database_ranges():
     assert tables.range_predicates("id", [(1, 5), (6, 9)]) == ["id BETWEEN 1 AND 5", "id BETWEEN 6 AND 9"]
 
